@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.functions.columns import WEEKDAYS, any_of, is_missing, utc_hour, utc_weekday
-from churnspark.operators.cleaning import drop_incomplete_users, rows_with_missing
 from churnspark.operators.features import attribute_by_time
-from churnspark.operators.running import quantiles_of_counts, running_sums
+from churnspark.operators.running import quantile_aggregates, quantile_columns, running_sums
+from churnspark.runtime import materialize
 from churnspark.schema import CANCEL_PAGES, CHURN_PAGES, REQUIRED_USER_COLUMNS
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -150,18 +150,28 @@ def user_page_counts(log: DataFrame, label: str = "churn", without: Sequence[str
 
 
 def describe_by(rows: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """count, mean, std, min, quartiles and max of ``value`` per group; exact quartiles."""
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    ranked = running_sums(counts, groups, "v", ["n"])
-    quartiles = quantiles_of_counts(ranked, groups, "v", QUARTILES)
-    plain = rows.groupBy(*groups).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
+    """count, mean, std, min, exact quartiles and max of ``value`` per group.
+
+    Equal values are counted first; everything else comes from the counts.
+    """
+    counts = (
+        rows.where(F.col(value).isNotNull())
+        .groupBy(*groups, F.col(value).cast("double").alias("v"))
+        .agg(F.count("*").alias("n"))
+        .withColumn("weighted", F.col("n") * F.col("v"))
+    )
+    ranked = running_sums(counts, groups, "v", ["n", "weighted"])
+    distance = F.col("v") - F.col("weighted_total") / F.col("n_total")
+    described = ranked.groupBy(*groups).agg(
+        F.sum("n").alias("count"),
+        F.max(F.col("weighted_total") / F.col("n_total")).alias("mean"),
+        F.sum(F.col("n") * distance * distance).alias("squares"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
+        *quantile_aggregates("v", QUARTILES),
     )
-    return plain.join(quartiles, list(groups))
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std")
+    return described.select(*groups, "count", "mean", std, "min", *quantile_columns(QUARTILES), "max")
 
 
 def long_features(features: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -177,7 +187,8 @@ def feature_histogram(features: DataFrame, columns: Sequence[str], label: str =
     """
     values = long_features(features, columns, [label])
     counted = values.groupBy("feature", label, "value").agg(F.count("*").alias("n"))
-    ranges = values.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    # One row per listed column, so it may be broadcast.
+    ranges = F.broadcast(values.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high")))
     sizes = values.groupBy("feature", label).agg(F.count("*").alias("n_class"))
     width = (F.col("high") - F.col("low")) / bins
     position = F.floor(F.try_divide(F.col("value") - F.col("low"), width))
@@ -203,11 +214,16 @@ def feature_boxplot(features: DataFrame, columns: Sequence[str], label: str = "c
     groups = ["feature", label]
     counts = long_features(features, columns, [label]).groupBy(*groups, "value").agg(F.count("*").alias("n"))
     ranked = running_sums(counts, groups, "value", ["n"])
-    boxes = quantiles_of_counts(ranked, groups, "value", QUARTILES)
+    # One row per feature and class; stored, so that Spark joins it by its known size.
+    boxes = materialize(
+        ranked.groupBy(*groups).agg(*quantile_aggregates("value", QUARTILES)).select(*groups, *quantile_columns(QUARTILES)),
+        "boxes",
+    )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        ranked.join(boxes, groups)
+        ranked.select(*groups, "value", "n")
+        .join(boxes, groups)
         .groupBy(*groups, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
@@ -215,12 +231,3 @@ def feature_boxplot(features: DataFrame, columns: Sequence[str], label: str = "c
             F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outliers"),
         )
     )
-
-
-__all__ = [
-    "drop_incomplete_users", "rows_with_missing",
-    "missing_profile", "null_profile", "cleaning_report", "user_attribute", "distribution", "user_distribution",
-    "distinct_pages", "distinct_values", "multi_value_summary", "crosstab", "churn_events_by_hour",
-    "churn_events_by_weekday", "user_page_counts", "describe_by", "long_features", "feature_histogram",
-    "feature_boxplot",
-]

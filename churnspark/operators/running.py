@@ -63,8 +63,8 @@ def _value_at(position: Column, value: str) -> Column:
     return F.max(F.when(covers, F.col(value)))
 
 
-def quantiles_of_counts(counts: DataFrame, groups: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """Exact quantiles (linear interpolation) per group from ``running_sums`` over ``n``."""
+def quantile_aggregates(value: str, shares: dict[str, float]) -> list[Column]:
+    """Aggregates over ``running_sums`` of ``n`` that pick the neighbours of each quantile."""
     picks = []
     for name, share in shares.items():
         position = (F.col("n_total") - 1) * F.lit(float(share))
@@ -74,11 +74,12 @@ def quantiles_of_counts(counts: DataFrame, groups: Sequence[str], value: str, sh
             _value_at(above, value).cast("double").alias(f"{name}_high"),
             F.max(position - below).alias(f"{name}_part"),
         ]
-    picked = counts.groupBy(*groups).agg(*picks)
-    return picked.select(
-        *groups,
-        *[
-            (F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * F.col(f"{n}_part")).alias(n)
-            for n in shares
-        ],
-    )
+    return picks
+
+
+def quantile_columns(shares: dict[str, float]) -> list[Column]:
+    """Exact quantiles, linear between neighbours, from ``quantile_aggregates``."""
+    return [
+        (F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * F.col(f"{n}_part")).alias(n)
+        for n in shares
+    ]
