@@ -158,7 +158,6 @@ def _select(columns: list[str]) -> str:
 
 
 def _base_queries() -> dict[str, str]:
-    log_columns = ", ".join(f'"{f.name}"' for f in EVENT_LOG)
     shown = {c.name: f'"{c.name}"' for c in EVENT_LOG}
     shown["length"] = 'round("length", 6) AS "length"'
     all_columns = ", ".join(shown.values())
@@ -203,11 +202,297 @@ def _base_queries() -> dict[str, str]:
         "scan_json": f"WITH {LOG} SELECT {all_columns} FROM log",
         "scan_json_schema": f"WITH {LOG} SELECT {all_columns} FROM log",
         "sink_parquet": f'WITH {CLEAN} SELECT {all_columns}, "Listening", churn, platform, browser FROM pre',
-        "_unused": log_columns,
     }
 
 
-def oracle_sql() -> dict[str, str]:
-    found = dict(_base_queries())
-    found.pop("_unused")
+# --- exploration ---------------------------------------------------------------------
+
+_LAST_KEY = 'ts * 1000000 + "itemInSession"'
+PLACES = f"""{CLEAN},
+placed AS (
+  SELECT *, platform || '/' || browser AS "Agent", split_part(location, ',', 1) AS "City",
+         trim(split_part(split_part(location, ',', 2), '-', 1)) AS "State" FROM pre),
+regions AS (
+  SELECT *, CASE {" ".join(
+      f"WHEN upper(trim(\"State\")) IN ({', '.join(repr(s) for s in states.split())}) THEN '{name}'"
+      for name, states in REGION_STATES.items())} ELSE 'unknown' END AS "Region" FROM placed)
+"""
+DISTRIBUTED = ("gender", "level", "Agent", "platform", "browser", "State", "City", "Region")
+CROSSED = ("gender", "level", "platform", "browser", "Region")
+
+
+def _distribution(source: str) -> str:
+    return f"""SELECT value, count(*) AS n, round(count(*) * 100 / (SELECT count(*) FROM {source}), 1) AS percent
+               FROM {source} GROUP BY value"""
+
+
+def _last(column: str) -> str:
+    return f"""WITH {PLACES}, u AS (SELECT "userId", arg_max_null("{column}", {_LAST_KEY}) AS value, max(churn) AS churn
+               FROM regions GROUP BY "userId")"""
+
+
+def _chi2(column: str) -> str:
+    return f"""{_last(column)},
+    t AS (SELECT churn, value, count(*) AS o FROM u WHERE value IS NOT NULL GROUP BY churn, value),
+    m AS (SELECT a.churn, b.value, coalesce(t.o, 0) AS o, a.r * b.c / (SELECT sum(o) FROM t) AS e
+          FROM (SELECT churn, sum(o) AS r FROM t GROUP BY churn) a
+          CROSS JOIN (SELECT value, sum(o) AS c FROM t GROUP BY value) b
+          LEFT JOIN t ON t.churn = a.churn AND t.value = b.value),
+    d AS (SELECT (count(DISTINCT churn) - 1) * (count(DISTINCT value) - 1) AS dof FROM m)
+    SELECT CAST(sum(o) AS BIGINT) AS n, CAST(max(dof) AS BIGINT) AS dof,
+           round(CASE WHEN max(dof) = 0 THEN 0.0
+                      WHEN max(dof) = 1 THEN sum((abs(o - e) - least(0.5, abs(o - e))) ** 2 / e)
+                      ELSE sum((o - e) ** 2 / e) END, 6) AS chi2
+    FROM m, d"""
+
+
+def _distinct_summary(columns: str) -> str:
+    return f"""WITH {CLEAN}, d AS (SELECT DISTINCT "userId", {columns} FROM pre),
+        c AS (SELECT "userId", count(*) AS n FROM d GROUP BY "userId")
+        SELECT count(*) AS users, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS stddev, min(n) AS min, max(n) AS max FROM c"""
+
+
+def _profile_queries() -> dict[str, str]:
+    names = [f.name for f in EVENT_LOG]
+    types = {f.name: f.dataType.simpleString() for f in EVENT_LOG}
+
+    def missing(c: str) -> str:
+        extra = {"string": f""" OR "{c}" = ''""", "double": f' OR isnan("{c}")'}.get(types[c], "")
+        return f'("{c}" IS NULL{extra})'
+
+    missing_rows = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(CASE WHEN {missing(c)} THEN 1 END) AS n_missing FROM log""" for c in names
+    )
+    null_rows = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) - count("{c}") AS n_null,
+            round((count(*) - count("{c}")) / count(*), 6) AS null_fraction FROM cleaned""" for c in names
+    )
+    any_missing = " OR ".join(missing(c) for c in names)
+    complete = " AND ".join(f'"{c}" IS NOT NULL' for c in REQUIRED_USER_COLUMNS)
+    cancelled = "page = 'Cancellation Confirmation'"
+    found = {
+        "missing_profile": f"WITH {LOG} {missing_rows}",
+        "null_profile": f"WITH {CLEAN} {null_rows}",
+        "cleaning_report": f"""WITH {LOG} SELECT count(*) AS n_rows, count(CASE WHEN {any_missing} THEN 1 END) AS n_rows_with_missing,
+            count(CASE WHEN {complete} THEN 1 END) AS n_kept, count(CASE WHEN NOT ({complete}) THEN 1 END) AS n_dropped,
+            count(CASE WHEN {complete} AND "userId" = '' THEN 1 END) AS n_kept_missing_user FROM log""",
+        "user_attribute": f"""WITH {CLEAN} SELECT "userId", arg_max_null(level, {_LAST_KEY}) AS level FROM pre GROUP BY "userId" """,
+        "dist_churn": f"""WITH {CLEAN}, u AS (SELECT "userId", max(churn) AS value FROM pre GROUP BY "userId") {_distribution('u')}""",
+        "page_distribution": f"WITH {CLEAN}, u AS (SELECT page AS value FROM pre) {_distribution('u')}",
+        "distinct_pages": f'WITH {CLEAN} SELECT DISTINCT "Listening", page FROM pre',
+        "distinct_locations": f"WITH {CLEAN} SELECT DISTINCT location FROM pre",
+        "multi_device_summary": " UNION ALL ".join(
+            f"SELECT '{name}' AS attribute, * FROM ({_distinct_summary(columns)})"
+            for name, columns in (("agent", "platform, browser"), ("platform", "platform"), ("browser", "browser"))
+        ),
+        "churn_by_hour": f"""WITH {LOG} SELECT CAST(h AS INTEGER) AS hour, count(ts) AS n FROM range(24) t(h)
+            LEFT JOIN (SELECT ts FROM log WHERE {cancelled}) ON (ts // 3600000) % 24 = h GROUP BY h""",
+        "churn_by_weekday": f"""WITH {LOG} SELECT CAST(p AS INTEGER) AS position,
+            (['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'])[CAST(p AS INTEGER)] AS weekday, count(ts) AS n
+            FROM range(1, 8) t(p) LEFT JOIN (SELECT ts FROM log WHERE {cancelled}) ON isodow(make_timestamp(ts * 1000)) = p
+            GROUP BY p""",
+        "user_page_counts": f"""WITH {CLEAN} SELECT "userId", page, churn, count(*) AS n FROM pre
+            WHERE page NOT IN ('Cancel', 'Cancellation Confirmation') GROUP BY "userId", page, churn""",
+        "page_count_stats": f"""WITH {CLEAN}, c AS (SELECT "userId", page, churn, count(*) AS n FROM pre
+            WHERE page NOT IN ('Cancel', 'Cancellation Confirmation') GROUP BY "userId", page, churn)
+            SELECT page, churn, count(*) AS count, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS std,
+                   CAST(min(n) AS DOUBLE) AS min, round(quantile_cont(n, 0.25), 6) AS q1, round(quantile_cont(n, 0.5), 6) AS median,
+                   round(quantile_cont(n, 0.75), 6) AS q3, CAST(max(n) AS DOUBLE) AS max FROM c GROUP BY page, churn""",
+    }
+    for c in DISTRIBUTED:
+        found[f"dist_{c.lower()}"] = f"{_last(c)} {_distribution('u')}"
+    for c in CROSSED:
+        found[f"crosstab_{c.lower()}"] = f"{_last(c)} SELECT churn, value, count(*) AS n FROM u GROUP BY churn, value"
+        found[f"chi2_{c.lower()}"] = _chi2(c)
     return found
+
+
+# --- statistics over features --------------------------------------------------------
+
+_DOUBLES = ", ".join(f"round(CAST({c} AS DOUBLE), {DIGITS}) AS {c}" for c in NUMERIC)
+LONG = f"""{FEATURES},
+f6 AS (SELECT "userId", churn, gender, level, coalesce(platform, 'unknown') AS platform,
+              coalesce(browser, 'unknown') AS browser, {_DOUBLES} FROM feats),
+long AS (UNPIVOT (SELECT "userId", churn, {", ".join(NUMERIC)} FROM f6) ON {", ".join(NUMERIC)}
+         INTO NAME feature VALUE value)
+"""
+
+
+def _statistics_queries() -> dict[str, str]:
+    pairs = " UNION ALL ".join(
+        f"""SELECT '{a}' AS a, '{b}' AS b,
+            round(CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN corr({a}, {b}) END, 6) AS corr FROM f7"""
+        for i, a in enumerate(["churn", *NUMERIC])
+        for b in ["churn", *NUMERIC][:i]
+    )
+    boxes = """q AS (SELECT feature, churn, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+                            quantile_cont(value, 0.75) AS q3 FROM long GROUP BY feature, churn),
+        j AS (SELECT long.*, q1, median, q3, value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
+              FROM long JOIN q USING (feature, churn))"""
+    return {
+        "feature_histogram": f"""WITH {LONG},
+            r AS (SELECT feature, min(value) AS low, (max(value) - min(value)) / 20 AS width FROM long GROUP BY feature),
+            s AS (SELECT feature, churn, count(*) AS n_class FROM long GROUP BY feature, churn),
+            b AS (SELECT long.feature, long.churn, low, width,
+                         CAST(least(coalesce(floor((value - low) / nullif(width, 0)), 0), 19) AS INTEGER) AS bin
+                  FROM long JOIN r USING (feature))
+            SELECT feature, churn, bin, round(low + bin * width, 6) AS bin_start, count(*) AS n,
+                   round(count(*) / nullif(max(n_class) * width, 0), 6) AS density
+            FROM b JOIN s USING (feature, churn) GROUP BY feature, churn, bin, low, width""",
+        "feature_boxplot": f"""WITH {LONG}, {boxes}
+            SELECT feature, churn, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+                   min(CASE WHEN inside THEN value END) AS whisker_low, max(CASE WHEN inside THEN value END) AS whisker_high,
+                   count(CASE WHEN NOT inside THEN 1 END) AS n_outliers
+            FROM j GROUP BY feature, churn, q1, median, q3""",
+        "mann_whitney": f"""WITH {LONG},
+            v AS (SELECT feature, value, count(*) AS t, count(CASE WHEN churn = 0 THEN 1 END) AS n0 FROM long GROUP BY feature, value),
+            k AS (SELECT *, sum(t) OVER (PARTITION BY feature ORDER BY value) - t + (t + 1) / 2 AS midrank FROM v),
+            g AS (SELECT feature, CAST(sum(n0) AS DOUBLE) AS n0, CAST(sum(t) - sum(n0) AS DOUBLE) AS n1,
+                         sum(n0 * midrank) AS ranks, sum(CAST(t AS DOUBLE) ** 3 - t) AS ties FROM k GROUP BY feature),
+            u AS (SELECT *, ranks - n0 * (n0 + 1) / 2 AS u FROM g)
+            SELECT feature, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1, round(u, 6) AS u,
+                   round((greatest(u, n0 * n1 - u) - n0 * n1 / 2 - 0.5)
+                         / nullif(sqrt(n0 * n1 / 12 * (n0 + n1 + 1 - ties / ((n0 + n1) * (n0 + n1 - 1)))), 0), 6) AS z
+            FROM u""",
+        "feature_correlation": f"WITH {LONG}, f7 AS (SELECT CAST(churn AS DOUBLE) AS churn, {', '.join(NUMERIC)} FROM f6) {pairs}",
+    }
+
+
+# --- split, encode, scale -------------------------------------------------------------
+
+SPLIT = f"""{LONG},
+marked AS (SELECT *, substr(md5("userId" || '#42'), 1, 8) < 'cccccccc' AS is_train FROM f6),
+train AS (SELECT * FROM marked WHERE is_train),
+cats AS (UNPIVOT (SELECT "userId", is_train, gender, level, platform, browser FROM marked)
+         ON gender, level, platform, browser INTO NAME feature VALUE value),
+idx AS (SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY count(*) DESC, value) - 1 AS i,
+               count(*) OVER (PARTITION BY feature) AS size
+        FROM cats WHERE is_train GROUP BY feature, value),
+hot AS (SELECT c."userId", c.is_train, idx.feature || '_vec' || CASE WHEN idx.size > 2 THEN '_' || idx.i ELSE '' END AS feature,
+               CASE WHEN c.value = idx.value THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value
+        FROM cats c JOIN idx USING (feature) WHERE idx.i < idx.size - 1),
+slots AS (SELECT "userId", is_train, feature, value FROM hot UNION ALL
+          SELECT "userId", substr(md5("userId" || '#42'), 1, 8) < 'cccccccc' AS is_train, feature, value FROM long),
+stats AS (SELECT feature, avg(value) AS mean, stddev_samp(value) AS sd FROM slots WHERE is_train GROUP BY feature),
+scaled AS (SELECT "userId", feature, coalesce((value - mean) / nullif(sd, 0), 0) AS z FROM slots JOIN stats USING (feature))
+"""
+DUMMIES = ["gender_vec", "level_vec", *[f"platform_vec_{i}" for i in range(4)], *[f"browser_vec_{i}" for i in range(3)]]
+CONTRIBUTIONS = f"""{SPLIT},
+w AS (SELECT * FROM (VALUES {", ".join(f"('{c}', {(i * 7 % 11 - 5) / 10}::DOUBLE)" for i, c in enumerate(NUMERIC))}) t(feature, w)),
+contrib AS (SELECT long."userId", long.feature, (value - mean) * w AS value
+            FROM long JOIN stats USING (feature) JOIN w USING (feature))
+"""
+
+
+def _model_queries() -> dict[str, str]:
+    wide = ", ".join(f"round(max(CASE WHEN feature = '{c}' THEN z END), 6) AS {c}" for c in [*NUMERIC, *DUMMIES])
+    hot = ", ".join(f"max(CASE WHEN feature = '{c}' THEN value END) AS {c}" for c in DUMMIES)
+    index = ", ".join(
+        f"CAST(max(CASE WHEN feature = '{c}' THEN i END) AS DOUBLE) AS {c}_index" for c in ("gender", "level", "platform", "browser")
+    )
+    return {
+        "stratified_split": f'WITH {SPLIT} SELECT "userId", churn, is_train FROM marked',
+        "stratified_split_exact": f"""WITH {SPLIT},
+            r AS (SELECT *, row_number() OVER (PARTITION BY churn ORDER BY md5("userId" || '#42'), "userId") AS rank,
+                         count(*) OVER (PARTITION BY churn) AS total FROM f6)
+            SELECT "userId", churn, rank <= round(total * 0.8::DOUBLE) AS is_train FROM r""",
+        "string_index": f"""WITH {SPLIT} SELECT "userId", {index} FROM cats JOIN idx USING (feature, value) GROUP BY "userId" """,
+        "one_hot": f'WITH {SPLIT} SELECT "userId", {hot} FROM hot GROUP BY "userId"',
+        "scaled_features": f'WITH {SPLIT} SELECT "userId", feature, round(z, 6) AS z FROM scaled',
+        "model_matrix": f'WITH {SPLIT} SELECT s."userId", churn, {wide} FROM scaled s JOIN f6 USING ("userId") GROUP BY s."userId", churn',
+        "sink_parquet_gzip": f'WITH {SPLIT} SELECT s."userId", churn, {wide} FROM scaled s JOIN f6 USING ("userId") GROUP BY s."userId", churn',
+        "class_weights": f"""WITH {SPLIT}, c AS (SELECT churn, count(*) AS n FROM train GROUP BY churn),
+            t AS (SELECT sum(n) AS total, count(*) AS classes, sum(CASE WHEN churn = 0 THEN n END) AS n0,
+                         sum(CASE WHEN churn = 1 THEN n END) AS n1 FROM c)
+            SELECT churn, n, round(total / (classes * n), 6) AS weight, round(n1 / n0, 6) AS ratio_of_weights,
+                   round(n0 / n1, 6) AS balanced_ratio FROM c, t""",
+        "linear_contributions": f'WITH {CONTRIBUTIONS} SELECT "userId", feature, round(value, 6) AS value FROM contrib',
+        "shap_summary": f"WITH {CONTRIBUTIONS} SELECT feature, round(avg(abs(value)), 6) AS importance FROM contrib GROUP BY feature",
+        "user_contributions": f"""WITH {CONTRIBUTIONS} SELECT "userId", feature, round(value, 6) AS value,
+            CASE WHEN value >= 0 THEN 'up' ELSE 'down' END AS direction FROM contrib""",
+    }
+
+
+# --- evaluation --------------------------------------------------------------------------
+
+_USER_SCORES = f"""{FEATURES},
+scored AS (SELECT "userId" AS id, churn AS label,
+    round(1 / (1 + exp(-(0.03 * num_error - 0.02 * num_nextsong + 0.5 * (num_roll_advert % 3) - 0.2))), 2) AS score FROM feats)"""
+_DOCUMENT_SCORES = """scored AS (SELECT CAST(doc_id AS VARCHAR) AS id, quality AS label,
+    (doc_id * 37 % 100) / 100.0 AS score FROM labels)"""
+_CURVE = """,
+per_score AS (SELECT CAST(score AS DOUBLE) AS score, sum(label) AS pos, count(*) AS n FROM scored GROUP BY score),
+cum AS (SELECT score AS threshold, pos, n, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(n) OVER w AS DOUBLE) AS predicted,
+               CAST(sum(pos) OVER () AS DOUBLE) AS positives, CAST(sum(n) OVER () AS DOUBLE) AS total
+        FROM per_score WINDOW w AS (ORDER BY score DESC)),
+pr AS (SELECT threshold, tp / predicted AS precision, tp / positives AS recall FROM cum
+       UNION ALL SELECT NULL, 1.0, 0.0),
+roc AS (SELECT threshold, (predicted - tp) / (total - positives) AS fpr, tp / positives AS tpr FROM cum
+        UNION ALL SELECT NULL, 0.0, 0.0),
+f2 AS (SELECT *, 5 * tp / (4 * positives + predicted) AS f FROM cum),
+best AS (SELECT * FROM f2 ORDER BY f DESC, threshold LIMIT 1),
+decided AS (SELECT *, CASE WHEN CAST(score AS DOUBLE) > (SELECT threshold FROM best) THEN 1 ELSE 0 END AS prediction FROM scored),
+clip AS (SELECT label, CAST(score AS DOUBLE) AS s, least(greatest(CAST(score AS DOUBLE), pow(2.0, -52)), 1 - pow(2.0, -52)) AS p FROM scored),
+area AS (SELECT
+   (SELECT sum((recall - prev) * (precision + prev_precision) / 2) FROM (
+       SELECT recall, precision, lag(recall) OVER o AS prev, lag(precision) OVER o AS prev_precision FROM pr
+       WINDOW o AS (ORDER BY threshold DESC NULLS FIRST))) AS pr_auc,
+   (SELECT sum((fpr - prev) * (tpr + prev_tpr) / 2) FROM (
+       SELECT fpr, tpr, lag(fpr) OVER o AS prev, lag(tpr) OVER o AS prev_tpr FROM roc
+       WINDOW o AS (ORDER BY threshold DESC NULLS FIRST))) AS roc_auc),
+cells AS (SELECT CAST(count(CASE WHEN label = 1 AND prediction = 1 THEN 1 END) AS DOUBLE) AS tp,
+                 CAST(count(CASE WHEN label = 0 AND prediction = 1 THEN 1 END) AS DOUBLE) AS fp,
+                 CAST(count(CASE WHEN label = 1 AND prediction = 0 THEN 1 END) AS DOUBLE) AS fn,
+                 CAST(count(CASE WHEN label = 0 AND prediction = 0 THEN 1 END) AS DOUBLE) AS tn FROM decided),
+parts AS (SELECT *, tp + fn AS p, tn + fp AS q,
+                 coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1,
+                 coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1,
+                 coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0,
+                 coalesce(2 * tn / nullif(2 * tn + fp + fn, 0), 0) AS f0 FROM cells),
+metrics AS (SELECT (tp + tn) / (p + q) AS accuracy, (f1 * p + f0 * q) / (p + q) AS f1_weighted,
+                   (p1 * p + p0 * q) / (p + q) AS precision_weighted, (r1 * p + r0 * q) / (p + q) AS recall_weighted,
+                   f1, p1 AS precision, r1 AS recall, (SELECT threshold FROM best) AS threshold,
+                   (SELECT avg((s - label) ** 2) FROM clip) AS brier_score,
+                   (SELECT -avg(label * ln(p) + (1 - label) * ln(1 - p)) FROM clip) AS log_loss,
+                   (SELECT pr_auc FROM area) AS pr_auc, (SELECT roc_auc FROM area) AS roc_auc FROM parts)
+"""
+_METRICS = (
+    "accuracy", "f1_weighted", "precision_weighted", "recall_weighted", "f1", "precision", "recall", "threshold", "brier_score",
+)
+
+
+def _evaluation(scores: str) -> dict[str, str]:
+    source = f"WITH {scores}{_CURVE}"
+    all_metrics = [*_METRICS, "log_loss", "pr_auc", "roc_auc"]
+    return {
+        "pr_curve": f"{source} SELECT threshold, round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr",
+        "roc_curve": f"{source} SELECT threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc",
+        "auc": f"{source} SELECT round(pr_auc, 6) AS pr_auc, round(roc_auc, 6) AS roc_auc FROM area",
+        "best_threshold": f"""{source} SELECT threshold, round(f, 6) AS f_beta, round(tp / predicted, 6) AS precision,
+            round(tp / positives, 6) AS recall FROM best""",
+        "classification_metrics": f"{source} SELECT {', '.join(rounded(c) for c in _METRICS)} FROM metrics",
+        "metrics_long": f"""{source} SELECT 'rule' AS model, metric, round(value, 6) AS value FROM
+            (UNPIVOT (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in all_metrics)} FROM metrics)
+             ON {', '.join(all_metrics)} INTO NAME metric VALUE value)""",
+        "log_loss": f"{source} SELECT round(log_loss, 6) AS log_loss FROM metrics",
+        "fbeta": f"""{source}, h AS (SELECT label, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM scored)
+            SELECT round(coalesce(5 * sum(label * prediction) / nullif(4 * sum(label) + sum(prediction), 0), 0), 6) AS f_beta FROM h""",
+        "confusion_matrix": f"""{source}, g AS (SELECT CAST(a AS INTEGER) AS label, CAST(b AS INTEGER) AS prediction
+              FROM range(2) t(a), range(2) s(b)),
+            c AS (SELECT g.label, g.prediction, count(id) AS n FROM g LEFT JOIN decided d
+                  ON d.label = g.label AND d.prediction = g.prediction GROUP BY g.label, g.prediction)
+            SELECT label, prediction, n, round(coalesce(n / nullif(sum(n) OVER (PARTITION BY label), 0), 0), 6) AS share FROM c""",
+        "calibration_curve": f"""{source} SELECT CAST(len(list_filter(range(1, 10), lambda i: i * CAST(0.1 AS DOUBLE) < s)) AS INTEGER) AS bin,
+            round(avg(s), 6) AS mean_score, round(avg(label), 6) AS positive_share, count(*) AS n FROM clip GROUP BY 1""",
+        "score_histogram": f"""{source}, r AS (SELECT min(s) AS low, (max(s) - min(s)) / 20 AS width FROM clip)
+            SELECT CAST(least(coalesce(floor((s - low) / nullif(width, 0)), 0), 19) AS INTEGER) AS bin, count(*) AS n
+            FROM clip, r GROUP BY 1""",
+    }
+
+
+def oracle_sql() -> dict[str, str]:
+    documents = {f"{name}_documents": sql for name, sql in _evaluation(_DOCUMENT_SCORES).items()}
+    return {
+        **_base_queries(), **_profile_queries(), **_statistics_queries(), **_model_queries(),
+        **_evaluation(_USER_SCORES), **documents,
+    }

@@ -4,16 +4,29 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.operators import cleaning, features
+from churnspark.operators import (
+    cleaning,
+    encoding,
+    evaluation,
+    explanation,
+    features,
+    profile,
+    split,
+    statistics,
+    training,
+)
+from churnspark.plans import scoring
 from churnspark.plans.preprocess import clean_log, preprocess
 from churnspark.runtime import materialize, shared_folder
-from churnspark.schema import EVENT_LOG
+from churnspark.schema import EVENT_LOG, numeric_columns
 from churnspark.sources import events_io
 from churnspark.sources.derived_log import event_log
+from churnspark.workloads.fixtures import document_scores, user_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,5 +120,228 @@ def _base_queries() -> dict[str, Query]:
     }
 
 
+# --- exploration ------------------------------------------------------------------------
+
+
+def _placed(log: DataFrame) -> DataFrame:
+    """The cleaned log with agent text, city, state and region."""
+    with_text = log.withColumn("Agent", F.concat("platform", F.lit("/"), "browser"))
+    return cleaning.with_region(cleaning.with_location_parts(with_text))
+
+
+def _with_flag(log: DataFrame) -> DataFrame:
+    return log.withColumn("churn", cleaning.churn_event())
+
+
+def _distribution(column: str) -> Query:
+    return _on_clean(lambda log: profile.user_distribution(_placed(log), column))
+
+
+def _crosstab(column: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda log: profile.crosstab(_with_flag(_placed(log)), column)
+
+
+def _chi2(column: str) -> Query:
+    return _on_clean(
+        lambda log: statistics.chi_squared(_crosstab(column)(log), "churn", "value").select("n", "dof", "chi2")
+    )
+
+
+def _chi2_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _stored_clean(spark, sf_dir)
+    tests = [
+        statistics.chi_squared(_crosstab(c)(log), "churn", "value").select(F.lit(c).alias("attribute"), "*") for c in CROSSED
+    ]
+    return rounded(reduce(DataFrame.unionByName, tests))
+
+
+def _multi_device(log: DataFrame) -> DataFrame:
+    attributes = {"agent": ["platform", "browser"], "platform": ["platform"], "browser": ["browser"]}
+    parts = [
+        profile.multi_value_summary(log, columns).select(F.lit(name).alias("attribute"), "*")
+        for name, columns in attributes.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+CROSSED = ("gender", "level", "platform", "browser", "Region")
+DISTRIBUTED = ("gender", "level", "Agent", "platform", "browser", "State", "City", "Region")
+
+
+def _profile_queries() -> dict[str, Query]:
+    found = {
+        "missing_profile": _on_log(profile.missing_profile),
+        "null_profile": _on_clean(lambda log: profile.null_profile(log, EVENT_LOG.names)),
+        "cleaning_report": _on_log(profile.cleaning_report),
+        "user_attribute": _on_clean(lambda log: profile.user_attribute(log, "level", "last")),
+        "dist_churn": _on_clean(lambda log: profile.user_distribution(_with_flag(log), "churn", "max")),
+        "page_distribution": _on_clean(lambda log: profile.distribution(log, "page")),
+        "distinct_pages": _on_clean(profile.distinct_pages),
+        "distinct_locations": _on_clean(lambda log: profile.distinct_values(log, "location")),
+        "multi_device_summary": _on_stored(_multi_device),
+        "churn_by_hour": _on_log(profile.churn_events_by_hour),
+        "churn_by_weekday": _on_log(profile.churn_events_by_weekday),
+        "user_page_counts": _on_clean(profile.user_page_counts),
+        "page_count_stats": _on_clean(
+            lambda log: profile.describe_by(profile.user_page_counts(log), ["page", "churn"], "n")
+        ),
+        "chi2_tests": _chi2_tests,
+    }
+    found.update({f"dist_{c.lower()}": _distribution(c) for c in DISTRIBUTED})
+    found.update({f"crosstab_{c.lower()}": _on_clean(_crosstab(c)) for c in CROSSED})
+    found.update({f"chi2_{c.lower()}": _chi2(c) for c in CROSSED})
+    return found
+
+
+# --- statistics over features ----------------------------------------------------------
+
+
+def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, rounded (so that equal values tie on every engine) and stored."""
+    return materialize(rounded(features.user_features(_stored_clean(spark, sf_dir))), "features")
+
+
+def _on_features(operator: Callable[[DataFrame, list[str]], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = _stored_features(spark, sf_dir)
+        return rounded(operator(table, numeric_columns(table)))
+
+    return run
+
+
+def _statistics_queries() -> dict[str, Query]:
+    return {
+        "feature_histogram": _on_features(profile.feature_histogram),
+        "feature_boxplot": _on_features(profile.feature_boxplot),
+        "mann_whitney": _on_features(
+            lambda t, columns: statistics.mann_whitney(t, columns).select("feature", "n0", "n1", "u", "z")
+        ),
+        "mann_whitney_tests": _on_features(statistics.mann_whitney),
+        "feature_correlation": _on_features(lambda t, columns: statistics.feature_correlation(t, ["churn", *columns])),
+    }
+
+
+# --- split, encode, train, explain -----------------------------------------------------
+
+SEED = 42
+
+
+def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All users through an encoder fitted on the training users."""
+    table = _stored_features(spark, sf_dir)
+    train, _ = split.split(table, seed=SEED)
+    return encoding.encode(table, encoding.fit_encoder(train))
+
+
+def _on_encoded(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: rounded(operator(_encoded(spark, sf_dir)))
+
+
+def _sink_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _new_path(spark, "matrix")
+    events_io.write_table(encoding.model_matrix(_encoded(spark, sf_dir)), path, compression="gzip", single_file=True)
+    return rounded(events_io.read_table(spark, path))
+
+
+def _contributions(table: DataFrame, columns: list[str]) -> DataFrame:
+    weights = {c: (i * 7 % 11 - 5) / 10 for i, c in enumerate(columns)}
+    train, _ = split.split(table, seed=SEED)
+    return explanation.linear_contributions(table, weights, explanation.column_means(train, columns))
+
+
+def _dummies(encoded: DataFrame) -> DataFrame:
+    matrix = encoding.model_matrix(encoded, vector="features")
+    return matrix.select("userId", *[c for c in matrix.columns if "_vec" in c])
+
+
+def _model_queries() -> dict[str, Query]:
+    return {
+        "stratified_split": _on_features(
+            lambda t, _: split.with_split(t, seed=SEED).select("userId", "churn", "is_train")
+        ),
+        "stratified_split_exact": _on_features(
+            lambda t, _: split.with_split(t, seed=SEED, exact=True).select("userId", "churn", "is_train")
+        ),
+        "string_index": _on_encoded(
+            lambda e: e.select("userId", "gender_index", "level_index", "platform_index", "browser_index")
+        ),
+        "one_hot": _on_encoded(_dummies),
+        "scaled_features": _on_encoded(lambda e: encoding.long_matrix(encoding.model_matrix(e))),
+        "model_matrix": _on_encoded(encoding.model_matrix),
+        "sink_parquet_gzip": _sink_gzip,
+        "class_weights": _on_features(lambda t, _: split.class_weights(split.split(t, seed=SEED)[0])),
+        "linear_contributions": _on_features(_contributions),
+        "shap_summary": _on_features(lambda t, columns: explanation.importance(_contributions(t, columns))),
+        "user_contributions": _on_features(
+            lambda t, columns: explanation.signed_contributions(_contributions(t, columns))
+        ),
+        "sampled_shapley": _sampled_shapley,
+        "score_users": _score_users,
+    }
+
+
+def _fitted(spark: SparkSession, sf_dir: str, kind: str):
+    """(features, encoder, encoded training rows, model of one kind) for the scoring queries."""
+    table = _stored_features(spark, sf_dir)
+    train, _ = split.split(table, seed=SEED)
+    fitted = encoding.fit_encoder(train, handle_invalid="keep")
+    encoded = materialize(training.weighted_rows(encoding.encode(train, fitted)), "train")
+    return table, fitted, encoded, training.train_classifier(encoded, training.classifiers(SEED)[kind])
+
+
+def _sampled_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, fitted, train, model = _fitted(spark, sf_dir, "decision_tree")
+    encoded = encoding.encode(table, fitted)
+    background = explanation.background_sample(train, training.VECTOR, SEED)
+    return rounded(scoring.contributions_of(encoded, model, background, permutations=5, seed=SEED))
+
+
+def _score_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fitted, _, model = _fitted(spark, sf_dir, "logistic_regression")
+    return scoring.score_users(event_log(spark, sf_dir), fitted, model)
+
+
+# --- evaluation ---------------------------------------------------------------------------
+
+
+def _at_best(scored: DataFrame) -> DataFrame:
+    threshold = evaluation.best_threshold(scored).select("threshold").scalar()
+    return evaluation.confusion_matrix(evaluation.decide(scored, threshold))
+
+
+EVALUATIONS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "pr_curve": evaluation.pr_curve,
+    "roc_curve": evaluation.roc_curve,
+    "auc": evaluation.areas,
+    "best_threshold": evaluation.best_threshold,
+    "classification_metrics": evaluation.classification_metrics,
+    "metrics_long": lambda scored: evaluation.metrics_long(evaluation.evaluation_summary(scored), "rule"),
+    "log_loss": evaluation.log_loss,
+    "fbeta": lambda scored: evaluation.f_beta(evaluation.decide(scored, 0.5)),
+    "confusion_matrix": _at_best,
+    "calibration_curve": evaluation.calibration_curve,
+    "score_histogram": evaluation.score_histogram,
+}
+
+
+def _evaluation_queries() -> dict[str, Query]:
+    def on_users(operator: Callable[[DataFrame], DataFrame]) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            table = features.user_features(_stored_clean(spark, sf_dir))
+            return rounded(operator(materialize(user_scores(table), "scored")))
+
+        return run
+
+    def on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
+        return lambda spark, sf_dir: rounded(operator(document_scores(spark, sf_dir)))
+
+    return {
+        **{name: on_users(operator) for name, operator in EVALUATIONS.items()},
+        **{f"{name}_documents": on_documents(operator) for name, operator in EVALUATIONS.items()},
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_base_queries()}
+    return {
+        **_base_queries(), **_profile_queries(), **_statistics_queries(), **_model_queries(), **_evaluation_queries(),
+    }
