@@ -7,42 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Ordered rules, first match wins (name, pattern on the agent string).
+# Ordered rules, first match wins (name, any of these parts of the agent string).
 PLATFORM_RULES = (
-    ("iOS", "iPhone|iPad|iPod"),
-    ("Android", "Android"),
-    ("Windows", "Windows"),
-    ("Mac OS", "Macintosh|Mac OS"),
-    ("Linux", "Linux"),
+    ("iOS", ("iPhone", "iPad", "iPod")),
+    ("Android", ("Android",)),
+    ("Windows", ("Windows",)),
+    ("Mac OS", ("Macintosh", "Mac OS")),
+    ("Linux", ("Linux",)),
 )
 BROWSER_RULES = (
-    ("Microsoft Edge", "Edge/|Edg/"),
-    ("Opera", "Opera|OPR/"),
-    ("Chrome", "Chrome/|CriOS/"),
-    ("Firefox", "Firefox/|FxiOS/"),
-    ("Microsoft Internet Explorer", "MSIE|Trident/"),
-    ("Safari", "Safari/"),
+    ("Microsoft Edge", ("Edge/", "Edg/")),
+    ("Opera", ("Opera", "OPR/")),
+    ("Chrome", ("Chrome/", "CriOS/")),
+    ("Firefox", ("Firefox/", "FxiOS/")),
+    ("Microsoft Internet Explorer", ("MSIE", "Trident/")),
+    ("Safari", ("Safari/",)),
 )
+Rules = Sequence[tuple[str, Sequence[str]]]
 
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 
-def first_match(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    """Name of the first rule whose pattern occurs in ``text``; null when none does."""
-    return F.coalesce(*[F.when(text.rlike(pattern), F.lit(name)) for name, pattern in rules])
+def first_match(text: Column, rules: Rules) -> Column:
+    """Name of the first rule with a part that occurs in ``text``; null when none does.
 
-
-def agent_parts(
-    agent: Column,
-    platforms: Sequence[tuple[str, str]] = PLATFORM_RULES,
-    browsers: Sequence[tuple[str, str]] = BROWSER_RULES,
-) -> Column:
-    """``struct<platform, browser>``; both are null unless both are recognised."""
-    platform, browser = first_match(agent, platforms), first_match(agent, browsers)
-    known = platform.isNotNull() & browser.isNotNull()
-    return F.struct(
-        F.when(known, platform).alias("platform"), F.when(known, browser).alias("browser")
-    )
+    Substring tests instead of patterns: several times faster on long agent strings.
+    """
+    return F.coalesce(*[F.when(any_of([text.contains(p) for p in parts]), F.lit(name)) for name, parts in rules])
 
 
 def city(location: Column) -> Column:

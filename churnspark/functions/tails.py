@@ -7,12 +7,17 @@ Pandas UDFs on results that are already aggregated to one row per test.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+# Workers get these small functions by value and need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from churnspark.functions.columns import (
     BROWSER_RULES,
     PLATFORM_RULES,
+    Rules,
     any_of,
     city,
     first_match,
@@ -17,6 +18,7 @@ from churnspark.functions.columns import (
     state,
 )
 from churnspark.functions.regions import region_table
+from churnspark.runtime import materialize
 from churnspark.schema import CHURN_PAGES, REQUIRED_USER_COLUMNS
 
 
@@ -57,14 +59,15 @@ def with_churn_label(log: DataFrame, pages: Sequence[str] = CHURN_PAGES) -> Data
     """Every event gets 1 if its user has any churn event, else 0.
 
     A window over all events of a user would gather a hot user in one task. The
-    churned users are aggregated first (one row each, pre-combined in the scan) and
-    joined back: Spark broadcasts them when their measured size allows and otherwise
-    splits oversized partitions of the log side at run time.
+    churned users are stored first (one row each, combined in the scan), so Spark
+    joins them back on a known size: below its threshold they are broadcast and the
+    log is not shuffled, above it the log is, with oversized partitions split.
     """
-    churned = (
+    churned = materialize(
         log.where(F.col("page").isin(list(pages)))
         .select(F.col("userId").alias("churned_user"))
-        .distinct()
+        .distinct(),
+        "churned",
     )
     return (
         log.join(churned, F.col("userId").eqNullSafe(F.col("churned_user")), "left_outer")
@@ -74,12 +77,10 @@ def with_churn_label(log: DataFrame, pages: Sequence[str] = CHURN_PAGES) -> Data
 
 
 def with_agent(
-    log: DataFrame,
-    platforms: Sequence[tuple[str, str]] = PLATFORM_RULES,
-    browsers: Sequence[tuple[str, str]] = BROWSER_RULES,
+    log: DataFrame, platforms: Rules = PLATFORM_RULES, browsers: Rules = BROWSER_RULES
 ) -> DataFrame:
     """Add ``platform`` and ``browser``; both null unless both are recognised."""
-    # Two steps, so that each pattern runs once per row.
+    # Two steps, so that each rule runs once per row.
     found = log.withColumns(
         {
             "found_platform": first_match(F.col("userAgent"), platforms),

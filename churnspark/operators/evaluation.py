@@ -55,6 +55,13 @@ def _recall(tp: Column) -> Column:
     return _safe(tp, F.col("positives"), 1.0)
 
 
+def _extra_point(scored: DataFrame, empty: str, **values: float) -> DataFrame:
+    """A curve point that belongs to no score: ``empty`` is null."""
+    return scored.sparkSession.range(1).select(
+        F.lit(None).cast("double").alias(empty), *[F.lit(v).alias(k) for k, v in values.items()]
+    )
+
+
 def pr_curve(scored: DataFrame) -> DataFrame:
     """Precision and recall per threshold, plus the end point (precision 1, recall 0)."""
     points = score_counts(scored).select(
@@ -62,8 +69,7 @@ def pr_curve(scored: DataFrame) -> DataFrame:
         _precision(F.col("tp"), F.col("predicted")).alias("precision"),
         _recall(F.col("tp")).alias("recall"),
     )
-    end = scored.sparkSession.createDataFrame([(None, 1.0, 0.0)], points.schema)
-    return points.union(end)
+    return points.unionByName(_extra_point(scored, "threshold", precision=1.0, recall=0.0))
 
 
 def roc_curve(scored: DataFrame) -> DataFrame:
@@ -74,8 +80,7 @@ def roc_curve(scored: DataFrame) -> DataFrame:
         F.try_divide(F.col("predicted") - F.col("tp"), negatives).alias("fpr"),
         F.try_divide(F.col("tp"), F.col("positives")).alias("tpr"),
     )
-    start = scored.sparkSession.createDataFrame([(None, 0.0, 0.0)], points.schema)
-    return points.union(start)
+    return points.unionByName(_extra_point(scored, "threshold", fpr=0.0, tpr=0.0))
 
 
 def _pr_strip() -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Mapping, Sequence
 
@@ -62,16 +63,9 @@ def sampled_shapley(
     for i in range(permutations):
         position = list(range(n))
         generator.shuffle(position)
-        draws.append((position, [float(v) for v in background[i % len(background)]]))
-    draw_table = F.array(
-        *[
-            F.struct(
-                F.array(*[F.lit(p) for p in position]).alias("position"),
-                F.array(*[F.lit(v) for v in values]).alias("base"),
-            )
-            for position, values in draws
-        ]
-    )
+        draws.append({"position": position, "base": [float(v) for v in background[i % len(background)]]})
+    # A constant in the plan: (features x permutations) numbers.
+    draw_table = F.from_json(F.lit(json.dumps(draws)), "array<struct<position: array<int>, base: array<double>>>")
     steps = (
         rows.select(id_column, vector_to_array(vector).alias("x"))
         .withColumn("draw", F.explode(draw_table))

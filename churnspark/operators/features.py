@@ -25,6 +25,10 @@ from churnspark.schema import CHURN_PAGES, COUNTED_PAGES, LABEL_COLUMN, page_col
 SONG_PAGE = "NextSong"
 MS_PER_HOUR = 3_600_000
 MS_PER_DAY = 86_400_000
+INPUT_COLUMNS = (
+    "userId", "sessionId", "ts", "itemInSession", "page", "artist", "length",
+    "gender", "level", "platform", "browser", "registration",
+)
 PROPORTIONS = {
     "prop_thumbs_up": "num_thumbs_up",
     "prop_add_to_playlist": "num_add_to_playlist",
@@ -46,19 +50,28 @@ def _sample_stddev(n: Column, total: Column, total_of_squares: Column) -> Column
     return F.when(n > 1, F.sqrt(spread.cast("double") / (n.cast("double") * (n - 1))))
 
 
-def attribute_by_time(log: DataFrame, columns: Sequence[str], pick: str = "first", key: str = "userId") -> DataFrame:
+def feature_inputs(log: DataFrame) -> DataFrame:
+    """The columns of a cleaned log that features need: what to store between jobs."""
+    return log.select(*INPUT_COLUMNS, *[c for c in (LABEL_COLUMN,) if c in log.columns])
+
+
+def attribute_by_time(
+    log: DataFrame, columns: Sequence[str], pick: str = "first", key: str = "userId", highest: Sequence[str] = ()
+) -> DataFrame:
     """The columns of a user's first or last event (by ``ts``, then ``itemInSession``).
 
     Events are grouped by the values themselves, so that the buffers hold one number
-    (an order key) and a hot user shrinks to a few rows before any shuffle.
+    (an order key) and a hot user shrinks to a few rows before any shuffle. The maxima
+    of the ``highest`` columns come along in the same pass.
     """
-    best, event_best = {"first": (F.min, F.min), "last": (F.max, F.max)}[pick]
+    best = {"first": F.min, "last": F.max}[pick]
     order = F.col("ts").cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)") + F.coalesce(
         "itemInSession", F.lit(0)
     ).cast("decimal(18,0)")
-    by_value = log.groupBy(key, *columns).agg(event_best(order.cast("decimal(38,0)")).alias("seen"))
-    chosen = by_value.groupBy(key).agg(best(F.struct("seen", *columns)).alias("at"))
-    return chosen.select(key, *[F.col(f"at.{c}").alias(c) for c in columns])
+    maxima = [F.max(c).alias(c) for c in highest]
+    by_value = log.groupBy(key, *columns).agg(best(order.cast("decimal(38,0)")).alias("seen"), *maxima)
+    chosen = by_value.groupBy(key).agg(best(F.struct("seen", *columns)).alias("at"), *maxima)
+    return chosen.select(key, *[F.col(f"at.{c}").alias(c) for c in columns], *highest)
 
 
 def session_table(log: DataFrame) -> DataFrame:

@@ -70,7 +70,8 @@ def user_attribute(log: DataFrame, column: str, func: str, key: str = "userId")
 
 def distribution(rows: DataFrame, column: str) -> DataFrame:
     """Count and percent (one decimal) per value, most frequent first."""
-    counted = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    # Stored, because the total is a second look at the counts.
+    counted = materialize(rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")), "counts")
     total = counted.agg(F.sum("n").alias("total")).scalar()
     percent = F.round(F.col("n") * 100 / total, 1).alias("percent")
     return counted.select("value", "n", percent).orderBy(F.desc("n"), "value")
@@ -104,13 +105,14 @@ def multi_value_summary(log: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def crosstab(log: DataFrame, column: str, label: str = "churn", label_func: str = "max") -> DataFrame:
-    """Users by label and last value of an attribute (long form).
-
-    Both come from one pass: events are grouped by user, value and label first.
-    """
-    last = attribute_by_time(log, [column], pick="last")
-    labels = user_attribute(log, label, label_func)
-    return last.join(labels, "userId").groupBy(label, F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    """Users by label (their highest, or last) and last value of an attribute, long form."""
+    if label_func == "max":
+        users = attribute_by_time(log, [column], pick="last", highest=[label])
+    elif label_func == "last":
+        users = attribute_by_time(log, [label, column], pick="last")
+    else:
+        raise ValueError(f"label_func must be max or last, not {label_func}")
+    return users.groupBy(label, F.col(column).alias("value")).agg(F.count("*").alias("n"))
 
 
 def churn_events_by_hour(log: DataFrame, pages: Sequence[str] = CHURN_PAGES) -> DataFrame:
@@ -129,7 +131,10 @@ def churn_events_by_weekday(log: DataFrame, pages: Sequence[str] = CHURN_PAGES)
         .groupBy(utc_weekday(F.col("ts")).alias("weekday"))
         .agg(F.count("*").alias("n"))
     )
-    days = log.sparkSession.createDataFrame(list(enumerate(WEEKDAYS, 1)), "position int, weekday string")
+    days = log.sparkSession.range(7).select(
+        (F.col("id") + 1).cast("int").alias("position"),
+        F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), (F.col("id") + 1).cast("int")).alias("weekday"),
+    )
     return days.join(counted, "weekday", "left_outer").fillna(0, ["n"]).select("position", "weekday", "n").orderBy("position")
 
 

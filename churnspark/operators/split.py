@@ -81,16 +81,20 @@ def class_weights(rows: DataFrame, label: str = LABEL_COLUMN) -> DataFrame:
     balances the positive class.
     """
     counted = rows.groupBy(label).agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n")).scalar()
-    classes = counted.agg(F.count("*")).scalar()
-    n0 = counted.agg(F.sum(F.when(F.col(label) == 0, F.col("n")))).scalar()
-    n1 = counted.agg(F.sum(F.when(F.col(label) == 1, F.col("n")))).scalar()
-    return counted.select(
+    whole = counted.agg(
+        F.struct(
+            F.sum("n").alias("total"),
+            F.count("*").alias("classes"),
+            F.sum(F.when(F.col(label) == 0, F.col("n"))).alias("n0"),
+            F.sum(F.when(F.col(label) == 1, F.col("n"))).alias("n1"),
+        ).alias("whole")
+    ).scalar()
+    return counted.withColumn("whole", whole).select(
         label,
         "n",
-        (total / (classes * F.col("n"))).alias("weight"),
-        F.try_divide(n1, n0).alias("ratio_of_weights"),
-        F.try_divide(n0, n1).alias("balanced_ratio"),
+        (F.col("whole.total") / (F.col("whole.classes") * F.col("n"))).alias("weight"),
+        F.try_divide("whole.n1", "whole.n0").alias("ratio_of_weights"),
+        F.try_divide("whole.n0", "whole.n1").alias("balanced_ratio"),
     )
 
 

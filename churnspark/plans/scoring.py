@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 
 from churnspark.operators.encoding import encode, model_matrix, vector_names
 from churnspark.operators.explanation import contribution_map, linear_contributions, sampled_shapley
-from churnspark.operators.features import user_features
 from churnspark.operators.training import VECTOR, AveragedModel, with_probability
-from churnspark.plans.preprocess import clean_log
-from churnspark.runtime import materialize
+from churnspark.plans.feature_table import feature_table
 
 
 def contributions_of(
@@ -44,7 +42,7 @@ def score_users(
     seed: int = 42,
 ) -> DataFrame:
     """``(userId, churn_probability, contributions)`` for every user of a raw log."""
-    features = materialize(user_features(materialize(clean_log(log), "clean-log")), "features")
+    features = feature_table(log)
     encoded = encode(features, fitted_encoder)
     scores = with_probability(model, encoded, "churn_probability").select("userId", "churn_probability")
     explained = contribution_map(contributions_of(encoded, model, background, permutations, seed))

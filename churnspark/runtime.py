@@ -46,6 +46,9 @@ def shared_folder(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_MATERIALIZED: list[str] = []
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -56,4 +59,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _MATERIALIZED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the tables this process has materialized; returns how many there were.
+
+    Call it once the results that read them are written.
+    """
+    jvm = spark.sparkContext._jvm
+    dropped = 0
+    while _MATERIALIZED:
+        path = jvm.org.apache.hadoop.fs.Path(_MATERIALIZED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        dropped += 1
+    return dropped

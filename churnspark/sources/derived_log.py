@@ -21,6 +21,7 @@ REGISTRATION_START_MS = 1_701_388_800_000  # 2023-12-01 00:00 UTC
 DAY_MS = 86_400_000
 # Upper bounds (exclusive) of ``k`` per page; the last page of a kind takes the rest.
 PURCHASE_PAGES = ((60, "NextSong"), (75, "Submit Upgrade"), (85, "Upgrade"), (95, "Downgrade"), (None, "Submit Downgrade"))
+SONG_PAGES = ((None, "NextSong"),)
 ERROR_PAGES = ((3, "Cancellation Confirmation"), (None, "Error"))
 CLICK_PAGES = (
     (25, "Thumbs Up"), (35, "Thumbs Down"), (60, "Add to Playlist"), (70, "Add Friend"),
@@ -28,11 +29,23 @@ CLICK_PAGES = (
 )
 
 
-def _page_by_k(bounds: tuple) -> Column:
-    expr = F.lit(bounds[-1][1])
-    for upper, page in reversed(bounds[:-1]):
-        expr = F.when(F.col("k") < upper, F.lit(page)).otherwise(expr)
-    return expr
+def _page_list(bounds: tuple, song_page: str) -> Column:
+    """Constant array with the page of every ``k`` from 0 to 99."""
+    pages, lower = [], 0
+    for upper, page in bounds:
+        upper = 100 if upper is None else upper
+        pages += [song_page if page == "NextSong" else page] * (upper - lower)
+        lower = upper
+    return F.split(F.lit("|".join(pages)), r"\|")
+
+
+def _page(song_page: str) -> Column:
+    return (
+        F.when(F.col("event_type") == "purchase", _page_list(PURCHASE_PAGES, song_page))
+        .when(F.col("event_type") == "error", _page_list(ERROR_PAGES, song_page))
+        .when(F.col("event_type") == "click", _page_list(CLICK_PAGES, song_page))
+        .otherwise(_page_list(SONG_PAGES, song_page))
+    )
 
 
 def _pick(values: tuple[str, ...], key: Column) -> Column:
@@ -47,7 +60,7 @@ def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         "value",
-        F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
         us.alias("us"),
     )
 
@@ -73,7 +86,8 @@ def _with_sessions(events: DataFrame) -> DataFrame:
         "user_id", "hour", "sessionId", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("items_before")
     )
     in_hour = Window.partitionBy("user_id", "hour").orderBy("us", "event_id")
-    return events.join(hours, ["user_id", "hour"]).withColumn(
+    # An outer join on the unique keys of ``hours``: Catalyst drops it where no session is asked for.
+    return events.join(hours, ["user_id", "hour"], "left_outer").withColumn(
         "itemInSession", (F.col("items_before") + F.row_number().over(in_hour)).cast("long")
     )
 
@@ -84,16 +98,8 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("user_id"), "c_name"
     )
     uid, event_id, k = F.col("user_id"), F.col("event_id"), F.col("k")
-    song_page = F.when(uid % 13 == 0, F.lit("Home")).otherwise(F.lit("NextSong"))
-    mapped = (
-        F.when(F.col("event_type") == "purchase", _page_by_k(PURCHASE_PAGES))
-        .when(F.col("event_type") == "error", _page_by_k(ERROR_PAGES))
-        .when(F.col("event_type") == "click", _page_by_k(CLICK_PAGES))
-        .otherwise(F.lit("NextSong"))
-    )
-    events = _with_sessions(_raw_events(spark, sf_dir)).withColumn(
-        "page", F.when(mapped == "NextSong", song_page).otherwise(mapped)
-    )
+    pages = F.when(uid % 13 == 0, _page("Home")).otherwise(_page("NextSong"))
+    events = _with_sessions(_raw_events(spark, sf_dir)).withColumn("page", F.element_at(pages, k + 1))
     song = F.col("page") == "NextSong"
     known = event_id % 50 != 0
     return events.join(customers, "user_id", "left").select(

@@ -43,8 +43,8 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned log, written once for jobs that scan it several times."""
-    return materialize(_clean(spark, sf_dir), "clean-log")
+    """The feature columns of the cleaned log, written once for jobs that scan it several times."""
+    return materialize(features.feature_inputs(_clean(spark, sf_dir)), "clean-log")
 
 
 def _on_log(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -148,7 +148,7 @@ def _chi2(column: str) -> Query:
 
 
 def _chi2_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _stored_clean(spark, sf_dir)
+    log = materialize(_clean(spark, sf_dir), "clean-log")
     tests = [
         statistics.chi_squared(_crosstab(c)(log), "churn", "value").select(F.lit(c).alias("attribute"), "*") for c in CROSSED
     ]
