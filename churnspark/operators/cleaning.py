@@ -66,13 +66,14 @@ def with_churn_label(log: DataFrame, pages: Sequence[str] = CHURN_PAGES) -> Data
     churned = materialize(
         log.where(F.col("page").isin(list(pages)))
         .select(F.col("userId").alias("churned_user"))
-        .distinct(),
+        .distinct()
+        .withColumn("user_churned", F.lit(1)),
         "churned",
     )
     return (
         log.join(churned, F.col("userId").eqNullSafe(F.col("churned_user")), "left_outer")
-        .withColumn("churn", F.when(F.col("page").isin(list(pages)) | F.col("churned_user").isNotNull(), 1).otherwise(0))
-        .drop("churned_user")
+        .withColumn("churn", F.coalesce("user_churned", F.lit(0)))
+        .drop("churned_user", "user_churned")
     )
 
 

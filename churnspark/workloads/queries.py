@@ -123,10 +123,13 @@ def _base_queries() -> dict[str, Query]:
 # --- exploration ------------------------------------------------------------------------
 
 
-def _placed(log: DataFrame) -> DataFrame:
-    """The cleaned log with agent text, city, state and region."""
-    with_text = log.withColumn("Agent", F.concat("platform", F.lit("/"), "browser"))
-    return cleaning.with_region(cleaning.with_location_parts(with_text))
+def _placed(log: DataFrame, column: str) -> DataFrame:
+    """The cleaned log with agent text, city, state or region, whichever is asked for."""
+    if column == "Agent":
+        return log.withColumn("Agent", F.concat("platform", F.lit("/"), "browser"))
+    if column in ("City", "State"):
+        return cleaning.with_location_parts(log)
+    return cleaning.with_region(cleaning.with_location_parts(log)) if column == "Region" else log
 
 
 def _with_flag(log: DataFrame) -> DataFrame:
@@ -134,11 +137,11 @@ def _with_flag(log: DataFrame) -> DataFrame:
 
 
 def _distribution(column: str) -> Query:
-    return _on_clean(lambda log: profile.user_distribution(_placed(log), column))
+    return _on_clean(lambda log: profile.user_distribution(_placed(log, column), column))
 
 
 def _crosstab(column: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda log: profile.crosstab(_with_flag(_placed(log)), column)
+    return lambda log: profile.crosstab(_with_flag(_placed(log, column)), column)
 
 
 def _chi2(column: str) -> Query:
