@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.operators.split import fold_number, with_class_weight
-from churnspark.schema import LABEL_COLUMN
+from churnspark.schema import ID_COLUMN, LABEL_COLUMN
 
 VECTOR = "scaled_features"
 WEIGHT = "weight"
@@ -142,32 +143,47 @@ def _positive(suffix: str, source: str = "probability") -> VectorSlicer:
     return VectorSlicer(inputCol=f"{source}_{suffix}", outputCol=f"positive_{suffix}", indices=[1])
 
 
-def train_stacking(
-    train: DataFrame,
-    bases: Mapping[str, Estimator],
-    seed: int = 42,
-    folds: int = 5,
-    drawn: Mapping[str, float | int] | None = None,
-) -> PipelineModel:
-    """Logistic regression over out-of-fold probabilities of the base classifiers.
+def _stack_assembler(bases: Mapping[str, Estimator]) -> VectorAssembler:
+    return VectorAssembler(inputCols=[f"positive_{n}" for n in bases], outputCol="stacked")
+
+
+def meta_learner() -> LogisticRegression:
+    return LogisticRegression(featuresCol="stacked", labelCol=LABEL_COLUMN, maxIter=5000)
+
+
+def out_of_fold(
+    train: DataFrame, bases: Mapping[str, Estimator], seed: int = 42, folds: int = 5, id_column: str = ID_COLUMN
+) -> DataFrame:
+    """Probabilities of every training row by base models that did not see it.
 
     Within a fold the base models run one after another over the same rows, so nothing
-    is joined. The result is a plain ``PipelineModel`` over the refitted base models.
+    is joined. Returns (id, label, stacked).
     """
     marked = train.withColumn("fold", fold_number(folds, seed))
-    assemble = VectorAssembler(inputCols=[f"positive_{n}" for n in bases], outputCol="stacked")
-    held_out = None
+    assemble = _stack_assembler(bases)
+    parts = []
     for fold in range(folds):
         rows = marked.where(F.col("fold") == fold)
         for name, base in bases.items():
             model = _renamed(base, name).fit(marked.where(F.col("fold") != fold))
             rows = _positive(name).transform(model.transform(rows))
-        rows = assemble.transform(rows).select("stacked", LABEL_COLUMN)
-        held_out = rows if held_out is None else held_out.unionByName(rows)
-    meta = LogisticRegression(featuresCol="stacked", labelCol=LABEL_COLUMN, maxIter=5000)
-    fitted = train_classifier(held_out, meta, drawn)
+        parts.append(assemble.transform(rows).select(id_column, LABEL_COLUMN, "stacked"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def train_stacking(
+    train: DataFrame,
+    bases: Mapping[str, Estimator],
+    held_out: DataFrame,
+    drawn: Mapping[str, float | int] | None = None,
+) -> PipelineModel:
+    """Logistic regression over ``out_of_fold`` probabilities, with refitted base models.
+
+    The result is a plain ``PipelineModel``: base models, assembler, meta-learner.
+    """
+    fitted = train_classifier(held_out, meta_learner(), drawn)
     stages = [s for n, b in bases.items() for s in (_renamed(b, n).fit(train), _positive(n))]
-    return PipelineModel(stages=[*stages, assemble, fitted])
+    return PipelineModel(stages=[*stages, _stack_assembler(bases), fitted])
 
 
 class AveragedModel:

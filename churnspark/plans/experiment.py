@@ -13,6 +13,8 @@ from churnspark.operators.evaluation import evaluation_summary, metrics_long, pr
 from churnspark.operators.training import (
     SEARCH_SPACES,
     classifiers,
+    meta_learner,
+    out_of_fold,
     random_search,
     scored_table,
     train_calibrated,
@@ -73,7 +75,11 @@ def run_experiment(
         result.parameters[name] = drawn
         keep(name, train_classifier(train, estimator, drawn))
     if stacking:
-        keep("stacking", train_stacking(train, estimators, seed))
+        # The meta-learner is searched on the probabilities it is trained on.
+        held_out = materialize(out_of_fold(train, estimators, seed), "out-of-fold")
+        drawn, _ = random_search(held_out, meta_learner(), spaces["stacking"], trials, seed)
+        result.parameters["stacking"] = drawn
+        keep("stacking", train_stacking(train, estimators, held_out, drawn))
     if calibrate:
         for name, estimator in estimators.items():
             keep(f"calibrated_{name}", train_calibrated(train, estimator, result.parameters[name], seed))
