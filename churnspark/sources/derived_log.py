@@ -68,27 +68,42 @@ def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _with_sessions(events: DataFrame) -> DataFrame:
     """Number sessions (gaps over 24 h) and items without a per-user event window.
 
-    Two events of the same clock hour can never be 24 h apart, so session borders
-    fall between hours only: a pre-aggregated (user, hour) table carries the borders
-    and offsets, and the only window over events is one user's single hour.
+    Two events of the same clock hour can never be 24 h apart, so session borders fall
+    between hours only. Events are counted per (user, second), seconds are numbered
+    within their hour (at most 3600 rows) and hours within their user (the hours of the
+    log); the only window over events is one user's single second.
     """
-    events = events.withColumn("hour", F.expr(f"us div {HOUR_US}"))
-    hours = events.groupBy("user_id", "hour").agg(
+    clock = {"hour": F.expr(f"us div {HOUR_US}"), "second": F.expr("us div 1000000")}
+    events = events.withColumns(clock)
+    seconds = events.groupBy("user_id", "hour", "second").agg(
         F.min("us").alias("first_us"), F.max("us").alias("last_us"), F.count("*").alias("n")
     )
+    hours = seconds.groupBy("user_id", "hour").agg(
+        F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"), F.sum("n").alias("n")
+    )
     by_user = Window.partitionBy("user_id").orderBy("hour")
     gap = F.col("first_us") - F.lag("last_us").over(by_user)
     hours = hours.withColumn("starts", F.when(gap <= SESSION_GAP_US, 0).otherwise(1)).withColumn(
         "sessionId", F.sum("starts").over(by_user)
     )
-    earlier = Window.partitionBy("user_id", "sessionId").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    hours = hours.select(
-        "user_id", "hour", "sessionId", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("items_before")
-    )
-    in_hour = Window.partitionBy("user_id", "hour").orderBy("us", "event_id")
-    # An outer join on the unique keys of ``hours``: Catalyst drops it where no session is asked for.
-    return events.join(hours, ["user_id", "hour"], "left_outer").withColumn(
-        "itemInSession", (F.col("items_before") + F.row_number().over(in_hour)).cast("long")
+    before = (Window.unboundedPreceding, -1)
+    in_session = Window.partitionBy("user_id", "sessionId").orderBy("hour").rowsBetween(*before)
+    in_hour = Window.partitionBy("user_id", "hour").orderBy("second").rowsBetween(*before)
+    in_second = Window.partitionBy("user_id", "hour", "second").orderBy("us", "event_id")
+
+    def count_over(window) -> Column:
+        return F.coalesce(F.sum("n").over(window), F.lit(0))
+
+    hours = hours.select("user_id", "hour", "sessionId", count_over(in_session).alias("before_hour"))
+    seconds = seconds.select("user_id", "hour", "second", count_over(in_hour).alias("before_second"))
+    # Outer joins on unique keys: Catalyst drops them where no session or item is asked for.
+    return (
+        events.join(hours, ["user_id", "hour"], "left_outer")
+        .join(seconds, ["user_id", "hour", "second"], "left_outer")
+        .withColumn(
+            "itemInSession",
+            (F.col("before_hour") + F.col("before_second") + F.row_number().over(in_second)).cast("long"),
+        )
     )
 
 

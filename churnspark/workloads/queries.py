@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.operators import (
@@ -31,10 +31,20 @@ from churnspark.workloads.fixtures import document_scores, user_scores
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _round_scaled(value: Column, digits: int) -> Column:
+    """Scale, round half away from zero, scale back: binary rounding as most SQL engines do it.
+
+    Spark's ``round`` works on the shortest decimal text of a double and so differs where
+    that text ends in a 5.
+    """
+    scale = float(10**digits)
+    return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles for comparison: sums differ in their last bits between plans."""
     return df.select(
-        *[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+        *[_round_scaled(F.col(c), digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
     )
 
 
