@@ -96,14 +96,11 @@ def _with_sessions(events: DataFrame) -> DataFrame:
 
     hours = hours.select("user_id", "hour", "sessionId", count_over(in_session).alias("before_hour"))
     seconds = seconds.select("user_id", "hour", "second", count_over(in_hour).alias("before_second"))
-    # Outer joins on unique keys: Catalyst drops them where no session or item is asked for.
-    return (
-        events.join(hours, ["user_id", "hour"], "left_outer")
-        .join(seconds, ["user_id", "hour", "second"], "left_outer")
-        .withColumn(
-            "itemInSession",
-            (F.col("before_hour") + F.col("before_second") + F.row_number().over(in_second)).cast("long"),
-        )
+    offsets = seconds.join(hours, ["user_id", "hour"])
+    # An outer join on unique keys: Catalyst drops it where no session or item is asked for.
+    return events.join(offsets, ["user_id", "hour", "second"], "left_outer").withColumn(
+        "itemInSession",
+        (F.col("before_hour") + F.col("before_second") + F.row_number().over(in_second)).cast("long"),
     )
 
 

@@ -21,6 +21,7 @@ from churnspark.operators import (
     training,
 )
 from churnspark.plans import scoring
+from churnspark.plans.experiment import run_experiment
 from churnspark.plans.preprocess import clean_log, preprocess
 from churnspark.runtime import materialize, shared_folder
 from churnspark.schema import EVENT_LOG, numeric_columns
@@ -290,6 +291,10 @@ def _model_queries() -> dict[str, Query]:
         ),
         "sampled_shapley": _sampled_shapley,
         "score_users": _score_users,
+        "classifier_scores": _classifier_scores,
+        "stacked_scores": _stacked_scores,
+        "calibrated_scores": _calibrated_scores,
+        "experiment_metrics": _experiment_metrics,
     }
 
 
@@ -314,6 +319,61 @@ def _score_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_users(event_log(spark, sf_dir), fitted, model)
 
 
+# Small models: the queries show the jobs, not the best hyper-parameters.
+SMALL_MODELS = {
+    "logistic_regression": {"C": 1.0},
+    "random_forest": {"numTrees": 10, "maxDepth": 3},
+    "decision_tree": {"maxDepth": 3},
+    "gradient_boosting": {"maxIter": 5, "maxDepth": 2},
+}
+
+
+def _train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Encoded, weighted training rows and encoded test rows."""
+    train, test = split.split(_stored_features(spark, sf_dir), seed=SEED)
+    fitted = encoding.fit_encoder(train, handle_invalid="keep")
+    weighted = training.weighted_rows(encoding.encode(train, fitted))
+    return materialize(weighted, "train"), materialize(encoding.encode(test, fitted), "test")
+
+
+def _named(name: str, scored: DataFrame) -> DataFrame:
+    return scored.select(F.lit(name).alias("model"), "*")
+
+
+def _classifier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _train_and_test(spark, sf_dir)
+    parts = [
+        _named(name, training.scored_table(training.train_classifier(train, estimator, SMALL_MODELS[name]), test))
+        for name, estimator in training.classifiers(SEED).items()
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts))
+
+
+def _stacked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _train_and_test(spark, sf_dir)
+    known = training.classifiers(SEED)
+    bases = {
+        name: known[name].copy(training.spark_parameters(known[name], SMALL_MODELS[name], 1))
+        for name in ("logistic_regression", "decision_tree")
+    }
+    held_out = materialize(training.out_of_fold(train, bases, SEED, folds=3), "out-of-fold")
+    return rounded(training.scored_table(training.train_stacking(train, bases, held_out), test))
+
+
+def _calibrated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _train_and_test(spark, sf_dir)
+    estimator = training.classifiers(SEED)["decision_tree"]
+    return rounded(training.scored_table(training.train_calibrated(train, estimator, {"maxDepth": 3}, SEED), test))
+
+
+def _experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search, fit and evaluate two classifiers and their calibrated twins, one trial each."""
+    train, test = _train_and_test(spark, sf_dir)
+    estimators = {n: e for n, e in training.classifiers(SEED).items() if n in ("logistic_regression", "decision_tree")}
+    result = run_experiment(train.drop(training.WEIGHT), test, estimators, trials=1, seed=SEED, stacking=False)
+    return rounded(result.metrics)
+
+
 # --- evaluation ---------------------------------------------------------------------------
 
 
