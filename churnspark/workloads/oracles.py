@@ -406,9 +406,9 @@ def _model_queries() -> dict[str, str]:
                          sum(CASE WHEN churn = 1 THEN n END) AS n1 FROM c)
             SELECT churn, n, round(total / (classes * n), 6) AS weight, round(n1 / n0, 6) AS ratio_of_weights,
                    round(n0 / n1, 6) AS balanced_ratio FROM c, t""",
-        "linear_contributions": f'WITH {CONTRIBUTIONS} SELECT "userId", feature, round(value, 6) AS value FROM contrib',
-        "shap_summary": f"WITH {CONTRIBUTIONS} SELECT feature, round(avg(abs(value)), 6) AS importance FROM contrib GROUP BY feature",
-        "user_contributions": f"""WITH {CONTRIBUTIONS} SELECT "userId", feature, round(value, 6) AS value,
+        "linear_contributions": f'WITH {CONTRIBUTIONS} SELECT "userId", feature, round(value, 9) AS value FROM contrib',
+        "shap_summary": f"WITH {CONTRIBUTIONS} SELECT feature, round(avg(abs(value)), 9) AS importance FROM contrib GROUP BY feature",
+        "user_contributions": f"""WITH {CONTRIBUTIONS} SELECT "userId", feature, round(value, 9) AS value,
             CASE WHEN value >= 0 THEN 'up' ELSE 'down' END AS direction FROM contrib""",
     }
 

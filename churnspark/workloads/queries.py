@@ -215,10 +215,10 @@ def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(rounded(features.user_features(_stored_clean(spark, sf_dir))), "features")
 
 
-def _on_features(operator: Callable[[DataFrame, list[str]], DataFrame]) -> Query:
+def _on_features(operator: Callable[[DataFrame, list[str]], DataFrame], digits: int = 6) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = _stored_features(spark, sf_dir)
-        return rounded(operator(table, numeric_columns(table)))
+        return rounded(operator(table, numeric_columns(table)), digits)
 
     return run
 
@@ -284,10 +284,11 @@ def _model_queries() -> dict[str, Query]:
         "model_matrix": _on_encoded(encoding.model_matrix),
         "sink_parquet_gzip": _sink_gzip,
         "class_weights": _on_features(lambda t, _: split.class_weights(split.split(t, seed=SEED)[0])),
-        "linear_contributions": _on_features(_contributions),
-        "shap_summary": _on_features(lambda t, columns: explanation.importance(_contributions(t, columns))),
+        # Inputs have 6 decimals and weights 1: rounding at 6 would meet many exact halves.
+        "linear_contributions": _on_features(_contributions, digits=9),
+        "shap_summary": _on_features(lambda t, columns: explanation.importance(_contributions(t, columns)), digits=9),
         "user_contributions": _on_features(
-            lambda t, columns: explanation.signed_contributions(_contributions(t, columns))
+            lambda t, columns: explanation.signed_contributions(_contributions(t, columns)), digits=9
         ),
         "sampled_shapley": _sampled_shapley,
         "score_users": _score_users,
