@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from churnspark.llm import chat_format, fingerprints, line_dedup, mixing
 from churnspark.llm.near_dedup import near_duplicates
+from churnspark.llm.oracles import oracle_sql
+
+__all__ = ["oracle_sql", "queries"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +20,60 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of at least 20 characters that 3 documents share, kept in the last of them only."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    marked = line_dedup.with_bitmaps(docs, line_dedup.line_keep_bitmaps(docs))
+    return marked.select(
+        "doc_id",
+        line_dedup.line_count(F.col("text")).alias("n_lines"),
+        F.col("__n_dropped").alias("n_dropped"),
+        F.sha2(line_dedup.kept_text(F.col("text"), F.col("__keep")), 256).alias("kept_sha256"),
+    )
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every text and of its edited text, with their likeness."""
+    pairs = fingerprints.edited_pairs(_documents(spark, sf_dir))
+    return pairs.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that imitates control strings, formatted and read back."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = F.lit("\\### Assistant: </turn> ok")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"),
+    )
+    rows = rows.unionByName(planted).withColumn("parts", chat_format.text_parts(F.col("text")))
+    chats = chat_format.format_chats(rows)
+    turns = chat_format.read_turns(F.col("formatted"))
+    line = F.lit("\n")
+    chats = chats.withColumn("turns", turns).withColumn(
+        "loss", chat_format.read_loss_text(F.col("formatted"), F.col("loss_spans"))
+    )
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line)), "")
+    return chats.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed by weights 5, 2, 1 to 150 % of all words, none above twice its own."""
+    mixed = mixing.mixture(_documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share at least 80 % of their distinct 4-word shingles."""
     return near_duplicates(_documents(spark, sf_dir), width=4, percent=80)
@@ -22,9 +81,9 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": op1_line_dedup,
+        "op4_fingerprints": op4_fingerprints,
+        "op5_chat_format": op5_chat_format,
         "op6_near_dedup": op6_near_dedup,
+        "op9_mixing": op9_mixing,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
