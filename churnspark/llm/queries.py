@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from churnspark.llm import chat_format, fingerprints, line_dedup, mixing
 from churnspark.llm.near_dedup import near_duplicates
 from churnspark.llm.oracles import oracle_sql
+from churnspark.llm.packing import pack_documents
 
 __all__ = ["oracle_sql", "queries"]
 
@@ -68,6 +69,19 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    """The byte-level BPE vocabulary of the queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces packed into sequences of at most 1024 tokens."""
+    _, places = pack_documents(_documents(spark, sf_dir), tokenizer_path(), end_id=2)
+    return places.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed by weights 5, 2, 1 to 150 % of all words, none above twice its own."""
     mixed = mixing.mixture(_documents(spark, sf_dir))
@@ -85,5 +99,6 @@ def queries() -> dict[str, Query]:
         "op4_fingerprints": op4_fingerprints,
         "op5_chat_format": op5_chat_format,
         "op6_near_dedup": op6_near_dedup,
+        "op7_packing": op7_packing,
         "op9_mixing": op9_mixing,
     }
