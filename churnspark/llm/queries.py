@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.llm import chat_format, fingerprints, line_dedup, mixing
+from churnspark.llm import chat_format, fingerprints, language_id, line_dedup, mixing
 from churnspark.llm.near_dedup import near_duplicates
 from churnspark.llm.oracles import oracle_sql
 from churnspark.llm.packing import pack_documents
@@ -33,6 +33,22 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fold(identifier: str, parts: int) -> Column:
+    """Fold of an id by the checksum of its text; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(identifier).cast("string"), F.lit(""))) % parts
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from the documents of three folds out of four."""
+    docs = _documents(spark, sf_dir)
+    model = language_id.train(docs.where(_fold("doc_id", 4) != 2))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", (_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"),
+        F.col("lang_rejected").alias("rejected"),
+    )
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every text and of its edited text, with their likeness."""
     pairs = fingerprints.edited_pairs(_documents(spark, sf_dir))
@@ -96,6 +112,7 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_language_id": op2_language_id,
         "op4_fingerprints": op4_fingerprints,
         "op5_chat_format": op5_chat_format,
         "op6_near_dedup": op6_near_dedup,

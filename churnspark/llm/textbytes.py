@@ -90,20 +90,41 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return start, np.flatnonzero(ends) + 1, np.searchsorted(offsets, start, side="right") - 1
 
 
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+def _powers(count: int, held: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
+    """Powers of the base and of its inverse modulo 2^64, kept for the next call."""
+    if held.get("count", 0) < count:
+        size = max(count, SLICE_BYTES)
+        for name, base in (("up", _BASE), ("down", _INVERSE)):
+            values = np.full(size, base, np.uint64)
+            values[0] = 1
+            held[name] = np.multiply.accumulate(values)
+        held["count"] = size
+    return held["up"], held["down"]
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per span of bytes; spans must not overlap and be in order and not empty."""
-    if len(start) == 0:
-        return np.zeros(0, np.uint64)
-    length = end - start
-    total = int(length.sum())
-    place = np.arange(total) - np.repeat(np.cumsum(length) - length, length)
-    position = place + np.repeat(start, length)
-    powers = np.ones(int(length.max()), np.uint64)
-    powers[1:] = _BASE
-    powers = np.multiply.accumulate(powers)
-    values = _CODES[data[position]] * powers[place]
-    sums = np.add.reduceat(values, np.cumsum(length) - length)
-    return mix(sums + length.astype(np.uint64) * _BASE)
+    """A 64-bit hash per span of bytes; spans are in order, not empty and do not overlap.
+
+    The hash is a polynomial of the span's byte codes: the difference of two running sums over
+    a stretch of bytes, divided by the power at which the span starts, and mixed.
+    """
+    found = np.zeros(len(start), np.uint64)
+    first = 0
+    while first < len(start):
+        origin = start[first]
+        last = int(np.searchsorted(end, origin + SLICE_BYTES, side="right"))
+        last = max(last, first + 1)
+        stretch = data[origin : end[last - 1]]
+        up, down = _powers(len(stretch) + 1)
+        sums = np.zeros(len(stretch) + 1, np.uint64)
+        np.cumsum(_CODES[stretch] * up[: len(stretch)], out=sums[1:])
+        low, high = start[first:last] - origin, end[first:last] - origin
+        found[first:last] = (sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64) * _BASE
+        first = last
+    return mix(found)
 
 
 def window_hashes(hashes: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,45 +8,34 @@ Strings of special tokens inside a text are ordinary text.
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+from churnspark.llm.characters import SPACE, classes, decoded
 from churnspark.llm.textbytes import slices, span_hashes, utf8
 
 # Distinct pieces kept by a worker before it starts anew.
 CACHE_PIECES = 500_000
 SLICE_BYTES = 1 << 22
 
-_OTHER, _LETTER, _NUMBER, _SPACE = range(4)
-# Characters with the Unicode property White_Space.
-_SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
-
-def _classes() -> np.ndarray:
-    kinds = {"L": _LETTER, "N": _NUMBER}
-    found = np.array([kinds.get(unicodedata.category(chr(c))[0], _OTHER) for c in range(0x110000)], np.uint8)
-    found[_SPACES] = _SPACE
-    return found
-
-
-def piece_starts(points: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> np.ndarray:
+def piece_starts(points: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Where a piece starts, as flags per code point; ``offsets``: texts in code points.
 
     The pattern: 's 't 're 've 'm 'll 'd, a run of letters, of numbers or of other characters, each
     with one blank before it, a run of white space without its last character if text follows.
     """
     size = len(points)
-    kind = classes[points]
+    kind = kinds[points]
     first = np.zeros(size + 1, bool)
     first[offsets] = True
     first = first[:-1]
     starts = first.copy()
     starts[1:] |= kind[1:] != kind[:-1]
-    after_space = np.flatnonzero(starts & ~first & (kind != _SPACE))
-    after_space = after_space[kind[after_space - 1] == _SPACE]
+    after_space = np.flatnonzero(starts & ~first & (kind != SPACE))
+    after_space = after_space[kind[after_space - 1] == SPACE]
     starts[after_space - 1] = True
     starts[after_space[points[after_space - 1] == 0x20]] = False
 
@@ -81,7 +70,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.classes = _classes()
+        self.classes = classes()
         self._reset()
 
     def _reset(self) -> None:
@@ -106,19 +95,10 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts in UTF-8 ``data``; bytes that are not UTF-8 become U+FFFD."""
-        raw = data.tobytes()
-        try:
-            text = raw.decode("utf-8")
-        except UnicodeDecodeError:
-            fixed = [raw[a:b].decode("utf-8", "replace").encode() for a, b in zip(offsets[:-1], offsets[1:])]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in fixed])])
-            raw = b"".join(fixed)
-            text, data = raw.decode("utf-8"), np.frombuffer(raw, np.uint8)
-        if not text:
+        raw, offsets, points, lead, point_offsets = decoded(data, offsets)
+        if not len(points):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        lead = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-        point_offsets = np.searchsorted(lead, offsets)
+        data = np.frombuffer(raw, np.uint8)
         begin = np.flatnonzero(piece_starts(points, point_offsets, self.classes))
         owner = np.searchsorted(begin, point_offsets)
         begin, end = lead[begin], np.append(lead[begin[1:]], len(data))
