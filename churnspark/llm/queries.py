@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.llm import chat_format, fingerprints, language_id, line_dedup, mixing
+from churnspark.llm import chat_format, fingerprints, language_id, line_dedup, mixing, quality_rules
 from churnspark.llm.near_dedup import near_duplicates
 from churnspark.llm.oracles import oracle_sql
 from churnspark.llm.packing import pack_documents
+from churnspark.runtime import materialize
 
 __all__ = ["oracle_sql", "queries"]
 
@@ -109,6 +110,16 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir), width=4, percent=80)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics, base rules and the verdict of a decision list learned from all labels."""
+    counted = materialize(quality_rules.with_statistics(_documents(spark, sf_dir)), "statistics")
+    rules = quality_rules.train_rules(counted, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules.judge(counted, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_distinct_words", "n_upper", "n_digits", "n_marks",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -118,4 +129,5 @@ def queries() -> dict[str, Query]:
         "op6_near_dedup": op6_near_dedup,
         "op7_packing": op7_packing,
         "op9_mixing": op9_mixing,
+        "op10_quality_rules": op10_quality_rules,
     }
