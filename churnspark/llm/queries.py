@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.llm import chat_format, fingerprints, language_id, line_dedup, mixing, quality_rules
+from churnspark.llm import chat_format, class_model, fingerprints, language_id, line_dedup, mixing, quality_rules
 from churnspark.llm.near_dedup import near_duplicates
 from churnspark.llm.oracles import oracle_sql
 from churnspark.llm.packing import pack_documents
@@ -99,6 +99,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class bigram score of every text, learned from the documents of four folds out of five."""
+    docs = _documents(spark, sf_dir).withColumn("train", _fold("doc_id", 5) != 1)
+    scored = class_model.score_texts(docs.select("doc_id", "text", "train"), "train")
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "perplexity",
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed by weights 5, 2, 1 to 150 % of all words, none above twice its own."""
     mixed = mixing.mixture(_documents(spark, sf_dir))
@@ -128,6 +138,7 @@ def queries() -> dict[str, Query]:
         "op5_chat_format": op5_chat_format,
         "op6_near_dedup": op6_near_dedup,
         "op7_packing": op7_packing,
+        "op8_lm_scoring": op8_lm_scoring,
         "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
     }
