@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.llm import chat_format, class_model, fingerprints, language_id, line_dedup, mixing, quality_rules
+from churnspark.llm import (
+    chat_format,
+    class_model,
+    fingerprints,
+    kneser_ney,
+    language_id,
+    line_dedup,
+    mixing,
+    quality_rules,
+)
 from churnspark.llm.near_dedup import near_duplicates
 from churnspark.llm.oracles import oracle_sql
 from churnspark.llm.packing import pack_documents
@@ -50,6 +59,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every text under a model of the documents labelled good and not toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where((F.col("quality") == 1) & (F.col("toxic") == 0))
+    return kneser_ney.classify(_documents(spark, sf_dir), labels)
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every text and of its edited text, with their likeness."""
     pairs = fingerprints.edited_pairs(_documents(spark, sf_dir))
@@ -134,6 +149,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_language_id": op2_language_id,
+        "op3_quality_classifier": op3_quality_classifier,
         "op4_fingerprints": op4_fingerprints,
         "op5_chat_format": op5_chat_format,
         "op6_near_dedup": op6_near_dedup,
