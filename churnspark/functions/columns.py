@@ -9,18 +9,31 @@ from pyspark.sql import functions as F
 
 # Ordered rules, first match wins (name, any of these parts of the agent string).
 PLATFORM_RULES = (
+    ("Windows Phone", ("Windows Phone", "IEMobile")),
     ("iOS", ("iPhone", "iPad", "iPod")),
     ("Android", ("Android",)),
+    ("BlackBerry", ("BlackBerry", "BB10", "PlayBook")),
+    ("PlayStation", ("PlayStation",)),
+    ("Xbox", ("Xbox",)),
+    ("Nintendo", ("Nintendo",)),
+    ("ChromeOS", ("CrOS",)),
     ("Windows", ("Windows",)),
     ("Mac OS", ("Macintosh", "Mac OS")),
-    ("Linux", ("Linux",)),
+    ("FreeBSD", ("FreeBSD",)),
+    ("Linux", ("Linux", "X11")),
 )
 BROWSER_RULES = (
-    ("Microsoft Edge", ("Edge/", "Edg/")),
+    ("Microsoft Edge", ("Edge/", "Edg/", "EdgA/", "EdgiOS/")),
+    ("Opera Mini", ("Opera Mini",)),
     ("Opera", ("Opera", "OPR/")),
+    ("UC Browser", ("UCBrowser", "UCWEB")),
+    ("Samsung Browser", ("SamsungBrowser",)),
+    ("BlackBerry Browser", ("BlackBerry", "BB10", "PlayBook")),
+    ("PlayStation Browser", ("PlayStation",)),
+    ("Nintendo Browser", ("NintendoBrowser",)),
     ("Chrome", ("Chrome/", "CriOS/")),
     ("Firefox", ("Firefox/", "FxiOS/")),
-    ("Microsoft Internet Explorer", ("MSIE", "Trident/")),
+    ("Microsoft Internet Explorer", ("MSIE", "Trident/", "IEMobile")),
     ("Safari", ("Safari/",)),
 )
 Rules = Sequence[tuple[str, Sequence[str]]]
@@ -46,10 +59,6 @@ def state(location: Column) -> Column:
     return F.trim(F.split(after_comma, "-").getItem(0))
 
 
-def event_time(ts_ms: Column) -> Column:
-    return F.timestamp_millis(ts_ms)
-
-
 def utc_hour(ts_ms: Column) -> Column:
     """Hour of day in UTC, whatever the session time zone."""
     return F.pmod(F.floor(ts_ms / 3_600_000), F.lit(24)).cast("int")

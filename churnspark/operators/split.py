@@ -17,9 +17,12 @@ def _digest(id_column: str, seed: int) -> Column:
 def in_train(train_share: float, seed: int, id_column: str = ID_COLUMN) -> Column:
     """True for about ``train_share`` of the ids: a hash in order of its hex text.
 
-    Depends on id and seed only, so neither partitioning nor row order matters.
+    Depends on id and seed only, so neither partitioning nor row order matters. A share of 1
+    or more takes every id.
     """
-    limit = format(min(int(train_share * 2**32), 2**32 - 1), "08x")
+    if train_share >= 1:
+        return F.lit(True)
+    limit = format(int(train_share * 2**32), "08x")
     return F.substring(_digest(id_column, seed), 1, 8) < limit
 
 

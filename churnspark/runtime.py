@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # What the jobs are tuned for. A cluster passes its own sizes on submit; the
 # settings here only make sure that plans are re-planned and split at run time.
@@ -32,21 +38,39 @@ def build_session(app: str = "churnspark", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process: ``local``, ``local[4]``, ``local[*]``."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the session.
 
-    ``spark.checkpoint.dir`` decides. Only where neither it nor a checkpoint
-    directory is set (tests on one machine) a temporary folder is made.
+    ``spark.checkpoint.dir`` decides. Where neither it nor a checkpoint directory is set, a
+    temporary folder is made if driver and executors are one process; on a cluster each
+    executor would write to a disk of its own, so there it is an error.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
+        if not _one_machine(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="churnspark-"))
         configured = context.getCheckpointDir()
     return configured.rstrip("/")
 
 
-_MATERIALIZED: list[str] = []
+# The lists of paths that open ``intermediates`` blocks collect, the innermost last.
+_OWNERS: ContextVar[tuple[list[str], ...]] = ContextVar("owners", default=())
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path of its own in the shared folder; it belongs to the innermost ``intermediates`` block."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    owners = _OWNERS.get()
+    if owners:
+        owners[-1].append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -56,22 +80,53 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     once, later branches read only their columns, Catalyst sees its true size
     (so broadcasts are decided on a known number) and a lost executor costs no
     recomputation of what came before.
+
+    The table stays until the ``intermediates`` block ends in which it was made; without
+    one it stays for good.
     """
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _MATERIALIZED.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    if not _may_be_private(spark, path):
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    written = Observation()
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    check_rows(path, written.get["rows"], stored.count())
+    return stored
 
 
-def drop_materialized(spark: SparkSession) -> int:
-    """Delete the tables this process has materialized; returns how many there were.
+def _may_be_private(spark: SparkSession, path: str) -> bool:
+    """Whether executors of a cluster could each see another folder under this path."""
+    return not _one_machine(spark) and urlparse(path).scheme in ("", "file")
 
-    Call it once the results that read them are written.
-    """
+
+def check_rows(path: str, written: int, visible: int) -> None:
+    """Fail if the driver does not see all rows that the executors have written."""
+    if written != visible:
+        raise RuntimeError(f"{path} is not shared: {written} rows were written, the driver sees {visible}")
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete stored tables; returns how many there were."""
     jvm = spark.sparkContext._jvm
-    dropped = 0
-    while _MATERIALIZED:
-        path = jvm.org.apache.hadoop.fs.Path(_MATERIALIZED.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        dropped += 1
-    return dropped
+    for path in paths:
+        stored = jvm.org.apache.hadoop.fs.Path(path)
+        stored.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(stored, True)
+    return len(paths)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[list[str]]:
+    """Own the tables stored inside the block and delete them at its end.
+
+    Write or collect results before the block ends: they may read these tables. Tables of
+    other blocks, before or around this one, are left alone.
+    """
+    own: list[str] = []
+    token = _OWNERS.set((*_OWNERS.get(), own))
+    try:
+        yield own
+    finally:
+        _OWNERS.reset(token)
+        drop_paths(spark, own)

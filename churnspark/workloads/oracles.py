@@ -2,12 +2,50 @@
 
 from __future__ import annotations
 
-from churnspark.functions.regions import REGION_STATES
-from churnspark.schema import COUNTED_PAGES, EVENT_LOG, REQUIRED_USER_COLUMNS, page_column
 from churnspark.sources.derived_log import AGENTS, REGISTRATION_START_MS, STATES
 
 DIGITS = 6
 
+# Stated again here, so that an error in the package's own tables shows as a difference.
+# State -> region.
+STATE_REGIONS = {
+    "AK": "West", "AL": "South", "AR": "South", "AZ": "Southwest", "CA": "West", "CO": "West", "CT": "Northeast",
+    "DC": "South", "DE": "South", "FL": "South", "GA": "South", "HI": "West", "IA": "Midwest", "ID": "West",
+    "IL": "Midwest", "IN": "Midwest", "KS": "Midwest", "KY": "South", "LA": "South", "MA": "Northeast", "MD": "South",
+    "ME": "Northeast", "MI": "Midwest", "MN": "Midwest", "MO": "Midwest", "MS": "South", "MT": "West", "NC": "South",
+    "ND": "Midwest", "NE": "Midwest", "NH": "Northeast", "NJ": "Northeast", "NM": "Southwest", "NV": "West",
+    "NY": "Northeast", "OH": "Midwest", "OK": "South", "OR": "West", "PA": "Northeast", "RI": "Northeast",
+    "SC": "South", "SD": "Midwest", "TN": "South", "TX": "South", "UT": "West", "VA": "South", "VT": "Northeast",
+    "WA": "West", "WI": "Midwest", "WV": "South", "WY": "West",
+}
+# Log column -> type.
+LOG_COLUMNS = {
+    "artist": "text", "auth": "text", "gender": "text", "ts": "number", "userId": "text", "sessionId": "number",
+    "page": "text", "method": "text", "status": "number", "level": "text", "itemInSession": "number",
+    "location": "text", "userAgent": "text", "lastName": "text", "firstName": "text", "song": "text",
+    "registration": "number", "length": "double",
+}
+# Counted page -> column.
+PAGE_COLUMNS = {
+    "NextSong": "num_nextsong", "Thumbs Up": "num_thumbs_up", "Thumbs Down": "num_thumbs_down",
+    "Add to Playlist": "num_add_to_playlist", "Add Friend": "num_add_friend", "Error": "num_error", "Help": "num_help",
+    "Submit Upgrade": "num_submit_upgrade", "Submit Downgrade": "num_submit_downgrade",
+    "Roll Advert": "num_roll_advert", "Logout": "num_logout", "Downgrade": "num_downgrade", "Upgrade": "num_upgrade",
+    "Settings": "num_settings", "About": "num_about", "Save Settings": "num_save_settings",
+}
+# Columns without which an event is dropped.
+REQUIRED = ("userId", "firstName", "lastName", "location", "userAgent", "registration", "gender")
+
+
+def _region_case() -> str:
+    """Branches of a CASE over an upper-cased state."""
+    return " ".join(f"WHEN '{state}' THEN '{region}'" for state, region in STATE_REGIONS.items())
+
+
+def _missing(column: str, kind: str) -> str:
+    more = {"text": f""" OR "{column}" = ''""", "double": f' OR isnan("{column}")'}.get(kind, "")
+    return f'("{column}" IS NULL{more})'
+
 
 def _array(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
@@ -79,7 +117,7 @@ _AGENT = """
                  WHEN regexp_matches("userAgent", 'MSIE|Trident/') THEN 'Microsoft Internet Explorer'
                  WHEN regexp_matches("userAgent", 'Safari/') THEN 'Safari' END AS b
 """
-_REQUIRED = " AND ".join(f'"{c}" IS NOT NULL' for c in REQUIRED_USER_COLUMNS)
+_REQUIRED = " AND ".join(f'"{c}" IS NOT NULL' for c in REQUIRED)
 CLEAN = f"""{LOG},
 cleaned AS (SELECT * FROM log WHERE {_REQUIRED}),
 agents AS ({_AGENT} FROM cleaned),
@@ -93,7 +131,7 @@ pre AS (
 """
 
 _COUNTS = ",\n".join(
-    f"count(CASE WHEN page = '{p}' THEN 1 END) AS {page_column(p)}" for p in COUNTED_PAGES
+    f"count(CASE WHEN page = '{p}' THEN 1 END) AS {c}" for p, c in PAGE_COLUMNS.items()
 )
 _FIRST = ",\n".join(
     f'arg_min_null({c}, ts * 1000000 + "itemInSession") AS {c}' for c in ("gender", "level", "platform", "browser")
@@ -140,7 +178,7 @@ feats AS (
 """
 
 NUMERIC = [
-    "num_sessions", "num_unique_artists", *[page_column(p) for p in COUNTED_PAGES],
+    "num_sessions", "num_unique_artists", *PAGE_COLUMNS.values(),
     "tenure", "num_ads_per_session", "avg_unique_artists_per_day", "avg_songs_per_session",
     "avg_time_between_sessions", "prop_thumbs_up", "prop_add_to_playlist", "prop_thumbs_down",
     "unique_artist_ratio", "avg_listening_time_per_session", "avg_artists_per_session",
@@ -150,7 +188,7 @@ DOUBLES = NUMERIC[NUMERIC.index("tenure"):]
 
 
 def rounded(column: str, digits: int = DIGITS) -> str:
-    return f"round({column}, {digits}) AS {column}"
+    return f"CASE WHEN abs({column}) * 1e{digits} < 2.0 ** 53 THEN round({column}, {digits}) ELSE {column} END AS {column}"
 
 
 def _select(columns: list[str]) -> str:
@@ -158,23 +196,18 @@ def _select(columns: list[str]) -> str:
 
 
 def _base_queries() -> dict[str, str]:
-    shown = {c.name: f'"{c.name}"' for c in EVENT_LOG}
+    shown = {c: f'"{c}"' for c in LOG_COLUMNS}
     shown["length"] = 'round("length", 6) AS "length"'
     all_columns = ", ".join(shown.values())
     attributes = ["gender", "level", "platform", "browser", "churn"]
     base = NUMERIC[: NUMERIC.index("avg_songs_per_session")]
-    region = " ".join(
-        f"WHEN upper(trim(\"State\")) IN ({', '.join(repr(s) for s in states.split())}) THEN '{name}'"
-        for name, states in REGION_STATES.items()
-    )
     return {
         "clean_events": f"WITH {CLEAN} SELECT {all_columns} FROM cleaned",
         "listening_flag": f"""WITH {CLEAN} SELECT "userId", ts, page, song, "Listening" FROM pre""",
         "content_clean": f"""WITH {CLEAN} SELECT "userId", ts, page, artist, song, "Listening" FROM pre
             WHERE NOT ("Listening" = 1 AND (artist IS NULL OR song IS NULL))""",
-        "rows_with_missing": f"""WITH {LOG} SELECT "userId", ts, page, artist, "firstName", round("length", 6) AS "length" FROM log
-            WHERE artist IS NULL OR artist = '' OR song IS NULL OR song = '' OR "length" IS NULL OR isnan("length")
-               OR "firstName" IS NULL OR "firstName" = '' OR "lastName" IS NULL OR "lastName" = ''""",
+        "rows_with_missing": f"""WITH {LOG} SELECT "userId", ts, page, artist, "firstName", round("length", 6) AS "length",
+            registration, "userAgent" FROM log WHERE {" OR ".join(_missing(c, t) for c, t in LOG_COLUMNS.items())}""",
         "churn_label": f"""WITH {LOG} SELECT "userId", ts, page,
             max(CASE WHEN page = 'Cancellation Confirmation' THEN 1 ELSE 0 END) OVER (PARTITION BY "userId") AS churn
             FROM log""",
@@ -184,7 +217,7 @@ def _base_queries() -> dict[str, str]:
             trim(split_part(split_part(location, ',', 2), '-', 1)) AS "State" FROM cleaned""",
         "state_region": f"""WITH {CLEAN}, parts AS (SELECT "userId", ts,
             trim(split_part(split_part(location, ',', 2), '-', 1)) AS "State" FROM cleaned)
-            SELECT "userId", ts, "State", CASE {region} ELSE 'unknown' END AS "Region" FROM parts""",
+            SELECT "userId", ts, "State", CASE upper(trim("State")) {_region_case()} ELSE 'unknown' END AS "Region" FROM parts""",
         "user_base_features": f"""WITH {FEATURES} SELECT "userId", {_select(attributes + base)} FROM base""",
         "page_counts": f'WITH {CLEAN} SELECT "userId", {_COUNTS} FROM pre GROUP BY "userId"',
         "songs_per_session": f"""WITH {FEATURES} SELECT "userId",
@@ -213,9 +246,7 @@ placed AS (
   SELECT *, platform || '/' || browser AS "Agent", split_part(location, ',', 1) AS "City",
          trim(split_part(split_part(location, ',', 2), '-', 1)) AS "State" FROM pre),
 regions AS (
-  SELECT *, CASE {" ".join(
-      f"WHEN upper(trim(\"State\")) IN ({', '.join(repr(s) for s in states.split())}) THEN '{name}'"
-      for name, states in REGION_STATES.items())} ELSE 'unknown' END AS "Region" FROM placed)
+  SELECT *, CASE upper(trim("State")) {_region_case()} ELSE 'unknown' END AS "Region" FROM placed)
 """
 DISTRIBUTED = ("gender", "level", "Agent", "platform", "browser", "State", "City", "Region")
 CROSSED = ("gender", "level", "platform", "browser", "Region")
@@ -253,8 +284,8 @@ def _distinct_summary(columns: str) -> str:
 
 
 def _profile_queries() -> dict[str, str]:
-    names = [f.name for f in EVENT_LOG]
-    types = {f.name: f.dataType.simpleString() for f in EVENT_LOG}
+    names = list(LOG_COLUMNS)
+    types = {c: {"text": "string", "number": "bigint", "double": "double"}[t] for c, t in LOG_COLUMNS.items()}
 
     def missing(c: str) -> str:
         extra = {"string": f""" OR "{c}" = ''""", "double": f' OR isnan("{c}")'}.get(types[c], "")
@@ -268,7 +299,7 @@ def _profile_queries() -> dict[str, str]:
             round((count(*) - count("{c}")) / count(*), 6) AS null_fraction FROM cleaned""" for c in names
     )
     any_missing = " OR ".join(missing(c) for c in names)
-    complete = " AND ".join(f'"{c}" IS NOT NULL' for c in REQUIRED_USER_COLUMNS)
+    complete = " AND ".join(f'"{c}" IS NOT NULL' for c in REQUIRED)
     cancelled = "page = 'Cancellation Confirmation'"
     found = {
         "missing_profile": f"WITH {LOG} {missing_rows}",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,7 +22,7 @@ from churnspark.operators import (
 from churnspark.plans import scoring
 from churnspark.plans.experiment import run_experiment
 from churnspark.plans.preprocess import clean_log, preprocess
-from churnspark.runtime import materialize, shared_folder
+from churnspark.runtime import materialize, new_path
 from churnspark.schema import EVENT_LOG, numeric_columns
 from churnspark.sources import events_io
 from churnspark.sources.derived_log import event_log
@@ -36,10 +35,12 @@ def _round_scaled(value: Column, digits: int) -> Column:
     """Scale, round half away from zero, scale back: binary rounding as most SQL engines do it.
 
     Spark's ``round`` works on the shortest decimal text of a double and so differs where
-    that text ends in a 5.
+    that text ends in a 5. Values whose scaled size a double cannot tell from its neighbours
+    (2^53 and more), NaN and infinity stay as they are.
     """
     scale = float(10**digits)
-    return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
+    near = F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
+    return F.when(F.abs(value) * scale < 2.0**53, near).otherwise(value)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -73,13 +74,9 @@ def _on_stored(operator: Callable[[DataFrame], DataFrame]) -> Query:
 # --- sources and sinks ---------------------------------------------------------------
 
 
-def _new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
 def _scan_json(with_schema: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = _new_path(spark, "log-json")
+        path = new_path(spark, "log-json")
         event_log(spark, sf_dir).write.json(path)
         read = events_io.read_events(spark, path, EVENT_LOG if with_schema else None)
         return rounded(read.select(*EVENT_LOG.names))
@@ -88,13 +85,12 @@ def _scan_json(with_schema: bool) -> Query:
 
 
 def _sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _new_path(spark, "preprocessed")
+    path = new_path(spark, "preprocessed")
     events_io.write_table(preprocess(event_log(spark, sf_dir)), path)
     return rounded(events_io.read_table(spark, path))
 
 
 def _base_queries() -> dict[str, Query]:
-    missing = ["artist", "song", "length", "firstName", "lastName"]
     return {
         "scan_json": _scan_json(False),
         "scan_json_schema": _scan_json(True),
@@ -105,8 +101,8 @@ def _base_queries() -> dict[str, Query]:
             lambda log: cleaning.drop_partial_songs(log).select("userId", "ts", "page", "artist", "song", "Listening")
         ),
         "rows_with_missing": _on_log(
-            lambda log: cleaning.rows_with_missing(log, missing).select(
-                "userId", "ts", "page", "artist", "firstName", "length"
+            lambda log: cleaning.rows_with_missing(log).select(
+                "userId", "ts", "page", "artist", "firstName", "length", "registration", "userAgent"
             )
         ),
         "churn_label": _on_log(lambda log: cleaning.with_churn_label(log).select("userId", "ts", "page", "churn")),
@@ -252,7 +248,7 @@ def _on_encoded(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _sink_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _new_path(spark, "matrix")
+    path = new_path(spark, "matrix")
     events_io.write_table(encoding.model_matrix(_encoded(spark, sf_dir)), path, compression="gzip", single_file=True)
     return rounded(events_io.read_table(spark, path))
 
