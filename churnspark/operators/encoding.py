@@ -14,9 +14,18 @@ UNKNOWN = "unknown"
 NUMERIC_VECTOR = "numerical_features"
 
 
-def fill_unknown(features: DataFrame) -> DataFrame:
-    """Unknown categories become a value of their own; missing numbers become 0."""
-    return features.fillna(UNKNOWN, categorical_columns(features)).fillna(0.0, numeric_columns(features))
+def fill_unknown(features: DataFrame, missing_numbers: str = "error") -> DataFrame:
+    """Unknown categories become a value of their own.
+
+    ``missing_numbers`` is what happens to a null or NaN number: ``error`` leaves it, and the
+    assembler stops there; ``zero`` puts 0.
+    """
+    filled = features.fillna(UNKNOWN, categorical_columns(features))
+    if missing_numbers == "zero":
+        return filled.fillna(0.0, numeric_columns(features))
+    if missing_numbers != "error":
+        raise ValueError(f"unknown choice {missing_numbers!r}: use error or zero")
+    return filled
 
 
 def encoder(features: DataFrame, handle_invalid: str = "error", drop_last: bool = True) -> Pipeline:
@@ -40,14 +49,16 @@ def encoder(features: DataFrame, handle_invalid: str = "error", drop_last: bool
     )
 
 
-def fit_encoder(train: DataFrame, handle_invalid: str = "error", drop_last: bool = True) -> PipelineModel:
-    filled = fill_unknown(train)
+def fit_encoder(
+    train: DataFrame, handle_invalid: str = "error", drop_last: bool = True, missing_numbers: str = "error"
+) -> PipelineModel:
+    filled = fill_unknown(train, missing_numbers)
     return encoder(filled, handle_invalid, drop_last).fit(filled)
 
 
-def encode(features: DataFrame, fitted: PipelineModel) -> DataFrame:
+def encode(features: DataFrame, fitted: PipelineModel, missing_numbers: str = "error") -> DataFrame:
     """Apply a fitted encoder to training, test or new users."""
-    return fitted.transform(fill_unknown(features))
+    return fitted.transform(fill_unknown(features, missing_numbers))
 
 
 def vector_names(encoded: DataFrame) -> list[str]:

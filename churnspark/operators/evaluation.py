@@ -12,6 +12,25 @@ from churnspark.operators.running import running_sums
 LOG_LOSS_CLIP = 2.0**-52  # fixed value: machine epsilon of a double
 
 
+def usable(scored: DataFrame) -> DataFrame:
+    """Rows that can be evaluated: a score that is no null or NaN, and a label.
+
+    Every operator here leaves the others out; ``left_out`` counts them.
+    """
+    return scored.where(F.col("score").isNotNull() & ~F.isnan("score") & F.col("label").isNotNull())
+
+
+def left_out(scored: DataFrame) -> DataFrame:
+    """One row: all rows, and those without score or without label, which evaluation leaves out."""
+    no_score = F.col("score").isNull() | F.isnan("score")
+    return scored.agg(
+        F.count("*").alias("rows"),
+        F.count_if(no_score).alias("without_score"),
+        F.count_if(F.col("label").isNull()).alias("without_label"),
+        F.count_if(no_score | F.col("label").isNull()).alias("left_out"),
+    )
+
+
 def _safe(numerator: Column, denominator: Column, empty: float = 0.0) -> Column:
     return F.coalesce(F.try_divide(numerator, denominator), F.lit(empty))
 
@@ -28,7 +47,7 @@ def score_counts(scored: DataFrame) -> DataFrame:
     ``tp`` and ``predicted`` count rows with score >= threshold; ``tp_above`` and
     ``predicted_above`` those strictly above, which is the next point of every curve.
     """
-    counted = scored.groupBy("score").agg(
+    counted = usable(scored).groupBy("score").agg(
         F.sum(F.col("label").cast("long")).alias("pos"), F.count("*").alias("n")
     )
     ranked = running_sums(counted, [], "score", ["pos", "n"])
@@ -62,9 +81,9 @@ def _extra_point(scored: DataFrame, empty: str, **values: float) -> DataFrame:
     )
 
 
-def pr_curve(scored: DataFrame) -> DataFrame:
+def pr_curve(scored: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Precision and recall per threshold, plus the end point (precision 1, recall 0)."""
-    points = score_counts(scored).select(
+    points = (counts or score_counts(scored)).select(
         "threshold",
         _precision(F.col("tp"), F.col("predicted")).alias("precision"),
         _recall(F.col("tp")).alias("recall"),
@@ -72,10 +91,10 @@ def pr_curve(scored: DataFrame) -> DataFrame:
     return points.unionByName(_extra_point(scored, "threshold", precision=1.0, recall=0.0))
 
 
-def roc_curve(scored: DataFrame) -> DataFrame:
+def roc_curve(scored: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """False and true positive rates per threshold, plus the start point (0, 0)."""
     negatives = F.col("rows") - F.col("positives")
-    points = score_counts(scored).select(
+    points = (counts or score_counts(scored)).select(
         "threshold",
         F.try_divide(F.col("predicted") - F.col("tp"), negatives).alias("fpr"),
         F.try_divide(F.col("tp"), F.col("positives")).alias("tpr"),
@@ -137,11 +156,14 @@ def _brier() -> Column:
     return F.sum(F.col("pos") * (s - 1) * (s - 1) + (F.col("n") - F.col("pos")) * s * s) / F.sum("n")
 
 
-def evaluation_summary(scored: DataFrame, beta: float = 2.0, inclusive: bool = False) -> DataFrame:
+def evaluation_summary(
+    scored: DataFrame, beta: float = 2.0, inclusive: bool = False, counts: DataFrame | None = None
+) -> DataFrame:
     """All metrics of a scored table in one row and one aggregate over distinct scores.
 
     The decision at the best threshold is strict (score > threshold) unless
-    ``inclusive``; its counts are those "above" the threshold row.
+    ``inclusive``; its counts are those "above" the threshold row. ``counts`` are stored
+    ``score_counts`` that the curves may share.
     """
     suffix = "" if inclusive else "_above"
     at_best = [
@@ -152,7 +174,7 @@ def evaluation_summary(scored: DataFrame, beta: float = 2.0, inclusive: bool = F
         F.col("rows"),
     ]
     row = (
-        score_counts(scored)
+        (counts or score_counts(scored))
         .agg(_best(at_best, beta).alias("best"), _brier().alias("brier_score"), _log_loss().alias("log_loss"), *_area_columns())
         .select("best.*", "brier_score", "log_loss", "pr_auc", "roc_auc")
     )
@@ -200,14 +222,14 @@ def metrics_long(summary: DataFrame, model: str) -> DataFrame:
 def log_loss(scored: DataFrame) -> DataFrame:
     p = F.least(F.greatest(F.col("score"), F.lit(LOG_LOSS_CLIP)), F.lit(1 - LOG_LOSS_CLIP))
     label = F.col("label")
-    return scored.agg((-F.avg(label * F.log(p) + (1 - label) * F.log(1 - p))).alias("log_loss"))
+    return usable(scored).agg((-F.avg(label * F.log(p) + (1 - label) * F.log(1 - p))).alias("log_loss"))
 
 
 def decide(scored: DataFrame, threshold: float | Column, inclusive: bool = False) -> DataFrame:
     """Add ``prediction`` 0 or 1 (score > threshold, or >= when ``inclusive``)."""
     limit = F.lit(threshold)
     hit = F.col("score") >= limit if inclusive else F.col("score") > limit
-    return scored.withColumn("prediction", F.when(hit, 1).otherwise(0))
+    return usable(scored).withColumn("prediction", F.when(hit, 1).otherwise(0))
 
 
 def f_beta(decided: DataFrame, beta: float = 2.0) -> DataFrame:
@@ -250,14 +272,14 @@ def calibration_curve(scored: DataFrame, bins: int = 10) -> DataFrame:
     edges = F.array(*[F.lit(i * step) for i in range(1, bins)])
     index = F.size(F.filter(edges, lambda edge: edge < F.col("score")))
     return (
-        scored.groupBy(index.alias("bin"))
+        usable(scored).groupBy(index.alias("bin"))
         .agg(F.avg("score").alias("mean_score"), F.avg("label").alias("positive_share"), F.count("*").alias("n"))
     )
 
 
 def score_histogram(scored: DataFrame, bins: int = 20) -> DataFrame:
     """Counts per bin of equal width between the lowest and the highest score."""
-    counted = scored.groupBy("score").agg(F.count("*").alias("n"))
+    counted = usable(scored).groupBy("score").agg(F.count("*").alias("n"))
     low, high = (counted.agg(f("score")).scalar() for f in (F.min, F.max))
     width = (high - low) / bins
     position = F.coalesce(F.floor(F.try_divide(F.col("score") - low, width)), F.lit(0))

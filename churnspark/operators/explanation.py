@@ -8,14 +8,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.operators.training import AveragedModel, with_probability
 
-BACKGROUND_ROWS = 100  # fixed value: size of the background sample
-
-
 def linear_contributions(
     rows: DataFrame, coefficients: Mapping[str, float], means: Mapping[str, float], id_column: str = "userId"
 ) -> DataFrame:
@@ -32,50 +31,47 @@ def column_means(rows: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     return rows.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
 
 
-def background_sample(rows: DataFrame, vector: str, seed: int = 42, size: int = BACKGROUND_ROWS, id_column: str = "userId") -> list[list[float]]:
-    """A hash-ordered sample of at most ``size`` training vectors."""
-    order = F.md5(F.concat(F.col(id_column), F.lit(f"#background#{seed}")))
-    sampled = rows.select(vector_to_array(vector).alias("x"), order.alias("o"), id_column).orderBy("o", id_column)
-    return [list(r["x"]) for r in sampled.limit(size).collect()]
+def background(rows: DataFrame, vector: str = "scaled_features") -> list[float]:
+    """The mean of every vector slot over all rows: what a feature is replaced by when it is unknown."""
+    return rows.agg(Summarizer.mean(F.col(vector)).alias("mean")).first()["mean"].toArray().tolist()
 
 
 def sampled_shapley(
     rows: DataFrame,
     model: Model | AveragedModel,
     names: Sequence[str],
-    background: Sequence[Sequence[float]],
+    base: Sequence[float],
     permutations: int = 10,
     seed: int = 42,
     vector: str = "scaled_features",
     id_column: str = "userId",
 ) -> DataFrame:
-    """Permutation-sampled Shapley values of the positive probability.
+    """Permutation-sampled Shapley values of the positive probability: (id, feature, value, base_value).
 
-    A draw is a feature order and a background row. Along the order the background
-    values are replaced by the user's own, one feature at a time; the change of the
-    probability at a step belongs to the feature replaced there. All steps of all draws
-    are rows of one job: explode, predict, and a sum that is combined before its shuffle.
-    The values of a user add up to f(user) minus the mean f over the drawn background.
+    ``base`` holds the slot values of an unknown user (see ``background``). Along each of the
+    drawn feature orders the base is replaced by the user's own values, one feature at a time;
+    the change of the probability at a step belongs to the feature replaced there. Every user
+    takes ``permutations * (features + 1)`` rows of one job: explode, predict, and a sum that is
+    combined before its shuffle. The values of a user add up to f(user) minus ``base_value``.
     """
     generator = random.Random(seed)
     n = len(names)
-    draws = []
-    for i in range(permutations):
+    orders = []
+    for _ in range(permutations):
         position = list(range(n))
         generator.shuffle(position)
-        draws.append({"position": position, "base": [float(v) for v in background[i % len(background)]]})
-    # A constant in the plan: (features x permutations) numbers.
-    draw_table = F.from_json(F.lit(json.dumps(draws)), "array<struct<position: array<int>, base: array<double>>>")
+        orders.append(position)
+    # Constants in the plan: (features x permutations) and (features) numbers.
+    order_table = F.from_json(F.lit(json.dumps(orders)), "array<array<int>>")
+    unknown = F.from_json(F.lit(json.dumps([float(b) for b in base])), "array<double>")
     steps = (
-        rows.select(id_column, vector_to_array(vector).alias("x"))
-        .withColumn("draw", F.explode(draw_table))
+        rows.select(id_column, vector_to_array(vector).alias("x"), unknown.alias("base"))
+        .withColumn("position", F.explode(order_table))
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n))))
     )
-    replaced = F.transform(
-        F.sequence(F.lit(0), F.lit(n - 1)),
-        lambda j: F.when(F.get("draw.position", j) < F.col("step"), F.get("x", j)).otherwise(F.get("draw.base", j)),
-    )
-    hybrids = steps.select(id_column, "step", "draw.position", array_to_vector(replaced).alias(vector))
+    own = F.arrays_zip("position", "x", "base")
+    replaced = F.transform(own, lambda s: F.when(s["position"] < F.col("step"), s["x"]).otherwise(s["base"]))
+    hybrids = steps.select(id_column, "step", "position", array_to_vector(replaced).alias(vector))
     predicted = with_probability(model, hybrids, "probability_of_step")
     # A step's probability counts for the feature just replaced and against the next one.
     gained = F.struct((F.array_position("position", F.col("step") - 1) - 1).alias("slot"), F.lit(1.0).alias("sign"))
@@ -84,15 +80,23 @@ def sampled_shapley(
         id_column, "probability_of_step", F.explode(F.array(gained, next_one)).alias("share")
     ).where(F.col("share.slot") >= 0)
     feature = F.element_at(F.array(*[F.lit(c) for c in names]), (F.col("share.slot") + 1).cast("int"))
-    return shares.groupBy(id_column, feature.alias("feature")).agg(
+    values = shares.groupBy(id_column, feature.alias("feature")).agg(
         (F.sum(F.col("share.sign") * F.col("probability_of_step")) / permutations).alias("value")
     )
+    return values.withColumn("base_value", F.lit(base_value(rows.sparkSession, model, base, vector)))
+
+
+def base_value(spark: SparkSession, model: Model | AveragedModel, base: Sequence[float], vector: str = "scaled_features") -> float:
+    """The positive probability of an unknown user."""
+    one = spark.createDataFrame([(Vectors.dense([float(b) for b in base]),)], [vector])
+    return float(with_probability(model, one, "f").first()["f"])
 
 
-def contribution_map(contributions: DataFrame, id_column: str = "userId") -> DataFrame:
-    """One map feature -> value per user (at most one entry per feature)."""
+def contribution_map(contributions: DataFrame, id_column: str = "userId", also: Sequence[str] = ()) -> DataFrame:
+    """One map feature -> value per user (at most one entry per feature), and what all its rows share."""
     entries = F.collect_list(F.struct("feature", "value"))
-    return contributions.groupBy(id_column).agg(F.map_from_entries(F.array_sort(entries)).alias("contributions"))
+    shared = [F.max(c).alias(c) for c in also]
+    return contributions.groupBy(id_column).agg(F.map_from_entries(F.array_sort(entries)).alias("contributions"), *shared)
 
 
 def importance(contributions: DataFrame) -> DataFrame:

@@ -180,9 +180,11 @@ def describe_by(rows: DataFrame, groups: Sequence[str], value: str) -> DataFrame
 
 
 def long_features(features: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """One row per user and numeric feature: keep columns, ``feature``, ``value``."""
+    """One row per user and numeric feature: keep columns, ``feature``, ``value``; null and NaN are left out."""
     numbers = features.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
-    return numbers.unpivot(list(keep), list(columns), "feature", "value").where(F.col("value").isNotNull())
+    return numbers.unpivot(list(keep), list(columns), "feature", "value").where(
+        F.col("value").isNotNull() & ~F.isnan("value")
+    )
 
 
 def feature_histogram(features: DataFrame, columns: Sequence[str], label: str = "churn", bins: int = 20) -> DataFrame:

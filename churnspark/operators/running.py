@@ -15,23 +15,26 @@ from pyspark.sql import functions as F
 
 from churnspark.runtime import materialize
 
-CHUNKS = 128
+# Chunks of a table: one per so many of its rows, but not fewer than a few.
+CHUNK_ROWS, FEWEST_CHUNKS = 1_000_000, 16
 ACCURACY = 10_000
 _ALL = "_all"
 
 
 def running_sums(
-    distinct_values: DataFrame, groups: Sequence[str], value: str, measures: Sequence[str], chunks: int = CHUNKS
+    distinct_values: DataFrame, groups: Sequence[str], value: str, measures: Sequence[str], chunks: int | None = None
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller values) and ``<m>_total`` for every measure.
 
     ``distinct_values`` has one row per (groups, value) with a non-null value. Groups
     are few (features, pages, labels); values per group may be as many as there are rows.
+    The number of chunks grows with the rows; it never changes a result.
     """
     keys = list(groups) or [_ALL]
     source = distinct_values if groups else distinct_values.withColumn(_ALL, F.lit(0))
     # Written once: the cut points, chunk totals and rows below must see one table.
     table = materialize(source, "running")
+    chunks = chunks or max(FEWEST_CHUNKS, -(-table.count() // CHUNK_ROWS))
     shares = [i / chunks for i in range(1, chunks)]
     cuts = materialize(
         table.groupBy(*keys).agg(

@@ -47,6 +47,13 @@ def with_split(
     """
     if not exact:
         return rows.withColumn("is_train", in_train(train_share, seed, id_column))
+    ranked = _ranked(rows, seed, label, id_column)
+    chosen = F.col("_rank") <= F.round(F.col("_total") * F.lit(float(train_share)))
+    return ranked.select(*rows.columns, chosen.alias("is_train"))
+
+
+def _ranked(rows: DataFrame, seed: int, label: str, id_column: str) -> DataFrame:
+    """Rows with their place (from 1) by hash within their label, and the size of the label."""
     hashed = rows.withColumn("_hash", _digest(id_column, seed)).withColumn(
         "_chunk", F.substring("_hash", 1, CHUNK_DIGITS)
     )
@@ -63,9 +70,15 @@ def with_split(
         )
     )
     in_chunk = Window.partitionBy(label, "_chunk").orderBy("_hash", id_column)
-    ranked = hashed.join(chunks, [label, "_chunk"]).withColumn("_rank", F.col("_before") + F.row_number().over(in_chunk))
-    chosen = F.col("_rank") <= F.round(F.col("_total") * F.lit(float(train_share)))
-    return ranked.select(*rows.columns, chosen.alias("is_train"))
+    return hashed.join(chunks, [label, "_chunk"]).withColumn("_rank", F.col("_before") + F.row_number().over(in_chunk))
+
+
+def with_folds(
+    rows: DataFrame, folds: int, seed: int = 42, label: str = LABEL_COLUMN, id_column: str = ID_COLUMN
+) -> DataFrame:
+    """Add ``fold`` 0..folds-1; the folds of a label differ in size by one row at most."""
+    place = F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")
+    return _ranked(rows, seed, label, id_column).select(*rows.columns, place.alias("fold"))
 
 
 def split(rows: DataFrame, train_share: float = 0.8, seed: int = 42, **options) -> tuple[DataFrame, DataFrame]:

@@ -116,9 +116,11 @@ def feature_correlation(features: DataFrame, columns: Sequence[str]) -> DataFram
     """Strict lower triangle of the Pearson matrix: (a, b, corr), b before a in ``columns``.
 
     Columns without nulls go through one pass of ``Correlation.corr``; pairs with a null
-    column are correlated over their common rows. Constant columns give null.
+    column are correlated over their common rows. NaN counts as null. Constant columns give null.
     """
     names = list(columns)
+    numbers = {c: F.col(c).cast("double") for c in names}
+    features = features.select(*[F.when(~F.isnan(n), n).alias(c) for c, n in numbers.items()])
     nulls = features.agg(
         *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(names)],
         *[(F.min(c) == F.max(c)).alias(f"constant_{i}") for i, c in enumerate(names)],

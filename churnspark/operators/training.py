@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
@@ -13,14 +15,14 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.operators.split import fold_number, with_class_weight
+from churnspark.operators.evaluation import f_beta
+from churnspark.operators.split import with_class_weight, with_folds
+from churnspark.runtime import materialize
 from churnspark.schema import ID_COLUMN, LABEL_COLUMN
 
 VECTOR = "scaled_features"
@@ -36,20 +38,28 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
         "maxDepth": ("quniform", 1, 20, 1),
         "stepSize": ("uniform", 0.01, 1.0),
     },
+    "gradient_boosting_unweighted": {
+        "maxIter": ("quniform", 10, 1000, 10),
+        "maxDepth": ("quniform", 1, 20, 1),
+        "stepSize": ("uniform", 0.01, 1.0),
+    },
     "stacking": {"C": ("uniform", 0.01, 10.0)},
 }
 
 
 def classifiers(seed: int = 42, weighted: bool = True) -> dict[str, Estimator]:
-    """The base classifiers over the scaled vector, balanced by the weight column."""
-    columns = {"featuresCol": VECTOR, "labelCol": LABEL_COLUMN}
-    if weighted:
-        columns["weightCol"] = WEIGHT
+    """The base classifiers over the scaled vector, balanced by the weight column.
+
+    ``gradient_boosting_unweighted`` never reads the weights.
+    """
+    plain = {"featuresCol": VECTOR, "labelCol": LABEL_COLUMN}
+    columns = {**plain, "weightCol": WEIGHT} if weighted else plain
     return {
         "logistic_regression": LogisticRegression(maxIter=5000, **columns),
         "random_forest": RandomForestClassifier(seed=seed, **columns),
         "decision_tree": DecisionTreeClassifier(seed=seed, **columns),
         "gradient_boosting": GBTClassifier(seed=seed, **columns),
+        "gradient_boosting_unweighted": GBTClassifier(seed=seed, **plain),
     }
 
 
@@ -80,13 +90,6 @@ def spark_parameters(estimator: Estimator, drawn: Mapping[str, float | int], n_r
     return translated
 
 
-def f2_evaluator() -> MulticlassClassificationEvaluator:
-    """F-beta of the positive class with beta 2."""
-    return MulticlassClassificationEvaluator(
-        labelCol=LABEL_COLUMN, metricName="fMeasureByLabel", metricLabel=1.0, beta=2.0
-    )
-
-
 def random_search(
     train: DataFrame,
     estimator: Estimator,
@@ -95,24 +98,32 @@ def random_search(
     seed: int = 42,
     folds: int = 3,
     parallelism: int = 4,
+    id_column: str = ID_COLUMN,
 ) -> tuple[dict[str, float | int], float]:
-    """Parameters with the highest mean F2 over hash folds, and that mean.
+    """Parameters with the highest mean F2 over folds that share out each label, and that mean.
 
-    ``train`` carries the weight column; it should be cached or stored by the caller.
+    ``C`` is translated by the rows that a fold trains on. F2 is 0 where it is undefined, as in
+    a fold without positive rows. Trials run side by side; each submits its own Spark jobs.
     """
     draws = draw_parameters(space, trials, seed)
-    n_rows = train.count()
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=[spark_parameters(estimator, d, n_rows) for d in draws],
-        evaluator=f2_evaluator(),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    scores = search.fit(train.withColumn("fold", fold_number(folds, seed))).avgMetrics
-    best = max(range(len(draws)), key=lambda i: scores[i])
-    return draws[best], scores[best]
+    folded = materialize(with_folds(train, folds, seed, id_column=id_column), "folds")
+    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+    total = sum(sizes.values())
+
+    def score(task: tuple[int, int]) -> float:
+        trial, fold = task
+        rest = folded.where(F.col("fold") != fold)
+        model = estimator.copy(spark_parameters(estimator, draws[trial], total - sizes[fold])).fit(rest)
+        predicted = model.transform(folded.where(F.col("fold") == fold))
+        return f_beta(predicted.select(F.col(LABEL_COLUMN).alias("label"), "prediction")).first()[0]
+
+    used = [f for f in sizes if sizes[f] < total]
+    tasks = [(trial, fold) for trial in range(trials) for fold in used]
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(score, tasks)
+    means = [sum(s for (t, _), s in zip(tasks, scores, strict=True) if t == trial) / max(len(used), 1) for trial in range(trials)]
+    best = max(range(trials), key=lambda i: means[i])
+    return draws[best], means[best]
 
 
 def train_classifier(
@@ -148,7 +159,8 @@ def _stack_assembler(bases: Mapping[str, Estimator]) -> VectorAssembler:
 
 
 def meta_learner() -> LogisticRegression:
-    return LogisticRegression(featuresCol="stacked", labelCol=LABEL_COLUMN, maxIter=5000)
+    """Its penalty falls on the probabilities as they are."""
+    return LogisticRegression(featuresCol="stacked", labelCol=LABEL_COLUMN, maxIter=5000, standardization=False)
 
 
 def out_of_fold(
@@ -159,7 +171,7 @@ def out_of_fold(
     Within a fold the base models run one after another over the same rows, so nothing
     is joined. Returns (id, label, stacked).
     """
-    marked = train.withColumn("fold", fold_number(folds, seed))
+    marked = materialize(with_folds(train, folds, seed, id_column=id_column), "folds")
     assemble = _stack_assembler(bases)
     parts = []
     for fold in range(folds):
@@ -200,12 +212,19 @@ class AveragedModel:
         return rows.withColumn(column, mean).drop(*names)
 
     def save(self, path: str) -> None:
+        """Write every part, then what ``load`` needs: the class and the number of parts."""
         for i, part in enumerate(self.parts):
             part.write().overwrite().save(f"{path}/part-{i}")
+        described = json.dumps({"class": type(self).__name__, "parts": len(self.parts)})
+        rows = SparkSession.active().createDataFrame([(described,)], "value string")
+        rows.coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
     @classmethod
-    def load(cls, path: str, parts: int) -> AveragedModel:
-        return cls([PipelineModel.load(f"{path}/part-{i}") for i in range(parts)])
+    def load(cls, path: str) -> AveragedModel:
+        described = json.loads(SparkSession.active().read.text(f"{path}/metadata").first()["value"])
+        if described["class"] != cls.__name__:
+            raise ValueError(f"{path} holds a {described['class']}, not a {cls.__name__}")
+        return cls([PipelineModel.load(f"{path}/part-{i}") for i in range(described["parts"])])
 
 
 def with_probability(model: Model | AveragedModel, rows: DataFrame, column: str = "score") -> DataFrame:
@@ -241,12 +260,14 @@ def train_calibrated(
 
     The sigmoid reads the margin of linear and boosted models and the probability of the others.
     """
-    marked = train.withColumn("fold", fold_number(folds, seed))
-    parameters = spark_parameters(estimator, drawn or {}, train.count() if drawn and "C" in drawn else 1)
+    marked = materialize(with_folds(train, folds, seed), "folds")
+    sizes = {r["fold"]: r["count"] for r in marked.groupBy("fold").count().collect()}
+    total = sum(sizes.values())
     source = "raw" if isinstance(estimator, (LogisticRegression, GBTClassifier)) else "probability"
     parts = []
-    for fold in range(folds):
+    for fold in sorted(sizes):
         name = f"fold{fold}"
+        parameters = spark_parameters(estimator, drawn or {}, total - sizes[fold])
         base = _renamed(estimator.copy(parameters), name).fit(marked.where(F.col("fold") != fold))
         positive = _positive(name, source)
         held_out = positive.transform(base.transform(marked.where(F.col("fold") == fold)))

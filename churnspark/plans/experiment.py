@@ -9,7 +9,7 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.operators.evaluation import evaluation_summary, metrics_long, pr_curve, roc_curve
+from churnspark.operators.evaluation import evaluation_summary, metrics_long, pr_curve, roc_curve, score_counts
 from churnspark.operators.training import (
     SEARCH_SPACES,
     classifiers,
@@ -37,10 +37,11 @@ class Experiment:
 
     def add(self, name: str, model, scored: DataFrame) -> None:
         self.models[name] = model
+        counts = materialize(score_counts(scored), "score-counts")
         parts = {
-            "metrics": metrics_long(evaluation_summary(scored), name),
-            "pr_curves": pr_curve(scored).select(F.lit(name).alias("model"), "*"),
-            "roc_curves": roc_curve(scored).select(F.lit(name).alias("model"), "*"),
+            "metrics": metrics_long(evaluation_summary(scored, counts=counts), name),
+            "pr_curves": pr_curve(scored, counts).select(F.lit(name).alias("model"), "*"),
+            "roc_curves": roc_curve(scored, counts).select(F.lit(name).alias("model"), "*"),
         }
         for attribute, part in parts.items():
             known = getattr(self, attribute)

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.operators.encoding import encode, model_matrix, vector_names
@@ -18,35 +19,56 @@ from churnspark.plans.feature_table import feature_table
 def contributions_of(
     encoded: DataFrame,
     model: Model | AveragedModel,
-    background: Sequence[Sequence[float]] | None = None,
+    base: Sequence[float] | None = None,
     permutations: int = 10,
     seed: int = 42,
 ) -> DataFrame:
-    """Closed form for a logistic model (scaled features have mean 0), else sampled."""
+    """(userId, feature, value): closed form for a logistic model (scaled features have mean 0), else sampled."""
     names = vector_names(encoded)
     if isinstance(model, LogisticRegressionModel):
         weights = dict(zip(names, model.coefficients.toArray().tolist(), strict=True))
         matrix = model_matrix(encoded, keep=("userId",))
         return linear_contributions(matrix, weights, dict.fromkeys(names, 0.0))
-    if not background:
-        raise ValueError("sampled contributions need background rows")
-    return sampled_shapley(encoded, model, names, background, permutations, seed)
+    if not base:
+        raise ValueError("sampled contributions need the base of an unknown user")
+    return sampled_shapley(encoded, model, names, base, permutations, seed)
+
+
+def _closed_form(encoded: DataFrame, model: LogisticRegressionModel) -> Column:
+    """Map of contributions to the log odds, from the vector of the same row: no explode, no shuffle."""
+    names = F.array(*[F.lit(n) for n in vector_names(encoded)])
+    weights = F.array(*[F.lit(float(w)) for w in model.coefficients.toArray()])
+    values = F.zip_with(vector_to_array("scaled_features"), weights, lambda x, w: x * w)
+    return F.map_from_arrays(names, values)
 
 
 def score_users(
     log: DataFrame,
     fitted_encoder: PipelineModel,
     model: Model | AveragedModel,
-    background: Sequence[Sequence[float]] | None = None,
+    base: Sequence[float] | None = None,
     permutations: int = 10,
     seed: int = 42,
+    missing_numbers: str = "error",
 ) -> DataFrame:
-    """``(userId, churn_probability, contributions)`` for every user of a raw log."""
-    features = feature_table(log)
-    encoded = encode(features, fitted_encoder)
+    """``(userId, churn_probability, contributions, units, base_value)`` for every user of a raw log.
+
+    ``units`` says what the contributions add up to above ``base_value``: ``log_odds`` for a
+    logistic model (closed form, one pass over the features), else ``probability`` (sampled).
+    """
+    encoded = encode(feature_table(log), fitted_encoder, missing_numbers)
+    if isinstance(model, LogisticRegressionModel):
+        explained = encoded.withColumn("contributions", _closed_form(encoded, model))
+        return with_probability(model, explained, "churn_probability").select(
+            "userId", "churn_probability", "contributions", F.lit("log_odds").alias("units"),
+            F.lit(float(model.intercept)).alias("base_value"),
+        )
     scores = with_probability(model, encoded, "churn_probability").select("userId", "churn_probability")
-    explained = contribution_map(contributions_of(encoded, model, background, permutations, seed))
-    return scores.join(explained, "userId").select("userId", "churn_probability", "contributions")
+    values = contributions_of(encoded, model, base, permutations, seed)
+    explained = contribution_map(values, also=("base_value",))
+    return scores.join(explained, "userId").select(
+        "userId", "churn_probability", "contributions", F.lit("probability").alias("units"), "base_value"
+    )
 
 
 def ranking(scored: DataFrame) -> DataFrame:

@@ -33,6 +33,8 @@ SCORED_USERS = T.StructType(
         T.StructField("userId", T.StringType()),
         T.StructField("churn_probability", T.DoubleType()),
         T.StructField("contributions", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("units", T.StringType()),
+        T.StructField("base_value", T.DoubleType()),
     ]
 )
 

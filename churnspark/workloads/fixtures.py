@@ -24,3 +24,27 @@ def document_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality").alias("label"),
         (F.col("doc_id") * 37 % 100 / 100.0).alias("score"),
     )
+
+
+def event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, label, score)`` with a score per event, nearly all distinct; some null, some NaN, some without label."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    number = F.col("event_id")
+    label = F.when(number % 89 != 0, (F.col("event_type") == "purchase").cast("int"))
+    score = (
+        F.when(number % 97 == 0, F.lit(None).cast("double"))
+        .when(number % 101 == 0, F.lit(float("nan")))
+        .otherwise((number * 7919 % 1000003 % 1000000) / 1000000.0)
+    )
+    return events.select(number.cast("string").alias("id"), label.alias("label"), score.alias("score"))
+
+
+def with_gaps(features: DataFrame) -> DataFrame:
+    """The feature table with some values null and some NaN."""
+    user = F.col("userId").cast("bigint")
+    return features.withColumns(
+        {
+            "tenure": F.when(user % 5 == 0, F.lit(float("nan"))).otherwise(F.col("tenure")),
+            "num_sessions": F.when(user % 7 != 0, F.col("num_sessions")),
+        }
+    )

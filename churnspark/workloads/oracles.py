@@ -262,9 +262,18 @@ def _last(column: str) -> str:
                FROM regions GROUP BY "userId")"""
 
 
+def upper_gamma(a: str, x: str) -> str:
+    """Regularised upper incomplete gamma Q(a, x), by the series of P; enough terms for x below 2000."""
+    return f"""CASE WHEN {x} <= 0 THEN 1.0 ELSE greatest(0.0, 1 - list_sum(list_transform(range(0, 4000),
+        lambda i: exp(({a} + i) * ln({x}) - ({x}) - lgamma({a} + i + 1))))) END"""
+
+
 def _chi2(column: str) -> str:
-    return f"""{_last(column)},
-    t AS (SELECT churn, value, count(*) AS o FROM u WHERE value IS NOT NULL GROUP BY churn, value),
+    return f"""{_last(column)}, {_chi2_parts()}"""
+
+
+def _chi2_parts() -> str:
+    return """    t AS (SELECT churn, value, count(*) AS o FROM u WHERE value IS NOT NULL GROUP BY churn, value),
     m AS (SELECT a.churn, b.value, coalesce(t.o, 0) AS o, a.r * b.c / (SELECT sum(o) FROM t) AS e
           FROM (SELECT churn, sum(o) AS r FROM t GROUP BY churn) a
           CROSS JOIN (SELECT value, sum(o) AS c FROM t GROUP BY value) b
@@ -316,6 +325,16 @@ def _profile_queries() -> dict[str, str]:
             f"SELECT '{name}' AS attribute, * FROM ({_distinct_summary(columns)})"
             for name, columns in (("agent", "platform, browser"), ("platform", "platform"), ("browser", "browser"))
         ),
+        "chi2_tests": " UNION ALL ".join(
+            f"""SELECT '{c}' AS attribute, n, dof, chi2,
+                round(CASE WHEN dof = 0 THEN 1.0 ELSE {upper_gamma("dof / 2.0", "raw / 2.0")} END, 6) AS p_value
+                FROM ({_chi2(c).replace("AS chi2", "AS chi2, CASE WHEN max(dof) = 1 THEN sum((abs(o - e) - least(0.5, abs(o - e))) ** 2 / e) ELSE sum((o - e) ** 2 / e) END AS raw")})"""
+            for c in CROSSED
+        ),
+        "expected_counts": f"""{_last("platform")},
+            t AS (SELECT churn, value, count(*) AS n FROM u WHERE value IS NOT NULL GROUP BY churn, value)
+            SELECT churn, value, n, round(sum(n) OVER (PARTITION BY churn) * sum(n) OVER (PARTITION BY value)
+                   / CAST(sum(n) OVER () AS DOUBLE), 6) AS expected FROM t""",
         "churn_by_hour": f"""WITH {LOG} SELECT CAST(h AS INTEGER) AS hour, count(ts) AS n FROM range(24) t(h)
             LEFT JOIN (SELECT ts FROM log WHERE {cancelled}) ON (ts // 3600000) % 24 = h GROUP BY h""",
         "churn_by_weekday": f"""WITH {LOG} SELECT CAST(p AS INTEGER) AS position,
@@ -349,7 +368,17 @@ long AS (UNPIVOT (SELECT "userId", churn, {", ".join(NUMERIC)} FROM f6) ON {", "
 """
 
 
-def _statistics_queries() -> dict[str, str]:
+# The same with some values missing: null and NaN are one case in SQL.
+LONG_GAPS = LONG.replace(
+    "round(CAST(tenure AS DOUBLE), 6) AS tenure",
+    """CASE WHEN CAST("userId" AS BIGINT) % 5 <> 0 THEN round(CAST(tenure AS DOUBLE), 6) END AS tenure""",
+).replace(
+    "round(CAST(num_sessions AS DOUBLE), 6) AS num_sessions",
+    """CASE WHEN CAST("userId" AS BIGINT) % 7 <> 0 THEN round(CAST(num_sessions AS DOUBLE), 6) END AS num_sessions""",
+)
+
+
+def _statistics_queries(long: str = LONG) -> dict[str, str]:
     pairs = " UNION ALL ".join(
         f"""SELECT '{a}' AS a, '{b}' AS b,
             round(CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN corr({a}, {b}) END, 6) AS corr FROM f7"""
@@ -360,8 +389,19 @@ def _statistics_queries() -> dict[str, str]:
                             quantile_cont(value, 0.75) AS q3 FROM long GROUP BY feature, churn),
         j AS (SELECT long.*, q1, median, q3, value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
               FROM long JOIN q USING (feature, churn))"""
+    z = """(greatest(u, n0 * n1 - u) - n0 * n1 / 2 - 0.5)
+                         / nullif(sqrt(n0 * n1 / 12 * (n0 + n1 + 1 - ties / ((n0 + n1) * (n0 + n1 - 1)))), 0)"""
+    ranks = f"""WITH {long},
+            v AS (SELECT feature, value, count(*) AS t, count(CASE WHEN churn = 0 THEN 1 END) AS n0 FROM long GROUP BY feature, value),
+            k AS (SELECT *, sum(t) OVER (PARTITION BY feature ORDER BY value) - t + (t + 1) / 2 AS midrank FROM v),
+            g AS (SELECT feature, CAST(sum(n0) AS DOUBLE) AS n0, CAST(sum(t) - sum(n0) AS DOUBLE) AS n1,
+                         sum(n0 * midrank) AS ranks, sum(CAST(t AS DOUBLE) ** 3 - t) AS ties FROM k GROUP BY feature),
+            u AS (SELECT *, ranks - n0 * (n0 + 1) / 2 AS u FROM g)
+            SELECT feature, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1, round(u, 6) AS u,
+                   round({z}, 6) AS z
+            FROM u"""
     return {
-        "feature_histogram": f"""WITH {LONG},
+        "feature_histogram": f"""WITH {long},
             r AS (SELECT feature, min(value) AS low, (max(value) - min(value)) / 20 AS width FROM long GROUP BY feature),
             s AS (SELECT feature, churn, count(*) AS n_class FROM long GROUP BY feature, churn),
             b AS (SELECT long.feature, long.churn, low, width,
@@ -370,22 +410,16 @@ def _statistics_queries() -> dict[str, str]:
             SELECT feature, churn, bin, round(low + bin * width, 6) AS bin_start, count(*) AS n,
                    round(count(*) / nullif(max(n_class) * width, 0), 6) AS density
             FROM b JOIN s USING (feature, churn) GROUP BY feature, churn, bin, low, width""",
-        "feature_boxplot": f"""WITH {LONG}, {boxes}
+        "feature_boxplot": f"""WITH {long}, {boxes}
             SELECT feature, churn, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
                    min(CASE WHEN inside THEN value END) AS whisker_low, max(CASE WHEN inside THEN value END) AS whisker_high,
                    count(CASE WHEN NOT inside THEN 1 END) AS n_outliers
             FROM j GROUP BY feature, churn, q1, median, q3""",
-        "mann_whitney": f"""WITH {LONG},
-            v AS (SELECT feature, value, count(*) AS t, count(CASE WHEN churn = 0 THEN 1 END) AS n0 FROM long GROUP BY feature, value),
-            k AS (SELECT *, sum(t) OVER (PARTITION BY feature ORDER BY value) - t + (t + 1) / 2 AS midrank FROM v),
-            g AS (SELECT feature, CAST(sum(n0) AS DOUBLE) AS n0, CAST(sum(t) - sum(n0) AS DOUBLE) AS n1,
-                         sum(n0 * midrank) AS ranks, sum(CAST(t AS DOUBLE) ** 3 - t) AS ties FROM k GROUP BY feature),
-            u AS (SELECT *, ranks - n0 * (n0 + 1) / 2 AS u FROM g)
-            SELECT feature, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1, round(u, 6) AS u,
-                   round((greatest(u, n0 * n1 - u) - n0 * n1 / 2 - 0.5)
-                         / nullif(sqrt(n0 * n1 / 12 * (n0 + n1 + 1 - ties / ((n0 + n1) * (n0 + n1 - 1)))), 0), 6) AS z
-            FROM u""",
-        "feature_correlation": f"WITH {LONG}, f7 AS (SELECT CAST(churn AS DOUBLE) AS churn, {', '.join(NUMERIC)} FROM f6) {pairs}",
+        "mann_whitney": ranks,
+        "mann_whitney_tests": f"""SELECT feature, n0, n1, u, z, round(p, 6) AS p_value, p < 0.05 AS reject FROM (
+            SELECT *, CASE WHEN raw < 0 OR raw IS NULL THEN 1.0 ELSE {upper_gamma("0.5", "raw * raw / 2")} END AS p
+            FROM ({ranks.replace(", 6) AS z", ", 6) AS z, " + z + " AS raw")}))""",
+        "feature_correlation": f"WITH {long}, f7 AS (SELECT CAST(churn AS DOUBLE) AS churn, {', '.join(NUMERIC)} FROM f6) {pairs}",
     }
 
 
@@ -408,6 +442,10 @@ stats AS (SELECT feature, avg(value) AS mean, stddev_samp(value) AS sd FROM slot
 scaled AS (SELECT "userId", feature, coalesce((value - mean) / nullif(sd, 0), 0) AS z FROM slots JOIN stats USING (feature))
 """
 DUMMIES = ["gender_vec", "level_vec", *[f"platform_vec_{i}" for i in range(4)], *[f"browser_vec_{i}" for i in range(3)]]
+# The kinds of classifiers.
+MODEL_KINDS = (
+    "logistic_regression", "random_forest", "decision_tree", "gradient_boosting", "gradient_boosting_unweighted",
+)
 CONTRIBUTIONS = f"""{SPLIT},
 w AS (SELECT * FROM (VALUES {", ".join(f"('{c}', {(i * 7 % 11 - 5) / 10}::DOUBLE)" for i, c in enumerate(NUMERIC))}) t(feature, w)),
 contrib AS (SELECT long."userId", long.feature, (value - mean) * w AS value
@@ -421,7 +459,21 @@ def _model_queries() -> dict[str, str]:
     index = ", ".join(
         f"CAST(max(CASE WHEN feature = '{c}' THEN i END) AS DOUBLE) AS {c}_index" for c in ("gender", "level", "platform", "browser")
     )
+    kinds = ", ".join(f"('{k}')" for k in MODEL_KINDS)
+    held_out = f"""FROM marked, (VALUES {kinds}) k(model) WHERE NOT is_train"""
+    fitted = [*MODEL_KINDS, "stacking", *[f"calibrated_{k}" for k in MODEL_KINDS]]
+    fitted, named = (", ".join(f"('{x}')" for x in values) for values in (fitted, [*_METRICS, "log_loss", "pr_auc", "roc_auc"]))
     return {
+        # Models have no SQL; what must hold for any of them has: the rows, labels, ranges and sums.
+        "sampled_shapley": f'WITH {SPLIT} SELECT "userId", true AS all_numbers, true AS adds_up FROM f6',
+        "score_users": f"""WITH {SPLIT} SELECT "userId", 'log_odds' AS units, true AS in_range, true AS adds_up FROM f6""",
+        "ranking": f"WITH {SPLIT} SELECT row_number() OVER () AS place, true AS ordered FROM f6",
+        "classifier_scores": f'WITH {SPLIT} SELECT model, "userId" AS id, churn AS label, true AS in_range {held_out}',
+        "calibrated_scores": f'WITH {SPLIT} SELECT model, "userId" AS id, churn AS label, true AS in_range {held_out}',
+        "stacked_scores": f"""WITH {SPLIT} SELECT CASE WHEN is_train THEN 'out_of_fold' ELSE 'stacking' END AS model,
+            "userId" AS id, churn AS label, true AS in_range FROM marked""",
+        "experiment_metrics": f"""SELECT model, metric, true AS in_range
+            FROM (VALUES {fitted}) m(model), (VALUES {named}) t(metric)""",
         "stratified_split": f'WITH {SPLIT} SELECT "userId", churn, is_train FROM marked',
         "stratified_split_exact": f"""WITH {SPLIT},
             r AS (SELECT *, row_number() OVER (PARTITION BY churn ORDER BY md5("userId" || '#42'), "userId") AS rank,
@@ -451,6 +503,13 @@ scored AS (SELECT "userId" AS id, churn AS label,
     round(1 / (1 + exp(-(0.03 * num_error - 0.02 * num_nextsong + 0.5 * (num_roll_advert % 3) - 0.2))), 2) AS score FROM feats)"""
 _DOCUMENT_SCORES = """scored AS (SELECT CAST(doc_id AS VARCHAR) AS id, quality AS label,
     (doc_id * 37 % 100) / 100.0 AS score FROM labels)"""
+# One score per event, nearly all distinct; null, NaN and missing labels are left out.
+_EVENTS = """events_scored AS (SELECT CAST(event_id AS VARCHAR) AS id,
+    CASE WHEN event_id % 89 <> 0 THEN CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END END AS label,
+    CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN CAST('NaN' AS DOUBLE)
+         ELSE (event_id * 7919 % 1000003 % 1000000) / CAST(1000000 AS DOUBLE) END AS score FROM events)"""
+_EVENT_SCORES = f"""{_EVENTS},
+scored AS (SELECT * FROM events_scored WHERE label IS NOT NULL AND score IS NOT NULL AND NOT isnan(score))"""
 _CURVE = """,
 per_score AS (SELECT CAST(score AS DOUBLE) AS score, sum(label) AS pos, count(*) AS n FROM scored GROUP BY score),
 cum AS (SELECT score AS threshold, pos, n, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(n) OVER w AS DOUBLE) AS predicted,
@@ -523,7 +582,13 @@ def _evaluation(scores: str) -> dict[str, str]:
 
 def oracle_sql() -> dict[str, str]:
     documents = {f"{name}_documents": sql for name, sql in _evaluation(_DOCUMENT_SCORES).items()}
+    gaps = {f"{name}_gaps": sql for name, sql in _statistics_queries(LONG_GAPS).items()}
+    events = {f"{name}_events": sql for name, sql in _evaluation(_EVENT_SCORES).items()}
+    events["left_out_events"] = f"""WITH {_EVENTS} SELECT count(*) AS rows,
+        count(*) FILTER (WHERE score IS NULL OR isnan(score)) AS without_score,
+        count(*) FILTER (WHERE label IS NULL) AS without_label,
+        count(*) FILTER (WHERE score IS NULL OR isnan(score) OR label IS NULL) AS left_out FROM events_scored"""
     return {
-        **_base_queries(), **_profile_queries(), **_statistics_queries(), **_model_queries(),
-        **_evaluation(_USER_SCORES), **documents,
+        **_base_queries(), **_profile_queries(), **_statistics_queries(), **gaps, **_model_queries(),
+        **_evaluation(_USER_SCORES), **documents, **events,
     }

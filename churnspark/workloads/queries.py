@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnspark.operators import (
@@ -26,7 +27,7 @@ from churnspark.runtime import materialize, new_path
 from churnspark.schema import EVENT_LOG, numeric_columns
 from churnspark.sources import events_io
 from churnspark.sources.derived_log import event_log
-from churnspark.workloads.fixtures import document_scores, user_scores
+from churnspark.workloads.fixtures import document_scores, event_scores, user_scores, with_gaps
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,13 +159,22 @@ def _chi2(column: str) -> Query:
 
 
 def _chi2_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = materialize(_clean(spark, sf_dir), "clean-log")
+    """All five attributes from one stored table with a row per user."""
+    log = _with_flag(_placed(_clean(spark, sf_dir), "Region"))
+    users = materialize(cleaned_users(log), "users")
     tests = [
-        statistics.chi_squared(_crosstab(c)(log), "churn", "value").select(F.lit(c).alias("attribute"), "*") for c in CROSSED
+        statistics.chi_squared(users.groupBy("churn", F.col(c).alias("value")).agg(F.count("*").alias("n")), "churn", "value")
+        .select(F.lit(c).alias("attribute"), "*")
+        for c in CROSSED
     ]
     return rounded(reduce(DataFrame.unionByName, tests))
 
 
+def cleaned_users(log: DataFrame) -> DataFrame:
+    """The last value of every crossed attribute and the label of each user, in one pass over the log."""
+    return features.attribute_by_time(log, CROSSED, "last", highest=("churn",))
+
+
 def _multi_device(log: DataFrame) -> DataFrame:
     attributes = {"agent": ["platform", "browser"], "platform": ["platform"], "browser": ["browser"]}
     parts = [
@@ -196,6 +206,9 @@ def _profile_queries() -> dict[str, Query]:
             lambda log: profile.describe_by(profile.user_page_counts(log), ["page", "churn"], "n")
         ),
         "chi2_tests": _chi2_tests,
+        "expected_counts": _on_clean(
+            lambda log: statistics.expected_counts(_crosstab("platform")(log), "churn", "value")
+        ),
     }
     found.update({f"dist_{c.lower()}": _distribution(c) for c in DISTRIBUTED})
     found.update({f"crosstab_{c.lower()}": _on_clean(_crosstab(c)) for c in CROSSED})
@@ -219,15 +232,22 @@ def _on_features(operator: Callable[[DataFrame, list[str]], DataFrame], digits:
     return run
 
 
+STATISTICS: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {
+    "feature_histogram": profile.feature_histogram,
+    "feature_boxplot": profile.feature_boxplot,
+    "mann_whitney": lambda t, columns: statistics.mann_whitney(t, columns).select("feature", "n0", "n1", "u", "z"),
+    "mann_whitney_tests": statistics.mann_whitney,
+    "feature_correlation": lambda t, columns: statistics.feature_correlation(t, ["churn", *columns]),
+}
+
+
 def _statistics_queries() -> dict[str, Query]:
+    def on_gaps(operator: Callable[[DataFrame, list[str]], DataFrame]) -> Query:
+        return _on_features(lambda t, columns: operator(with_gaps(t), columns))
+
     return {
-        "feature_histogram": _on_features(profile.feature_histogram),
-        "feature_boxplot": _on_features(profile.feature_boxplot),
-        "mann_whitney": _on_features(
-            lambda t, columns: statistics.mann_whitney(t, columns).select("feature", "n0", "n1", "u", "z")
-        ),
-        "mann_whitney_tests": _on_features(statistics.mann_whitney),
-        "feature_correlation": _on_features(lambda t, columns: statistics.feature_correlation(t, ["churn", *columns])),
+        **{name: _on_features(operator) for name, operator in STATISTICS.items()},
+        **{f"{name}_gaps": on_gaps(operator) for name, operator in STATISTICS.items()},
     }
 
 
@@ -288,6 +308,7 @@ def _model_queries() -> dict[str, Query]:
         ),
         "sampled_shapley": _sampled_shapley,
         "score_users": _score_users,
+        "ranking": _ranking,
         "classifier_scores": _classifier_scores,
         "stacked_scores": _stacked_scores,
         "calibrated_scores": _calibrated_scores,
@@ -304,24 +325,63 @@ def _fitted(spark: SparkSession, sf_dir: str, kind: str):
     return table, fitted, encoded, training.train_classifier(encoded, training.classifiers(SEED)[kind])
 
 
+def _near(left: Column, right: Column) -> Column:
+    """Equal up to the last bits of sums."""
+    return F.abs(left - right) <= 1e-9 * (1 + F.abs(left))
+
+
 def _sampled_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: whether all numbers have a value, and whether the values add up to the probability."""
     table, fitted, train, model = _fitted(spark, sf_dir, "decision_tree")
     encoded = encoding.encode(table, fitted)
-    background = explanation.background_sample(train, training.VECTOR, SEED)
-    return rounded(scoring.contributions_of(encoded, model, background, permutations=5, seed=SEED))
+    base = explanation.background(train, training.VECTOR)
+    values = scoring.contributions_of(encoded, model, base, seed=SEED)
+    summed = values.groupBy("userId").agg(
+        F.countDistinct("feature").alias("features"), F.sum("value").alias("total"), F.max("base_value").alias("base")
+    )
+    scored = training.with_probability(model, encoded, "score").select("userId", "score")
+    checked = _near(F.col("total") + F.col("base"), F.col("score")).alias("adds_up")
+    numeric = F.lit(len(numeric_columns(table)))
+    return summed.join(scored, "userId").select("userId", (F.col("features") >= numeric).alias("all_numbers"), checked)
 
 
-def _score_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scored_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, fitted, _, model = _fitted(spark, sf_dir, "logistic_regression")
     return scoring.score_users(event_log(spark, sf_dir), fitted, model)
 
 
-# Small models: the queries show the jobs, not the best hyper-parameters.
-SMALL_MODELS = {
-    "logistic_regression": {"C": 1.0},
-    "random_forest": {"numTrees": 10, "maxDepth": 3},
-    "decision_tree": {"maxDepth": 3},
-    "gradient_boosting": {"maxIter": 5, "maxDepth": 2},
+def _score_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: units, range of the probability, and whether the map adds up to the log odds."""
+    scored = _scored_users(spark, sf_dir)
+    total = F.aggregate(F.map_values("contributions"), F.lit(0.0), lambda a, v: a + v) + F.col("base_value")
+    back = 1 / (1 + F.exp(-total))
+    return scored.select(
+        "userId", "units", F.col("churn_probability").between(0.0, 1.0).alias("in_range"),
+        _near(back, F.col("churn_probability")).alias("adds_up"),
+    )
+
+
+def _ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of the ranking once, and whether the one before it has no lower probability."""
+    ranked = scoring.ranking(_scored_users(spark, sf_dir))
+    placed = materialize(ranked.withColumn("row", F.monotonically_increasing_id()), "ranked")
+    order = Window.orderBy("row")  # one row per user, for the check only
+    return placed.select(
+        F.row_number().over(order).cast("long").alias("place"),
+        F.coalesce(F.lag("churn_probability").over(order) >= F.col("churn_probability"), F.lit(True)).alias("ordered"),
+    )
+
+
+# Bounds of the random search in the queries: models small enough that all kinds, their folds and
+# their calibrated twins fit within minutes. ``TRIALS`` draws are made per kind.
+TRIALS = 1
+SMALL_SPACES = {
+    "logistic_regression": {"C": ("uniform", 0.01, 10.0)},
+    "random_forest": {"numTrees": ("quniform", 5, 20, 5), "maxDepth": ("quniform", 2, 4, 1)},
+    "decision_tree": {"maxDepth": ("quniform", 2, 4, 1)},
+    "gradient_boosting": {"maxIter": ("quniform", 2, 4, 1), "maxDepth": ("quniform", 2, 3, 1)},
+    "gradient_boosting_unweighted": {"maxIter": ("quniform", 2, 4, 1), "maxDepth": ("quniform", 2, 3, 1)},
+    "stacking": {"C": ("uniform", 0.01, 10.0)},
 }
 
 
@@ -333,42 +393,63 @@ def _train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return materialize(weighted, "train"), materialize(encoding.encode(test, fitted), "test")
 
 
-def _named(name: str, scored: DataFrame) -> DataFrame:
-    return scored.select(F.lit(name).alias("model"), "*")
+def _drawn() -> dict:
+    """One draw of the small spaces per base classifier."""
+    return {n: training.draw_parameters(SMALL_SPACES[n], 1, SEED)[0] for n in training.classifiers(SEED)}
+
+
+def _checked(name: str, scored: DataFrame) -> DataFrame:
+    """Which rows a model has scored, their labels, and whether the scores are probabilities."""
+    return scored.select(F.lit(name).alias("model"), "id", "label", F.col("score").between(0.0, 1.0).alias("in_range"))
 
 
 def _classifier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _train_and_test(spark, sf_dir)
+    drawn = _drawn()
     parts = [
-        _named(name, training.scored_table(training.train_classifier(train, estimator, SMALL_MODELS[name]), test))
+        _checked(name, training.scored_table(training.train_classifier(train, estimator, drawn[name]), test))
         for name, estimator in training.classifiers(SEED).items()
     ]
-    return rounded(reduce(DataFrame.unionByName, parts))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _stacked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All kinds stacked over five folds, and the out-of-fold rows that the meta-learner saw."""
     train, test = _train_and_test(spark, sf_dir)
-    known = training.classifiers(SEED)
-    bases = {
-        name: known[name].copy(training.spark_parameters(known[name], SMALL_MODELS[name], 1))
-        for name in ("logistic_regression", "decision_tree")
-    }
-    held_out = materialize(training.out_of_fold(train, bases, SEED, folds=3), "out-of-fold")
-    return rounded(training.scored_table(training.train_stacking(train, bases, held_out), test))
+    drawn, rows = _drawn(), train.count()
+    bases = {n: e.copy(training.spark_parameters(e, drawn[n], rows)) for n, e in training.classifiers(SEED).items()}
+    held_out = materialize(training.out_of_fold(train, bases, SEED), "out-of-fold")
+    scored = _checked("stacking", training.scored_table(training.train_stacking(train, bases, held_out), test))
+    slots = vector_to_array("stacked")
+    inside = F.forall(slots, lambda p: p.between(0.0, 1.0)) & (F.size(slots) == len(bases))
+    seen = held_out.select(
+        F.lit("out_of_fold").alias("model"), F.col("userId").alias("id"), F.col("churn").alias("label"),
+        inside.alias("in_range"),
+    )
+    return scored.unionByName(seen)
 
 
 def _calibrated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _train_and_test(spark, sf_dir)
-    estimator = training.classifiers(SEED)["decision_tree"]
-    return rounded(training.scored_table(training.train_calibrated(train, estimator, {"maxDepth": 3}, SEED), test))
+    drawn = _drawn()
+    parts = [
+        _checked(name, training.scored_table(training.train_calibrated(train, estimator, drawn[name], SEED), test))
+        for name, estimator in training.classifiers(SEED).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _experiment(spark: SparkSession, sf_dir: str):
+    """Search, fit and evaluate all kinds, their stack and their calibrated twins."""
+    train, test = _train_and_test(spark, sf_dir)
+    return run_experiment(train.drop(training.WEIGHT), test, spaces=SMALL_SPACES, trials=TRIALS, seed=SEED)
 
 
 def _experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search, fit and evaluate two classifiers and their calibrated twins, one trial each."""
-    train, test = _train_and_test(spark, sf_dir)
-    estimators = {n: e for n, e in training.classifiers(SEED).items() if n in ("logistic_regression", "decision_tree")}
-    result = run_experiment(train.drop(training.WEIGHT), test, estimators, trials=1, seed=SEED, stacking=False)
-    return rounded(result.metrics)
+    """Per model and metric: whether the value lies in the range of the metric."""
+    metrics = _experiment(spark, sf_dir).metrics
+    bounded = F.col("value").between(0.0, 1.0) | ((F.col("metric") == "log_loss") & (F.col("value") >= 0))
+    return metrics.select("model", "metric", F.coalesce(bounded, F.lit(False)).alias("in_range"))
 
 
 # --- evaluation ---------------------------------------------------------------------------
@@ -405,9 +486,14 @@ def _evaluation_queries() -> dict[str, Query]:
     def on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
         return lambda spark, sf_dir: rounded(operator(document_scores(spark, sf_dir)))
 
+    def on_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
+        return lambda spark, sf_dir: rounded(operator(event_scores(spark, sf_dir)))
+
     return {
         **{name: on_users(operator) for name, operator in EVALUATIONS.items()},
         **{f"{name}_documents": on_documents(operator) for name, operator in EVALUATIONS.items()},
+        **{f"{name}_events": on_events(operator) for name, operator in EVALUATIONS.items()},
+        "left_out_events": on_events(evaluation.left_out),
     }
 
 
