@@ -2,8 +2,9 @@
 
 No step gathers all events, or all sessions, of one user in one task:
 
-* events are first aggregated per (user, session), or per (user, session, artist),
-  with partial sums in the scan stage;
+* events are first aggregated per (user, session, attributes), or per (user, session,
+  artist), with partial sums in the scan stage; these are the only two shuffles of
+  events, sessions and first attributes follow from the small first table;
 * the gaps between sessions are taken inside (user, hour) groups, and the borders
   between hours on one row per (user, hour);
 * user attributes are grouped by value before the earliest or latest is picked.
@@ -20,9 +21,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.operators.cleaning import churn_event
+from churnspark.runtime import materialize
 from churnspark.schema import CHURN_PAGES, COUNTED_PAGES, LABEL_COLUMN, page_column
 
 SONG_PAGE = "NextSong"
+FIRST_ATTRIBUTES = ("gender", "level", "platform", "browser", "registration")
 MS_PER_HOUR = 3_600_000
 MS_PER_DAY = 86_400_000
 INPUT_COLUMNS = (
@@ -65,26 +68,69 @@ def attribute_by_time(
     of the ``highest`` columns come along in the same pass.
     """
     best = {"first": F.min, "last": F.max}[pick]
+    maxima = [F.max(c).alias(c) for c in highest]
+    by_value = log.groupBy(key, *columns).agg(best(_order_key()).alias("seen"), *maxima)
+    return _picked(by_value, columns, pick, key, highest)
+
+
+def _order_key() -> Column:
+    """Time, then place in the session, as one number."""
     order = F.col("ts").cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)") + F.coalesce(
         "itemInSession", F.lit(0)
     ).cast("decimal(18,0)")
-    maxima = [F.max(c).alias(c) for c in highest]
-    by_value = log.groupBy(key, *columns).agg(best(order.cast("decimal(38,0)")).alias("seen"), *maxima)
-    chosen = by_value.groupBy(key).agg(best(F.struct("seen", *columns)).alias("at"), *maxima)
+    return order.cast("decimal(38,0)")
+
+
+def _picked(
+    by_value: DataFrame, columns: Sequence[str], pick: str = "first", key: str = "userId", highest: Sequence[str] = ()
+) -> DataFrame:
+    """Per user the values seen first or last, from rows per (user, values, ...) with ``seen``."""
+    best = {"first": F.min, "last": F.max}[pick]
+    chosen = by_value.groupBy(key).agg(
+        best(F.struct("seen", *columns)).alias("at"), *[F.max(c).alias(c) for c in highest]
+    )
     return chosen.select(key, *[F.col(f"at.{c}").alias(c) for c in columns], *highest)
 
 
-def session_table(log: DataFrame) -> DataFrame:
-    """One row per (user, session): start, end, label, page counts, listening time."""
+def session_slices(log: DataFrame, attributes: Sequence[str] = FIRST_ATTRIBUTES) -> DataFrame:
+    """One row per (user, session, attribute values), stored: times, label, page counts, listening time.
+
+    The order key ``seen`` of the first event comes along, so that this one pass over the
+    events serves both the sessions and the first attributes of a user.
+    """
+    grouped = log.groupBy("userId", "sessionId", *attributes).agg(
+        F.min(_order_key()).alias("seen"), *_session_aggregates(log)
+    )
+    return materialize(grouped, "slices")
+
+
+def sessions_of(slices: DataFrame) -> DataFrame:
+    """``session_table`` from slices."""
+    counts = [page_column(p) for p in COUNTED_PAGES]
+    return slices.groupBy("userId", "sessionId").agg(
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
+        F.max("churn").alias("churn"),
+        *[F.sum(c).alias(c) for c in counts],
+        F.sum("listened").alias("listened"),
+    )
+
+
+def _session_aggregates(log: DataFrame) -> list[Column]:
     page = F.col("page")
     label = F.col(LABEL_COLUMN) if LABEL_COLUMN in log.columns else churn_event(CHURN_PAGES)
-    return log.groupBy("userId", "sessionId").agg(
+    return [
         F.min("ts").alias("start"),
         F.max("ts").alias("end"),
         F.max(label).alias("churn"),
         *[F.count_if(page == p).alias(page_column(p)) for p in COUNTED_PAGES],
         F.sum(F.when(page == SONG_PAGE, F.col("length"))).alias("listened"),
-    )
+    ]
+
+
+def session_table(log: DataFrame) -> DataFrame:
+    """One row per (user, session): start, end, label, page counts, listening time."""
+    return log.groupBy("userId", "sessionId").agg(*_session_aggregates(log))
 
 
 def activity_per_user(sessions: DataFrame) -> DataFrame:
@@ -204,8 +250,9 @@ def _only_listeners(users: DataFrame, keep_songless: bool) -> DataFrame:
 
 def _user_rows(log: DataFrame) -> DataFrame:
     """Activity, first attributes and artists joined per user (one row on each side)."""
-    activity = activity_per_user(session_table(log))
-    attributes = attribute_by_time(log, ["gender", "level", "platform", "browser", "registration"])
+    slices = session_slices(log)
+    activity = activity_per_user(sessions_of(slices))
+    attributes = _picked(slices, FIRST_ATTRIBUTES)
     return (
         activity.join(attributes, "userId")
         .join(artists_per_user(log), "userId", "left_outer")
@@ -233,8 +280,8 @@ def songs_per_session(log: DataFrame) -> DataFrame:
 
 
 def session_gaps(log: DataFrame) -> DataFrame:
-    registration = attribute_by_time(log, ["registration"])
-    users = activity_per_user(session_table(log)).join(registration, "userId")
+    slices = session_slices(log, ["registration"])
+    users = activity_per_user(sessions_of(slices)).join(_picked(slices, ["registration"]), "userId")
     return users.withColumns(_gap_columns()).select("userId", *_gap_columns())
 
 

@@ -258,14 +258,23 @@ def train_calibrated(
 ) -> AveragedModel:
     """Sigmoid calibration: per fold a classifier on the rest and a sigmoid on the fold.
 
+    Folds share out each label; one whose other rows lack a class is left out.
     The sigmoid reads the margin of linear and boosted models and the probability of the others.
     """
     marked = materialize(with_folds(train, folds, seed), "folds")
-    sizes = {r["fold"]: r["count"] for r in marked.groupBy("fold").count().collect()}
+    by_label = {(r["fold"], r[LABEL_COLUMN]): r["count"] for r in marked.groupBy("fold", LABEL_COLUMN).count().collect()}
+    sizes: dict[int, int] = {}
+    for (fold, _), n in by_label.items():
+        sizes[fold] = sizes.get(fold, 0) + n
     total = sum(sizes.values())
+    labels = {label for _, label in by_label}
+    # A fold is left out if the others lack one of the classes: nothing can be fitted there.
+    usable = [f for f in sizes if all(any(o != f and v == label for o, v in by_label) for label in labels)]
+    if not usable:
+        raise ValueError("every class needs rows in at least two folds")
     source = "raw" if isinstance(estimator, (LogisticRegression, GBTClassifier)) else "probability"
     parts = []
-    for fold in sorted(sizes):
+    for fold in sorted(usable):
         name = f"fold{fold}"
         parameters = spark_parameters(estimator, drawn or {}, total - sizes[fold])
         base = _renamed(estimator.copy(parameters), name).fit(marked.where(F.col("fold") != fold))

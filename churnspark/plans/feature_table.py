@@ -9,11 +9,15 @@ from churnspark.plans.preprocess import clean_log
 from churnspark.runtime import materialize
 
 
-def feature_table(log: DataFrame, keep_songless: bool = False, blank_is_null: bool = False) -> DataFrame:
-    """Clean a raw log and build the feature table, each stored once.
+def feature_table(
+    log: DataFrame, keep_songless: bool = False, blank_is_null: bool = False, store_input: bool = False
+) -> DataFrame:
+    """Clean a raw log and build the stored feature table.
 
-    The feature job scans its log three times, so the twelve columns it needs are
-    written first; a raw JSON log is then parsed only once.
+    The job scans the log twice with pruned columns. ``store_input`` first writes the twelve
+    columns that it needs: for a log that is costly to read twice, such as raw JSON.
     """
-    stored = materialize(feature_inputs(clean_log(log, blank_is_null=blank_is_null)), "clean-log")
-    return materialize(user_features(stored, keep_songless=keep_songless), "features")
+    cleaned = feature_inputs(clean_log(log, blank_is_null=blank_is_null))
+    if store_input:
+        cleaned = materialize(cleaned, "clean-log")
+    return materialize(user_features(cleaned, keep_songless=keep_songless), "features")

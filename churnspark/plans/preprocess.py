@@ -30,6 +30,10 @@ def preprocess(
     blank_is_null: bool = False,
     drop_partial: bool = False,
 ) -> DataFrame:
-    """Clean, flag, parse agents and put the churn label on every event."""
+    """Clean, flag, parse agents and put the churn label on every event.
+
+    The source is scanned twice: once for the churned users, which are stored while the plan
+    is built, once for the events. Store a raw JSON log first.
+    """
     cleaned = clean_log(log, blank_is_null=blank_is_null, drop_partial=drop_partial)
     return cleaned.transform(with_churn_label, pages=churn_pages)

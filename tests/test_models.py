@@ -124,6 +124,7 @@ def test_parameter_draws():
 
 def test_every_classifier_trains_and_scores(train, test):
     small = {"random_forest": {"numTrees": 5, "maxDepth": 3}, "gradient_boosting": {"maxIter": 3, "maxDepth": 2}}
+    small["gradient_boosting_unweighted"] = small["gradient_boosting"]
     for name, estimator in training.classifiers().items():
         model = training.train_classifier(train, estimator, small.get(name, {}))
         scored = training.scored_table(model, test)
@@ -157,7 +158,7 @@ def test_calibrated_model_round_trip(train, test, tmp_path):
     low, high = scored.agg(F.min("score"), F.max("score")).first()
     assert 0.0 < low <= high < 1.0
     model.save(str(tmp_path / "calibrated"))
-    loaded = training.AveragedModel.load(str(tmp_path / "calibrated"), parts=3)
+    loaded = training.AveragedModel.load(str(tmp_path / "calibrated"))
     assert training.scored_table(loaded, test).exceptAll(scored).count() == 0
 
 
@@ -187,18 +188,15 @@ def test_experiment_compares_models(train, test, tmp_path):
 
 def test_sampled_shapley_adds_up(tree, train, test):
     names = encoding.vector_names(test)
-    background = explanation.background_sample(train, training.VECTOR, size=3)
-    assert len(background) == 3
-    values = explanation.sampled_shapley(test, tree, names, background, permutations=6, seed=1)
+    unknown = explanation.background(train, training.VECTOR)
+    assert len(unknown) == len(names)
+    values = explanation.sampled_shapley(test, tree, names, unknown, permutations=6, seed=1)
     sums = {r.userId: r.s for r in values.groupBy("userId").agg(F.sum("value").alias("s")).collect()}
-    spark = test.sparkSession
-    base_rows = spark.createDataFrame([(b,) for b in background], "x array<double>").select(
-        array_to_vector("x").alias(training.VECTOR)
-    )
-    base = training.with_probability(tree, base_rows).agg(F.avg("score")).first()[0]
+    base = values.first().base_value
+    assert base == pytest.approx(explanation.base_value(test.sparkSession, tree, unknown))
     for row in training.with_probability(tree, test).select("userId", "score").collect():
         assert sums[row.userId] == pytest.approx(row.score - base, abs=1e-9)
-    again = explanation.sampled_shapley(test.repartition(3), tree, names, background, permutations=6, seed=1)
+    again = explanation.sampled_shapley(test.repartition(3), tree, names, unknown, permutations=6, seed=1)
     assert {(r.userId, r.feature, round(r.value, 9)) for r in again.collect()} == {
         (r.userId, r.feature, round(r.value, 9)) for r in values.collect()
     }
@@ -227,7 +225,7 @@ def test_sampled_shapley_near_the_exact_values(spark):
             before = probability(current)
             current[j] = x[j]
             exact[j] += (probability(current) - before) / 6
-    got = explanation.sampled_shapley(one, model, ["a", "b", "c"], [base], permutations=400, seed=2)
+    got = explanation.sampled_shapley(one, model, ["a", "b", "c"], base, permutations=400, seed=2)
     values = {r.feature: r.value for r in got.collect()}
     assert [values["a"], values["b"], values["c"]] == pytest.approx(exact, abs=0.02)
 
@@ -244,7 +242,7 @@ def test_score_users_shape_and_logit(spark, features, encoder, train, tree):
         assert r.churn_probability == pytest.approx(1 / (1 + 2.718281828459045**-logit), abs=1e-6)
     ranked = scoring.ranking(scored).collect()
     assert [r.churn_probability for r in ranked] == sorted((r.churn_probability for r in rows), reverse=True)
-    with pytest.raises(ValueError, match="background"):
+    with pytest.raises(ValueError, match="unknown user"):
         scoring.score_users(log, encoder, tree)
 
 
@@ -258,3 +256,49 @@ def test_importance_and_direction(spark):
 def test_fbeta_without_predictions(spark):
     rows = spark.createDataFrame([("u", 1, 0), ("v", 0, 0)], "id string, label int, prediction int")
     assert evaluation.f_beta(rows).first().f_beta == 0.0
+
+
+def test_search_with_a_single_positive_row(spark):
+    rows = spark.createDataFrame(
+        [(str(i), [float(i), float(i % 3)], int(i == 0), 1.0) for i in range(30)],
+        "userId string, x array<double>, churn int, weight double",
+    ).withColumn(training.VECTOR, array_to_vector("x"))
+    space = {"maxDepth": ("quniform", 1, 3, 1)}
+    drawn, score = training.random_search(rows, training.classifiers()["decision_tree"], space, trials=2)
+    assert 1 <= drawn["maxDepth"] <= 3 and 0.0 <= score <= 1.0
+    model = training.train_calibrated(rows, training.classifiers()["decision_tree"], {"maxDepth": 2}, folds=3)
+    assert training.scored_table(model, rows).count() == 30
+
+
+def test_folds_share_out_every_label(spark):
+    from churnspark.operators.split import with_folds
+
+    rows = spark.createDataFrame([(str(i), int(i % 10 == 0)) for i in range(100)], "userId string, churn int")
+    sizes = {(r.churn, r.fold): r["count"] for r in with_folds(rows, 3).groupBy("churn", "fold").count().collect()}
+    assert len(sizes) == 6
+    assert all(sizes[(0, f)] == 30 for f in range(3)) and sorted(sizes[(1, f)] for f in range(3)) == [3, 3, 4]
+
+
+def test_everything_is_training_at_a_share_of_one(spark):
+    from churnspark.operators.split import split
+
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("userId"), F.lit(1).alias("churn"))
+    train, rest = split(rows, 1.0)
+    assert train.count() == 5000 and rest.count() == 0
+
+
+def test_rounding_leaves_large_values_alone(spark):
+    from churnspark.workloads.queries import rounded
+
+    values = [1e13, 3.5e15, -2e14, float("inf"), float("-inf"), 1.2345678, None]
+    got = [r[0] for r in rounded(spark.createDataFrame([(v,) for v in values], "x double")).collect()]
+    assert got == [*values[:5], 1.234568, None]
+    assert str(rounded(spark.createDataFrame([(float("nan"),)], "x double")).first()[0]) == "nan"
+
+
+def test_missing_numbers_stop_the_encoder_or_become_zero(spark, features):
+    gaps = features.withColumn("tenure", F.lit(None).cast("double"))
+    fitted = encoding.fit_encoder(gaps, handle_invalid="keep", missing_numbers="zero")
+    assert encoding.encode(gaps, fitted, missing_numbers="zero").where("scaled_features is null").count() == 0
+    with pytest.raises(Exception, match="null|NULL|Null"):
+        encoding.fit_encoder(gaps, handle_invalid="keep")

@@ -10,10 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from churnspark import runtime
 from churnspark.operators import cleaning, features, profile, split
 from churnspark.plans.preprocess import clean_log
-from churnspark.runtime import drop_materialized, materialize, shared_folder
+from churnspark.runtime import check_rows, intermediates, materialize, shared_folder
 from churnspark.schema import EVENT_LOG
 from tools.check_oracles import compare, connect
 
@@ -47,11 +46,23 @@ def test_cleaning_does_not_shuffle_or_leave_the_jvm(stored_log):
     assert "Python" not in plan
 
 
-def test_feature_job_exchanges_and_aggregates(stored_log, plain_plans):
+def test_feature_job_exchanges_and_aggregates(stored_log, plain_plans, monkeypatch):
+    stored = []
+
+    def keep(df, label):
+        stored.append(df)
+        return materialize(df, label)
+
+    monkeypatch.setattr(features, "materialize", keep)
     plan = plan_of(features.user_features(clean_log(stored_log)))
-    assert "Python" not in plan
-    assert plan.count("Exchange hashpartitioning") <= 9
+    slices = plan_of(stored[0])
+    assert len(stored) == 1 and "Python" not in plan + slices
+    # Two scans and two shuffles of events: slices, and artists; all else runs on the stored slices.
+    assert slices.count("Exchange hashpartitioning") == 1 and slices.count("FileScan") == 1
+    assert len(re.findall(r"FileScan parquet \[[^\]]*artist", plan)) == 1
+    assert plan.count("FileScan") == 3
     # Event-level aggregates hold numbers only; sorting is left to one row per user and value.
+    assert "SortAggregate" not in slices
     for keys in re.findall(r"SortAggregate\(key=\[([^\]]*)\]", plan):
         assert re.fullmatch(r"userId#\d+", keys)
     # No window gathers the events or sessions of a user.
@@ -91,15 +102,40 @@ def test_label_join_broadcasts_small_and_shuffles_large(spark, stored_log):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
-def test_materialized_tables_live_in_the_shared_folder(spark):
-    stored = materialize(spark.range(3).withColumn("x", F.lit("a")), "probe")
-    path = stored.inputFiles()[0]
-    assert shared_folder(spark).removeprefix("file:") in path
-    assert stored.count() == 3
-    kept, runtime._MATERIALIZED[:] = runtime._MATERIALIZED[:-1], runtime._MATERIALIZED[-1:]
-    assert drop_materialized(spark) == 1
-    runtime._MATERIALIZED[:] = kept
-    assert not os.path.exists(path.removeprefix("file://"))
+def test_materialized_tables_live_in_the_shared_folder_and_end_with_their_block(spark):
+    with intermediates(spark) as outer:
+        kept = materialize(spark.range(2), "kept")
+        with intermediates(spark) as inner:
+            stored = materialize(spark.range(3).withColumn("x", F.lit("a")), "probe")
+            path = stored.inputFiles()[0].removeprefix("file://")
+            assert shared_folder(spark).removeprefix("file:") in path
+            assert stored.count() == 3 and len(inner) == 1 and len(outer) == 1
+        assert not os.path.exists(path)
+        assert kept.count() == 2
+
+
+def test_no_private_folder_on_a_cluster(spark, monkeypatch):
+    from churnspark import runtime
+
+    monkeypatch.setattr(runtime, "_one_machine", lambda spark: False)
+    context = spark.sparkContext
+    monkeypatch.setattr(type(context), "getCheckpointDir", lambda self: None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(spark)
+    with pytest.raises(RuntimeError, match="not shared"):
+        check_rows("file:/x", 3, 2)
+
+
+def test_row_counts_are_checked_where_folders_may_be_private(spark, monkeypatch):
+    from churnspark import runtime
+
+    folder = shared_folder(spark)
+    monkeypatch.setattr(runtime, "_may_be_private", lambda spark, path: True)
+    monkeypatch.setattr(runtime, "shared_folder", lambda spark: folder)
+    assert materialize(spark.range(5), "checked").count() == 5
+    assert materialize(spark.range(0), "checked").count() == 0
 
 
 HOT_QUERIES = [
