@@ -27,6 +27,8 @@ from churnspark.schema import ID_COLUMN, LABEL_COLUMN
 
 VECTOR = "scaled_features"
 WEIGHT = "weight"
+# Folds that are fitted side by side; each submits its own Spark jobs.
+PARALLEL_FOLDS = 4
 
 # Search spaces per classifier, as (kind, low, high[, step]).
 SEARCH_SPACES: dict[str, dict[str, tuple]] = {
@@ -173,13 +175,16 @@ def out_of_fold(
     """
     marked = materialize(with_folds(train, folds, seed, id_column=id_column), "folds")
     assemble = _stack_assembler(bases)
-    parts = []
-    for fold in range(folds):
+
+    def predicted(fold: int) -> DataFrame:
         rows = marked.where(F.col("fold") == fold)
         for name, base in bases.items():
             model = _renamed(base, name).fit(marked.where(F.col("fold") != fold))
             rows = _positive(name).transform(model.transform(rows))
-        parts.append(assemble.transform(rows).select(id_column, LABEL_COLUMN, "stacked"))
+        return assemble.transform(rows).select(id_column, LABEL_COLUMN, "stacked")
+
+    with ThreadPool(PARALLEL_FOLDS) as pool:
+        parts = pool.map(predicted, range(folds))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -273,8 +278,8 @@ def train_calibrated(
     if not usable:
         raise ValueError("every class needs rows in at least two folds")
     source = "raw" if isinstance(estimator, (LogisticRegression, GBTClassifier)) else "probability"
-    parts = []
-    for fold in sorted(usable):
+
+    def calibrated(fold: int) -> PipelineModel:
         name = f"fold{fold}"
         parameters = spark_parameters(estimator, drawn or {}, total - sizes[fold])
         base = _renamed(estimator.copy(parameters), name).fit(marked.where(F.col("fold") != fold))
@@ -283,5 +288,8 @@ def train_calibrated(
         sigmoid = LogisticRegression(
             featuresCol=f"positive_{name}", labelCol="target", weightCol="part", standardization=False
         ).fit(_soft_targets(held_out.select(LABEL_COLUMN, f"positive_{name}"), f"positive_{name}"))
-        parts.append(PipelineModel(stages=[base, positive, sigmoid]))
+        return PipelineModel(stages=[base, positive, sigmoid])
+
+    with ThreadPool(PARALLEL_FOLDS) as pool:
+        parts = pool.map(calibrated, sorted(usable))
     return AveragedModel(parts)
