@@ -30,6 +30,8 @@ BUCKETS, DIMENSIONS, LENGTHS = 1 << 16, 16, (2, 3, 4)
 # The most labelled documents that training reads, over all languages together (as expected
 # number: documents are drawn by a hash of their id, each language with its own rate).
 SAMPLE_ROWS = 3000
+# Text bytes looked at together: a byte takes about 200 bytes of arrays.
+SLICE_BYTES = 1 << 19
 _SEED = 17
 
 
@@ -103,7 +105,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Language, then the distinct subword buckets of the text and how often each occurs, as bytes."""
     for batch in batches:
         data, offsets = utf8(batch.column(1))
-        for first, last in slices(offsets):
+        for first, last in slices(offsets, SLICE_BYTES):
             _, _, points, _, places = decoded(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
             buckets, rows, _ = _subwords(points, places)
             keys, counts = np.unique(rows * BUCKETS + buckets, return_counts=True)
@@ -242,7 +244,7 @@ def _predict(shared, at: int):
         names = pa.array([*model.languages, UNKNOWN])
         for batch in batches:
             data, offsets = utf8(batch.column(at))
-            for first, last in slices(offsets):
+            for first, last in slices(offsets, SLICE_BYTES):
                 own = offsets[first : last + 1] - offsets[first]
                 _, _, points, _, places = decoded(data[offsets[first] : offsets[last]], own)
                 best, score = model.predict(points, places)

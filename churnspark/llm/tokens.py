@@ -9,6 +9,7 @@ Strings of special tokens inside a text are ordinary text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,10 @@ from churnspark.llm.characters import SPACE, classes, decoded
 from churnspark.llm.textbytes import slices, span_hashes, utf8
 
 # Distinct pieces kept by a worker before it starts anew.
-CACHE_PIECES = 500_000
-SLICE_BYTES = 1 << 22
+CACHE_PIECES = 300_000
+# Pieces that go to the library at once: its results are large.
+ENCODE_PIECES = 1 << 13
+SLICE_BYTES = 3 << 20
 
 
 def piece_starts(points: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -79,18 +82,22 @@ class Encoder:
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
 
     def _add(self, hashes: list[int], pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        lengths = np.array([len(x) for x in found], np.int64)
-        ids = np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum()))
+        counts, parts = [], []
+        for i in range(0, len(pieces), ENCODE_PIECES):
+            encoded = self.tokenizer.encode_batch_fast(pieces[i : i + ENCODE_PIECES], add_special_tokens=False)
+            found = [e.ids for e in encoded]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            parts.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
+        lengths, ids = np.concatenate(counts), np.concatenate(parts)
         begin, have = len(self.known), self.used
-        while begin + len(found) > len(self.start):
+        while begin + len(lengths) > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
         while have + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[have : have + len(ids)] = ids
-        self.start[begin : begin + len(found)] = have + np.cumsum(lengths) - lengths
-        self.length[begin : begin + len(found)] = lengths
-        self.known.update(zip(hashes, range(begin, begin + len(found)), strict=True))
+        self.start[begin : begin + len(lengths)] = have + np.cumsum(lengths) - lengths
+        self.length[begin : begin + len(lengths)] = lengths
+        self.known.update(zip(hashes, range(begin, begin + len(lengths)), strict=True))
         self.used += len(ids)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
