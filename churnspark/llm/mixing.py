@@ -10,6 +10,8 @@ sorted, and a larger budget always takes a superset of what a smaller one takes.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,7 +156,8 @@ def mixture(
     cuts = materialize(thresholds(sized, targets), "cuts")
     plan = _same_source(targets.select("source", "source_size", "target", "whole"), cuts, "left")
     joined = _same_source(sized, materialize(plan, "plan"), "left")
-    copies = F.col("whole") + (F.col("hash") < F.col("below")).cast("long")
+    # A document without words costs nothing and would always fit once more.
+    copies = F.least(F.col("whole") + (F.col("hash") < F.col("below")).cast("long"), F.lit(math.ceil(limit)))
     return joined.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
         copies.alias("copies"), (copies * F.col("size")).alias("taken"),
