@@ -88,7 +88,8 @@ def with_next_text(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     row finds its successor in its own range. Equal ids follow each other by text, ids that are
     null come last.
     """
-    count = blocks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # More ranges than partitions, as ranges are dealt to partitions by a hash.
+    count = blocks or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select("id").where("id is not null")
     ranged = materialize(ids.repartitionByRange(count, "id").withColumn("part", F.spark_partition_id()), "ids")
     starts = sorted(r[0] for r in ranged.groupBy("part").agg(F.min("id")).select("min(id)").collect())
