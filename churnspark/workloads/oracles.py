@@ -590,5 +590,5 @@ def oracle_sql() -> dict[str, str]:
         count(*) FILTER (WHERE score IS NULL OR isnan(score) OR label IS NULL) AS left_out FROM events_scored"""
     return {
         **_base_queries(), **_profile_queries(), **_statistics_queries(), **gaps, **_model_queries(),
-        **_evaluation(_USER_SCORES), **documents, **events,
+        **_evaluation(_USER_SCORES), **documents, **events, "metrics_json": _evaluation(_USER_SCORES)["metrics_long"],
     }

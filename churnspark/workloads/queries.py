@@ -475,6 +475,14 @@ EVALUATIONS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def _metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All metrics of the user scores, written as JSON and read back."""
+    scored = materialize(user_scores(features.user_features(_stored_clean(spark, sf_dir))), "scored")
+    path = new_path(spark, "metrics")
+    events_io.write_metrics(evaluation.metrics_long(evaluation.evaluation_summary(scored), "rule"), path)
+    return rounded(spark.read.schema("model string, metric string, value double").json(path))
+
+
 def _evaluation_queries() -> dict[str, Query]:
     def on_users(operator: Callable[[DataFrame], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -494,6 +502,7 @@ def _evaluation_queries() -> dict[str, Query]:
         **{f"{name}_documents": on_documents(operator) for name, operator in EVALUATIONS.items()},
         **{f"{name}_events": on_events(operator) for name, operator in EVALUATIONS.items()},
         "left_out_events": on_events(evaluation.left_out),
+        "metrics_json": _metrics_json,
     }
 
 
