@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from churnspark.llm.textbytes import slices, utf8
 from churnspark.runtime import materialize
 
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 8 << 20
 
 SCHEMA = T.StructType([T.StructField("block", T.LongType()), T.StructField("payload", T.BinaryType())])
 

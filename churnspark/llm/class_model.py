@@ -30,6 +30,9 @@ from churnspark.llm.blocks import answered, located, rows_of, to_blocks
 from churnspark.runtime import materialize
 
 CLASSES, CONTEXTS, ROUNDS = 64, 128, 6
+NEIGHBOURS_AT_ONCE = 50_000
+# Tokens whose classes are scored together.
+SLICE_TOKENS = 1 << 19
 _END = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -74,21 +77,25 @@ def _neighbours(contexts: np.ndarray):
                     continue
                 words, own = np.unique(tokens, return_inverse=True)
                 place, there = located(words, contexts)
-                code = np.where(there, place, len(contexts))[own]
-                before = np.concatenate([[len(contexts) + 1], code[:-1]])
-                before[offsets[:-1]] = len(contexts) + 1
-                last = np.zeros(len(tokens), bool)
-                last[offsets[1:] - 1] = True
-                after = np.concatenate([code[1:], [0]])
-                keys = np.concatenate([own * (2 * width) + width + before, (own * (2 * width) + after)[~last]])
-                keys, counts = np.unique(keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(words[keys // (2 * width)].view(np.int64)),
-                        pa.array((keys % (2 * width)).astype(np.int32)), pa.array(counts),
-                    ],
-                    names=["word", "code", "n"],
-                )
+                code = np.where(there, place, len(contexts)).astype(np.int32)[own]
+                inner = np.ones(len(tokens), bool)
+                inner[offsets[:-1]] = False
+                # First the word after each, then the one before; one side at a time halves the memory.
+                for side in (0, width):
+                    if side:
+                        near = np.concatenate([code[:1], code[:-1]])
+                        near[~inner] = len(contexts) + 1
+                        keys = own * (2 * width) + side + near
+                    else:
+                        keys = own[:-1][inner[1:]] * (2 * width) + code[1:][inner[1:]]
+                    keys, counts = np.unique(keys, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(words[keys // (2 * width)].view(np.int64)),
+                            pa.array((keys % (2 * width)).astype(np.int32)), pa.array(counts),
+                        ],
+                        names=["word", "code", "n"],
+                    )
 
     return run
 
@@ -110,14 +117,17 @@ class _Exchange:
         sizes = lists.value_lengths().to_numpy()
         rows = np.repeat(np.arange(len(sizes)), sizes)
         worth = np.zeros((len(sizes), self.logs.shape[1]))
-        step = 1 << 16
-        for a in range(0, len(sizes), step):
-            b = min(a + step, len(sizes))
+        a = 0
+        while a < len(sizes):
+            # Rows with about so many neighbours together, at least one row.
+            reach = rows[min(int(np.searchsorted(rows, a)) + NEIGHBOURS_AT_ONCE, len(rows) - 1)] if len(rows) else 0
+            b = min(max(a + 1, int(reach)), len(sizes)) if reach < len(sizes) - 1 else len(sizes)
             low, high = np.searchsorted(rows, [a, b])
             if high > low:
                 part = self.logs[code[low:high]] * n[low:high, None]
                 starts = np.searchsorted(rows[low:high], np.arange(a, b))
                 worth[a:b] = np.add.reduceat(part, starts, axis=0)
+            a = b
         own = np.where(counts == 1, self.logs.shape[1], worth.argmax(axis=1))
         return own, rows, code, n
 
@@ -277,12 +287,15 @@ def _emissions(model: ClassModel):
     return work
 
 
-def _previous(column: pa.Array, beginning: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _previous(column: pa.Array, beginning: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, classes, the class before each, offsets) per slice of a column."""
     data, offsets = textbytes.utf8(column)
-    before = np.concatenate([[beginning], data[:-1]]).astype(np.int64) if len(data) else np.zeros(0, np.int64)
-    starts = offsets[:-1][offsets[:-1] < offsets[1:]]
-    before[starts] = beginning
-    return data.astype(np.int64), before, offsets
+    for first, last in textbytes.slices(offsets, SLICE_TOKENS):
+        own = data[offsets[first] : offsets[last]]
+        places = offsets[first : last + 1] - offsets[first]
+        before = np.concatenate([own[:1], own[:-1]])
+        before[places[:-1][places[:-1] < places[1:]]] = beginning
+        yield first, last, own, before, places
 
 
 def _transitions(classes: int):
@@ -290,8 +303,8 @@ def _transitions(classes: int):
         size = classes + 1
         sums = np.zeros((size + 1) * size, np.int64)
         for batch in batches:
-            own, before, _ = _previous(batch.column(0), size)
-            sums += np.bincount(before * size + own, minlength=len(sums))
+            for _, _, own, before, _ in _previous(batch.column(0), size):
+                sums += np.bincount(before.astype(np.int64) * size + own, minlength=len(sums))
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["at", "n"])
 
@@ -302,13 +315,14 @@ def _scored(logs: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("classes")
-            own, before, offsets = _previous(batch.column(at), logs.shape[1])
-            sums = np.concatenate([[0.0], np.cumsum(logs[before, own])])
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
             names = [n for i, n in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sums[offsets[1:]] - sums[offsets[:-1]])], names=[*names, "transition"]
-            )
+            for first, last, own, before, places in _previous(batch.column(at), logs.shape[1]):
+                sums = np.concatenate([[0.0], np.cumsum(logs[before, own])])
+                part = batch.slice(first, last - first)
+                columns = [c for i, c in enumerate(part.columns) if i != at]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(sums[places[1:]] - sums[places[:-1]])], names=[*names, "transition"]
+                )
 
     return run
 
