@@ -5,8 +5,9 @@ makes its neighbours most likely, class against class, until the given number of
 All words move at once against the class counts of the round before, so a round is one pass over
 a table with one row per word and a sum of a table of bounded size.
 
-A word's neighbours are counted over the whole training text against the ``CONTEXTS`` most
-frequent words (all others count as one), whose classes change with every round. A text's
+All pairs of neighbouring words of the training text are counted, and every neighbour stands for the
+class it has in that round. Classes of frequent neighbours are looked up in a table of bounded size
+that each task holds, those of all others by a join. The most frequent words start the classes. A text's
 probability is the product of class transitions, smoothed by class frequencies, and of the words'
 shares in their classes. Words seen once form a class of their own, which also stands for unseen
 words; its share for those follows from how many words occur once and twice.
@@ -27,10 +28,15 @@ from pyspark.sql import types as T
 
 from churnspark.llm import textbytes
 from churnspark.llm.blocks import answered, located, rows_of, to_blocks
-from churnspark.runtime import materialize
+from churnspark.runtime import intermediates, materialize, new_path
 
 CLASSES, CONTEXTS, ROUNDS = 64, 128, 6
-NEIGHBOURS_AT_ONCE = 50_000
+# The most words whose classes each task holds (a a small number each, and a hash while pairs are
+# counted); the classes of other neighbours come by a join. Results do not depend on it.
+HOT_WORDS = 1 << 20
+# About the most neighbours of a word in one list on each side.
+LIST_ENTRIES = 1 << 16
+ROWS_AT_ONCE = 4096
 # Tokens whose classes are scored together.
 SLICE_TOKENS = 1 << 19
 _END = np.uint64(0x5851F42D4C957F2D)
@@ -64,10 +70,26 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
 
-def _neighbours(contexts: np.ndarray):
-    """Rows (word, code, n); code: place of the neighbour among the sorted contexts, then one for all
-    other words and one for the beginning of a text; the preceding one plus ``width``."""
-    width = len(contexts) + 2
+def _pairs(tokens: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(distinct words, place of each token among them, places of the neighbours or -1, side).
+
+    First the word after each (side 0), then the one before (side 1); -1 is the beginning of a text.
+    The last token of a text has no word after it and is left out there.
+    """
+    words, own = np.unique(tokens, return_inverse=True)
+    inner = np.ones(len(tokens), bool)
+    inner[offsets[:-1]] = False
+    yield words, own[:-1][inner[1:]], own[1:][inner[1:]], 0
+    yield words, own, np.where(inner, np.concatenate([own[:1], own[:-1]]), -1), 1
+
+
+def _neighbours(hot: np.ndarray, parts: np.ndarray):
+    """Rows (word, part, code, n); code: place of the neighbour among the sorted ``hot`` words, then one
+    for all others and one for the beginning of a text; the preceding one plus ``width``.
+
+    ``parts``: into how many lists the neighbours of each hot word go.
+    """
+    width = len(hot) + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,101 +97,122 @@ def _neighbours(contexts: np.ndarray):
                 tokens, offsets = _training(payload)
                 if len(tokens) == 0:
                     continue
-                words, own = np.unique(tokens, return_inverse=True)
-                place, there = located(words, contexts)
-                code = np.where(there, place, len(contexts)).astype(np.int32)[own]
-                inner = np.ones(len(tokens), bool)
-                inner[offsets[:-1]] = False
-                # First the word after each, then the one before; one side at a time halves the memory.
-                for side in (0, width):
-                    if side:
-                        near = np.concatenate([code[:1], code[:-1]])
-                        near[~inner] = len(contexts) + 1
-                        keys = own * (2 * width) + side + near
-                    else:
-                        keys = own[:-1][inner[1:]] * (2 * width) + code[1:][inner[1:]]
-                    keys, counts = np.unique(keys, return_counts=True)
+                for words, own, near, side in _pairs(tokens, offsets):
+                    place, there = located(words, hot)
+                    code = np.append(np.where(there, place, len(hot)), len(hot) + 1)
+                    lists = np.where(there, parts[place], 1) if len(hot) else np.ones(len(words), np.int64)
+                    keys, counts = np.unique(own * (2 * width) + side * width + code[near], return_counts=True)
+                    at, codes = keys // (2 * width), keys % (2 * width)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(words[keys // (2 * width)].view(np.int64)),
-                            pa.array((keys % (2 * width)).astype(np.int32)), pa.array(counts),
+                            pa.array(words[at].view(np.int64)), pa.array((codes % lists[at]).astype(np.int32)),
+                            pa.array(codes.astype(np.int32)), pa.array(counts),
                         ],
-                        names=["word", "code", "n"],
+                        names=["word", "part", "code", "n"],
                     )
 
     return run
 
 
-@dataclass
-class _Exchange:
-    """What a round needs: log likelihood of a neighbour code per class (codes x classes)."""
-
-    logs: np.ndarray
-    width: int
-
-    def assign(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(class, row of each neighbour, code, n); words seen once get the class after the last."""
-        counts = batch.column(1).to_numpy()
-        lists = batch.column(2)
-        flat = lists.flatten()
-        code = flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        n = flat.field(1).to_numpy(zero_copy_only=False).astype(np.float64)
-        sizes = lists.value_lengths().to_numpy()
-        rows = np.repeat(np.arange(len(sizes)), sizes)
-        worth = np.zeros((len(sizes), self.logs.shape[1]))
-        a = 0
-        while a < len(sizes):
-            # Rows with about so many neighbours together, at least one row.
-            reach = rows[min(int(np.searchsorted(rows, a)) + NEIGHBOURS_AT_ONCE, len(rows) - 1)] if len(rows) else 0
-            b = min(max(a + 1, int(reach)), len(sizes)) if reach < len(sizes) - 1 else len(sizes)
-            low, high = np.searchsorted(rows, [a, b])
-            if high > low:
-                part = self.logs[code[low:high]] * n[low:high, None]
-                starts = np.searchsorted(rows[low:high], np.arange(a, b))
-                worth[a:b] = np.add.reduceat(part, starts, axis=0)
-            a = b
-        own = np.where(counts == 1, self.logs.shape[1], worth.argmax(axis=1))
-        return own, rows, code, n
-
-
-def _round(exchange: _Exchange):
-    """Sum per class and neighbour code; the class after the last holds words seen once."""
+def _other_neighbours(hot: np.ndarray):
+    """Rows (word, near, side, n) of all neighbours that are not among the ``hot`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, codes = exchange.logs.shape[1] + 1, 2 * exchange.width
-        sums = np.zeros(classes * codes)
         for batch in batches:
-            own, rows, code, n = exchange.assign(batch)
-            sums += np.bincount(own[rows] * codes + code, weights=n, minlength=len(sums))
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at].astype(np.int64))], names=["at", "n"])
+            for payload in batch.column(1).to_pylist():
+                tokens, offsets = _training(payload)
+                if len(tokens) == 0:
+                    continue
+                for words, own, near, side in _pairs(tokens, offsets):
+                    other = np.append(~located(words, hot)[1], False)[near]
+                    keys, counts = np.unique(own[other] * len(words) + near[other], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(words[keys // len(words)].view(np.int64)),
+                            pa.array(words[keys % len(words)].view(np.int64)),
+                            pa.array(np.full(len(keys), side, np.int32)), pa.array(counts),
+                        ],
+                        names=["word", "near", "side", "n"],
+                    )
+
+    return run
+
+
+def _summed(lists: pa.Array, group: np.ndarray | None, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first row, row after the last, sums per row and code) of lists of (code, n).
+
+    With ``group`` the codes of both sides are replaced by ``width`` groups a side first.
+    """
+    flat = lists.flatten()
+    code = flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    n = flat.field(1).to_numpy(zero_copy_only=False).astype(np.float64)
+    if group is not None:
+        code = code // len(group) * width + group[code % len(group)]
+    sizes = lists.value_lengths().to_numpy()
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    for a in range(0, len(sizes), ROWS_AT_ONCE):
+        b = min(a + ROWS_AT_ONCE, len(sizes))
+        rows = np.repeat(np.arange(b - a), sizes[a:b])
+        keys = rows * (2 * width) + code[ends[a] : ends[b]]
+        sums = np.bincount(keys, weights=n[ends[a] : ends[b]], minlength=(b - a) * 2 * width)
+        yield a, b, sums.reshape(b - a, 2 * width)
+
+
+def _profiles(shared, width: int):
+    """The listed neighbours of each row by the classes that hot words have now."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = shared.value.astype(np.int64)
+        for batch in batches:
+            for a, b, sums in _summed(batch.column(1), group, width):
+                row, code = np.nonzero(sums)
+                entries = pa.StructArray.from_arrays(
+                    [pa.array(code.astype(np.int32)), pa.array(sums[row, code].astype(np.int64))], names=["code", "n"]
+                )
+                cuts = pa.array(np.searchsorted(row, np.arange(b - a + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(cuts, entries)], names=["word", "neighbours"]
+                )
 
     return run
 
 
-def _assigned(exchange: _Exchange):
+def _class_sums(classes: int, width: int):
+    """Sum per class of the word and code; words without a class yet are left out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((classes, 2 * width))
         for batch in batches:
-            own = exchange.assign(batch)[0]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(own.astype(np.int32))], names=["word", "n", "class"]
-            )
+            own = batch.column(0).to_numpy()
+            for a, b, sums in _summed(batch.column(1), None, width):
+                placed = own[a:b] < classes
+                np.add.at(total, own[a:b][placed], sums[placed])
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at].astype(np.int64))], names=["at", "n"])
 
     return run
 
 
-def _likelihoods(sums: np.ndarray, context_class: np.ndarray, width: int) -> np.ndarray:
-    """Logs per neighbour code and class from sums (class x code), with neighbours taken by class."""
-    classes = len(sums) - 1
-    groups = np.concatenate([context_class, [classes + 1, classes + 2]])  # all other words, the beginning
-    logs = np.zeros((2 * width, classes))
+def _assigned(logs: np.ndarray):
+    """The class that makes the neighbours of a word most likely (``logs``: codes x classes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.zeros(batch.num_rows, np.int32)
+            for a, b, sums in _summed(batch.column(2), None, len(logs) // 2):
+                own[a:b] = (sums @ logs).argmax(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own)], names=["word", "n", "class"])
+
+    return run
+
+
+def _likelihoods(sums: np.ndarray, width: int) -> np.ndarray:
+    """Logs per code and class from sums (class x code)."""
+    logs = np.zeros((2 * width, len(sums)))
     for side in (0, 1):
-        part = sums[:classes, side * width : (side + 1) * width]
-        grouped = np.zeros((classes, classes + 3))
-        for g in range(classes + 3):
-            grouped[:, g] = part[:, groups == g].sum(axis=1)
-        smooth = (grouped + 0.1) / (grouped.sum(axis=1, keepdims=True) + 0.1 * (classes + 3))
-        logs[side * width : (side + 1) * width] = np.log(smooth[:, groups]).T
+        part = sums[:, side * width : (side + 1) * width]
+        smooth = (part + 0.1) / (part.sum(axis=1, keepdims=True) + 0.1 * width)
+        logs[side * width : (side + 1) * width] = np.log(smooth).T
     return logs
 
 
@@ -194,52 +237,92 @@ class ClassModel:
         return unseen, (1 - unseen) / max(self.once, 1)
 
 
-def cluster(blocks: DataFrame, classes: int = CLASSES, contexts: int = CONTEXTS, rounds: int = ROUNDS) -> tuple[DataFrame, ClassModel]:
+def _hot(counted: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(hashes, counts, least count) of the most frequent words, in order of hashes: at most ``limit``,
+    words of one count all or none, none seen once."""
+    sizes = counted.where("n > 1").groupBy("n").count().toArrow()
+    values, many = (sizes.column(i).to_numpy() for i in (0, 1))
+    order = np.argsort(-values)
+    fitting = order[np.cumsum(many[order]) <= limit]
+    least = int(values[fitting].min()) if len(fitting) else np.iinfo(np.int64).max
+    found = counted.where(F.col("n") >= least).toArrow()
+    words = found.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    return words[order], found.column("n").to_numpy()[order], least
+
+
+def cluster(
+    blocks: DataFrame, classes: int = CLASSES, contexts: int = CONTEXTS, rounds: int = ROUNDS, hot_words: int = HOT_WORDS
+) -> tuple[DataFrame, ClassModel]:
     """Count words and neighbours of the training texts in ``blocks`` and exchange words between classes.
 
-    Returns the stored table of words (word, n, class; words seen once have the class after the last)
-    and the numbers of the model.
+    The ``contexts`` most frequent words start the classes. ``hot_words`` decides only where the class
+    of a neighbour is looked up, not what is counted. Returns the stored table of words (word, n, class;
+    words seen once have the class after the last) and the numbers of the model.
     """
+    spark = blocks.sparkSession
     counted = blocks.mapInArrow(_counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counted = materialize(counted, "words")
     total = counted.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("words"),
         F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
     ).first()
-    frequent = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(contexts).collect()]
-    ranked = np.array(frequent, np.int64).view(np.uint64)
-    order = np.argsort(ranked)
-    width = len(ranked) + 2
-
-    pairs = blocks.mapInArrow(_neighbours(ranked[order]), "word bigint, code int, n bigint")
-    pairs = pairs.repartition("word").groupBy("word", "code").agg(F.sum("n").alias("n"))
-    before = F.sum(F.when(F.col("code") >= width, F.col("n")).otherwise(0))
-    listed = pairs.groupBy("word").agg(before.alias("n"), F.collect_list(F.struct("code", "n")).alias("neighbours"))
-    listed = materialize(listed.select("word", "n", "neighbours"), "neighbours")
-
+    hot, hot_counts, least = _hot(counted, hot_words)
+
+    # A word has no more neighbours than occurrences: this bounds a list.
+    parts = 1 + hot_counts // LIST_ENTRIES
+    pairs = blocks.mapInArrow(_neighbours(hot, parts), "word bigint, part int, code int, n bigint")
+    pairs = pairs.repartition("word", "part").groupBy("word", "part", "code").agg(F.sum("n").alias("n"))
+    entry = F.struct("code", F.col("n"))
+    listed = pairs.groupBy("word", "part").agg(F.collect_list(entry).alias("neighbours")).select("word", "neighbours")
+    # Neighbours seen more than once that are not hot; the others that are not hot were seen once.
+    cool = counted.where((F.col("n") > 1) & (F.col("n") < least)).select(F.col("word").alias("near"))
+    tail = None
+    if not cool.isEmpty():
+        tail = blocks.mapInArrow(_other_neighbours(hot), "word bigint, near bigint, side int, n bigint").join(cool, "near")
+        tail = materialize(tail.groupBy("word", "near", "side").agg(F.sum("n").alias("n")), "tail")
+        less = tail.groupBy("word", "side").agg((-F.sum("n")).alias("n"))
+        less = less.withColumn("code", F.col("side") * (len(hot) + 2) + len(hot))
+        listed = listed.unionByName(less.select("word", F.array(entry).alias("neighbours")))
+    listed = materialize(listed, "neighbours")
+
+    # Neighbours by class, words seen once, the beginning, words without a class yet.
+    once, beginning, unplaced, width = classes, classes + 1, classes + 2, classes + 3
     # The most frequent words start the classes, in turn.
-    context_class = order % classes
-    sorted_words = ranked[order].view(np.int64)
-    rows = {r["word"]: r["neighbours"] for r in listed.where(F.col("word").isin(frequent)).collect()} if frequent else {}
-    sums = np.zeros((classes + 1, 2 * width))
-    for place, word in enumerate(sorted_words.tolist()):
-        for code, n in rows[word]:
-            sums[context_class[place], code] += n
-    exchange = _Exchange(_likelihoods(sums, context_class, width), width)
-    for _ in range(rounds):
-        found = listed.mapInArrow(_round(exchange), "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
-        sums = np.zeros((classes + 1) * 2 * width)
-        for row in found.collect():
-            sums[row["at"]] = row["n"]
-        sums = sums.reshape(classes + 1, 2 * width)
-        if frequent:
-            moved = listed.where(F.col("word").isin(frequent)).mapInArrow(
-                _assigned(exchange), "word bigint, n bigint, class int"
-            )
-            by_word = {r["word"]: r["class"] for r in moved.collect()}
-            context_class = np.array([by_word[w] for w in sorted_words.tolist()], np.int64)
-        exchange = _Exchange(_likelihoods(sums, context_class, width), width)
-    lexicon = materialize(listed.mapInArrow(_assigned(exchange), "word bigint, n bigint, class int"), "lexicon")
+    frequent = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(contexts).collect()]
+    first = [(word, i % classes) for i, word in enumerate(frequent)]
+    group = np.full(len(hot) + 2, unplaced, np.int32)
+    place, there = located(np.array(frequent, np.int64).view(np.uint64), hot)
+    group[place[there]] = (np.arange(len(first)) % classes)[there]
+    group[-2:] = once, beginning
+    start = spark.createDataFrame(first, "word bigint, class int")
+    lexicon = counted.where("n > 1").join(F.broadcast(start), "word", "left")
+    lexicon = lexicon.select("word", "n", F.coalesce("class", F.lit(unplaced)).alias("class"))
+    for _ in range(rounds + 1):
+        shared = spark.sparkContext.broadcast(group)
+        kind = "word bigint, neighbours array<struct<code: int, n: bigint>>"
+        profiles = listed.mapInArrow(_profiles(shared, width), kind)
+        if tail is not None:
+            placed = tail.join(lexicon.select(F.col("word").alias("near"), "class"), "near")
+            placed = placed.groupBy("word", (F.col("side") * width + F.col("class")).alias("code")).agg(F.sum("n").alias("n"))
+            profiles = profiles.unionByName(placed.groupBy("word").agg(F.collect_list(entry).alias("neighbours")))
+        profiles = profiles.groupBy("word").agg(F.flatten(F.collect_list("neighbours")).alias("neighbours"))
+        moved_path = new_path(spark, "lexicon")
+        with intermediates(spark):
+            profiles = materialize(lexicon.join(profiles, "word").select("word", "n", "class", "neighbours"), "profiles")
+            found = profiles.select("class", "neighbours").mapInArrow(_class_sums(classes, width), "at bigint, n bigint")
+            sums = np.zeros(classes * 2 * width)
+            for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():
+                sums[row["at"]] = row["n"]
+            logs = _likelihoods(sums.reshape(classes, 2 * width), width)
+            moved = profiles.select("word", "n", "neighbours").mapInArrow(_assigned(logs), "word bigint, n bigint, class int")
+            lexicon = materialize(moved, "lexicon", moved_path)
+        now = lexicon.where(F.col("n") >= least).toArrow()
+        place, _ = located(now.column("word").to_numpy().view(np.uint64), hot)
+        group[place] = now.column("class").to_numpy()
+        shared.unpersist()
+    seen_once = counted.where("n = 1").select("word", "n", F.lit(once).alias("class"))
+    lexicon = lexicon.unionByName(seen_once)
     held = np.zeros(classes + 1)
     for row in lexicon.groupBy("class").agg(F.sum("n").alias("n")).collect():
         held[row["class"]] = row["n"]
@@ -336,6 +419,7 @@ def score_texts(
     contexts: int = CONTEXTS,
     rounds: int = ROUNDS,
     smoothing: float = 5.0,
+    hot_words: int = HOT_WORDS,
 ) -> DataFrame:
     """One row per document: id, train, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
@@ -349,7 +433,7 @@ def score_texts(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(train), F.lit(False)).alias("train")
     )
     blocks = to_blocks(plain)
-    lexicon, model = cluster(blocks, classes, contexts, rounds)
+    lexicon, model = cluster(blocks, classes, contexts, rounds, hot_words)
     id_type = plain.schema["id"].dataType
     fields = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType())]
     head = [T.StructField("id", id_type), T.StructField("train", T.BooleanType()), *[T.StructField(*f) for f in fields]]

@@ -73,7 +73,7 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where several branches need the same intermediate table: it is computed
@@ -82,10 +82,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     recomputation of what came before.
 
     The table stays until the ``intermediates`` block ends in which it was made; without
-    one it stays for good.
+    one it stays for good. A ``path`` from ``new_path`` keeps the owner it was made for.
     """
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = path or new_path(spark, label)
     if not _may_be_private(spark, path):
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)

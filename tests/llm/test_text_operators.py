@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from churnspark.llm import (
     chat_format, class_model, fingerprints, kneser_ney, language_id, line_dedup, mixing, packing, quality_rules, tokens,
 )
+from churnspark.llm.blocks import to_blocks
 from churnspark.llm.components import connected_components
 from churnspark.llm.near_dedup import linked_pairs, near_duplicates
 from churnspark.llm.queries import tokenizer_path
@@ -474,6 +475,27 @@ def test_class_model_beats_word_frequencies(spark):
     assert all(r["score"] > r["base_score"] + 10 for r in held)
 
 
+def test_classes_follow_the_real_neighbours(spark):
+    # Frequent words stand on both sides of no kind word: only rare neighbours tell the kinds apart.
+    random_ = np.random.default_rng(3)
+    texts = []
+    for i in range(1200):
+        kind = "pq"[i % 2]
+        inner = [f"{kind}{side}{random_.integers(100)}" for _ in range(8) for side in "lr"]
+        texts.append((i, " ".join(["the"] * 3 + inner + ["of"] * 3), True))
+    df = spark.createDataFrame(texts, "doc_id int, text string, train boolean").repartition(3)
+    blocks = to_blocks(df.select("text", "train"))
+    found = []
+    for hot_words in (1 << 20, 200, 0):  # all looked up, about half, all by the join
+        lexicon, _ = class_model.cluster(blocks, 8, 16, 6, hot_words)
+        found.append({r["word"]: r["class"] for r in lexicon.where("n > 1").collect()})
+    assert found[0] == found[1] == found[2]
+    vocabulary = " ".join(f"{kind}{side}{k}" for kind in "pq" for side in "lr" for k in range(100))
+    hashes = class_model._tokens(pa.array([vocabulary]))[0][:400].view(np.int64).tolist()
+    kinds = Counter((found[0][word], at // 200) for at, word in enumerate(hashes) if word in found[0])
+    assert sum(max(kinds[c, 0], kinds[c, 1]) for c in range(8)) > 0.9 * sum(kinds.values())
+
+
 def test_kneser_ney_is_a_distribution_and_paths_agree(edges, nothing):
     model = kneser_ney.train(edges)
     table = kneser_ney._Table(model.toArrow())
