@@ -7,8 +7,10 @@ sample of labelled documents. Mean and softmax are linear up to the last step, s
 the two layers are multiplied once and every subword adds one row of numbers.
 
 Scores are calibrated on a part of the sample that training did not see: a temperature is fitted,
-and the rejection threshold is the score that all but a small share of the rightly predicted
-documents reach.
+and texts are rejected by two signals, the score and how familiar a text's subwords are: their mean
+log frequency in the language found, against what is usual for that language and number of subwords.
+The threshold of each lies where it best parts rightly predicted rows from rows to refuse: those of
+languages left out of training in turn, and (for familiarity) random subwords.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ BUCKETS, DIMENSIONS, LENGTHS = 1 << 16, 16, (2, 3, 4)
 # The most labelled documents that training reads, over all languages together (as expected
 # number: documents are drawn by a hash of their id, each language with its own rate).
 SAMPLE_ROWS = 3000
+# Into how many groups languages are dealt that calibration leaves out in turn.
+LEFT_OUT_FOLDS = 4
 # Text bytes looked at together: a byte takes about 200 bytes of arrays.
 SLICE_BYTES = 1 << 19
 _SEED = 17
@@ -76,6 +80,16 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    frequency: np.ndarray | None = None
+    usual: np.ndarray | None = None
+    least_familiar: float = -np.inf
+
+    def familiarity(self, sums: np.ndarray, sizes: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """How far the summed log frequencies of ``sizes`` subwords are from the mean of their language,
+        in standard deviations; subwords of one place share letters and count once."""
+        mean, among_texts, within = self.usual[best].T
+        sizes = np.maximum(sizes, 1)
+        return (sums / sizes - mean) / np.sqrt(among_texts + within * len(LENGTHS) / sizes)
 
     def logits(self, buckets: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
         sums = np.zeros((count, len(self.languages)))
@@ -84,16 +98,20 @@ class LanguageModel:
         sizes = np.maximum(np.bincount(rows, minlength=count), 1)
         return sums / sizes[:, None] + self.bias
 
-    def predict(self, points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place of the language or -1, score) per row."""
+    def predict(self, points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the language or -1, score, whether it is rejected) per row."""
         buckets, rows, has_letter = _subwords(points, offsets)
         count = len(offsets) - 1
         if not self.languages:
-            return np.full(count, -1), np.zeros(count)
+            return np.full(count, -1), np.zeros(count), np.ones(count, bool)
         chance = _softmax(self.logits(buckets, rows, count) / self.temperature)
         best = chance.argmax(axis=1)
         score = chance[np.arange(count), best]
-        return np.where(has_letter, best, -1), np.where(has_letter, score, 0.0)
+        rejected = ~has_letter | (score < self.threshold)
+        if self.frequency is not None:
+            sums = np.bincount(rows, weights=self.frequency[buckets, best[rows]], minlength=count)
+            rejected |= self.familiarity(sums, np.bincount(rows, minlength=count), best) < self.least_familiar
+        return np.where(has_letter, best, -1), np.where(has_letter, score, 0.0), rejected
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -162,21 +180,124 @@ def _descend(
     return embed, weights, bias
 
 
-def _calibrate(model: LanguageModel, rows: list, labels: np.ndarray, false_rejections: float) -> None:
+def _parting(right: np.ndarray, wrong: np.ndarray, false_rejections: float, of: int) -> float:
+    """The threshold that parts ``right`` from ``wrong`` values best; minus infinity if none does.
+
+    Values between two neighbouring ones part alike: the middle is taken. No more of the right ones
+    than the given share are refused; ``of`` is how many wrong ones there are in all.
+    """
+    if not len(right) or not len(wrong):
+        return -np.inf
+    right, wrong = np.sort(right), np.sort(wrong)
+    cuts = np.unique(np.concatenate([right, wrong]))
+    lost = np.searchsorted(right, cuts) / len(right)
+    refused = np.searchsorted(wrong, cuts) / of
+    gain = np.where(lost <= false_rejections, refused, 0.0)
+    at = int(gain.argmax())
+    if gain[at] <= 0:
+        return -np.inf
+    return float((cuts[at] + cuts[at - 1]) / 2)
+
+
+def _frequencies(rows: list, labels: np.ndarray, languages: int) -> np.ndarray:
+    """Log share of each bucket among the subwords of a language; each text weighs the same."""
+    sums = np.zeros((BUCKETS, languages))
+    for (buckets, share), label in zip(rows, labels, strict=True):
+        sums[buckets, label] += share
+    sums += 0.05 * sums.sum(axis=0) / BUCKETS
+    return np.log(sums / sums.sum(axis=0)).astype(np.float32)
+
+
+def _scores(model: LanguageModel, rows: list) -> np.ndarray:
+    logits = np.array([share @ model.table[buckets] + model.bias for buckets, share, _ in rows])
+    return _softmax(logits.reshape(len(rows), len(model.languages)) / model.temperature)
+
+
+def _familiar(model: LanguageModel, rows: list, best: np.ndarray) -> np.ndarray:
+    means = np.array([share @ model.frequency[buckets, c] for (buckets, share, _), c in zip(rows, best, strict=True)])
+    sizes = np.array([size for *_, size in rows])
+    return model.familiarity(means * sizes, sizes, best)
+
+
+def _with_excerpts(rows: list, sizes: list) -> list:
+    """(buckets, share, subwords) of whole texts, then of an excerpt of each."""
     random = np.random.default_rng(_SEED)
-    rows = [*rows, *[_excerpt(random, r) for r in rows]]
-    labels = np.concatenate([labels, labels])
-    logits = np.array([share @ model.table[buckets] + model.bias for buckets, share in rows])
+    out = [(*row, size) for row, size in zip(rows, sizes, strict=True)]
+    for row in rows:
+        size = int(random.integers(4, 40))
+        drawn = random.choice(row[0], size=size, p=row[1] / row[1].sum())
+        own, counts = np.unique(drawn, return_counts=True)
+        out.append((own, (counts / size).astype(np.float32), size))
+    return out
+
+
+def _set_usual(model: LanguageModel, rows: list, labels: np.ndarray) -> None:
+    """Per language: mean familiarity, its variance among texts and among the subwords of a text."""
+    found = np.array([
+        (m := share @ model.frequency[buckets, c], share @ (model.frequency[buckets, c] - m) ** 2)
+        for (buckets, share), c in zip(rows, labels, strict=True)
+    ])
+    model.usual = np.zeros((len(model.languages), 3))
+    for c in range(len(model.languages)):
+        own = found[labels == c] if (labels == c).any() else found
+        middle = np.median(own[:, 0])
+        # By quantiles, so that odd but right texts count and a few in another language do not.
+        away = np.abs(own[:, 0] - middle)
+        spread = max(1.4826 * np.median(away), np.quantile(away, 0.98) / 2.33)
+        model.usual[c] = middle, max(spread, 0.05) ** 2, max(np.median(own[:, 1]), 1e-3)
+
+
+def _fitted(languages: list[str], rows: list, labels: np.ndarray, epochs: int, rate: float) -> LanguageModel:
+    embed, weights, bias = _descend(rows, labels, len(languages), epochs, rate)
+    model = LanguageModel(languages, embed @ weights, bias)
+    model.frequency = _frequencies(rows, labels, len(languages))
+    return model
+
+
+def _calibrate(
+    model: LanguageModel, rows: list, sizes: list, labels: np.ndarray, false_rejections: float, left_out: list[LanguageModel]
+) -> None:
+    """``left_out``: models of some of the languages; rows of the others are to be refused by them."""
+    _set_usual(model, rows, labels)
+    both = _with_excerpts(rows, sizes)
+    twice = np.concatenate([labels, labels])
+    logits = np.array([share @ model.table[buckets] + model.bias for buckets, share, _ in both])
     grid = np.geomspace(0.2, 20, 60)
-    places = np.arange(len(labels))
-    losses = [-np.log(_softmax(logits / t)[places, labels] + 1e-12).mean() for t in grid]
+    places = np.arange(len(twice))
+    losses = [-np.log(_softmax(logits / t)[places, twice] + 1e-12).mean() for t in grid]
     model.temperature = float(grid[int(np.argmin(losses))])
-    chance = _softmax(logits / model.temperature)
-    right = chance.argmax(axis=1) == labels
-    scores = np.sort(chance.max(axis=1)[right])
-    if len(scores):
-        # Half of the score that all but the given share reach leaves room for unseen texts.
-        model.threshold = float(scores[int(len(scores) * false_rejections)] / 2)
+    chance = _scores(model, both)
+    best = chance.argmax(axis=1)
+    right = best == twice
+    scores = chance.max(axis=1)[right]
+    familiar = _familiar(model, both, best)[right]
+    wrong_scores, wrong_familiar = [], []
+    for part in left_out:
+        known = np.isin(np.array(model.languages)[labels], part.languages)
+        own = np.searchsorted(part.languages, np.array(model.languages)[labels[known]])
+        _set_usual(part, [r for r, k in zip(rows, known, strict=True) if k], own) if known.any() else None
+        strange = [r for r, k in zip(both, np.concatenate([known, known]), strict=True) if not k]
+        if part.usual is None or not strange:
+            continue
+        part.temperature = model.temperature
+        chance = _scores(part, strange)
+        wrong_scores.append(chance.max(axis=1))
+        wrong_familiar.append(_familiar(part, strange, chance.argmax(axis=1)))
+    random = np.random.default_rng(_SEED)
+    noise = [
+        (*np.unique(random.integers(0, BUCKETS, size), return_counts=True), size)
+        for size in random.integers(4, 400, 200).tolist()
+    ]
+    noise = [(buckets, (counts / size).astype(np.float32), size) for buckets, counts, size in noise]
+    wrong_familiar.append(_familiar(model, noise, _scores(model, noise).argmax(axis=1)))
+    strange = np.concatenate(wrong_familiar)
+    model.least_familiar = _parting(familiar, strange, false_rejections, len(strange))
+    if wrong_scores:
+        # The score has to refuse only what is familiar.
+        strange = np.concatenate(wrong_scores)
+        left = strange[np.concatenate(wrong_familiar[:-1]) >= model.least_familiar]
+        scores = scores[familiar >= model.least_familiar]
+        model.threshold = max(_parting(scores, left, false_rejections, len(strange)), 0.0)
 
 
 def train(
@@ -212,8 +333,8 @@ def train(
     examples = []
     for lang, buckets, found in zip(*[table.column(i).to_pylist() for i in range(3)], strict=True):
         share = np.frombuffer(found, np.float32)
-        examples.append((buckets, place[lang], share / max(share.sum(), 1)))
-    examples.sort(key=lambda e: (e[0], e[1]))
+        examples.append((buckets, place[lang], share / max(share.sum(), 1), int(share.sum())))
+    examples.sort(key=lambda e: (e[0], e[1], e[3]))
     random = np.random.default_rng(_SEED)
     held = random.random(len(examples)) < 0.2
     sides = {}
@@ -222,19 +343,27 @@ def train(
         sides[name] = (
             [(np.frombuffer(e[0], np.uint32).astype(np.int64), e[2]) for e in chosen],
             np.array([e[1] for e in chosen], np.int64),
+            [e[3] for e in chosen],
         )
-    rows, labels = sides["fit"] if len(sides["fit"][0]) else sides["check"]
+    rows, labels, sizes = sides["fit"] if len(sides["fit"][0]) else sides["check"]
     if not len(rows):
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
     seen = np.unique(labels)
     languages = [languages[i] for i in seen]
-    embed, weights, bias = _descend(rows, np.searchsorted(seen, labels), len(seen), epochs, rate)
-    model = LanguageModel(languages, embed @ weights, bias)
-    check_rows, check_labels = sides["check"] if len(sides["check"][0]) else (rows, labels)
-    usable = np.isin(check_labels, seen)
-    if usable.any():
-        kept = [r for r, u in zip(check_rows, usable, strict=True) if u]
-        _calibrate(model, kept, np.searchsorted(seen, check_labels[usable]), false_rejections)
+    labels = np.searchsorted(seen, labels)
+    model = _fitted(languages, rows, labels, epochs, rate)
+    check_rows, check_labels, check_sizes = sides["check"] if len(sides["check"][0]) else (rows, seen[labels], sizes)
+    usable = np.flatnonzero(np.isin(check_labels, seen))
+    if len(usable):
+        left_out = []
+        folds = min(len(languages), LEFT_OUT_FOLDS) if len(languages) > 1 else 0
+        for fold in range(folds):
+            kept = np.flatnonzero(np.arange(len(languages)) % folds != fold)
+            own = np.flatnonzero(np.isin(labels, kept))
+            part = [rows[i] for i in own], np.searchsorted(kept, labels[own])
+            left_out.append(_fitted([languages[i] for i in kept], *part, max(epochs // 3, 1), rate))
+        kept_rows, kept_sizes = [check_rows[i] for i in usable], [check_sizes[i] for i in usable]
+        _calibrate(model, kept_rows, kept_sizes, np.searchsorted(seen, check_labels[usable]), false_rejections, left_out)
     return model
 
 
@@ -247,9 +376,8 @@ def _predict(shared, at: int):
             for first, last in slices(offsets, SLICE_BYTES):
                 own = offsets[first : last + 1] - offsets[first]
                 _, _, points, _, places = decoded(data[offsets[first] : offsets[last]], own)
-                best, score = model.predict(points, places)
+                best, score, rejected = model.predict(points, places)
                 best = np.where(best < 0, len(model.languages), best)
-                rejected = (best == len(model.languages)) | (score < model.threshold)
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, names.take(pa.array(best)), pa.array(score), pa.array(rejected)],
@@ -264,7 +392,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
     A null text, or one without a letter, is ``und`` with score 0 and rejected; so is every text
     if the model knows no language. Columns of ``docs`` with these three names are replaced, all
-    others pass. Very long texts are read whole. The model (at most 65536 numbers per language)
+    others pass. Very long texts are read whole. The model (at most 131072 numbers per language)
     is broadcast.
     """
     added = ["lang_pred", "lang_score", "lang_rejected"]

@@ -443,6 +443,23 @@ def test_languages_are_told_apart(spark, edges, nothing):
     assert language_id.identify(nothing, model).count() == 0
 
 
+@pytest.mark.parametrize("known", [["aa"], ["aa", "bb"], ["aa", "bb", "cc"]])
+def test_unlearned_languages_are_rejected(spark, known):
+    syllables = {"aa": "ka to mi re su la", "bb": "pol dren vis gort hap lum", "cc": "αβ γδ εζ ηθ ικ λμ", "dd": "wx qu yj zz xo jy", "ee": "жы ща рю ло ти на"}
+    random_ = np.random.default_rng(4)
+
+    def text(lang):
+        return " ".join("".join(random_.choice(syllables[lang].split(), random_.integers(1, 4))) for _ in range(random_.integers(15, 60)))
+
+    learned = [(i, text(lang), lang) for lang in known for i in range(80)]
+    model = language_id.train(spark.createDataFrame(learned, "doc_id int, text string, lang string"))
+    asked = [(i, text(lang), lang) for lang in [*known, "dd", "ee"] for i in range(60)]
+    found = language_id.identify(spark.createDataFrame(asked, "doc_id int, text string, lang string"), model).collect()
+    strange = [r["lang_rejected"] for r in found if r["lang"] in ("dd", "ee")]
+    clean = [r["lang_rejected"] for r in found if r["lang"] in known]
+    assert np.mean(strange) > 0.98 and np.mean(clean) < 0.02
+
+
 # --- language models ----------------------------------------------------------------------------------
 
 
