@@ -364,11 +364,26 @@ def _score_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place of the ranking once, and whether the one before it has no lower probability."""
     ranked = scoring.ranking(_scored_users(spark, sf_dir))
-    placed = materialize(ranked.withColumn("row", F.monotonically_increasing_id()), "ranked")
-    order = Window.orderBy("row")  # one row per user, for the check only
-    return placed.select(
-        F.row_number().over(order).cast("long").alias("place"),
-        F.coalesce(F.lag("churn_probability").over(order) >= F.col("churn_probability"), F.lit(True)).alias("ordered"),
+    return _places(materialize(ranked.withColumn("row", F.monotonically_increasing_id()), "ranked"))
+
+
+def _places(placed: DataFrame) -> DataFrame:
+    """``place`` and ``ordered`` of rows whose ``row`` has the range of the sort in its upper bits.
+
+    Places are counted inside each range; only one row per range is looked at together.
+    """
+    placed = placed.select("churn_probability", "row", F.shiftright("row", 33).alias("part"))
+    ends = placed.groupBy("part").agg(F.count("*").alias("n"), F.max_by("churn_probability", "row").alias("last"))
+    ranges = Window.orderBy("part")  # one row per range of the sort
+    ends = ends.select(
+        "part", (F.sum("n").over(ranges) - F.col("n")).alias("offset"), F.lag("last").over(ranges).alias("border")
+    )
+    order = Window.partitionBy("part").orderBy("row")
+    inside = placed.withColumn("at", F.row_number().over(order)).withColumn("before", F.lag("churn_probability").over(order))
+    before = F.when(F.col("at") == 1, F.col("border")).otherwise(F.col("before"))
+    return inside.join(ends, "part").select(
+        (F.col("offset") + F.col("at")).cast("long").alias("place"),
+        F.coalesce(before >= F.col("churn_probability"), F.lit(True)).alias("ordered"),
     )
 
 

@@ -164,3 +164,12 @@ def hot_tables(tmp_path_factory):
 def test_hot_users_get_right_results(spark, hot_tables, name):
     ok, text = compare(spark, connect(hot_tables), name, hot_tables, entry.oracle_sql()[name])
     assert ok, text
+
+
+def test_places_of_a_ranking_across_ranges(spark):
+    from churnspark.workloads.queries import _places
+
+    # Ranges 0, 2 and 5 of a sort; the first row of range 5 is higher than the last of range 2.
+    rows = [(0.9, 0), (0.8, 1), (0.8, 2 << 33), (0.3, (2 << 33) + 1), (0.4, 5 << 33), (0.1, (5 << 33) + 1)]
+    got = _places(spark.createDataFrame(rows, "churn_probability double, row bigint").repartition(3)).collect()
+    assert sorted(map(tuple, got)) == [(i, i != 5) for i in range(1, 7)]
