@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: production parameters over whole tables."""
+"""Registered queries of the operators: production parameters over whole tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.llm import (
+    alignment,
     chat_format,
     class_model,
     fingerprints,
@@ -15,7 +16,9 @@ from churnspark.llm import (
     language_id,
     line_dedup,
     mixing,
+    page_text,
     quality_rules,
+    whitening,
 )
 from churnspark.llm.near_dedup import near_duplicates
 from churnspark.llm.oracles import oracle_sql
@@ -101,11 +104,11 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path() -> str:
-    """The byte-level BPE vocabulary of the queries."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the queries; the byte-level BPE one by default."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +148,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by differencing it with the pages next to it in its host."""
+    found = page_text.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_lines", "n_shared", "n_deleted"
+    )
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers in every text, scored by the corpus-wide counts of their pairs."""
+    docs, _ = alignment.align(_documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    return docs
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable embeddings, whitened by their eight leading components."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -157,4 +179,7 @@ def queries() -> dict[str, Query]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
+        "op11_page_text": op11_page_text,
+        "op12_alignment": op12_alignment,
+        "op13_whitening": op13_whitening,
     }

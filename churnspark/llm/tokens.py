@@ -3,11 +3,16 @@
 The merges of such a vocabulary never cross the pieces into which its pattern cuts a text. The
 pieces are found for a slice of texts at once from character classes, every distinct piece is
 encoded once by the library and kept, and the ids of a text are gathered from those of its pieces.
-Strings of special tokens inside a text are ordinary text.
+Strings of special tokens inside a text are those tokens, or ordinary text where asked for.
+
+A vocabulary of the ``sentencepiece`` library is used in the same way: none of its pieces has a
+blank after another character, so what a run of blanks and the characters up to the next blank
+become does not depend on the rest of a text.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -65,17 +70,19 @@ def piece_starts(points: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) ->
     return starts
 
 
-class Encoder:
-    """Ids of texts; one per Python worker and vocabulary."""
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+class PieceCache:
+    """Ids of texts from those of their distinct pieces; one per Python worker and vocabulary."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.classes = classes()
+    def __init__(self) -> None:
         self._reset()
 
+    def _pieces(self, raw: bytes, points: np.ndarray, lead: np.ndarray, point_offsets: np.ndarray) -> np.ndarray:
+        """Where pieces begin, in code points; every text that is not empty begins with one."""
+        raise NotImplementedError
+
+    def _encoded(self, pieces: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
     def _reset(self) -> None:
         self.known: dict[int, int] = {}
         self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
@@ -84,8 +91,7 @@ class Encoder:
     def _add(self, hashes: list[int], pieces: list[str]) -> None:
         counts, parts = [], []
         for i in range(0, len(pieces), ENCODE_PIECES):
-            encoded = self.tokenizer.encode_batch_fast(pieces[i : i + ENCODE_PIECES], add_special_tokens=False)
-            found = [e.ids for e in encoded]
+            found = self._encoded(pieces[i : i + ENCODE_PIECES])
             counts.append(np.fromiter(map(len, found), np.int64, len(found)))
             parts.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
         lengths, ids = np.concatenate(counts), np.concatenate(parts)
@@ -106,7 +112,7 @@ class Encoder:
         if not len(points):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         data = np.frombuffer(raw, np.uint8)
-        begin = np.flatnonzero(piece_starts(points, point_offsets, self.classes))
+        begin = self._pieces(raw, points, lead, point_offsets)
         owner = np.searchsorted(begin, point_offsets)
         begin, end = lead[begin], np.append(lead[begin[1:]], len(data))
         hashes, where, inverse = np.unique(span_hashes(data, begin, end), return_index=True, return_inverse=True)
@@ -125,13 +131,85 @@ class Encoder:
         return ids, totals[owner]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+class Encoder(PieceCache):
+    """A byte-level BPE vocabulary of the ``tokenizers`` library.
+
+    With ``special`` the strings of its special tokens inside a text become those tokens, as by the
+    library's defaults; without, they are ordinary text.
+    """
+
+    def __init__(self, path: str, special: bool = True) -> None:
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = not special
+        self.classes = classes()
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        # The longest first: the library takes the longest of those that begin at one place.
+        strings = b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))
+        self.special = re.compile(strings) if added else None
+
+    def _encoded(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _special_spans(self, raw: bytes, lead: np.ndarray, point_offsets: np.ndarray) -> list[tuple[int, int]]:
+        """(first, after the last) code point of every special token's string that lies within one text."""
+        found = []
+        at = 0
+        while self.special is not None and (match := self.special.search(raw, at)):
+            first, last = np.searchsorted(lead, match.span()).tolist()
+            border = np.searchsorted(point_offsets, first, side="right")
+            if last <= point_offsets[border]:
+                found.append((first, last))
+                at = match.end()
+            else:
+                at = int(lead[point_offsets[border]])
+        return found
+
+    def _pieces(self, raw: bytes, points: np.ndarray, lead: np.ndarray, point_offsets: np.ndarray) -> np.ndarray:
+        spans = self._special_spans(raw, lead, point_offsets)
+        if not spans:
+            return np.flatnonzero(piece_starts(points, point_offsets, self.classes))
+        # What stands between special tokens is cut as if it were a text of its own.
+        starts = piece_starts(points, np.union1d(point_offsets, np.array(spans).ravel()), self.classes)
+        for first, last in spans:
+            starts[first + 1 : last] = False
+        return np.flatnonzero(starts)
+
+
+class SentenceEncoder(PieceCache):
+    """A vocabulary of the ``sentencepiece`` library, for texts that begin with the blank it adds."""
+
+    def __init__(self, path: str) -> None:
+        import sentencepiece
+
+        super().__init__()
+        self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.blank = self.processor.piece_to_id("\u2581")
+
+    def _encoded(self, pieces: list[str]) -> list[list[int]]:
+        # A piece begins with a blank, and the library adds one; alone it would give nothing.
+        found = self.processor.encode([p[1:] for p in pieces], num_threads=1)
+        return [ids if ids else [self.blank] for ids in found]
+
+    def _pieces(self, raw: bytes, points: np.ndarray, lead: np.ndarray, point_offsets: np.ndarray) -> np.ndarray:
+        blank = points == 0x20
+        starts = blank.copy()
+        starts[1:] &= ~blank[:-1]
+        first = point_offsets[:-1][point_offsets[:-1] < point_offsets[1:]]
+        starts[first] = True
+        return np.flatnonzero(starts)
+
+
+_ENCODERS: dict[tuple, PieceCache] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, kind: type[PieceCache] = Encoder, **options) -> PieceCache:
+    key = (path, kind, *sorted(options.items()))
+    if key not in _ENCODERS:
+        _ENCODERS[key] = kind(path, **options)
+    return _ENCODERS[key]
 
 
 def token_ids(column: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -73,7 +73,6 @@ def test_stages_match_brute_force(spark, corpus):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path())
-    library.encode_special_tokens = True
     tokens = sum(n * (len(library.encode(r[1], add_special_tokens=False).ids) + 1) for r, n in mixed.items())
     packed = kept["packing"].collect()
     assert sum(r["length"] for r in packed) == tokens
