@@ -243,8 +243,9 @@ def test_ids_equal_the_library(edges):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path())
-    library.encode_special_tokens = True
     texts = [t for _, t, _, _ in EDGES] + ["it's 'tis we'll  don't\n\n  x ''s 'S <|endoftext|>", "a  b c", "\x1c\x1d 1½²"]
+    texts += ["abc <|endoftext|> def", "<|endoftext|><|endoftext|>'s", "<|endof", "text|> é<|endoftext|>é", " <|endoftext|", ">"]
+    assert library.encode(texts[-6], add_special_tokens=False).ids == [39305, 220, 50256, 825]
     found = [ids[o[i] : o[i + 1]].tolist() for a, b, ids, o in tokens.token_ids(pa.array(texts), tokenizer_path()) for i in range(b - a)]
     assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
