@@ -179,6 +179,47 @@ def describe_by(rows: DataFrame, groups: Sequence[str], value: str) -> DataFrame
     return described.select(*groups, "count", "mean", std, "min", *quantile_columns(QUARTILES), "max")
 
 
+def describe_by_sketch(rows: DataFrame, groups: Sequence[str], value: str, size: int = 4096) -> DataFrame:
+    """As ``describe_by``, with quartiles from one mergeable sketch per group.
+
+    Only sketches of about ``size`` numbers are shuffled, not the distinct values. A quartile is the
+    least value whose share of rows at or below it reaches the quarter; it is exact for groups of up
+    to ``size`` rows, beyond with the rank error of ``sketch_error_bound``.
+    """
+    known = rows.where(F.col(value).isNotNull()).withColumn("v", F.col(value).cast("double"))
+    sketched = known.groupBy(*groups).agg(
+        F.count("*").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"),
+        F.max("v").alias("max"), F.kll_sketch_agg_double("v", F.lit(size)).alias("sketch"),
+    )
+    quartiles = [F.kll_sketch_get_quantile_double("sketch", F.lit(share)).alias(name) for name, share in QUARTILES.items()]
+    return sketched.select(*groups, "count", "mean", "std", "min", *quartiles, "max")
+
+
+def sketch_error_bound(size: int) -> float:
+    """The normalised rank error that a sketch of this size keeps with 99 % confidence (2.296 / size^0.9021)."""
+    return 2.296 / size**0.9021
+
+
+def sketch_rank_errors(rows: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float], size: int = 200) -> DataFrame:
+    """(groups, share, error, bound): how far the sketch's quantiles are from their rank, measured exactly.
+
+    The error is the distance of ``share`` from the ranks that the value covers among all rows.
+    """
+    known = rows.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("v"))
+    sketches = known.groupBy(*groups).agg(F.kll_sketch_agg_double("v", F.lit(size)).alias("sketch"))
+    entries = [
+        F.struct(F.lit(float(s)).alias("share"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(s))).alias("v")) for s in shares
+    ]
+    picked = materialize(sketches.select(*groups, F.explode(F.array(*entries)).alias("e")).select(*groups, "e.*"), "quantiles")
+    counted = known.groupBy(*groups, "v").agg(F.count("*").alias("n"))
+    ranked = running_sums(counted, groups, "v", ["n"])
+    low, high = F.col("n_before") / F.col("n_total"), (F.col("n_before") + F.col("n")) / F.col("n_total")
+    error = F.greatest(low - F.col("share"), F.col("share") - high, F.lit(0.0))
+    return picked.join(ranked, [*groups, "v"]).select(
+        *groups, "share", error.alias("error"), F.lit(sketch_error_bound(size)).alias("bound")
+    )
+
+
 def long_features(features: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """One row per user and numeric feature: keep columns, ``feature``, ``value``; null and NaN are left out."""
     numbers = features.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -187,23 +228,16 @@ def long_features(features: DataFrame, columns: Sequence[str], keep: Sequence[st
     )
 
 
-def feature_histogram(features: DataFrame, columns: Sequence[str], label: str = "churn", bins: int = 20) -> DataFrame:
-    """Equal-width bins per feature with count and density within each class.
-
-    The range of a feature covers both classes; empty bins are left out.
-    """
-    values = long_features(features, columns, [label])
+def _histogram(values: DataFrame, ranges: DataFrame, label: str) -> DataFrame:
+    """Counts and density per feature, class and bin; ``ranges``: feature, low, width, bins (few rows)."""
     counted = values.groupBy("feature", label, "value").agg(F.count("*").alias("n"))
-    # One row per listed column, so it may be broadcast.
-    ranges = F.broadcast(values.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high")))
     sizes = values.groupBy("feature", label).agg(F.count("*").alias("n_class"))
-    width = (F.col("high") - F.col("low")) / bins
-    position = F.floor(F.try_divide(F.col("value") - F.col("low"), width))
+    position = F.floor(F.try_divide(F.col("value") - F.col("low"), F.col("width")))
     binned = (
-        counted.join(ranges, "feature")
-        .withColumn("bin", F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int"))
-        .withColumn("width", width)
-        .groupBy("feature", label, "bin", "low", "width")
+        # One row per listed column, so it may be broadcast.
+        counted.join(F.broadcast(ranges), "feature")
+        .withColumn("bin", F.least(F.coalesce(position, F.lit(0)), F.col("bins") - 1).cast("int"))
+        .groupBy("feature", label, "bin", "low", "width", "bins")
         .agg(F.sum("n").alias("n"))
     )
     return binned.join(sizes, ["feature", label]).select(
@@ -213,9 +247,48 @@ def feature_histogram(features: DataFrame, columns: Sequence[str], label: str =
         (F.col("low") + F.col("bin") * F.col("width")).alias("bin_start"),
         "n",
         F.try_divide(F.col("n"), F.col("n_class") * F.col("width")).alias("density"),
+        "bins",
     )
 
 
+def feature_histogram(features: DataFrame, columns: Sequence[str], label: str = "churn", bins: int = 20) -> DataFrame:
+    """Equal-width bins per feature with count and density within each class.
+
+    The range of a feature covers both classes; empty bins are left out.
+    """
+    values = long_features(features, columns, [label])
+    ranges = values.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    ranges = ranges.select("feature", "low", ((F.col("high") - F.col("low")) / bins).alias("width"), F.lit(bins).alias("bins"))
+    return _histogram(values, ranges, label).drop("bins")
+
+
+def automatic_bins(features: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, low, width, bins): as many bins as the data ask for.
+
+    The width is the lesser one of 2 IQR / n^(1/3) (left out where the quartiles are equal) and
+    range / (log2 n + 1), stretched so that whole bins cover the range. Quartiles are exact.
+    """
+    values = long_features(features, columns, [])
+    counted = values.groupBy("feature", "value").agg(F.count("*").alias("n"))
+    ranked = running_sums(counted, ["feature"], "value", ["n"])
+    spread = ranked.groupBy("feature").agg(
+        F.max("n_total").alias("total"), F.min("value").alias("low"), F.max("value").alias("high"),
+        *quantile_aggregates("value", QUARTILES),
+    ).select("feature", "total", "low", "high", *quantile_columns(QUARTILES))
+    span = F.col("high") - F.col("low")
+    by_quartiles = 2 * (F.col("q3") - F.col("q1")) / F.pow(F.col("total").cast("double"), F.lit(1 / 3))
+    by_size = span / (F.log2(F.col("total").cast("double")) + 1)
+    wanted = F.when(by_quartiles > 0, F.least(by_quartiles, by_size)).otherwise(by_size)
+    bins = F.greatest(F.coalesce(F.ceil(F.try_divide(span, wanted)), F.lit(1)), F.lit(1))
+    return spread.select("feature", "low", (span / bins).alias("width"), bins.alias("bins"))
+
+
+def feature_histogram_auto(features: DataFrame, columns: Sequence[str], label: str = "churn") -> DataFrame:
+    """``feature_histogram`` with ``automatic_bins``, and their number per feature."""
+    ranges = materialize(automatic_bins(features, columns), "bins")
+    return _histogram(long_features(features, columns, [label]), ranges, label)
+
+
 def feature_boxplot(features: DataFrame, columns: Sequence[str], label: str = "churn") -> DataFrame:
     """Quartiles, whiskers (extremes within 1.5 IQR) and outlier count per feature and class."""
     groups = ["feature", label]

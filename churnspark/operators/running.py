@@ -22,10 +22,18 @@ _ALL = "_all"
 
 
 def running_sums(
-    distinct_values: DataFrame, groups: Sequence[str], value: str, measures: Sequence[str], chunks: int | None = None
+    distinct_values: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    measures: Sequence[str],
+    chunks: int | None = None,
+    previous: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller values) and ``<m>_total`` for every measure.
 
+    Columns in ``previous`` also get ``<c>_previous``, their value in the row of the next smaller
+    value of the group (null in the first row); a chunk's first row takes it from the chunk before.
+
     ``distinct_values`` has one row per (groups, value) with a non-null value. Groups
     are few (features, pages, labels); values per group may be as many as there are rows.
     The number of chunks grows with the rows; it never changes a result.
@@ -46,18 +54,23 @@ def running_sums(
     chunk = F.size(F.filter("cuts", lambda cut: cut < F.col(value)))
     chunked = table.join(cuts, keys).withColumn("chunk", chunk).drop("cuts")
     earlier = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy(*keys).orderBy("chunk")
     offsets = (
         chunked.groupBy(*keys, "chunk")
-        .agg(*[F.sum(m).alias(m) for m in measures])
-        .select(*keys, "chunk", *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"{m}_offset") for m in measures])
-    )
+        .agg(*[F.sum(m).alias(m) for m in measures], *[F.max_by(c, value).alias(f"{c}_last") for c in previous])
+        .select(
+            *keys, "chunk", *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"{m}_offset") for m in measures],
+            *[F.lag(f"{c}_last").over(in_order).alias(f"{c}_border") for c in previous],
+        )
+    )
     smaller = (
         Window.partitionBy(*keys, "chunk").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
-    summed = chunked.join(offsets, [*keys, "chunk"]).withColumns(
-        {f"{m}_before": F.col(f"{m}_offset") + F.coalesce(F.sum(m).over(smaller), F.lit(0)) for m in measures}
-    )
-    return summed.drop(_ALL, "chunk", *[f"{m}_offset" for m in measures])
+    by_value = Window.partitionBy(*keys, "chunk").orderBy(value)
+    added = {f"{m}_before": F.col(f"{m}_offset") + F.coalesce(F.sum(m).over(smaller), F.lit(0)) for m in measures}
+    added |= {f"{c}_previous": F.coalesce(F.lag(c).over(by_value), F.col(f"{c}_border")) for c in previous}
+    summed = chunked.join(offsets, [*keys, "chunk"]).withColumns(added)
+    return summed.drop(_ALL, "chunk", *[f"{m}_offset" for m in measures], *[f"{c}_border" for c in previous])
 
 
 def _value_at(position: Column, value: str) -> Column:

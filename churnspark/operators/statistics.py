@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.functions.tails import chi_squared_p_value, normal_p_value
+from churnspark.functions.tails import chi_squared_p_value, normal_p_value, rank_sum_p_value
 from churnspark.operators.profile import long_features
 from churnspark.operators.running import running_sums
 from churnspark.runtime import materialize
@@ -63,19 +63,33 @@ def expected_counts(table: DataFrame, row: str, column: str, n: str = "n") -> Da
     return observed.select(row, column, n, expected.alias("expected"))
 
 
-def mann_whitney(features: DataFrame, columns: Sequence[str], label: str = "churn", alpha: float = 0.05) -> DataFrame:
-    """Two-sided Mann-Whitney U per feature, class 0 against class 1.
+# The exact law of U is used up to these sizes: of the smaller sample, and of all values of U.
+EXACT_SAMPLE, EXACT_VALUES = 8, 10_000
 
-    Equal values are counted per feature first; the rank of a tie group is its mid-rank
-    from a running sum. Normal approximation with tie correction and continuity 0.5.
+
+def rank_tests(
+    values: DataFrame,
+    groups: Sequence[str],
+    value: str = "value",
+    label: str = "churn",
+    alpha: float = 0.05,
+    method: str = "normal",
+) -> DataFrame:
+    """Two-sided Mann-Whitney U per group, class 0 against class 1.
+
+    Equal values are counted per group first; the rank of a tie group is its mid-rank from a
+    running sum. ``normal``: normal approximation with tie correction and continuity 0.5.
+    ``auto``: the exact law of U where no value repeats, the smaller class has at most
+    ``EXACT_SAMPLE`` rows and U at most ``EXACT_VALUES`` values; ``method`` says which one was used.
+    A group that lacks a class has p = 1. Null and NaN values are left out.
     """
-    values = long_features(features, columns, [label])
-    counted = values.groupBy("feature", "value").agg(
-        F.count("*").alias("n"), F.count_if(F.col(label) == 0).alias("n0")
-    )
-    ranked = running_sums(counted, ["feature"], "value", ["n", "n0"])
+    if method not in ("normal", "auto"):
+        raise ValueError(f"method must be normal or auto, not {method}")
+    known = values.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    counted = known.groupBy(*groups, value).agg(F.count("*").alias("n"), F.count_if(F.col(label) == 0).alias("n0"))
+    ranked = running_sums(counted, groups, value, ["n", "n0"])
     ties = F.col("n").cast("double")
-    summed = ranked.groupBy("feature").agg(
+    summed = ranked.groupBy(*groups).agg(
         F.max("n_total").cast("double").alias("n"),
         F.max("n0_total").cast("double").alias("n0"),
         F.sum(F.col("n0") * (F.col("n_before") + (F.col("n") + 1) / 2)).alias("rank_sum"),
@@ -86,60 +100,82 @@ def mann_whitney(features: DataFrame, columns: Sequence[str], label: str = "chur
     u = F.col("rank_sum") - n0 * (n0 + 1) / 2
     spread = F.sqrt(n0 * n1 / 12 * ((n + 1) - F.try_divide(F.col("tie_sum"), n * (n - 1))))
     above = F.greatest(F.col("u"), n0 * n1 - F.col("u")) - n0 * n1 / 2 - 0.5
+    # Within the continuity correction of the centre, or all values equal: p is 1.
+    normal = F.when((F.col("z") < 0) | (F.col("spread") == 0), 1.0).otherwise(normal_p_value("z"))
+    small = (F.least(n0, n1).between(1, EXACT_SAMPLE)) & (n0 * n1 <= EXACT_VALUES) & (F.col("tie_sum") == 0)
+    exact = small if method == "auto" else F.lit(False)
+    p_value = normal
+    if method == "auto":
+        # Null arguments where the exact law does not apply, so that nothing is counted there.
+        p_value = F.coalesce(rank_sum_p_value(F.when(small, F.col("u")), n0, n1), normal)
     tested = (
         summed.withColumns({"u": u, "spread": spread})
         .withColumn("z", F.try_divide(above, F.col("spread")))
-        # Within the continuity correction of the centre, or all values equal: p is 1.
-        .withColumn("p_value", F.when((F.col("z") < 0) | (F.col("spread") == 0), 1.0).otherwise(normal_p_value("z")))
+        .withColumn("p_value", p_value)
     )
     return tested.select(
-        "feature", n0.cast("long").alias("n0"), n1.cast("long").alias("n1"), "u", "z", "p_value",
-        (F.col("p_value") < alpha).alias("reject"),
-    )
+        *groups, n0.cast("long").alias("n0"), n1.cast("long").alias("n1"), "u", "z", "p_value",
+        (F.col("p_value") < alpha).alias("reject"), F.when(exact, "exact").otherwise("normal").alias("method"),
+    )
+
 
+def mann_whitney(
+    features: DataFrame, columns: Sequence[str], label: str = "churn", alpha: float = 0.05, method: str = "normal"
+) -> DataFrame:
+    """``rank_tests`` per feature."""
+    tested = rank_tests(long_features(features, columns, [label]), ["feature"], "value", label, alpha, method)
+    return tested if method == "auto" else tested.drop("method")
 
-def _pairwise(features: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Correlation of column pairs over the rows where both are known."""
-    entries = [
-        F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"),
-            F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"),
-        )
-        for a, b in pairs
-    ]
-    exploded = features.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
-    complete = exploded.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return complete.groupBy("a", "b").agg(F.corr("x", "y").alias("corr"))
+
+def _pair_sums(names: Sequence[str], means: Sequence[float]):
+    """Rows (i, j, n, x, y, xx, yy, xy): what a partition adds to the sums of each pair, numbers less their means."""
+    size = len(names)
+    one, two = np.tril_indices(size, -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, size, size))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+            known = ~np.isnan(x)
+            x = np.where(known, x - means, 0.0)
+            known = known.astype(np.float64)
+            # Sums of one column over the rows where the other is known too.
+            single, square = x.T @ known, (x * x).T @ known
+            sums += np.stack([known.T @ known, single, single.T, square, square.T, x.T @ x])
+        columns = [pa.array(one.astype(np.int32)), pa.array(two.astype(np.int32)), *[pa.array(s[one, two]) for s in sums]]
+        yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    return run
 
 
 def feature_correlation(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Strict lower triangle of the Pearson matrix: (a, b, corr), b before a in ``columns``.
 
-    Columns without nulls go through one pass of ``Correlation.corr``; pairs with a null
-    column are correlated over their common rows. NaN counts as null. Constant columns give null.
+    Every pair is correlated over the rows where both numbers are known; NaN counts as null.
+    One pass finds means and constant columns, a second adds up all pairs at once: a
+    partition hands on one row per pair. A pair with a constant column, or constant over its
+    common rows, gives null.
     """
     names = list(columns)
     numbers = {c: F.col(c).cast("double") for c in names}
-    features = features.select(*[F.when(~F.isnan(n), n).alias(c) for c, n in numbers.items()])
-    nulls = features.agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(names)],
-        *[(F.min(c) == F.max(c)).alias(f"constant_{i}") for i, c in enumerate(names)],
+    plain = features.select(*[F.when(~F.isnan(n), n).alias(c) for c, n in numbers.items()])
+    spread = plain.agg(
+        *[F.avg(c).alias(f"mean_{i}") for i, c in enumerate(names)],
+        *[(F.min(c) < F.max(c)).alias(f"varies_{i}") for i, c in enumerate(names)],
     ).first()
-    full = [c for i, c in enumerate(names) if nulls[f"nulls_{i}"] == 0 and nulls[f"constant_{i}"] is False]
-    constant = {c for i, c in enumerate(names) if nulls[f"constant_{i}"] is not False}
-    spark = features.sparkSession
-    lower = [(a, b) for i, a in enumerate(names) for b in names[:i]]
-    vectors = VectorAssembler(inputCols=full, outputCol="vector").transform(
-        features.select(*[F.col(c).cast("double").alias(c) for c in full])
-    )
-    # The result is a local matrix of (number of columns)^2 numbers.
-    matrix = Correlation.corr(vectors, "vector").first()[0].toArray() if len(full) > 1 else None
-    place = {c: i for i, c in enumerate(full)}
-    dense = [
-        (a, b, None if a in constant or b in constant else float(matrix[place[a], place[b]]))
-        for a, b in lower
-        if a in constant or b in constant or (a in place and b in place)
-    ]
-    found = spark.createDataFrame(dense, "a string, b string, corr double")
-    rest = [(a, b) for a, b in lower if not {a, b} & constant and not (a in place and b in place)]
-    return found.unionByName(_pairwise(features, rest)) if rest else found
+    means = [spread[f"mean_{i}"] or 0.0 for i in range(len(names))]
+    varies = [bool(spread[f"varies_{i}"]) for i in range(len(names))]
+    sums = ["n", "x", "y", "xx", "yy", "xy"]
+    schema = "i int, j int, " + ", ".join(f"{c} double" for c in sums)
+    pairs = plain.mapInArrow(_pair_sums(names, np.array(means)), schema)
+    pairs = pairs.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+    x, y, n = F.col("x"), F.col("y"), F.col("n")
+    spread_x, spread_y = F.col("xx") - F.try_divide(x * x, n), F.col("yy") - F.try_divide(y * y, n)
+    both = F.col("xy") - F.try_divide(x * y, n)
+    # Sums of squares this small against what they came from are rounding, not variance.
+    real = (spread_x > 1e-14 * F.col("xx")) & (spread_y > 1e-14 * F.col("yy"))
+    vary = F.array(*[F.lit(v) for v in varies])
+    usable = F.get(vary, F.col("i")) & F.get(vary, F.col("j")) & real
+    name = F.array(*[F.lit(c) for c in names])
+    corr = F.when(usable, F.least(F.greatest(both / F.sqrt(spread_x * spread_y), F.lit(-1.0)), F.lit(1.0)))
+    return pairs.select(F.get(name, F.col("i")).alias("a"), F.get(name, F.col("j")).alias("b"), corr.alias("corr"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.operators.evaluation import f_beta
+from churnspark.operators.search import minimise, random_draw
 from churnspark.operators.split import with_class_weight, with_folds
 from churnspark.runtime import materialize
 from churnspark.schema import ID_COLUMN, LABEL_COLUMN
@@ -68,16 +69,7 @@ def classifiers(seed: int = 42, weighted: bool = True) -> dict[str, Estimator]:
 def draw_parameters(space: Mapping[str, tuple], trials: int, seed: int) -> list[dict[str, float | int]]:
     """Seeded random draws; a value without a fraction becomes an int."""
     generator = random.Random(seed)
-    draws = []
-    for _ in range(trials):
-        drawn: dict[str, float | int] = {}
-        for name, (kind, low, high, *step) in space.items():
-            value = generator.uniform(low, high)
-            if kind == "quniform":
-                value = round(value / step[0]) * step[0]
-            drawn[name] = int(value) if float(value).is_integer() else value
-        draws.append(drawn)
-    return draws
+    return [random_draw(space, generator) for _ in range(trials)]
 
 
 def spark_parameters(estimator: Estimator, drawn: Mapping[str, float | int], n_rows: int) -> dict:
@@ -92,6 +84,35 @@ def spark_parameters(estimator: Estimator, drawn: Mapping[str, float | int], n_r
     return translated
 
 
+def fold_scores(
+    train: DataFrame, estimator: Estimator, seed: int = 42, folds: int = 3, parallelism: int = 4, id_column: str = ID_COLUMN
+) -> Callable[[Sequence[Mapping[str, float | int]]], list[float]]:
+    """A function from draws to their mean F2 over folds that share out each label.
+
+    ``C`` is translated by the rows that a fold trains on. F2 is 0 where it is undefined, as in a fold
+    without positive rows. All folds of all draws run side by side; each submits its own Spark jobs.
+    """
+    folded = materialize(with_folds(train, folds, seed, id_column=id_column), "folds")
+    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+    total = sum(sizes.values())
+    used = [f for f in sizes if sizes[f] < total]
+
+    def score(task: tuple[Mapping[str, float | int], int]) -> float:
+        drawn, fold = task
+        rest = folded.where(F.col("fold") != fold)
+        model = estimator.copy(spark_parameters(estimator, drawn, total - sizes[fold])).fit(rest)
+        predicted = model.transform(folded.where(F.col("fold") == fold))
+        return f_beta(predicted.select(F.col(LABEL_COLUMN).alias("label"), "prediction")).first()[0]
+
+    def scores(draws: Sequence[Mapping[str, float | int]]) -> list[float]:
+        with ThreadPool(parallelism) as pool:
+            found = pool.map(score, [(drawn, fold) for drawn in draws for fold in used], chunksize=1)
+        many = max(len(used), 1)
+        return [sum(found[i * len(used) : (i + 1) * len(used)]) / many for i in range(len(draws))]
+
+    return scores
+
+
 def random_search(
     train: DataFrame,
     estimator: Estimator,
@@ -102,32 +123,31 @@ def random_search(
     parallelism: int = 4,
     id_column: str = ID_COLUMN,
 ) -> tuple[dict[str, float | int], float]:
-    """Parameters with the highest mean F2 over folds that share out each label, and that mean.
-
-    ``C`` is translated by the rows that a fold trains on. F2 is 0 where it is undefined, as in
-    a fold without positive rows. Trials run side by side; each submits its own Spark jobs.
-    """
+    """The parameters of the random draw with the highest mean F2 over folds (see ``fold_scores``), and that mean."""
     draws = draw_parameters(space, trials, seed)
-    folded = materialize(with_folds(train, folds, seed, id_column=id_column), "folds")
-    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
-    total = sum(sizes.values())
-
-    def score(task: tuple[int, int]) -> float:
-        trial, fold = task
-        rest = folded.where(F.col("fold") != fold)
-        model = estimator.copy(spark_parameters(estimator, draws[trial], total - sizes[fold])).fit(rest)
-        predicted = model.transform(folded.where(F.col("fold") == fold))
-        return f_beta(predicted.select(F.col(LABEL_COLUMN).alias("label"), "prediction")).first()[0]
-
-    used = [f for f in sizes if sizes[f] < total]
-    tasks = [(trial, fold) for trial in range(trials) for fold in used]
-    with ThreadPool(parallelism) as pool:
-        scores = pool.map(score, tasks)
-    means = [sum(s for (t, _), s in zip(tasks, scores, strict=True) if t == trial) / max(len(used), 1) for trial in range(trials)]
+    means = fold_scores(train, estimator, seed, folds, parallelism, id_column)(draws)
     best = max(range(trials), key=lambda i: means[i])
     return draws[best], means[best]
 
 
+def adaptive_search(
+    train: DataFrame,
+    estimator: Estimator,
+    space: Mapping[str, tuple],
+    trials: int = 20,
+    seed: int = 42,
+    folds: int = 3,
+    parallelism: int = 4,
+    round_size: int = 4,
+    id_column: str = ID_COLUMN,
+) -> tuple[dict[str, float | int], float]:
+    """As ``random_search``, with draws that learn from the trials of earlier rounds (see ``search``)."""
+    scores = fold_scores(train, estimator, seed, folds, parallelism, id_column)
+    found = minimise(space, lambda draws: [-s for s in scores(draws)], trials, seed, round_size)
+    drawn, loss = found.best()
+    return drawn, -loss
+
+
 def train_classifier(
     train: DataFrame, estimator: Estimator, drawn: Mapping[str, float | int] | None = None
 ) -> Model:

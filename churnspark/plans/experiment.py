@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from churnspark.operators.evaluation import evaluation_summary, metrics_long, pr_curve, roc_curve, score_counts
 from churnspark.operators.training import (
     SEARCH_SPACES,
+    adaptive_search,
     classifiers,
     meta_learner,
     out_of_fold,
-    random_search,
     scored_table,
     train_calibrated,
     train_classifier,
@@ -72,13 +72,13 @@ def run_experiment(
         result.add(name, model, materialize(scored_table(model, test), "scored"))
 
     for name, estimator in estimators.items():
-        drawn, _ = random_search(train, estimator, spaces[name], trials, seed)
+        drawn, _ = adaptive_search(train, estimator, spaces[name], trials, seed)
         result.parameters[name] = drawn
         keep(name, train_classifier(train, estimator, drawn))
     if stacking:
         # The meta-learner is searched on the probabilities it is trained on.
         held_out = materialize(out_of_fold(train, estimators, seed), "out-of-fold")
-        drawn, _ = random_search(held_out, meta_learner(), spaces["stacking"], trials, seed)
+        drawn, _ = adaptive_search(held_out, meta_learner(), spaces["stacking"], trials, seed)
         result.parameters["stacking"] = drawn
         keep("stacking", train_stacking(train, estimators, held_out, drawn))
     if calibrate:

@@ -5,15 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
+    GBTClassificationModel,
+    LogisticRegressionModel,
+    RandomForestClassificationModel,
+)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.operators.encoding import encode, model_matrix, vector_names
 from churnspark.operators.explanation import contribution_map, linear_contributions, sampled_shapley
 from churnspark.operators.training import AveragedModel, with_probability
+from churnspark.operators.tree_explanation import model_contributions
 from churnspark.plans.feature_table import feature_table
+from churnspark.runtime import materialize
+
+
+TREE_MODELS = (DecisionTreeClassificationModel, RandomForestClassificationModel, GBTClassificationModel)
 
 
 def contributions_of(
@@ -54,9 +64,16 @@ def score_users(
     """``(userId, churn_probability, contributions, units, base_value)`` for every user of a raw log.
 
     ``units`` says what the contributions add up to above ``base_value``: ``log_odds`` for a
-    logistic model (closed form, one pass over the features), else ``probability`` (sampled).
+    logistic model (closed form) and boosted trees, ``probability`` for other trees (both exact, one
+    pass over the features, nothing shuffled after it) and for all other models (sampled).
     """
     encoded = encode(feature_table(log), fitted_encoder, missing_numbers)
+    if isinstance(model, TREE_MODELS) and base is None:
+        names = vector_names(encoded)
+        # Scored first: the probability goes with the rows that are explained.
+        probable = with_probability(model, encoded, "churn_probability")
+        explained = model_contributions(probable, model, names, keep=("userId", "churn_probability"))
+        return explained.select("userId", "churn_probability", "contributions", "units", "base_value")
     if isinstance(model, LogisticRegressionModel):
         explained = encoded.withColumn("contributions", _closed_form(encoded, model))
         return with_probability(model, explained, "churn_probability").select(
@@ -71,6 +88,21 @@ def score_users(
     )
 
 
-def ranking(scored: DataFrame) -> DataFrame:
+def ranking(scored: DataFrame, id_column: str = "userId", probability: str = "churn_probability") -> DataFrame:
     """Users by falling probability."""
-    return scored.select("userId", "churn_probability").orderBy(F.desc("churn_probability"), "userId")
+    return scored.select(id_column, probability).orderBy(F.desc(probability), id_column)
+
+
+def ranked(scored: DataFrame, id_column: str = "userId", probability: str = "churn_probability") -> DataFrame:
+    """(place, user, probability): places from 1 by falling probability, equal ones by id; nulls come last.
+
+    The sort leaves ranges of rows; places are counted inside each, and only one row per range is
+    looked at together.
+    """
+    ordered = scored.select(id_column, probability).orderBy(F.desc_nulls_last(probability), id_column)
+    placed = materialize(ordered.withColumn("_row", F.monotonically_increasing_id()), "ranked")
+    placed = placed.withColumn("_part", F.shiftright("_row", 33))
+    ends = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
+    ends = ends.select("_part", (before - F.col("_first") + 1).alias("_shift"))
+    return placed.join(ends, "_part").select((F.col("_row") + F.col("_shift")).alias("place"), id_column, probability)

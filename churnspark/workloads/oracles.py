@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from churnspark.sources.derived_log import AGENTS, REGISTRATION_START_MS, STATES
 
 DIGITS = 6
@@ -348,6 +350,11 @@ def _profile_queries() -> dict[str, str]:
             SELECT page, churn, count(*) AS count, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS std,
                    CAST(min(n) AS DOUBLE) AS min, round(quantile_cont(n, 0.25), 6) AS q1, round(quantile_cont(n, 0.5), 6) AS median,
                    round(quantile_cont(n, 0.75), 6) AS q3, CAST(max(n) AS DOUBLE) AS max FROM c GROUP BY page, churn""",
+        "page_count_stats_sketch": f"""WITH {CLEAN}, c AS (SELECT "userId", page, churn, count(*) AS n FROM pre
+            WHERE page NOT IN ('Cancel', 'Cancellation Confirmation') GROUP BY "userId", page, churn)
+            SELECT page, churn, count(*) AS count, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS std,
+                   CAST(min(n) AS DOUBLE) AS min, CAST(quantile_disc(n, 0.25) AS DOUBLE) AS q1, CAST(quantile_disc(n, 0.5) AS DOUBLE) AS median,
+                   CAST(quantile_disc(n, 0.75) AS DOUBLE) AS q3, CAST(max(n) AS DOUBLE) AS max FROM c GROUP BY page, churn""",
     }
     for c in DISTRIBUTED:
         found[f"dist_{c.lower()}"] = f"{_last(c)} {_distribution('u')}"
@@ -410,6 +417,19 @@ def _statistics_queries(long: str = LONG) -> dict[str, str]:
             SELECT feature, churn, bin, round(low + bin * width, 6) AS bin_start, count(*) AS n,
                    round(count(*) / nullif(max(n_class) * width, 0), 6) AS density
             FROM b JOIN s USING (feature, churn) GROUP BY feature, churn, bin, low, width""",
+        "feature_histogram_auto": f"""WITH {long},
+            q AS (SELECT feature, count(*) AS total, min(value) AS low, max(value) - min(value) AS span,
+                         quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM long GROUP BY feature),
+            w AS (SELECT *, CASE WHEN iqr > 0 THEN least(2 * iqr / pow(total, 1.0::DOUBLE / 3), span / (log2(total) + 1))
+                                 ELSE span / (log2(total) + 1) END AS wanted FROM q),
+            r AS (SELECT *, CAST(greatest(coalesce(ceil(span / nullif(wanted, 0)), 1), 1) AS BIGINT) AS bins FROM w),
+            s AS (SELECT feature, churn, count(*) AS n_class FROM long GROUP BY feature, churn),
+            b AS (SELECT long.feature, long.churn, low, span / bins AS width, bins,
+                         CAST(least(coalesce(floor((value - low) / nullif(span / bins, 0)), 0), bins - 1) AS INTEGER) AS bin
+                  FROM long JOIN r USING (feature))
+            SELECT feature, churn, bin, round(low + bin * width, 6) AS bin_start, count(*) AS n,
+                   round(count(*) / nullif(max(n_class) * width, 0), 6) AS density, bins
+            FROM b JOIN s USING (feature, churn) GROUP BY feature, churn, bin, low, width, bins""",
         "feature_boxplot": f"""WITH {long}, {boxes}
             SELECT feature, churn, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
                    min(CASE WHEN inside THEN value END) AS whisker_low, max(CASE WHEN inside THEN value END) AS whisker_high,
@@ -453,6 +473,142 @@ contrib AS (SELECT long."userId", long.feature, (value - mean) * w AS value
 """
 
 
+# Contributions by their definition: a mean over all subsets of the other features.
+_EXPLAINED = ("num_error", "num_nextsong", "num_roll_advert")
+# The tree of the query, (feature, threshold, at most, above).
+_TREE = (
+    "num_error", 12,
+    ("num_nextsong", 24, None, ("num_roll_advert", 1, None, None)),
+    ("num_nextsong", 30, ("num_error", 16, None, ("num_nextsong", 20, None, None)), None),
+)
+
+
+def _tree_parts(tree=_TREE, reached: str = "true", number: str = "") -> list[tuple[str, str]]:
+    """(name, condition) of every node; a node's children have its name and 0 or 1."""
+    found = [(f"r{number}", reached)]
+    if tree:
+        name, threshold, low, high = tree
+        found += _tree_parts(low, f"{reached} AND {name} <= {threshold}", f"{number}0")
+        found += _tree_parts(high, f"{reached} AND {name} > {threshold}", f"{number}1")
+    return found
+
+
+def _tree_value(known: set[str], tree=_TREE, number: str = "") -> str:
+    """The prediction when only the features in ``known`` are, as SQL over a row and the node counts."""
+    if tree is None:
+        return f"coalesce(p{number} / nullif(n{number}, 0), 0)"
+    name, threshold, low, high = tree
+    below, above = _tree_value(known, low, f"{number}0"), _tree_value(known, high, f"{number}1")
+    if name in known:
+        return f"CASE WHEN {name} <= {threshold} THEN {below} ELSE {above} END"
+    return f"coalesce((n{number}0 * ({below}) + n{number}1 * ({above})) / nullif(n{number}, 0), 0)"
+
+
+def _shapley(worth, features=_EXPLAINED) -> list[str]:
+    """Per feature the weighted sum of what it adds to each subset of the others; ``worth``: set -> SQL."""
+    found = []
+    for feature in features:
+        others = [f for f in features if f != feature]
+        terms = []
+        for mask in range(2 ** len(others)):
+            chosen = {f for i, f in enumerate(others) if mask >> i & 1}
+            weight = math.factorial(len(chosen)) * math.factorial(len(others) - len(chosen)) / math.factorial(len(features))
+            terms.append(f"{weight!r}::DOUBLE * (({worth(chosen | {feature})}) - ({worth(chosen)}))")
+        found.append(" + ".join(terms))
+    return found
+
+
+def _contribution_queries() -> dict[str, str]:
+    counts = ", ".join(
+        f"CAST(count(*) FILTER ({condition}) AS DOUBLE) AS n{name[1:]}, CAST(sum(churn) FILTER ({condition}) AS DOUBLE) AS p{name[1:]}"
+        for name, condition in _tree_parts()
+    )
+
+    def rows(values: list[str], source: str) -> str:
+        return " UNION ALL ".join(
+            f"""SELECT "userId", '{f}' AS feature, round({v}, 9) AS value FROM {source}""" for f, v in zip(_EXPLAINED, values, strict=True)
+        )
+
+    sets = [{f for i, f in enumerate(_EXPLAINED) if mask >> i & 1} for mask in range(8)]
+
+    def column(chosen: set[str]) -> str:
+        return "v_" + "".join("1" if f in chosen else "0" for f in _EXPLAINED)
+
+    def rule(chosen: set[str]) -> str:
+        x, y, z = (f"{'f6' if f in chosen else 'b'}.{f}" for f in _EXPLAINED)
+        return f"avg(1 / (1 + exp(-(0.03::DOUBLE * {x} - 0.02::DOUBLE * {y} + 0.5::DOUBLE * (CAST({z} AS BIGINT) % 3) - 0.2::DOUBLE))))"
+
+    worths = ", ".join(f"{rule(s)} AS {column(s)}" for s in sets)
+    return {
+        "tree_contributions": f"""WITH {SPLIT}, counts AS (SELECT {counts} FROM train), x AS (SELECT * FROM f6, counts)
+            {rows(_shapley(_tree_value), "x")}""",
+        "kernel_contributions": f"""WITH {SPLIT}, b AS (SELECT * FROM train ORDER BY md5("userId") LIMIT 20),
+            x AS (SELECT f6."userId", {worths} FROM f6, b GROUP BY f6."userId") {rows(_shapley(column), "x")}""",
+        "model_tree_contributions": f"""WITH {SPLIT} SELECT model, "userId",
+            CASE WHEN model = 'gradient_boosting' THEN 'log_odds' ELSE 'probability' END AS units, true AS adds_up
+            FROM marked, (VALUES ('decision_tree'), ('random_forest'), ('gradient_boosting')) k(model) WHERE NOT is_train""",
+        "saved_scores": f'WITH {SPLIT} SELECT "userId", churn AS label, true AS same FROM f6',
+        "ranked_users": f"""WITH {_USER_SCORES}
+            SELECT row_number() OVER (ORDER BY score DESC, id) AS place, id, round(score, 6) AS score FROM scored""",
+    }
+
+
+# The exact law: among all ways to give the ranks 1..r to k rows of the smaller sample, how many have each sum.
+_MANN_WHITNEY_EXACT = f"""WITH RECURSIVE
+    ways(r, k, s, w) AS (
+      SELECT 0, 0, 0, 1::HUGEINT
+      UNION ALL
+      SELECT r + 1, k + t.b, s + t.b * (r + 1), CAST(sum(w) AS HUGEINT) FROM ways, (VALUES (0), (1)) t(b)
+      WHERE r < 64 AND k + t.b <= 8 GROUP BY ALL),
+    v AS (SELECT user_id, value, count(*) AS t, count(*) FILTER (event_type = 'click') AS c FROM events
+          WHERE event_type IN ('click', 'purchase') AND value IS NOT NULL GROUP BY ALL),
+    k AS (SELECT *, sum(t) OVER (PARTITION BY user_id ORDER BY value) - t + (t + 1) / 2 AS midrank FROM v),
+    g AS (SELECT user_id, CAST(sum(c) AS BIGINT) AS n0, CAST(sum(t) - sum(c) AS BIGINT) AS n1, sum(c * midrank) AS ranks,
+                 sum(CAST(t AS DOUBLE) ** 3 - t) AS ties FROM k GROUP BY user_id),
+    u AS (SELECT *, ranks - n0 * (n0 + 1) / 2 AS u, least(n0, n1) AS a, n0 + n1 AS n,
+                 ties = 0 AND least(n0, n1) BETWEEN 1 AND 8 AND n0 * n1 <= 10000 AS exact FROM g),
+    z AS (SELECT *, (greatest(u, n0 * n1 - u) - n0 * n1 / 2 - 0.5)
+                 / nullif(sqrt(n0 * n1 / 12 * (n + 1 - ties / (n * (n - 1)))), 0) AS z FROM u),
+    e AS (SELECT user_id, least(1.0, 2 * CAST(sum(w) FILTER (s - a * (a + 1) / 2 >= greatest(u, n0 * n1 - u)) AS DOUBLE)
+                 / CAST(sum(w) AS DOUBLE)) AS p
+          FROM z JOIN ways ON exact AND r = n AND k = a GROUP BY user_id),
+    p AS (SELECT z.*, CASE WHEN exact THEN e.p WHEN z < 0 OR z IS NULL THEN 1.0
+                           ELSE {upper_gamma("0.5", "z * z / 2")} END AS p FROM z LEFT JOIN e USING (user_id))
+    SELECT user_id, n0, n1, round(u, 6) AS u, round(p, 6) AS p_value, p < 0.05 AS reject,
+           CASE WHEN exact THEN 'exact' ELSE 'normal' END AS method FROM p"""
+
+# What each sample agent is (number, platform, browser, version).
+AGENT_KINDS = (
+    (0, "Windows", "Chrome", "120.0.0.0"), (1, "Mac OS", "Chrome", "119.0.6045.105"), (2, "Linux", "Chrome", "118.0.0.0"),
+    (3, "ChromeOS", "Chrome", "117.0.0.0"), (4, "Android", "Chrome", "120.0.6099.43"), (5, "iOS", "Chrome", "120.0.6099.50"),
+    (6, "Windows", "Firefox", "121.0"), (7, "Mac OS", "Firefox", "120.0"), (8, "Linux", "Firefox", "119.0"),
+    (9, "Android", "Firefox", "120.0"), (10, "iOS", "Firefox", "118.0"), (11, "FreeBSD", "Firefox", "115.0"),
+    (12, "Mac OS", "Safari", "17.1"), (13, "iOS", "Safari", "17.1"), (14, "iOS", "Safari", "15.6"), (15, "iOS", "Safari", "12.1"),
+    (16, "Windows", "Microsoft Edge", "120.0.2210.61"), (17, "Windows", "Microsoft Edge", "18.17763"),
+    (18, "Android", "Microsoft Edge", "119.0.2151.78"), (19, "iOS", "Microsoft Edge", "119.0.2151.65"),
+    (20, "Mac OS", "Microsoft Edge", "120.0.2210.77"), (21, "Windows", "Opera", "105.0.0.0"), (22, "Linux", "Opera", "104.0.4944.54"),
+    (23, "Android", "Opera", "76.2.4027.73374"), (24, "Windows", "Opera", "12.18"), (25, "Mac OS", "Opera", "11.52"),
+    (26, "Android", "Opera Mini", "36.2.2254/119.132"), (27, "Windows", "Microsoft Internet Explorer", "11.0"),
+    (28, "Windows", "Microsoft Internet Explorer", "10.0"), (29, "Windows", "Microsoft Internet Explorer", "8.0"),
+    (30, "Windows Phone", "Microsoft Internet Explorer", "9.0"), (31, "Android", "Samsung Browser", "23.0"),
+    (32, "Android", "UC Browser", "13.4.0.1306"), (33, "BlackBerry", "BlackBerry Browser", "10.0.9.2372"),
+    (34, "PlayStation", None, None), (35, "Nintendo", "Nintendo Browser", "5.1.0.13343"), (36, "Xbox", "Microsoft Edge", "44.18363.8131"),
+    (37, "Android", "Chrome", "96.0.4664.45"), (38, "Linux", "Safari", "5.0"), (39, "Mac OS", "Safari", "5.0.6"),
+    (40, None, None, None), (41, None, None, None), (42, None, None, None), (43, None, None, None), (44, None, None, None),
+    (45, "Windows", "Firefox", "2.0.0.20"), (46, None, None, None),
+)
+
+
+def _sql_value(value) -> str:
+    return "NULL" if value is None else f"'{value}'" if isinstance(value, str) else str(value)
+
+
+_AGENT_VALUES = ", ".join(f"({', '.join(_sql_value(v) for v in row)})" for row in AGENT_KINDS)
+_AGENT_GRAMMAR = f"""SELECT CAST(k.sample AS INTEGER) AS sample, k.platform, k.browser, k.version, count(*) AS n
+    FROM events JOIN (VALUES {_AGENT_VALUES}) k(sample, platform, browser, version) ON event_id % {len(AGENT_KINDS)} = k.sample
+    GROUP BY ALL"""
+
+
 def _model_queries() -> dict[str, str]:
     wide = ", ".join(f"round(max(CASE WHEN feature = '{c}' THEN z END), 6) AS {c}" for c in [*NUMERIC, *DUMMIES])
     hot = ", ".join(f"max(CASE WHEN feature = '{c}' THEN value END) AS {c}" for c in DUMMIES)
@@ -557,6 +713,10 @@ def _evaluation(scores: str) -> dict[str, str]:
     return {
         "pr_curve": f"{source} SELECT threshold, round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr",
         "roc_curve": f"{source} SELECT threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM roc",
+        "roc_curve_corners": f"""{source}, p AS (SELECT *, lag(fpr) OVER o AS f0, lag(tpr) OVER o AS t0, lead(fpr) OVER o AS f1,
+                lead(tpr) OVER o AS t1 FROM roc WINDOW o AS (ORDER BY threshold DESC NULLS FIRST))
+            SELECT threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM p
+            WHERE f0 IS NULL OR f1 IS NULL OR abs((fpr - f0) * (t1 - tpr) - (tpr - t0) * (f1 - fpr)) > 1e-14""",
         "auc": f"{source} SELECT round(pr_auc, 6) AS pr_auc, round(roc_auc, 6) AS roc_auc FROM area",
         "best_threshold": f"""{source} SELECT threshold, round(f, 6) AS f_beta, round(tp / predicted, 6) AS precision,
             round(tp / positives, 6) AS recall FROM best""",
@@ -590,5 +750,9 @@ def oracle_sql() -> dict[str, str]:
         count(*) FILTER (WHERE score IS NULL OR isnan(score) OR label IS NULL) AS left_out FROM events_scored"""
     return {
         **_base_queries(), **_profile_queries(), **_statistics_queries(), **gaps, **_model_queries(),
+        **_contribution_queries(), "mann_whitney_exact": _MANN_WHITNEY_EXACT, "agent_grammar": _AGENT_GRAMMAR,
+        "sketch_rank_error": """SELECT event_type, share, true AS within_bound
+            FROM (SELECT DISTINCT event_type FROM events),
+                 (VALUES (0.05::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (0.95::DOUBLE)) s(share)""",
         **_evaluation(_USER_SCORES), **documents, **events, "metrics_json": _evaluation(_USER_SCORES)["metrics_long"],
     }

@@ -5,20 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from churnspark.functions import agents
 from churnspark.operators import (
     cleaning,
     encoding,
     evaluation,
     explanation,
     features,
+    hist_boosting,
+    kernel_explanation,
     profile,
     split,
     statistics,
     training,
+    tree_explanation,
 )
 from churnspark.plans import scoring
 from churnspark.plans.experiment import run_experiment
@@ -27,7 +33,7 @@ from churnspark.runtime import materialize, new_path
 from churnspark.schema import EVENT_LOG, numeric_columns
 from churnspark.sources import events_io
 from churnspark.sources.derived_log import event_log
-from churnspark.workloads.fixtures import document_scores, event_scores, user_scores, with_gaps
+from churnspark.workloads.fixtures import document_scores, event_scores, sampled_agents, user_scores, with_gaps
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -170,6 +176,23 @@ def _chi2_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reduce(DataFrame.unionByName, tests))
 
 
+def _sketch_rank_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per kind of event and share: whether the sketch of the values keeps its error bound, measured exactly."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type", "value")
+    errors = profile.sketch_rank_errors(events, ["event_type"], "value", [0.05, 0.25, 0.5, 0.75, 0.95], size=200)
+    return errors.select("event_type", "share", (F.col("error") <= F.col("bound")).alias("within_bound"))
+
+
+def _agent_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Platform, browser and version of the agents of all events, from their tokens."""
+    sampled = sampled_agents(spark, sf_dir)
+    # Each distinct agent is parsed once.
+    known = sampled.groupBy("sample", "userAgent").agg(F.count("*").alias("n"))
+    parsed = known.withColumn("tokens", agents.agent_tokens(F.col("userAgent")))
+    parsed = parsed.withColumn("platform", agents.platform_of(F.col("tokens"))).withColumn("browser", agents.browser_of(F.col("tokens")))
+    return parsed.select("sample", "platform", "browser", agents.version_of(F.col("tokens"), F.col("browser")).alias("version"), "n")
+
+
 def cleaned_users(log: DataFrame) -> DataFrame:
     """The last value of every crossed attribute and the label of each user, in one pass over the log."""
     return features.attribute_by_time(log, CROSSED, "last", highest=("churn",))
@@ -205,6 +228,11 @@ def _profile_queries() -> dict[str, Query]:
         "page_count_stats": _on_clean(
             lambda log: profile.describe_by(profile.user_page_counts(log), ["page", "churn"], "n")
         ),
+        "page_count_stats_sketch": _on_clean(
+            lambda log: profile.describe_by_sketch(profile.user_page_counts(log), ["page", "churn"], "n")
+        ),
+        "sketch_rank_error": _sketch_rank_error,
+        "agent_grammar": _agent_grammar,
         "chi2_tests": _chi2_tests,
         "expected_counts": _on_clean(
             lambda log: statistics.expected_counts(_crosstab("platform")(log), "churn", "value")
@@ -234,6 +262,7 @@ def _on_features(operator: Callable[[DataFrame, list[str]], DataFrame], digits:
 
 STATISTICS: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {
     "feature_histogram": profile.feature_histogram,
+    "feature_histogram_auto": profile.feature_histogram_auto,
     "feature_boxplot": profile.feature_boxplot,
     "mann_whitney": lambda t, columns: statistics.mann_whitney(t, columns).select("feature", "n0", "n1", "u", "z"),
     "mann_whitney_tests": statistics.mann_whitney,
@@ -241,11 +270,19 @@ STATISTICS: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {
 }
 
 
+def _mann_whitney_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: values of clicks against those of purchases, by the exact law where it applies."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("event_type").isin("click", "purchase"))
+    values = events.select("user_id", "value", (F.col("event_type") == "purchase").cast("int").alias("kind"))
+    return rounded(statistics.rank_tests(values, ["user_id"], label="kind", method="auto").drop("z"))
+
+
 def _statistics_queries() -> dict[str, Query]:
     def on_gaps(operator: Callable[[DataFrame, list[str]], DataFrame]) -> Query:
         return _on_features(lambda t, columns: operator(with_gaps(t), columns))
 
     return {
+        "mann_whitney_exact": _mann_whitney_exact,
         **{name: _on_features(operator) for name, operator in STATISTICS.items()},
         **{f"{name}_gaps": on_gaps(operator) for name, operator in STATISTICS.items()},
     }
@@ -306,6 +343,12 @@ def _model_queries() -> dict[str, Query]:
         "user_contributions": _on_features(
             lambda t, columns: explanation.signed_contributions(_contributions(t, columns)), digits=9
         ),
+        "tree_contributions": _on_features(lambda t, _: _tree_contributions(t), digits=9),
+        "model_tree_contributions": _model_tree_contributions,
+        "kernel_contributions": _on_features(lambda t, _: _kernel_contributions(t), digits=9),
+        "hist_boosting_scores": _hist_boosting_scores,
+        "saved_scores": _saved_scores,
+        "ranked_users": _ranked_users,
         "sampled_shapley": _sampled_shapley,
         "score_users": _score_users,
         "ranking": _ranking,
@@ -345,6 +388,89 @@ def _sampled_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summed.join(scored, "userId").select("userId", (F.col("features") >= numeric).alias("all_numbers"), checked)
 
 
+# A tree of given splits: (feature, threshold, tree for smaller and equal values, tree for larger ones).
+EXPLAINED = ["num_error", "num_nextsong", "num_roll_advert"]
+TREE = (
+    "num_error", 12,
+    ("num_nextsong", 24, None, ("num_roll_advert", 1, None, None)),
+    ("num_nextsong", 30, ("num_error", 16, None, ("num_nextsong", 20, None, None)), None),
+)
+
+
+def _as_rows(explained: DataFrame) -> DataFrame:
+    """One row per user and feature from the map of contributions."""
+    return explained.select("userId", F.explode("contributions").alias("feature", "value"))
+
+
+def _numbers(columns: list[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in columns])
+
+
+def _tree_contributions(table: DataFrame) -> DataFrame:
+    """Exact contributions to the label share of a fixed tree, whose shares are those of the training users."""
+    train, _ = split.split(table, seed=SEED)
+    paths = tree_explanation.fixed_tree(train, TREE, EXPLAINED)
+    return _as_rows(tree_explanation.tree_contributions(table, paths, EXPLAINED, _numbers(EXPLAINED)))
+
+
+def _model_tree_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per kind of tree model and user: units, and whether the contributions add up to the prediction."""
+    train, test = _train_and_test(spark, sf_dir)
+    names = encoding.vector_names(train)
+    parts = []
+    for kind, drawn in TREE_KINDS.items():
+        model = training.train_classifier(train, training.classifiers(SEED)[kind], drawn)
+        scored = training.with_probability(model, test, "score")
+        explained = tree_explanation.model_contributions(scored, model, names, keep=("userId", "score"))
+        total = F.aggregate(F.map_values("contributions"), F.col("base_value"), lambda a, v: a + v)
+        told = F.when(F.col("units") == "log_odds", 1 / (1 + F.exp(-total))).otherwise(total)
+        parts.append(explained.select(F.lit(kind).alias("model"), "userId", "units", _near(told, F.col("score")).alias("adds_up")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _rule(rows: DataFrame) -> DataFrame:
+    """A prediction that is not linear in its three features."""
+    linear = 0.03 * F.col("x")[0] - 0.02 * F.col("x")[1] + 0.5 * (F.col("x")[2] % 3) - 0.2
+    return rows.withColumn("prediction", 1 / (1 + F.exp(-linear)))
+
+
+def _kernel_contributions(table: DataFrame) -> DataFrame:
+    """Contributions to a fixed rule, all coalitions, against 20 training users as background."""
+    train, _ = split.split(table, seed=SEED)
+    values = _numbers(EXPLAINED)
+    background = kernel_explanation.background_rows(train, values, most=20)
+    return _as_rows(kernel_explanation.kernel_contributions(table, _rule, EXPLAINED, values, background))
+
+
+def _hist_boosting_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of all users by histogram boosting on the training users; some numbers are missing."""
+    table = with_gaps(_stored_features(spark, sf_dir))
+    columns = numeric_columns(table)
+    train, _ = split.split(table, seed=SEED)
+    model = hist_boosting.train_boosting(train, columns, rounds=10, depth=3)
+    scores = hist_boosting.boosting_scores(table, model, ["userId", "churn"])
+    return scores.withColumn("in_range", F.col("score").between(0.0, 1.0))
+
+
+def _saved_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: whether encoder and model give the same probability after they were saved and loaded."""
+    table, fitted, _, model = _fitted(spark, sf_dir, "logistic_regression")
+    encoder_path, model_path = new_path(spark, "encoder"), new_path(spark, "classifier")
+    fitted.write().save(encoder_path)
+    model.write().save(model_path)
+    before = training.scored_table(model, encoding.encode(table, fitted))
+    loaded = LogisticRegressionModel.load(model_path)
+    after = training.scored_table(loaded, encoding.encode(table, PipelineModel.load(encoder_path)))
+    both = before.join(after.select("id", F.col("score").alias("again")), "id")
+    return both.select(F.col("id").alias("userId"), "label", (F.col("score") == F.col("again")).alias("same"))
+
+
+def _ranked_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by falling score of a fixed rule, with their places."""
+    scored = user_scores(features.user_features(_stored_clean(spark, sf_dir)))
+    return rounded(scoring.ranked(scored, "id", "score"))
+
+
 def _scored_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, fitted, _, model = _fitted(spark, sf_dir, "logistic_regression")
     return scoring.score_users(event_log(spark, sf_dir), fitted, model)
@@ -387,6 +513,13 @@ def _places(placed: DataFrame) -> DataFrame:
     )
 
 
+# Tree models whose contributions are checked.
+TREE_KINDS = {
+    "decision_tree": {"maxDepth": 6},
+    "random_forest": {"numTrees": 20, "maxDepth": 5},
+    "gradient_boosting": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3},
+}
+
 # Bounds of the random search in the queries: models small enough that all kinds, their folds and
 # their calibrated twins fit within minutes. ``TRIALS`` draws are made per kind.
 TRIALS = 1
@@ -478,6 +611,7 @@ def _at_best(scored: DataFrame) -> DataFrame:
 EVALUATIONS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "pr_curve": evaluation.pr_curve,
     "roc_curve": evaluation.roc_curve,
+    "roc_curve_corners": evaluation.roc_corners,
     "auc": evaluation.areas,
     "best_threshold": evaluation.best_threshold,
     "classification_metrics": evaluation.classification_metrics,
