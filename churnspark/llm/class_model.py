@@ -1,45 +1,57 @@
 """Scoring texts with a Brown class-based bigram model (operator 8).
 
-Every training word gets one of ``CLASSES`` classes by exchange: a word moves to the class that
-makes its neighbours most likely, class against class, until the given number of rounds is over.
-All words move at once against the class counts of the round before, so a round is one pass over
-a table with one row per word and a sum of a table of bounded size.
-
-All pairs of neighbouring words of the training text are counted, and every neighbour stands for the
-class it has in that round. Classes of frequent neighbours are looked up in a table of bounded size
-that each task holds, those of all others by a join. The most frequent words start the classes. A text's
-probability is the product of class transitions, smoothed by class frequencies, and of the words'
-shares in their classes. Words seen once form a class of their own, which also stands for unseen
-words; its share for those follows from how many words occur once and twice.
+Every training word that occurs more than once gets one of ``CLASSES`` classes by exchange. Words
+start in the class that fits their neighbours best among classes begun by the most frequent words.
+In every round words may then move to the class that makes their neighbours most likely. The
+likelihood of the class bigrams is summed after a round: a round that raises it is kept, another one
+is taken back and tried with a smaller, hash-chosen share of the words, and the exchange ends when
+the likelihood no longer grows, or with the given number of rounds.
+
+All pairs of neighbouring words of the training text are counted once, as lists of neighbours per
+word; a round is a pass over these lists and a sum of a table of classes by classes. The classes of
+the ``HOT_WORDS`` most frequent words are held by each task; those of rarer neighbours, where there
+are any, come by a join in every round. A text's probability is the product of class
+transitions, smoothed by class frequencies, and of the words' shares in their classes. Words seen
+once form a class of their own, which also stands for unseen words; its share for those follows
+from how many words occur once and twice.
 
 Words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnspark.llm import textbytes
 from churnspark.llm.blocks import answered, located, rows_of, to_blocks
+from churnspark.llm.textbytes import utf8
 from churnspark.runtime import intermediates, materialize, new_path
 
-CLASSES, CONTEXTS, ROUNDS = 64, 128, 6
-# The most words whose classes each task holds (a a small number each, and a hash while pairs are
-# counted); the classes of other neighbours come by a join. Results do not depend on it.
-HOT_WORDS = 1 << 20
+CLASSES, CONTEXTS, ROUNDS = 64, 128, 8
+# The most words that each task knows (a hash, a count and a class each); more than this many do not
+# fit an entry of a list. Results do not depend on it.
+HOT_WORDS = 1 << 22
 # About the most neighbours of a word in one list on each side.
 LIST_ENTRIES = 1 << 16
+# Tokens whose pairs are counted together.
+MERGE_TOKENS = 3 << 20
 ROWS_AT_ONCE = 4096
+# The least share of words that a round may move, as a power of two, and the least growth that counts.
+LEAST_SHARE, LEAST_GROWTH = 3, 1e-5
 # Tokens whose classes are scored together.
 SLICE_TOKENS = 1 << 19
 _END = np.uint64(0x5851F42D4C957F2D)
+# An entry of a list: the neighbour's code above 8 bits of its count.
+_COUNT_BITS, _MOST = 8, 255
 
 
 def _tokens(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,41 +95,88 @@ def _pairs(tokens: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
     yield words, own, np.where(inner, np.concatenate([own[:1], own[:-1]]), -1), 1
 
 
-def _neighbours(hot: np.ndarray, parts: np.ndarray):
-    """Rows (word, part, code, n); code: place of the neighbour among the sorted ``hot`` words, then one
-    for all others and one for the beginning of a text; the preceding one plus ``width``.
+# --- lists of neighbours ------------------------------------------------------------------------------
 
-    ``parts``: into how many lists the neighbours of each hot word go.
+
+def _packed_lists(tokens: np.ndarray, offsets: np.ndarray, hot: np.ndarray, parts: np.ndarray, everything: bool) -> pa.RecordBatch:
+    """Rows (word, own, part, split, entries): neighbours of each word on both sides.
+
+    A neighbour's code is its place among the sorted ``hot`` words, then one for all others and one
+    for the beginning of a text; the preceding word's code follows after those. ``own`` is the
+    place of the word itself or -1, ``parts`` says into how many lists its neighbours go.
     """
     width = len(hot) + 2
+    keys = []
+    for words, own, near, side in _pairs(tokens, offsets):
+        place, there = located(words, hot)
+        code = np.append(np.where(there, place, len(hot)), len(hot) + 1)
+        key = own * (2 * width) + side * width + code[near]
+        keys.append(key if everything else key[there[own]])
+    keys, counts = np.unique(np.concatenate(keys), return_counts=True)
+    at, codes = keys // (2 * width), keys % (2 * width)
+    lists = np.where(there, parts[place], 1) if len(hot) else np.ones(len(words), np.int64)
+    part = codes % lists[at]
+    # Larger counts take several entries.
+    repeats = -(-counts // _MOST)
+    last = np.cumsum(repeats) - 1
+    at, codes, part = (np.repeat(v, repeats) for v in (at, codes, part))
+    n = np.full(len(codes), _MOST)
+    n[last] = counts - (repeats - 1) * _MOST
+    if len(part) and part.max() > 0:
+        order = np.lexsort((part, at))
+        at, codes, part, n = at[order], codes[order], part[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (part[1:] != part[:-1])])) if len(at) else at
+    entries = (codes << _COUNT_BITS | n).astype("<u4")
+    ends = np.append(first, len(at)).astype(np.int64) * 4
+    owner = at[first]
+    packed = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(first), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(entries)]
+    )
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(words[owner].view(np.int64)), pa.array(np.where(there, place, -1)[owner].astype(np.int32)),
+            pa.array(part[first].astype(np.int32)), pa.array(lists[owner] > 1), packed.cast(pa.binary()),
+        ],
+        names=["word", "own", "part", "split", "entries"],
+    )
+
+
+def _neighbours(shared: Broadcast, everything: bool):
+    """Lists of the training texts, pairs of several blocks counted together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, parts = shared.value
+        held, size = [], 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            tokens = np.concatenate([t for t, _ in held])
+            starts = np.cumsum([0, *(len(t) for t, _ in held)])
+            offsets = np.concatenate([[0], *(o[1:] + s for (_, o), s in zip(held, starts))])
+            rows = _packed_lists(tokens, offsets, hot, parts, everything)
+            for first in range(0, rows.num_rows, 1 << 16):
+                yield rows.slice(first, 1 << 16)
+
         for batch in batches:
             for payload in batch.column(1).to_pylist():
                 tokens, offsets = _training(payload)
                 if len(tokens) == 0:
                     continue
-                for words, own, near, side in _pairs(tokens, offsets):
-                    place, there = located(words, hot)
-                    code = np.append(np.where(there, place, len(hot)), len(hot) + 1)
-                    lists = np.where(there, parts[place], 1) if len(hot) else np.ones(len(words), np.int64)
-                    keys, counts = np.unique(own * (2 * width) + side * width + code[near], return_counts=True)
-                    at, codes = keys // (2 * width), keys % (2 * width)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(words[at].view(np.int64)), pa.array((codes % lists[at]).astype(np.int32)),
-                            pa.array(codes.astype(np.int32)), pa.array(counts),
-                        ],
-                        names=["word", "part", "code", "n"],
-                    )
+                if held and size + len(tokens) > MERGE_TOKENS:
+                    yield from counted()
+                    held, size = [], 0
+                held.append((tokens, offsets))
+                size += len(tokens)
+        if held:
+            yield from counted()
 
     return run
 
 
-def _other_neighbours(hot: np.ndarray):
-    """Rows (word, near, side, n) of all neighbours that are not among the ``hot`` words."""
+def _other_neighbours(shared: Broadcast):
+    """Rows (word, near, side, n) of all neighbours that are not among the hot words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, _ = shared.value
         for batch in batches:
             for payload in batch.column(1).to_pylist():
                 tokens, offsets = _training(payload)
@@ -138,70 +197,152 @@ def _other_neighbours(hot: np.ndarray):
     return run
 
 
-def _summed(lists: pa.Array, group: np.ndarray | None, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first row, row after the last, sums per row and code) of lists of (code, n).
+# --- profiles: neighbours by class --------------------------------------------------------------------
 
-    With ``group`` the codes of both sides are replaced by ``width`` groups a side first.
-    """
+
+def _list_sums(lists: pa.Array, group: np.ndarray, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first row, row after the last, sums per row and class on both sides) of a column of lists of packed entries."""
+    data, offsets = utf8(lists.flatten())
+    entries = np.ascontiguousarray(data).view("<u4")
+    ends = offsets[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])] // 4
+    both = np.concatenate([group, group.astype(np.int64) + width]).astype(np.uint16)
+    for a in range(0, len(lists), ROWS_AT_ONCE):
+        b = min(a + ROWS_AT_ONCE, len(lists))
+        own = entries[ends[a] : ends[b]]
+        rows = np.repeat(np.arange(b - a), np.diff(ends[a : b + 1]))
+        keys = rows * (2 * width) + both[own >> _COUNT_BITS]
+        sums = np.bincount(keys, weights=own & _MOST, minlength=(b - a) * 2 * width)
+        yield a, b, sums.reshape(b - a, 2 * width)
+
+
+def _profile_sums(lists: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """As ``_list_sums``, of lists of (code, n) whose codes are classes."""
     flat = lists.flatten()
     code = flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64)
     n = flat.field(1).to_numpy(zero_copy_only=False).astype(np.float64)
-    if group is not None:
-        code = code // len(group) * width + group[code % len(group)]
-    sizes = lists.value_lengths().to_numpy()
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    for a in range(0, len(sizes), ROWS_AT_ONCE):
-        b = min(a + ROWS_AT_ONCE, len(sizes))
-        rows = np.repeat(np.arange(b - a), sizes[a:b])
+    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    for a in range(0, len(lists), ROWS_AT_ONCE):
+        b = min(a + ROWS_AT_ONCE, len(lists))
+        rows = np.repeat(np.arange(b - a), np.diff(ends[a : b + 1]))
         keys = rows * (2 * width) + code[ends[a] : ends[b]]
         sums = np.bincount(keys, weights=n[ends[a] : ends[b]], minlength=(b - a) * 2 * width)
         yield a, b, sums.reshape(b - a, 2 * width)
 
 
-def _profiles(shared, width: int):
-    """The listed neighbours of each row by the classes that hot words have now."""
+def _profiles(shared: Broadcast, width: int):
+    """Rows (word, own, class, neighbours): the entries of each list by the classes that hot words have now.
+
+    The class is that of the word itself, or -1 if it is not hot.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = shared.value.astype(np.int64)
+        group = shared.value
         for batch in batches:
-            for a, b, sums in _summed(batch.column(1), group, width):
+            own = batch.column(1).to_numpy()
+            now = np.where(own >= 0, group[own].astype(np.int32), -1).astype(np.int32)
+            for a, b, sums in _list_sums(batch.column(2), group, width):
                 row, code = np.nonzero(sums)
                 entries = pa.StructArray.from_arrays(
                     [pa.array(code.astype(np.int32)), pa.array(sums[row, code].astype(np.int64))], names=["code", "n"]
                 )
                 cuts = pa.array(np.searchsorted(row, np.arange(b - a + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(cuts, entries)], names=["word", "neighbours"]
-                )
+                    [batch.column(0).slice(a, b - a), pa.array(own[a:b]), pa.array(now[a:b]), pa.ListArray.from_arrays(cuts, entries)],
+                    names=["word", "own", "class", "neighbours"],
+                )
 
     return run
 
 
-def _class_sums(classes: int, width: int):
-    """Sum per class of the word and code; words without a class yet are left out."""
+def _added(total: np.ndarray, own: np.ndarray, sums: np.ndarray) -> None:
+    """Add rows of sums to the rows of their classes; words without a class yet are left out."""
+    member = own[:, None] == np.arange(len(total))[None, :]
+    total += member.T.astype(np.float64) @ sums
+
+
+def _sum_rows(total: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at].astype(np.int64))], names=["at", "n"])
+
+
+def _class_sums_of_lists(shared: Broadcast, classes: int, width: int):
+    """Sums per class of the word and class of the neighbour, over (own, lists)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, total = shared.value, np.zeros((classes, 2 * width))
+        for batch in batches:
+            own = group[batch.column(0).to_numpy()]
+            for a, b, sums in _list_sums(batch.column(1), group, width):
+                _added(total, own[a:b], sums)
+        yield _sum_rows(total)
+
+    return run
+
+
+def _class_sums_of_profiles(classes: int, width: int):
+    """The same over (class, neighbours)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((classes, 2 * width))
         for batch in batches:
             own = batch.column(0).to_numpy()
-            for a, b, sums in _summed(batch.column(1), None, width):
-                placed = own[a:b] < classes
-                np.add.at(total, own[a:b][placed], sums[placed])
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at].astype(np.int64))], names=["at", "n"])
+            for a, b, sums in _profile_sums(batch.column(1), width):
+                _added(total, own[a:b], sums)
+        yield _sum_rows(total)
 
     return run
 
 
-def _assigned(logs: np.ndarray):
-    """The class that makes the neighbours of a word most likely (``logs``: codes x classes)."""
+# --- moves --------------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class _Round:
+    """What decides the moves of a round: logs per code and class, the share of words, what tells rounds apart."""
+
+    logs: np.ndarray
+    share: int
+    number: int
+
+    def moved(self, words: np.ndarray, now: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which words move, the class that makes the neighbours of each most likely)."""
+        # Rounded, so that equal classes are equal whatever rows are computed together.
+        scores = np.round(sums @ self.logs, 9)
+        best = scores.argmax(axis=1)
+        classes = self.logs.shape[1]
+        rows = np.arange(len(now))
+        before = np.where(now < classes, scores[rows, np.minimum(now, classes - 1)], -np.inf)
+        chance = textbytes.mix(words.view(np.uint64) + np.uint64(self.number * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        chosen = (chance >> np.uint64(64 - LEAST_SHARE)) < np.uint64(1 << (LEAST_SHARE - self.share))
+        return (now >= classes) | (chosen & (scores[rows, best] > before)), best.astype(np.int32)
+
+
+def _moves_of_lists(shared: Broadcast, round_: _Round, width: int):
+    """Rows (own, class) of the words that move, over (word, own, lists)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = shared.value
         for batch in batches:
-            own = np.zeros(batch.num_rows, np.int32)
-            for a, b, sums in _summed(batch.column(2), None, len(logs) // 2):
-                own[a:b] = (sums @ logs).argmax(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own)], names=["word", "n", "class"])
+            words, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for a, b, sums in _list_sums(batch.column(2), group, width):
+                moves, best = round_.moved(words[a:b], group[own[a:b]], sums)
+                yield pa.RecordBatch.from_arrays([pa.array(own[a:b][moves]), pa.array(best[moves])], names=["own", "class"])
+
+    return run
+
+
+def _moves_of_profiles(round_: _Round, width: int):
+    """Rows (word, own, class), moved or not, over (word, own, class, neighbours)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, now = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            for a, b, sums in _profile_sums(batch.column(3), width):
+                moves, best = round_.moved(words[a:b], now[a:b], sums)
+                found = pa.array(np.where(moves, best, now[a:b]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), found], names=["word", "own", "class"]
+                )
 
     return run
 
@@ -216,9 +357,28 @@ def _likelihoods(sums: np.ndarray, width: int) -> np.ndarray:
     return logs
 
 
+def log_likelihood(sums: np.ndarray, width: int) -> float:
+    """Class bigram log-likelihood of the training text, less what no move of a word between classes changes."""
+    classes = len(sums)
+    right, left = sums[:, :width], sums[:, width:]
+
+    def total(n: np.ndarray) -> float:
+        return float((n * np.log(np.maximum(n, 1))).sum())
+
+    # Pairs of two classes, of a class and a word seen once, and of a text's beginning and a class.
+    pairs = total(right[:, : classes + 1]) + total(left[:, classes : classes + 2])
+    return pairs - total(right.sum(axis=1)) - total(left.sum(axis=1))
+
+
+# --- the model ----------------------------------------------------------------------------------------
+
+
 @dataclass
 class ClassModel:
-    """Numbers of the training text: tokens, distinct words, words seen once and twice, tokens per class."""
+    """Numbers of the training text: tokens, distinct words, words seen once and twice, tokens per class.
+
+    ``history`` has the log-likelihood after the start and after every round that was kept.
+    """
 
     classes: int
     tokens: int
@@ -226,6 +386,7 @@ class ClassModel:
     once: int
     twice: int
     class_tokens: np.ndarray
+    history: list[float] = field(default_factory=list)
 
     def base_log(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.words + 1)))
@@ -237,6 +398,26 @@ class ClassModel:
         return unseen, (1 - unseen) / max(self.once, 1)
 
 
+@dataclass
+class Lexicon:
+    """Words with count and class: the hot ones as arrays in order of their hashes, the others as a table.
+
+    ``once_only`` says that all others were seen once.
+    """
+
+    hot: np.ndarray
+    counts: np.ndarray
+    classes: np.ndarray
+    rest: DataFrame
+    once_only: bool
+
+    def table(self) -> DataFrame:
+        """One row per word: word, n, class."""
+        arrays = [self.hot.view(np.int64), self.counts, self.classes.astype(np.int32)]
+        known = pa.table(dict(zip(["word", "n", "class"], arrays, strict=True)))
+        return self.rest.sparkSession.createDataFrame(known).unionByName(self.rest)
+
+
 def _hot(counted: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(hashes, counts, least count) of the most frequent words, in order of hashes: at most ``limit``,
     words of one count all or none, none seen once."""
@@ -251,14 +432,137 @@ def _hot(counted: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray, int]:
     return words[order], found.column("n").to_numpy()[order], least
 
 
-def cluster(
+class _Exchange:
+    """The lists of neighbours, and passes over them; classes of hot words are an array, of others a table."""
+
+    def __init__(self, blocks: DataFrame, counted: DataFrame, classes: int, hot_words: int) -> None:
+        self.spark, self.classes = blocks.sparkSession, classes
+        # Neighbours by class, words seen once, the beginning, words without a class yet.
+        self.once, self.beginning, self.unplaced, self.width = classes, classes + 1, classes + 2, classes + 3
+        self.counted = counted
+        self.hot, self.counts, self.least = _hot(counted, min(hot_words, HOT_WORDS))
+        cool = counted.where((F.col("n") > 1) & (F.col("n") < self.least)).select("word")
+        self.all_hot = cool.isEmpty()
+        # A word has no more neighbours than occurrences: this bounds a list.
+        shared = self.spark.sparkContext.broadcast((self.hot, 1 + self.counts // LIST_ENTRIES))
+        kind = "word bigint, own int, part int, split boolean, entries binary"
+        lists = blocks.mapInArrow(_neighbours(shared, not self.all_hot), kind)
+        lists = lists.groupBy("word", "own", "part", "split").agg(F.collect_list("entries").alias("lists"))
+        self.lists = materialize(lists, "neighbours")
+        if not self.all_hot:
+            # Neighbours seen more than once that are not hot; the others that are not hot were seen once.
+            found = blocks.mapInArrow(_other_neighbours(shared), "word bigint, near bigint, side int, n bigint")
+            found = found.join(cool.withColumnRenamed("word", "near"), "near")
+            self.tail = materialize(found.groupBy("word", "near", "side").agg(F.sum("n").alias("n")), "tail")
+        shared.unpersist()
+
+    def start(self, contexts: int) -> tuple[np.ndarray, DataFrame | None]:
+        """The most frequent words start the classes, in turn."""
+        frequent = [r["word"] for r in self.counted.orderBy(F.desc("n"), "word").limit(contexts).collect()]
+        group = np.full(len(self.hot) + 2, self.unplaced, np.uint8)
+        place, there = located(np.array(frequent, np.int64).view(np.uint64), self.hot)
+        group[place[there]] = (np.arange(len(frequent)) % self.classes)[there]
+        group[-2:] = self.once, self.beginning
+        if self.all_hot:
+            return group, None
+        first = self.spark.createDataFrame([(w, i % self.classes) for i, w in enumerate(frequent)], "word bigint, class int")
+        cool = self.counted.where((F.col("n") > 1) & (F.col("n") < self.least)).select("word")
+        placed = cool.join(F.broadcast(first), "word", "left")
+        return group, placed.select("word", F.coalesce("class", F.lit(self.unplaced)).alias("class"))
+
+    def _profiled(self, shared: Broadcast, rows: DataFrame, cool: DataFrame | None) -> DataFrame:
+        """(word, own, class, neighbours) per word of the lists in ``rows``."""
+        kind = "word bigint, own int, class int, neighbours array<struct<code: int, n: bigint>>"
+        found = rows.select("word", "own", "lists").mapInArrow(_profiles(shared, self.width), kind)
+        if cool is not None:
+            placed = self.tail.join(cool.withColumnRenamed("word", "near"), "near")
+            # A list has these neighbours among those seen once: they leave there and come here.
+            moved = [(F.col("class"), F.col("n")), (F.lit(self.once), -F.col("n"))]
+            codes = [F.struct((F.col("side") * self.width + c).alias("code"), n.alias("n")) for c, n in moved]
+            placed = placed.select("word", F.explode(F.array(*codes)).alias("e")).select("word", "e.*")
+            placed = placed.groupBy("word", "code").agg(F.sum("n").alias("n"))
+            placed = placed.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("neighbours"))
+            found = found.unionByName(placed.select("word", F.lit(-1).alias("own"), F.lit(-1).alias("class"), "neighbours"))
+        whole = found.groupBy("word").agg(
+            F.max("own").alias("own"), F.max("class").alias("class"),
+            F.flatten(F.collect_list("neighbours")).alias("neighbours"),
+        )
+        if cool is None:
+            return whole
+        joined = whole.join(cool.withColumnRenamed("class", "other"), "word", "left")
+        joined = joined.withColumn("class", F.when(F.col("class") >= 0, F.col("class")).otherwise(F.col("other")))
+        return joined.where("class is not null").select("word", "own", "class", "neighbours")
+
+    def sums(self, group: np.ndarray, cool: DataFrame | None) -> np.ndarray:
+        """Sums of the neighbours' classes on both sides per class."""
+        shared = self.spark.sparkContext.broadcast(group)
+        with intermediates(self.spark):
+            if cool is None:
+                found = self.lists.select("own", "lists").mapInArrow(
+                    _class_sums_of_lists(shared, self.classes, self.width), "at bigint, n bigint"
+                )
+            else:
+                found = self._profiled(shared, self.lists, cool).select("class", "neighbours").mapInArrow(
+                    _class_sums_of_profiles(self.classes, self.width), "at bigint, n bigint"
+                )
+            sums = np.zeros(self.classes * 2 * self.width)
+            for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():
+                sums[row["at"]] = row["n"]
+        shared.unpersist()
+        return sums.reshape(self.classes, 2 * self.width)
+
+    def moved(self, group: np.ndarray, cool: DataFrame | None, round_: _Round) -> tuple[np.ndarray, DataFrame | None]:
+        """The classes after a round."""
+        shared = self.spark.sparkContext.broadcast(group)
+        kind, moves = "word bigint, own int, class int", _moves_of_profiles(round_, self.width)
+        group = group.copy()
+        if cool is None:
+            plain = self.lists.where("not split").select("word", "own", "lists")
+            found = plain.mapInArrow(_moves_of_lists(shared, round_, self.width), "own int, class int").toArrow()
+            group[found.column("own").to_numpy()] = found.column("class").to_numpy()
+            if self.counts.max(initial=0) >= LIST_ENTRIES:
+                split = self._profiled(shared, self.lists.where("split"), None).mapInArrow(moves, kind).select("own", "class").toArrow()
+                group[split.column("own").to_numpy()] = split.column("class").to_numpy()
+        else:
+            found = materialize(self._profiled(shared, self.lists, cool).mapInArrow(moves, kind), "classes")
+            hot = found.where("own >= 0").select("own", "class").toArrow()
+            group[hot.column("own").to_numpy()] = hot.column("class").to_numpy()
+            cool = found.where("own < 0").select("word", "class")
+        shared.unpersist()
+        return group, cool
+
+    def run(self, contexts: int, rounds: int) -> tuple[np.ndarray, DataFrame | None, list[float]]:
+        """(classes of hot words, of others, likelihoods of the rounds that were kept)."""
+        state = self.start(contexts)
+        if self.all_hot and len(self.hot) == 0:
+            return *state, []
+        state = self.moved(*state, _Round(_likelihoods(self.sums(*state), self.width), 0, 0))
+        sums = self.sums(*state)
+        history, share = [log_likelihood(sums, self.width)], 0
+        for number in range(1, rounds + 1):
+            tried = self.moved(*state, _Round(_likelihoods(sums, self.width), share, number))
+            tried_sums = self.sums(*tried)
+            likelihood = log_likelihood(tried_sums, self.width)
+            growth = (likelihood - history[-1]) / max(abs(history[-1]), 1.0)
+            if growth > 0:
+                state, sums = tried, tried_sums
+                history.append(likelihood)
+                if growth < LEAST_GROWTH:
+                    break
+            elif share == LEAST_SHARE:
+                break
+            else:
+                share += 1
+        return *state, history
+
+
+def learn(
     blocks: DataFrame, classes: int = CLASSES, contexts: int = CONTEXTS, rounds: int = ROUNDS, hot_words: int = HOT_WORDS
-) -> tuple[DataFrame, ClassModel]:
+) -> tuple[Lexicon, ClassModel]:
     """Count words and neighbours of the training texts in ``blocks`` and exchange words between classes.
 
     The ``contexts`` most frequent words start the classes. ``hot_words`` decides only where the class
-    of a neighbour is looked up, not what is counted. Returns the stored table of words (word, n, class;
-    words seen once have the class after the last) and the numbers of the model.
+    of a neighbour is looked up, not what is counted. Words seen once have the class after the last.
     """
     spark = blocks.sparkSession
     counted = blocks.mapInArrow(_counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -267,90 +571,79 @@ def cluster(
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("words"),
         F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
     ).first()
-    hot, hot_counts, least = _hot(counted, hot_words)
-
-    # A word has no more neighbours than occurrences: this bounds a list.
-    parts = 1 + hot_counts // LIST_ENTRIES
-    pairs = blocks.mapInArrow(_neighbours(hot, parts), "word bigint, part int, code int, n bigint")
-    pairs = pairs.repartition("word", "part").groupBy("word", "part", "code").agg(F.sum("n").alias("n"))
-    entry = F.struct("code", F.col("n"))
-    listed = pairs.groupBy("word", "part").agg(F.collect_list(entry).alias("neighbours")).select("word", "neighbours")
-    # Neighbours seen more than once that are not hot; the others that are not hot were seen once.
-    cool = counted.where((F.col("n") > 1) & (F.col("n") < least)).select(F.col("word").alias("near"))
-    tail = None
-    if not cool.isEmpty():
-        tail = blocks.mapInArrow(_other_neighbours(hot), "word bigint, near bigint, side int, n bigint").join(cool, "near")
-        tail = materialize(tail.groupBy("word", "near", "side").agg(F.sum("n").alias("n")), "tail")
-        less = tail.groupBy("word", "side").agg((-F.sum("n")).alias("n"))
-        less = less.withColumn("code", F.col("side") * (len(hot) + 2) + len(hot))
-        listed = listed.unionByName(less.select("word", F.array(entry).alias("neighbours")))
-    listed = materialize(listed, "neighbours")
-
-    # Neighbours by class, words seen once, the beginning, words without a class yet.
-    once, beginning, unplaced, width = classes, classes + 1, classes + 2, classes + 3
-    # The most frequent words start the classes, in turn.
-    frequent = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(contexts).collect()]
-    first = [(word, i % classes) for i, word in enumerate(frequent)]
-    group = np.full(len(hot) + 2, unplaced, np.int32)
-    place, there = located(np.array(frequent, np.int64).view(np.uint64), hot)
-    group[place[there]] = (np.arange(len(first)) % classes)[there]
-    group[-2:] = once, beginning
-    start = spark.createDataFrame(first, "word bigint, class int")
-    lexicon = counted.where("n > 1").join(F.broadcast(start), "word", "left")
-    lexicon = lexicon.select("word", "n", F.coalesce("class", F.lit(unplaced)).alias("class"))
-    for _ in range(rounds + 1):
-        shared = spark.sparkContext.broadcast(group)
-        kind = "word bigint, neighbours array<struct<code: int, n: bigint>>"
-        profiles = listed.mapInArrow(_profiles(shared, width), kind)
-        if tail is not None:
-            placed = tail.join(lexicon.select(F.col("word").alias("near"), "class"), "near")
-            placed = placed.groupBy("word", (F.col("side") * width + F.col("class")).alias("code")).agg(F.sum("n").alias("n"))
-            profiles = profiles.unionByName(placed.groupBy("word").agg(F.collect_list(entry).alias("neighbours")))
-        profiles = profiles.groupBy("word").agg(F.flatten(F.collect_list("neighbours")).alias("neighbours"))
-        moved_path = new_path(spark, "lexicon")
-        with intermediates(spark):
-            profiles = materialize(lexicon.join(profiles, "word").select("word", "n", "class", "neighbours"), "profiles")
-            found = profiles.select("class", "neighbours").mapInArrow(_class_sums(classes, width), "at bigint, n bigint")
-            sums = np.zeros(classes * 2 * width)
-            for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():
-                sums[row["at"]] = row["n"]
-            logs = _likelihoods(sums.reshape(classes, 2 * width), width)
-            moved = profiles.select("word", "n", "neighbours").mapInArrow(_assigned(logs), "word bigint, n bigint, class int")
-            lexicon = materialize(moved, "lexicon", moved_path)
-        now = lexicon.where(F.col("n") >= least).toArrow()
-        place, _ = located(now.column("word").to_numpy().view(np.uint64), hot)
-        group[place] = now.column("class").to_numpy()
-        shared.unpersist()
-    seen_once = counted.where("n = 1").select("word", "n", F.lit(once).alias("class"))
-    lexicon = lexicon.unionByName(seen_once)
-    held = np.zeros(classes + 1)
-    for row in lexicon.groupBy("class").agg(F.sum("n").alias("n")).collect():
-        held[row["class"]] = row["n"]
-    return lexicon, ClassModel(classes, total["tokens"], total["words"], total["once"], total["twice"], held)
+    # The class of rare words of earlier rounds is dropped with the block; the last one's is stored outside.
+    last = new_path(spark, "lexicon")
+    with intermediates(spark):
+        exchange = _Exchange(blocks, counted, classes, hot_words)
+        group, cool, history = exchange.run(contexts, rounds)
+        rest = counted.where("n = 1").select("word", "n", F.lit(classes).alias("class"))
+        if cool is not None:
+            rest = materialize(rest.unionByName(counted.join(cool, "word").select("word", "n", "class")), "lexicon", last)
+    held = np.bincount(group[:-2], exchange.counts, classes + 1)[: classes + 1]
+    if cool is None:
+        held[classes] = total["once"]
+    else:
+        for row in rest.groupBy("class").agg(F.sum("n").alias("n")).collect():
+            held[row["class"]] += row["n"]
+    lexicon = Lexicon(exchange.hot, exchange.counts, group[:-2], rest, cool is None)
+    return lexicon, ClassModel(classes, total["tokens"], total["words"], total["once"], total["twice"], held, history)
 
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = np.unique(_tokens(rows_of(payload).column("text"))[0]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), block)), pa.array(words)], names=["block", "word"])
+def cluster(
+    blocks: DataFrame, classes: int = CLASSES, contexts: int = CONTEXTS, rounds: int = ROUNDS, hot_words: int = HOT_WORDS
+) -> tuple[DataFrame, ClassModel]:
+    """``learn`` with the words as a table: word, n, class."""
+    lexicon, model = learn(blocks, classes, contexts, rounds, hot_words)
+    return lexicon.table(), model
+
 
+# --- scoring ------------------------------------------------------------------------------------------
 
-def _emissions(model: ClassModel):
+
+def _asked(shared: Broadcast, once_only: bool):
+    """Rows (block, word) that a block cannot tell by itself: words that are not hot.
+
+    Where all others were seen once, those of training texts are known to be.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value[0]
+        for batch in batches:
+            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                table = rows_of(payload)
+                if once_only:
+                    trained = np.unique(_training(payload)[0])
+                    words = np.unique(_tokens(table.filter(pc.invert(table.column("train"))).column("text"))[0])
+                    words = words[~located(words, trained)[1]]
+                else:
+                    words = np.unique(_tokens(table.column("text"))[0])
+                words = words[~located(words, hot)[1]].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), block)), pa.array(words)], names=["block", "word"])
+
+    return run
+
+
+def _emissions(model: ClassModel, shared: Broadcast, once_only: bool) -> Callable:
     rare, held = model.classes, np.maximum(model.class_tokens, 1)
     unseen, once = model.shares()
 
     def work(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        hot, hot_counts, hot_classes = shared.value
         tokens, offsets = _tokens(rows.column("text"))
         words, own = np.unique(tokens, return_inverse=True)
+        place, there = located(words, hot)
+        counts, group = np.zeros(len(words), np.int64), np.full(len(words), rare)
+        counts[there], group[there] = hot_counts[place[there]], hot_classes[place[there]]
         keys = answers.column("word").to_numpy().view(np.uint64)
         order = np.argsort(keys)
-        place, there = located(words, keys[order])
-        if len(keys):
-            counts = np.where(there, answers.column("n").to_numpy()[order][place], 0)
-            group = np.where(there, answers.column("class").to_numpy()[order][place], rare)
-        else:
-            counts, group = np.zeros(len(words), np.int64), np.full(len(words), rare)
+        place, told = located(words, keys[order])
+        counts[told] = answers.column("n").to_numpy()[order][place[told]]
+        group[told] = answers.column("class").to_numpy()[order][place[told]]
+        if once_only:
+            trained = np.repeat(rows.column("train").to_numpy(zero_copy_only=False), np.diff(offsets))
+            here = np.zeros(len(words), bool)
+            here[own[trained]] = True
+            counts[here & ~there] = 1
         share = np.where(counts == 0, unseen, np.where(group == rare, once, counts / held[group]))
         base = np.concatenate([[0.0], np.cumsum(model.base_log(counts)[own])])
         emitted = np.concatenate([[0.0], np.cumsum(np.log10(share)[own])])
@@ -433,13 +726,15 @@ def score_texts(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(train), F.lit(False)).alias("train")
     )
     blocks = to_blocks(plain)
-    lexicon, model = cluster(blocks, classes, contexts, rounds, hot_words)
+    lexicon, model = learn(blocks, classes, contexts, rounds, hot_words)
+    shared = plain.sparkSession.sparkContext.broadcast((lexicon.hot, lexicon.counts, lexicon.classes))
     id_type = plain.schema["id"].dataType
     fields = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType())]
     head = [T.StructField("id", id_type), T.StructField("train", T.BooleanType()), *[T.StructField(*f) for f in fields]]
     schema = T.StructType([*head, T.StructField("emission", T.DoubleType()), T.StructField("classes", T.BinaryType())])
-    asked = blocks.mapInArrow(_asked, "block bigint, word bigint")
-    found = materialize(answered(blocks, asked, lexicon, "word", _emissions(model), schema), "classes")
+    asked = blocks.mapInArrow(_asked(shared, lexicon.once_only), "block bigint, word bigint")
+    work = _emissions(model, shared, lexicon.once_only)
+    found = materialize(answered(blocks, asked, lexicon.rest, "word", work, schema), "classes")
 
     size = classes + 1
     counts = np.zeros((size + 1) * size)

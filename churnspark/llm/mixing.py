@@ -118,6 +118,53 @@ def _inside(sized: DataFrame, open_ranges: DataFrame, width: int) -> DataFrame:
     return joined.where((F.col("hash") >= F.col("from")) & (F.col("hash") < F.col("from") + width))
 
 
+def sized_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """id, source, size in words and hash of every row."""
+    return docs.select(
+        F.col(id_col).alias("id"),
+        F.col(source_col).alias("source"),
+        word_count(F.col(text_col)).alias("size"),
+        id_hash(F.col(id_col)).alias("hash"),
+    )
+
+
+def mix_plan(sized: DataFrame, share: float = 1.5, limit: float = 2.0, weights: tuple[int, ...] = (5, 2, 1)) -> DataFrame:
+    """One stored row per source: source, source_size, target, whole (full takes), below (hashes that are taken once more).
+
+    ``sized`` is a stored table of ``sized_rows``.
+    """
+    totals = ranked_sources(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    cycle = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    totals = materialize(totals.withColumn("weight", cycle), "totals")
+    everything = totals.agg(F.sum("source_size").alias("n")).first()["n"] or 0
+    targets = water_fill(totals, share * everything, limit)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    targets = targets.withColumn("whole", whole.cast("long"))
+    targets = targets.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
+    targets = materialize(targets, "targets")
+    cuts = materialize(thresholds(sized, targets), "cuts")
+    plan = _same_source(targets.select("source", "source_size", "target", "whole"), cuts, "left")
+    return materialize(plan, "plan")
+
+
+def planned_copies(hash_: Column, limit: float = 2.0) -> Column:
+    """How often a row with this hash is taken, from the columns of its source's plan."""
+    # A document without words costs nothing and would always fit once more.
+    return F.least(F.col("whole") + (hash_ < F.col("below")).cast("long"), F.lit(math.ceil(limit)))
+
+
+def mixed_rows(docs: DataFrame, plan: DataFrame, limit: float = 2.0, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs``, each as often as the plan takes it. Only the plan, a row per source, is joined."""
+    names = [f"__mix_{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    own = dict(zip(docs.columns, names, strict=True))
+    joined = plain.withColumn("source", F.col(own[source_col]))
+    joined = _same_source(joined, plan.select("source", "whole", "below"), "inner")
+    copies = planned_copies(id_hash(F.col(own[id_col])), limit).cast("int")
+    repeated = joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies)))
+    return repeated.select(*[F.col(n).alias(c) for c, n in own.items()])
+
+
 def mixture(
     docs: DataFrame,
     share: float = 1.5,
@@ -137,27 +184,9 @@ def mixture(
     of its own. An empty table gives an empty result; other columns are not read. Runs agree, as
     hashes depend on ids only.
     """
-    sized = docs.select(
-        F.col(id_col).alias("id"),
-        F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"),
-        id_hash(F.col(id_col)).alias("hash"),
-    )
-    sized = materialize(sized, "sized")
-    totals = ranked_sources(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
-    cycle = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
-    totals = materialize(totals.withColumn("weight", cycle), "totals")
-    everything = totals.agg(F.sum("source_size").alias("n")).first()["n"] or 0
-    targets = water_fill(totals, share * everything, limit)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    targets = targets.withColumn("whole", whole.cast("long"))
-    targets = targets.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
-    targets = materialize(targets, "targets")
-    cuts = materialize(thresholds(sized, targets), "cuts")
-    plan = _same_source(targets.select("source", "source_size", "target", "whole"), cuts, "left")
-    joined = _same_source(sized, materialize(plan, "plan"), "left")
-    # A document without words costs nothing and would always fit once more.
-    copies = F.least(F.col("whole") + (F.col("hash") < F.col("below")).cast("long"), F.lit(math.ceil(limit)))
+    sized = materialize(sized_rows(docs, id_col, text_col, source_col), "sized")
+    joined = _same_source(sized, mix_plan(sized, share, limit, weights), "left")
+    copies = planned_copies(F.col("hash"), limit)
     return joined.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
         copies.alias("copies"), (copies * F.col("size")).alias("taken"),

@@ -8,8 +8,10 @@ the markup corrects the alignment where it can: what stands in navigation, foote
 goes although no neighbour has it, and what stands in an article (or, without one, in the main
 element) stays although a neighbour has it too.
 
-Only line hashes take part in ordering and alignment. The order of all pages is a range sort, and
-groups of consecutive pages are aligned together, so a host may hold any share of all pages.
+Only line hashes take part in ordering and alignment; a page is known by a digest of its address and
+content, so rows that repeat both are one page. The order of all pages is a range sort, and groups
+of consecutive pages are aligned together, so a host may hold any share of all pages. Pages
+travel once, compressed, to meet what was found about them.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,31 +61,73 @@ def verdicts(regions: list[int]) -> list[int]:
     return [STAYS if region == best else GOES for region in regions]
 
 
+def _key(url: str | None, page: str | None) -> bytes:
+    digest = hashlib.blake2b(digest_size=16)
+    for part in (url, page):
+        digest.update(b"\0" if part is None else b"\1" + part.encode("utf-8", "replace") + b"\0")
+    return digest.digest()
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, url, host, path, hashes, longest) of (url, html)."""
     for batch in batches:
         for first in range(0, batch.num_rows, _BATCH_ROWS):
             part = batch.slice(first, _BATCH_ROWS)
-            hosts, paths, lines, verdict, hashes, longest = [], [], [], [], [], []
-            for url, page in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+            keys, hosts, paths, hashes, longest = [], [], [], [], []
+            for url, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 host, path = place_of(url)
                 found = page_lines(page or "")
                 sizes = [len(line) for line, _ in found]
+                keys.append(_key(url, page))
                 hosts.append(host)
                 paths.append(path)
-                lines.append([line for line, _ in found])
-                verdict.append(verdicts([region for _, region in found]))
                 hashes.append([_line_hash(line) for line, _ in found])
                 longest.append(sizes.index(max(sizes)) if sizes else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0), part.column(1), pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-                    pa.array(lines, pa.list_(pa.string())), pa.array(verdict, pa.list_(pa.int8())),
+                    pa.array(keys, pa.binary()), part.column(0), pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
                     pa.array(hashes, pa.list_(pa.int64())), pa.array(longest, pa.int32()),
                 ],
-                names=["id", "url", "host", "path", "lines", "verdict", "hashes", "longest"],
+                names=["key", "url", "host", "path", "hashes", "longest"],
             )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, url, key, page) of (id, url, html): the page compressed."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for first in range(0, batch.num_rows, _BATCH_ROWS):
+            part = batch.slice(first, _BATCH_ROWS)
+            rows = list(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True))
+            keys = [_key(url, page) for url, page in rows]
+            pages = [pack.compress((page or "").encode("utf-8", "replace")) for _, page in rows]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(keys, pa.binary()), pa.array(pages, pa.binary())],
+                names=["id", "url", "key", "page"],
+            )
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, url, text, n_lines, n_shared, n_deleted) of (id, url, page, shared)."""
+    unpack = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for first in range(0, batch.num_rows, _BATCH_ROWS):
+            part = batch.slice(first, _BATCH_ROWS)
+            texts, counts = [], []
+            for page, shared in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                lines = page_lines(unpack.decompress(page).decode())
+                shared = shared or [False] * len(lines)
+                said = verdicts([region for _, region in lines])
+                stays = [v == STAYS or (v == OPEN and not s) for v, s in zip(said, shared, strict=True)]
+                texts.append("\n".join(line for (line, _), keep in zip(lines, stays, strict=True) if keep))
+                counts.append((len(lines), sum(shared), len(lines) - sum(stays)))
+            numbers = [pa.array([c[i] for c in counts], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(texts, pa.string()), *numbers],
+                names=["id", "url", "text", "n_lines", "n_shared", "n_deleted"],
+            )
+
+
 # --- alignment ----------------------------------------------------------------------------------------
 
 
@@ -186,7 +231,7 @@ def _shared(names: list[str]):
             for row, places in ((one, left), (two, right)):
                 keys.append(row["key"])
                 marks.append([i in places for i in range(len(row["hashes"]))])
-        return pa.table({"key": pa.array(keys, pa.int64()), "shared": pa.array(marks, pa.list_(pa.bool_()))}).select(names)
+        return pa.table({"key": pa.array(keys, pa.binary()), "shared": pa.array(marks, pa.list_(pa.bool_()))}).select(names)
 
     return run
 
@@ -208,7 +253,7 @@ def shared_lines(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
     # The first page of a group also goes to the group before, to meet its last one there.
     groups = F.when(F.col("place") % group_pages == 0, F.array(group, group - 1)).otherwise(F.array(group))
     spread = placed.select("place", "key", "host", "hashes", "longest", F.explode(groups).alias("group"))
-    marks = spread.groupBy("group").applyInArrow(_shared(["key", "shared"]), "key bigint, shared array<boolean>")
+    marks = spread.groupBy("group").applyInArrow(_shared(["key", "shared"]), "key binary, shared array<boolean>")
     either = F.aggregate(
         F.slice("all", 2, 2), F.element_at("all", 1), lambda a, b: F.zip_with(a, b, lambda x, y: x | y)
     )
@@ -216,11 +261,6 @@ def shared_lines(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
     return marks.groupBy("key").agg(F.collect_list("shared").alias("all")).select("key", either.alias("shared"))
 
 
-def _stays(index: Column) -> Column:
-    verdict = F.get("verdict", index)
-    return (verdict == STAYS) | ((verdict == OPEN) & ~F.get("shared", index))
-
-
 def main_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group_pages: int = GROUP_PAGES
 ) -> DataFrame:
@@ -230,29 +270,19 @@ def main_text(
     ``n_deleted`` those left out. In a page with articles (else: with a main element) their lines
     stay and all others go; in a page without, the lines of framing elements go (see ``markup``),
     and of the others those that a neighbour shares. A null or empty page has no lines and the text ``''``. A page without
-    a readable host has no neighbours. Pages whose addresses are equal are neighbours, in any order
-    the rows have. Repeated rows and null ids stay; an empty table gives an empty result; other
+    a readable host has no neighbours. Of pages with one address the order follows their content; rows
+    that repeat address and content are one page for all others. Repeated rows and null ids stay; an empty table gives an empty result; other
     columns are not read.
     """
     plain = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    schema = T.StructType(
-        [
-            T.StructField("id", plain.schema["id"].dataType), T.StructField("url", T.StringType()),
-            T.StructField("host", T.StringType()), T.StructField("path", T.StringType()),
-            T.StructField("lines", T.ArrayType(T.StringType())), T.StructField("verdict", T.ArrayType(T.ByteType())),
-            T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("longest", T.IntegerType()),
-        ]
-    )
-    parsed = plain.mapInArrow(_parsed, schema).withColumn("key", F.monotonically_increasing_id())
-    parsed = materialize(parsed, "page-lines")
-    shared = shared_lines(parsed.select("key", "url", "host", "path", "hashes", "longest"), group_pages)
-    none = F.transform("verdict", lambda _: F.lit(False))
-    joined = parsed.select("key", "id", "url", "lines", "verdict").join(shared, "key", "left")
-    joined = joined.withColumn("shared", F.coalesce("shared", none))
-    text = F.filter("lines", lambda _, i: _stays(i))
-    return joined.withColumn("text_lines", text).select(
-        F.col("id").alias(id_col), F.col("url").alias(url_col), F.array_join("text_lines", "\n").alias("text"),
-        F.size("lines").cast("long").alias("n_lines"),
-        F.size(F.filter("shared", lambda s: s)).cast("long").alias("n_shared"),
-        (F.size("lines") - F.size("text_lines")).cast("long").alias("n_deleted"),
-    )
+    kind = "key binary, url string, host string, path string, hashes array<bigint>, longest int"
+    parsed = plain.select("url", "html").mapInArrow(_parsed, kind).where("host is not null").dropDuplicates(["key"])
+    shared = shared_lines(parsed, group_pages)
+    head = [T.StructField("id", plain.schema["id"].dataType), T.StructField("url", T.StringType())]
+    packed = plain.mapInArrow(
+        _packed, T.StructType([*head, T.StructField("key", T.BinaryType()), T.StructField("page", T.BinaryType())])
+    )
+    counts = [T.StructField(n, T.LongType()) for n in ("n_lines", "n_shared", "n_deleted")]
+    joined = packed.join(shared, "key", "left").select("id", "url", "page", "shared")
+    found = joined.mapInArrow(_texts, T.StructType([*head, T.StructField("text", T.StringType()), *counts]))
+    return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_lines", "n_shared", "n_deleted")

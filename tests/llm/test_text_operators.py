@@ -514,6 +514,90 @@ def test_classes_follow_the_real_neighbours(spark):
     assert sum(max(kinds[c, 0], kinds[c, 1]) for c in range(8)) > 0.9 * sum(kinds.values())
 
 
+def brute_class_scores(lexicon, documents, classes, smoothing=5.0):
+    """Scores of a class bigram model with the given classes, by its definition."""
+    counts = Counter(w for _, ws, train in documents if train for w in ws)
+    once, twice = (sum(n == k for n in counts.values()) for k in (1, 2))
+    held = Counter()
+    for w, n in counts.items():
+        held[lexicon.get(w, classes)] += n
+    unseen = (once + 0.5) / (once + 0.5 + (2 * (twice + 0.5) if once else 0.0))
+    rare_word = (1 - unseen) / max(once, 1)
+
+    def group(w):
+        return lexicon[w] if counts[w] > 1 else classes
+
+    pairs = Counter()
+    for _, ws, train in documents:
+        if train:
+            pairs.update(zip([classes + 1, *map(group, ws[:-1])], map(group, ws)))
+    size = classes + 1
+    after = [sum(n for (_, c), n in pairs.items() if c == k) for k in range(size)]
+    total = sum(after)
+    share = [(n + 0.5) / (total + 0.5 * size) for n in after]
+    found = []
+    for i, ws, _ in documents:
+        score, before = 0.0, classes + 1
+        for w in ws:
+            c = group(w)
+            row = sum(n for (b, _), n in pairs.items() if b == before)
+            score += math.log10((pairs[before, c] + smoothing * share[c]) / (row + smoothing))
+            score += math.log10(unseen if not counts[w] else rare_word if counts[w] == 1 else counts[w] / held[c])
+            before = c
+        found.append((i, round(score, 6)))
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("hot_words", [1 << 20, 6, 0])
+def test_class_scores_match_brute_force(spark, edges, hot_words):
+    documents = [(i, t, i is None or i % 3 != 1) for i, t, _, _ in EDGES]
+    # Words that the texts share, so that there is something to exchange.
+    documents += [(100 + i, " ".join(f"{'ab'[i % 2]}{(i * k) % 5}" for k in range(1, 9)), i % 4 > 0) for i in range(30)]
+    df = spark.createDataFrame(documents, "doc_id int, text string, train boolean").repartition(3)
+    got = class_model.score_texts(df, "train", classes=4, contexts=6, rounds=4, hot_words=hot_words).collect()
+    blocks = to_blocks(df.select("text", "train"))
+    table, model = class_model.cluster(blocks, 4, 6, 4, hot_words)
+    assert all(b > a for a, b in zip(model.history, model.history[1:]))
+    by_hash = {r["word"]: r["class"] for r in table.where("n > 1").collect()}
+    split = [(i, [*words(lowered(t)), "\n"], train) for i, t, train in documents]
+    names = sorted({w for _, ws, _ in split for w in ws} - {"\n"})
+    hashes = class_model._tokens(pa.array(names))[0][::2].view(np.int64).tolist()
+    lexicon = {w: by_hash[h] for w, h in zip(names, hashes) if h in by_hash}
+    lexicon["\n"] = by_hash[int(np.array([class_model._END]).view(np.int64)[0])]
+    want = brute_class_scores(lexicon, split, 4)
+    assert sorted(((r["doc_id"], round(r["score"], 6)) for r in got), key=repr) == want
+
+
+def test_likelihood_is_that_of_the_class_bigrams(spark):
+    random_ = np.random.default_rng(4)
+    texts = [(" ".join(f"w{random_.zipf(1.4) % 60}" for _ in range(80)), True) for _ in range(60)]
+    blocks = to_blocks(spark.createDataFrame(texts, "text string, train boolean").repartition(3))
+    table, model = class_model.cluster(blocks, 6, 12, 8)
+    assert len(model.history) >= 3 and all(b > a for a, b in zip(model.history, model.history[1:]))
+    by_hash = {r["word"]: r["class"] if r["n"] > 1 else 6 for r in table.collect()}
+    pairs, left, right = Counter(), Counter(), Counter()
+    for text, _ in texts:
+        hashes = class_model._tokens(pa.array([text]))[0].view(np.int64).tolist()
+        groups = [7, *(by_hash[h] for h in hashes)]
+        for a, b in zip(groups, groups[1:]):
+            pairs[a, b] += 1
+    # What no move changes: pairs of two words seen once or at the beginning, and the numbers of those.
+    for (a, b), n in pairs.items():
+        left[a] += n
+        right[b] += n
+    moving = sum(n * math.log(n) for (a, b), n in pairs.items() if a < 6 or b < 6)
+    fixed = sum(n * math.log(n) for side in (left, right) for k, n in side.items() if k < 6)
+    assert model.history[-1] == pytest.approx(moving - fixed, rel=1e-9)
+
+
+def test_hot_words_have_split_lists(spark, monkeypatch):
+    texts = [(" ".join(f"the w{(i * k) % 37}" for k in range(30)), True) for i in range(60)]
+    blocks = to_blocks(spark.createDataFrame(texts, "text string, train boolean").repartition(3))
+    whole = {r["word"]: r["class"] for r in class_model.cluster(blocks, 4, 8, 3)[0].collect()}
+    monkeypatch.setattr(class_model, "LIST_ENTRIES", 50)
+    assert {r["word"]: r["class"] for r in class_model.cluster(blocks, 4, 8, 3)[0].collect()} == whole
+
+
 def test_kneser_ney_is_a_distribution_and_paths_agree(edges, nothing):
     model = kneser_ney.train(edges)
     table = kneser_ney._Table(model.toArrow())
