@@ -87,7 +87,7 @@ def brute_text(rows):
     for i, url, html in rows:
         host, path = page_text.place_of(url)
         parsed.append([i, url, host, path, page_lines(html or ""), set()])
-    order = sorted((p for p in parsed if p[2]), key=lambda p: (p[2], p[3], p[1]))
+    order = sorted((p for p in parsed if p[2]), key=lambda p: (p[2], p[3], p[1], p[0]))
     for one, two in zip(order, order[1:]):
         if one[2] != two[2]:
             continue
