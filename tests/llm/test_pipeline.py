@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import pytest
@@ -89,6 +90,26 @@ def test_pipeline_runs_over_files(spark, corpus, tmp_path):
     assert result.count() > 0 and corpus_pipeline.ORACLE_SQL is None
 
 
+def test_rows_are_reduced_whatever_their_ids(spark):
+    """Repeated ids with different texts are two documents; rows without id are copies like others."""
+    one, two, three = sentence(1, 60), sentence(2, 60), sentence(3, 60)
+    rows = [
+        (1, one, "en", "a"), (1, two, "en", "a"), (1, one, "en", "b"), (2, one + " more", "fr", "a"), (None, one, "en", "a"),
+        (None, one, "en", "a"), (None, three, "en", "a"), (None, three + " tail", "en", None), (3, None, None, None),
+        (3, None, None, None), (None, "", "en", "a"), (None, "", "en", "a"), (7, three, "en", "a"),
+    ]
+    full = [(i, t, lang, s, len(t or ""), "k", 0, "c") for i, t, lang, s in rows]
+    docs = spark.createDataFrame(full, TABLE).repartition(4)
+    kept = plain(corpus_pipeline.near_duplicate_stage(spark, docs, ""))
+    assert Counter(r[:2] for r in kept) == {(1, one): 1, (1, two): 1, (7, three): 1, (3, None): 2, (None, ""): 2}
+    alone = plain(corpus_pipeline.near_duplicate_stage(spark, docs.where("doc_id is null"), ""))
+    assert Counter(r[:2] for r in alone) == {(None, one): 1, (None, min(three, three + " tail", key=_sha)): 1, (None, ""): 2}
+
+
+def _sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def test_stages_take_an_empty_table(spark, nothing):
     docs = nothing
     for name, stage in corpus_pipeline.STAGES:
