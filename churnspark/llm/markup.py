@@ -31,6 +31,8 @@ _REGIONS = frozenset(
     "cookie cookies copyright disqus menu modal nav navbar navigation newsletter notice notices paywall popup promo promoted "
     "related respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+# Of these, what holds articles of its own that are not the page's.
+_CLOSED = frozenset("ad ads advert advertisement advertisements adverts advertising comment comments disqus respond related".split())
 # These stand for the page's own only outside an article.
 _OUTER = frozenset("header footer masthead".split())
 _ROLES = frozenset("banner complementary contentinfo dialog form navigation search alert".split())
@@ -46,22 +48,32 @@ _MAIN_ROLE = re.compile(r"(?:^|[\s\"'/])role\s*=\s*[\"']?main\b", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+")
 
 FRAME, OUTSIDE, MAIN, ARTICLE = range(-1, 3)
+# A frame that an article inside it leaves again: wrappers are named after parts that they also hold.
+_WRAPPER = FRAME - 1
 
 
-def _framing(name: str, attributes: str, inside: int) -> bool:
-    """Whether an element and all it holds is no main text."""
+def _framing(name: str, attributes: str, inside: int) -> int | None:
+    """``FRAME`` if an element and all it holds is no main text, ``_WRAPPER`` if articles in it may be, else None."""
     if name in _FRAMING or (name == "header" and inside != ARTICLE):
-        return True
+        return FRAME
     if not attributes or name in ("html", "body"):
-        return False
+        return None
+    found = None
     for key, value in _NAMED.findall(attributes):
-        words = set(_WORD.findall(value.lower()))
+        value = value.lower().strip("\"'")
+        words = set(_WORD.findall(value))
         if key.lower() == "role":
             if words & _ROLES:
-                return True
-        elif words & _REGIONS or (inside != ARTICLE and name not in ("main", "article") and words & _OUTER):
-            return True
-    return False
+                return FRAME
+        elif name in ("main", "article"):
+            # Only by whole names: "ad-free" is no advert.
+            if _REGIONS & set(value.split()):
+                return FRAME
+        elif words & _CLOSED:
+            return FRAME
+        elif words & _REGIONS or (inside != ARTICLE and words & _OUTER):
+            found = _WRAPPER
+    return found
 
 
 class _Reader:
@@ -79,7 +91,7 @@ class _Reader:
             line = " ".join("".join(self.text).split())
             self.text = []
             if line:
-                self.lines.append((line, self.regions[-1]))
+                self.lines.append((line, max(self.regions[-1], FRAME)))
 
     def add(self, text: str) -> None:
         if text and not self.hidden:
@@ -105,8 +117,9 @@ class _Reader:
         self.open.append(name)
         if not self.hidden and (name in _HIDDEN or _HIDING.search(attributes)):
             self.hidden = len(self.open)
-        if inside == FRAME or _framing(name, attributes, inside):
-            inside = FRAME
+        frame = FRAME if inside == FRAME else _framing(name, attributes, inside)
+        if frame is not None:
+            inside = frame
         elif name == "article":
             inside = ARTICLE
         elif name == "main" or _MAIN_ROLE.search(attributes):

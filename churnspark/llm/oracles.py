@@ -41,6 +41,38 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+# Sets of 4 words, all pairs that share one, links by the sizes of sets, reachable documents.
+OP6 = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2),
+      lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3])) END AS shingles
+  FROM split
+), sizes AS (
+  SELECT doc_id, len(shingles) AS n FROM sets
+), members AS (
+  SELECT doc_id, unnest(shingles) AS shingle FROM sets
+), pairs AS (
+  SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS common
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT one, two FROM pairs JOIN sizes x ON x.doc_id = one JOIN sizes y ON y.doc_id = two
+  WHERE 100 * common >= 80 * (x.n + y.n - common)
+), edges AS (
+  SELECT one, two FROM links UNION ALL SELECT two, one FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS start FROM sizes
+  UNION
+  SELECT edges.two, reached.start FROM reached JOIN edges ON edges.one = reached.doc_id
+)
+SELECT doc_id, max(n) AS n_shingles, min(start) AS component_id, doc_id = min(start) AS kept
+FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 OP9 = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -83,4 +115,4 @@ FROM picked
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op5_chat_format": OP5, "op9_mixing": OP9}
+    return {"op1_line_dedup": OP1, "op5_chat_format": OP5, "op6_near_dedup": OP6, "op9_mixing": OP9}

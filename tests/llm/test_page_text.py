@@ -35,6 +35,11 @@ TABLE = "page_id bigint, url string, html string, text string, lines int, key st
         ("<b>u<p>v</b>w</p></div></p>x", [("u", OUTSIDE), ("vw", OUTSIDE), ("x", OUTSIDE)]),
         ("<a title='x > y' data=\"<p>\">l</a><p hidden>no</p><i aria-hidden=true>no</i>m", [("l", OUTSIDE), ("m", OUTSIDE)]),
         ("k<script>never ends <p>x", [("k", OUTSIDE)]),
+        ("<div class='with-sidebar'>s<article class='post ad-free'>t</article>u</div>v",
+         [("s", FRAME), ("t", ARTICLE), ("u", FRAME), ("v", OUTSIDE)]),
+        ("<div class=comments><article>c</article></div><article class=comment>d</article><main id=page>m</main>",
+         [("c", FRAME), ("d", FRAME), ("m", MAIN)]),
+        ("<div class=menu>a<div>b</div><nav>n<article>x</article></nav></div>c", [(t, FRAME) for t in "abnx"] + [("c", OUTSIDE)]),
         ("<a href='open>b<p>c", [("b", OUTSIDE), ("c", OUTSIDE)]),
     ],
 )

@@ -626,6 +626,6 @@ def test_queries_cover_all_operators():
     from churnspark.llm.queries import oracle_sql, queries
 
     names = queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert set(oracle_sql()) <= set(names)
