@@ -61,7 +61,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     )
     kept = found.join(order, "number").groupBy("component_id").agg(F.min_by("number", "place").alias("number"))
     kept = materialize(kept.select("number"), "kept")
-    return numbered.join(kept, F.col(row) == F.col("number"), "left_semi").select(*docs.columns)
+    # Texts are dealt by their number at every size, so that disk grows as the texts do.
+    return numbered.join(kept.hint("merge"), F.col(row) == F.col("number"), "left_semi").select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
