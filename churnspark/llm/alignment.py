@@ -32,7 +32,7 @@ from churnspark.runtime import materialize
 BLOCK_BYTES = 8 << 20
 # ... and at most so many documents: a place inside a block fits 16 bits.
 BLOCK_DOCS = 1 << 16
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -168,9 +168,10 @@ def align_slice(data: np.ndarray, offsets: np.ndarray, a_path: str, b_path: str)
     n_links = n_a + n_b - n_groups
 
     ends = np.sort(np.concatenate([end_a, end_b[~both_b]]), kind="stable")
-    pair_a = a.ids[np.searchsorted(end_a, ends)]
-    pair_b = b.ids[np.searchsorted(end_b, ends)]
-    row = np.repeat(np.arange(len(n_links)), n_links)
+    # Kept until the block is full, so in small numbers.
+    pair_a = a.ids[np.searchsorted(end_a, ends)].astype(np.int32)
+    pair_b = b.ids[np.searchsorted(end_b, ends)].astype(np.int32)
+    row = np.repeat(np.arange(len(n_links), dtype=np.int32), n_links)
 
     # Tokens in the order of their groups, those of A first.
     group_a = np.cumsum(both_a) - both_a
@@ -250,9 +251,13 @@ def postings(a: np.ndarray, b: np.ndarray, row: np.ndarray, documents: int) -> p
     """(a, b, plane, bitmap) of links (a, b, row): plane 0 has the documents that hold the pair, plane k + 1
     those where binary digit k of the further occurrences is set. Rows ascend by plane, a, b."""
     span = int(b.max(initial=0)) + 1
-    keys, counts = np.unique((a * span + b).astype(np.uint64) << np.uint64(16) | row.astype(np.uint64), return_counts=True)
-    pair, place = (keys >> np.uint64(16)).astype(np.int64), (keys & np.uint64(0xFFFF)).astype(np.int64)
-    further = counts - 1
+    links = (a.astype(np.int64) * span + b) << 16 | row
+    links.sort()
+    first = np.flatnonzero(np.concatenate([[True], links[1:] != links[:-1]])) if len(links) else np.zeros(0, np.int64)
+    further = np.diff(np.append(first, len(links))) - 1
+    keys = links[first]
+    del links
+    pair, place = keys >> 16, keys & 0xFFFF
     parts = []
     for plane in range(int(further.max(initial=0)).bit_length() + 1):
         chosen = slice(None) if plane == 0 else (further >> (plane - 1) & 1).astype(bool)
@@ -303,7 +308,7 @@ class _Block:
         self.documents, self.bytes = 0, 0
 
     def add(self, ids: pa.Array, found: Slice, size: int) -> None:
-        found.row = found.row + self.documents
+        found.row += self.documents
         self.ids.append(ids)
         self.slices.append(found)
         self.documents += len(ids)

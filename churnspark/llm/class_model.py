@@ -8,7 +8,8 @@ is taken back and tried with a smaller, hash-chosen share of the words, and the
 the likelihood no longer grows, or with the given number of rounds.
 
 All pairs of neighbouring words of the training text are counted once, as lists of neighbours per
-word; a round is a pass over these lists and a sum of a table of classes by classes. The classes of
+word. A round is one pass over these lists, which sums the table of classes by classes as it is and
+finds the next moves, by the table of the round before. The classes of
 the ``HOT_WORDS`` most frequent words are held by each task; those of rarer neighbours, where there
 are any, come by a join in every round. A text's probability is the product of class
 transitions, smoothed by class frequencies, and of the words' shares in their classes. Words seen
@@ -25,7 +26,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +36,15 @@ from churnspark.llm.blocks import answered, located, rows_of, to_blocks
 from churnspark.llm.textbytes import utf8
 from churnspark.runtime import intermediates, materialize, new_path
 
-CLASSES, CONTEXTS, ROUNDS = 64, 128, 8
+CLASSES, CONTEXTS, ROUNDS = 64, 128, 10
 # The most words that each task knows (a hash, a count and a class each); more than this many do not
 # fit an entry of a list. Results do not depend on it.
 HOT_WORDS = 1 << 22
 # About the most neighbours of a word in one list on each side.
 LIST_ENTRIES = 1 << 16
-# Tokens whose pairs are counted together.
-MERGE_TOKENS = 3 << 20
+# Tokens whose pairs are counted together, and pairs that are packed together.
+MERGE_TOKENS = 5 << 19
+PACKED_PAIRS = 1 << 19
 ROWS_AT_ONCE = 4096
 # The least share of words that a round may move, as a power of two, and the least growth that counts.
 LEAST_SHARE, LEAST_GROWTH = 3, 1e-5
@@ -98,47 +99,77 @@ def _pairs(tokens: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
 # --- lists of neighbours ------------------------------------------------------------------------------
 
 
-def _packed_lists(tokens: np.ndarray, offsets: np.ndarray, hot: np.ndarray, parts: np.ndarray, everything: bool) -> pa.RecordBatch:
-    """Rows (word, own, part, split, entries): neighbours of each word on both sides.
+def _pair_keys(tokens: np.ndarray, offsets: np.ndarray, hot: np.ndarray, everything: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct words, ascending keys of all pairs): key = place of the word x codes + code of the neighbour.
 
     A neighbour's code is its place among the sorted ``hot`` words, then one for all others and one
-    for the beginning of a text; the preceding word's code follows after those. ``own`` is the
-    place of the word itself or -1, ``parts`` says into how many lists its neighbours go.
+    for the beginning of a text; the preceding word's code follows after those. Without
+    ``everything`` only pairs of hot words are there.
     """
     width = len(hot) + 2
-    keys = []
-    for words, own, near, side in _pairs(tokens, offsets):
-        place, there = located(words, hot)
-        code = np.append(np.where(there, place, len(hot)), len(hot) + 1)
-        key = own * (2 * width) + side * width + code[near]
-        keys.append(key if everything else key[there[own]])
-    keys, counts = np.unique(np.concatenate(keys), return_counts=True)
-    at, codes = keys // (2 * width), keys % (2 * width)
+    words = np.unique(tokens)
+    own = np.searchsorted(words, tokens).astype(np.int32)
+    place, there = located(words, hot)
+    codes = np.where(there, place, len(hot)).astype(np.int32)[own]
+    wanted = np.ones(len(tokens), bool) if everything else there[own]
+    # The word after each, if its text goes on, and the word before, or the beginning.
+    inner = np.ones(len(tokens), bool)
+    inner[offsets[:-1]] = False
+    follows = np.append(inner[1:], False) & wanted
+    after = own[follows].astype(np.int64) * (2 * width) + codes[1:][follows[:-1]]
+    before = np.concatenate([codes[:1], codes[:-1]])
+    before[~inner] = len(hot) + 1
+    keys = np.concatenate([after, own[wanted].astype(np.int64) * (2 * width) + width + before[wanted]])
+    keys.sort()
+    return words, keys
+
+
+def _packed_lists(words: np.ndarray, keys: np.ndarray, hot: np.ndarray, parts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows (word, own, part, split, entries): neighbours of each word on both sides, from ``_pair_keys``.
+
+    ``own`` is the place of the word among the hot ones or -1, ``parts`` says into how many lists its
+    neighbours go.
+    """
+    width = len(hot) + 2
+    place, there = located(words, hot)
     lists = np.where(there, parts[place], 1) if len(hot) else np.ones(len(words), np.int64)
-    part = codes % lists[at]
-    # Larger counts take several entries.
-    repeats = -(-counts // _MOST)
-    last = np.cumsum(repeats) - 1
-    at, codes, part = (np.repeat(v, repeats) for v in (at, codes, part))
-    n = np.full(len(codes), _MOST)
-    n[last] = counts - (repeats - 1) * _MOST
-    if len(part) and part.max() > 0:
-        order = np.lexsort((part, at))
-        at, codes, part, n = at[order], codes[order], part[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (part[1:] != part[:-1])])) if len(at) else at
-    entries = (codes << _COUNT_BITS | n).astype("<u4")
-    ends = np.append(first, len(at)).astype(np.int64) * 4
-    owner = at[first]
-    packed = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(first), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(entries)]
-    )
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(words[owner].view(np.int64)), pa.array(np.where(there, place, -1)[owner].astype(np.int32)),
-            pa.array(part[first].astype(np.int32)), pa.array(lists[owner] > 1), packed.cast(pa.binary()),
-        ],
-        names=["word", "own", "part", "split", "entries"],
-    )
+    place = np.where(there, place, -1).astype(np.int32)
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    first = 0
+    while first < len(starts):
+        # Up to the end of a word.
+        last = min(first + PACKED_PAIRS, len(starts))
+        if last < len(starts):
+            word = keys[starts[last - 1]] // (2 * width)
+            last = int(np.searchsorted(keys[starts], (word + 1) * (2 * width), side="left"))
+        counts = np.diff(np.append(starts[first:last], starts[last] if last < len(starts) else len(keys)))
+        at, codes = np.divmod(keys[starts[first:last]], 2 * width)
+        # Larger counts take several entries.
+        repeats = -(-counts // _MOST)
+        n = np.full(int(repeats.sum()), _MOST)
+        n[np.cumsum(repeats) - 1] = counts - (repeats - 1) * _MOST
+        at, codes = np.repeat(at, repeats), np.repeat(codes, repeats)
+        part = codes % lists[at]
+        if part.max(initial=0) > 0:
+            order = np.lexsort((part, at))
+            at, codes, part, n = at[order], codes[order], part[order], n[order]
+        begin = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (part[1:] != part[:-1])]))
+        entries = (codes << _COUNT_BITS | n).astype("<u4")
+        ends = np.append(begin, len(at)).astype(np.int64) * 4
+        owner = at[begin]
+        packed = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(begin), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(entries)]
+        )
+        rows = pa.RecordBatch.from_arrays(
+            [
+                pa.array(words[owner].view(np.int64)), pa.array(place[owner]), pa.array(part[begin].astype(np.int32)),
+                pa.array(lists[owner] > 1), packed.cast(pa.binary()),
+            ],
+            names=["word", "own", "part", "split", "entries"],
+        )
+        for i in range(0, rows.num_rows, 1 << 14):
+            yield rows.slice(i, 1 << 14)
+        first = last
 
 
 def _neighbours(shared: Broadcast, everything: bool):
@@ -152,9 +183,10 @@ def _neighbours(shared: Broadcast, everything: bool):
             tokens = np.concatenate([t for t, _ in held])
             starts = np.cumsum([0, *(len(t) for t, _ in held)])
             offsets = np.concatenate([[0], *(o[1:] + s for (_, o), s in zip(held, starts))])
-            rows = _packed_lists(tokens, offsets, hot, parts, everything)
-            for first in range(0, rows.num_rows, 1 << 16):
-                yield rows.slice(first, 1 << 16)
+            held.clear()
+            words, keys = _pair_keys(tokens, offsets, hot, everything)
+            del tokens
+            yield from _packed_lists(words, keys, hot, parts)
 
         for batch in batches:
             for payload in batch.column(1).to_pylist():
@@ -163,7 +195,7 @@ def _neighbours(shared: Broadcast, everything: bool):
                     continue
                 if held and size + len(tokens) > MERGE_TOKENS:
                     yield from counted()
-                    held, size = [], 0
+                    size = 0
                 held.append((tokens, offsets))
                 size += len(tokens)
         if held:
@@ -265,22 +297,8 @@ def _sum_rows(total: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at].astype(np.int64))], names=["at", "n"])
 
 
-def _class_sums_of_lists(shared: Broadcast, classes: int, width: int):
-    """Sums per class of the word and class of the neighbour, over (own, lists)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, total = shared.value, np.zeros((classes, 2 * width))
-        for batch in batches:
-            own = group[batch.column(0).to_numpy()]
-            for a, b, sums in _list_sums(batch.column(1), group, width):
-                _added(total, own[a:b], sums)
-        yield _sum_rows(total)
-
-    return run
-
-
 def _class_sums_of_profiles(classes: int, width: int):
-    """The same over (class, neighbours)."""
+    """Sums per class of the word and class of the neighbour, over (class, neighbours)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((classes, 2 * width))
@@ -317,16 +335,32 @@ class _Round:
         return (now >= classes) | (chosen & (scores[rows, best] > before)), best.astype(np.int32)
 
 
-def _moves_of_lists(shared: Broadcast, round_: _Round, width: int):
-    """Rows (own, class) of the words that move, over (word, own, lists)."""
+def _passed_lists(shared: Broadcast, round_: _Round | None, classes: int, width: int):
+    """Rows (at, own, class, n) over (word, own, split, lists): the words that move have own and class, sums at and n.
+
+    Split lists only add to the sums; without a round nothing moves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = shared.value
+        group, total = shared.value, np.zeros((classes, 2 * width))
+
+        def rows(at: np.ndarray, own: np.ndarray, found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array(v.astype(np.int32)) for v in (at, own, found)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], names=["at", "own", "class", "n"])
+
         for batch in batches:
             words, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for a, b, sums in _list_sums(batch.column(2), group, width):
-                moves, best = round_.moved(words[a:b], group[own[a:b]], sums)
-                yield pa.RecordBatch.from_arrays([pa.array(own[a:b][moves]), pa.array(best[moves])], names=["own", "class"])
+            whole = ~batch.column(2).to_numpy(zero_copy_only=False)
+            now = group[own]
+            for a, b, sums in _list_sums(batch.column(3), group, width):
+                _added(total, now[a:b], sums)
+                if round_ is not None:
+                    moves, best = round_.moved(words[a:b], now[a:b], sums)
+                    moves &= whole[a:b]
+                    nothing = np.zeros(int(moves.sum()), np.int64)
+                    yield rows(nothing - 1, own[a:b][moves], best[moves], nothing)
+        at = np.flatnonzero(total)
+        yield rows(at, np.full(len(at), -1), np.full(len(at), -1), total.ravel()[at])
 
     return run
 
@@ -347,6 +381,9 @@ def _moves_of_profiles(round_: _Round, width: int):
     return run
 
 
+_MOVE = "word bigint, own int, class int"
+
+
 def _likelihoods(sums: np.ndarray, width: int) -> np.ndarray:
     """Logs per code and class from sums (class x code)."""
     logs = np.zeros((2 * width, len(sums)))
@@ -493,67 +530,71 @@ class _Exchange:
         joined = joined.withColumn("class", F.when(F.col("class") >= 0, F.col("class")).otherwise(F.col("other")))
         return joined.where("class is not null").select("word", "own", "class", "neighbours")
 
-    def sums(self, group: np.ndarray, cool: DataFrame | None) -> np.ndarray:
-        """Sums of the neighbours' classes on both sides per class."""
-        shared = self.spark.sparkContext.broadcast(group)
-        with intermediates(self.spark):
-            if cool is None:
-                found = self.lists.select("own", "lists").mapInArrow(
-                    _class_sums_of_lists(shared, self.classes, self.width), "at bigint, n bigint"
-                )
-            else:
-                found = self._profiled(shared, self.lists, cool).select("class", "neighbours").mapInArrow(
-                    _class_sums_of_profiles(self.classes, self.width), "at bigint, n bigint"
-                )
-            sums = np.zeros(self.classes * 2 * self.width)
-            for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():
-                sums[row["at"]] = row["n"]
-        shared.unpersist()
-        return sums.reshape(self.classes, 2 * self.width)
-
-    def moved(self, group: np.ndarray, cool: DataFrame | None, round_: _Round) -> tuple[np.ndarray, DataFrame | None]:
-        """The classes after a round."""
+    def passed(
+        self, group: np.ndarray, cool: DataFrame | None, round_: _Round | None
+    ) -> tuple[np.ndarray, tuple[np.ndarray, DataFrame | None]]:
+        """(sums of the neighbours' classes on both sides per class, the classes after the round's moves)."""
         shared = self.spark.sparkContext.broadcast(group)
-        kind, moves = "word bigint, own int, class int", _moves_of_profiles(round_, self.width)
-        group = group.copy()
         if cool is None:
-            plain = self.lists.where("not split").select("word", "own", "lists")
-            found = plain.mapInArrow(_moves_of_lists(shared, round_, self.width), "own int, class int").toArrow()
-            group[found.column("own").to_numpy()] = found.column("class").to_numpy()
-            if self.counts.max(initial=0) >= LIST_ENTRIES:
-                split = self._profiled(shared, self.lists.where("split"), None).mapInArrow(moves, kind).select("own", "class").toArrow()
-                group[split.column("own").to_numpy()] = split.column("class").to_numpy()
+            work = _passed_lists(shared, round_, self.classes, self.width)
+            source = self.lists.select("word", "own", "split", "lists")
+            stored = materialize(source.mapInArrow(work, "at int, own int, class int, n bigint"), "round")
+            sums = self._summed(stored.where("own < 0").select("at", "n"))
+            moves = [stored.where("own >= 0").select("own", "class")]
+            if round_ is not None and self.counts.max(initial=0) >= LIST_ENTRIES:
+                split = self._profiled(shared, self.lists.where("split"), None)
+                moves.append(split.mapInArrow(_moves_of_profiles(round_, self.width), _MOVE).select("own", "class"))
         else:
-            found = materialize(self._profiled(shared, self.lists, cool).mapInArrow(moves, kind), "classes")
-            hot = found.where("own >= 0").select("own", "class").toArrow()
-            group[hot.column("own").to_numpy()] = hot.column("class").to_numpy()
-            cool = found.where("own < 0").select("word", "class")
+            profiles = materialize(self._profiled(shared, self.lists, cool), "profiles")
+            sums = profiles.select("class", "neighbours").mapInArrow(
+                _class_sums_of_profiles(self.classes, self.width), "at bigint, n bigint"
+            )
+            sums, moves = self._summed(sums), []
+            if round_ is not None:
+                found = materialize(profiles.mapInArrow(_moves_of_profiles(round_, self.width), _MOVE), "classes")
+                moves = [found.where("own >= 0").select("own", "class")]
+                cool = found.where("own < 0").select("word", "class")
+        group = group.copy()
+        for found in moves:
+            # As many rows as there are hot words, at most.
+            table = found.toArrow()
+            group[table.column("own").to_numpy()] = table.column("class").to_numpy()
         shared.unpersist()
-        return group, cool
+        return sums, (group, cool)
+
+    def _summed(self, found: DataFrame) -> np.ndarray:
+        sums = np.zeros(self.classes * 2 * self.width)
+        for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():  # classes x classes
+            sums[row["at"]] = row["n"]
+        return sums.reshape(self.classes, 2 * self.width)
 
     def run(self, contexts: int, rounds: int) -> tuple[np.ndarray, DataFrame | None, list[float]]:
         """(classes of hot words, of others, likelihoods of the rounds that were kept)."""
         state = self.start(contexts)
         if self.all_hot and len(self.hot) == 0:
             return *state, []
-        state = self.moved(*state, _Round(_likelihoods(self.sums(*state), self.width), 0, 0))
-        sums = self.sums(*state)
-        history, share = [log_likelihood(sums, self.width)], 0
+        sums, _ = self.passed(*state, None)
+        _, state = self.passed(*state, _Round(_likelihoods(sums, self.width), 0, 0))
+        sums, _ = self.passed(*state, None)
+        history, share, known = [log_likelihood(sums, self.width)], 0, True
+        best, logs = state, _likelihoods(sums, self.width)
         for number in range(1, rounds + 1):
-            tried = self.moved(*state, _Round(_likelihoods(sums, self.width), share, number))
-            tried_sums = self.sums(*tried)
-            likelihood = log_likelihood(tried_sums, self.width)
-            growth = (likelihood - history[-1]) / max(abs(history[-1]), 1.0)
-            if growth > 0:
-                state, sums = tried, tried_sums
+            sums, following = self.passed(*state, _Round(logs, share, number))
+            if not known:
+                likelihood = log_likelihood(sums, self.width)
+                growth = (likelihood - history[-1]) / max(abs(history[-1]), 1.0)
+                if growth <= 0:
+                    share += 1
+                    if share > LEAST_SHARE:
+                        break
+                    state, known = best, True
+                    continue
                 history.append(likelihood)
+                best, logs = state, _likelihoods(sums, self.width)
                 if growth < LEAST_GROWTH:
                     break
-            elif share == LEAST_SHARE:
-                break
-            else:
-                share += 1
-        return *state, history
+            state, known = following, False
+        return *best, history
 
 
 def learn(
@@ -600,50 +641,40 @@ def cluster(
 # --- scoring ------------------------------------------------------------------------------------------
 
 
-def _asked(shared: Broadcast, once_only: bool):
-    """Rows (block, word) that a block cannot tell by itself: words that are not hot.
-
-    Where all others were seen once, those of training texts are known to be.
-    """
+def _asked(shared: Broadcast):
+    """Rows (block, word): words of a block that are not hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = shared.value[0]
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                table = rows_of(payload)
-                if once_only:
-                    trained = np.unique(_training(payload)[0])
-                    words = np.unique(_tokens(table.filter(pc.invert(table.column("train"))).column("text"))[0])
-                    words = words[~located(words, trained)[1]]
-                else:
-                    words = np.unique(_tokens(table.column("text"))[0])
+                words = np.unique(_tokens(rows_of(payload).column("text"))[0])
                 words = words[~located(words, hot)[1]].view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), block)), pa.array(words)], names=["block", "word"])
 
     return run
 
 
-def _emissions(model: ClassModel, shared: Broadcast, once_only: bool) -> Callable:
+def _emissions(model: ClassModel, shared: Broadcast) -> Callable:
     rare, held = model.classes, np.maximum(model.class_tokens, 1)
     unseen, once = model.shares()
 
-    def work(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    def work(rows: pa.Table, answers: pa.Table | None) -> pa.Table:
         hot, hot_counts, hot_classes = shared.value
         tokens, offsets = _tokens(rows.column("text"))
         words, own = np.unique(tokens, return_inverse=True)
         place, there = located(words, hot)
         counts, group = np.zeros(len(words), np.int64), np.full(len(words), rare)
         counts[there], group[there] = hot_counts[place[there]], hot_classes[place[there]]
-        keys = answers.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        place, told = located(words, keys[order])
-        counts[told] = answers.column("n").to_numpy()[order][place[told]]
-        group[told] = answers.column("class").to_numpy()[order][place[told]]
-        if once_only:
-            trained = np.repeat(rows.column("train").to_numpy(zero_copy_only=False), np.diff(offsets))
-            here = np.zeros(len(words), bool)
-            here[own[trained]] = True
-            counts[here & ~there] = 1
+        if answers is None:
+            # Training texts where all words that are not hot were seen once.
+            counts[~there] = 1
+        else:
+            keys = answers.column("word").to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            place, told = located(words, keys[order])
+            counts[told] = answers.column("n").to_numpy()[order][place[told]]
+            group[told] = answers.column("class").to_numpy()[order][place[told]]
         share = np.where(counts == 0, unseen, np.where(group == rare, once, counts / held[group]))
         base = np.concatenate([[0.0], np.cumsum(model.base_log(counts)[own])])
         emitted = np.concatenate([[0.0], np.cumsum(np.log10(share)[own])])
@@ -663,6 +694,17 @@ def _emissions(model: ClassModel, shared: Broadcast, once_only: bool) -> Callabl
     return work
 
 
+def _emitted(work: Callable):
+    """``work`` on every block, without answers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload in batch.column(1).to_pylist():
+                yield from work(rows_of(payload), None).to_batches()
+
+    return run
+
+
 def _previous(column: pa.Array, beginning: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, row after the last, classes, the class before each, offsets) per slice of a column."""
     data, offsets = textbytes.utf8(column)
@@ -725,16 +767,21 @@ def score_texts(
     plain = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(train), F.lit(False)).alias("train")
     )
-    blocks = to_blocks(plain)
-    lexicon, model = learn(blocks, classes, contexts, rounds, hot_words)
+    seen, unseen = to_blocks(plain.where("train")), to_blocks(plain.where("not train"))
+    lexicon, model = learn(seen, classes, contexts, rounds, hot_words)
     shared = plain.sparkSession.sparkContext.broadcast((lexicon.hot, lexicon.counts, lexicon.classes))
     id_type = plain.schema["id"].dataType
     fields = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType())]
     head = [T.StructField("id", id_type), T.StructField("train", T.BooleanType()), *[T.StructField(*f) for f in fields]]
     schema = T.StructType([*head, T.StructField("emission", T.DoubleType()), T.StructField("classes", T.BinaryType())])
-    asked = blocks.mapInArrow(_asked(shared, lexicon.once_only), "block bigint, word bigint")
-    work = _emissions(model, shared, lexicon.once_only)
-    found = materialize(answered(blocks, asked, lexicon.rest, "word", work, schema), "classes")
+    work = _emissions(model, shared)
+
+    def looked_up(blocks: DataFrame) -> DataFrame:
+        asked = blocks.mapInArrow(_asked(shared), "block bigint, word bigint")
+        return answered(blocks, asked, lexicon.rest, "word", work, schema)
+
+    trained = seen.mapInArrow(_emitted(work), schema) if lexicon.once_only else looked_up(seen)
+    found = materialize(trained.unionByName(looked_up(unseen)), "classes")
 
     size = classes + 1
     counts = np.zeros((size + 1) * size)

@@ -554,9 +554,9 @@ def test_class_scores_match_brute_force(spark, edges, hot_words):
     # Words that the texts share, so that there is something to exchange.
     documents += [(100 + i, " ".join(f"{'ab'[i % 2]}{(i * k) % 5}" for k in range(1, 9)), i % 4 > 0) for i in range(30)]
     df = spark.createDataFrame(documents, "doc_id int, text string, train boolean").repartition(3)
-    got = class_model.score_texts(df, "train", classes=4, contexts=6, rounds=4, hot_words=hot_words).collect()
+    got = class_model.score_texts(df, "train", classes=4, contexts=6, rounds=2, hot_words=hot_words).collect()
     blocks = to_blocks(df.select("text", "train"))
-    table, model = class_model.cluster(blocks, 4, 6, 4, hot_words)
+    table, model = class_model.cluster(blocks, 4, 6, 2, hot_words)
     assert all(b > a for a, b in zip(model.history, model.history[1:]))
     by_hash = {r["word"]: r["class"] for r in table.where("n > 1").collect()}
     split = [(i, [*words(lowered(t)), "\n"], train) for i, t, train in documents]
