@@ -4,11 +4,20 @@ from __future__ import annotations
 
 import math
 
-from churnspark.sources.derived_log import AGENTS, REGISTRATION_START_MS, STATES
-
 DIGITS = 6
 
 # Stated again here, so that an error in the package's own tables shows as a difference.
+# States and agents that the users of the derived log have in turn, the first registration.
+STATES = ("CA", "TX", "NY-NJ", "IL", "WA", "FL", "AZ", "ZZ")
+AGENTS = (
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64; rv:121.0) Gecko/20100101 Firefox/121.0",
+    "Mozilla/5.0 (X11; Linux x86_64; rv:121.0) Gecko/20100101 Firefox/121.0",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/17.1 Safari/605.1.15",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 17_1 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/17.1 Mobile/15E148 Safari/604.1",
+)
+REGISTRATION_START_MS = 1_701_388_800_000
 # State -> region.
 STATE_REGIONS = {
     "AK": "West", "AL": "South", "AR": "South", "AZ": "Southwest", "CA": "West", "CO": "West", "CT": "Northeast",

@@ -520,17 +520,22 @@ TREE_KINDS = {
     "gradient_boosting": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3},
 }
 
-# Bounds of the random search in the queries: models small enough that all kinds, their folds and
-# their calibrated twins fit within minutes. ``TRIALS`` draws are made per kind.
-TRIALS = 1
+# Bounds of the search in the queries: models small enough that all kinds, their folds and their
+# calibrated twins fit within minutes. ``TRIALS`` draws are made per kind, all in one round. The README
+# has what fits in ``training.SEARCH_SPACES`` take.
+TRIALS = 4
 SMALL_SPACES = {
     "logistic_regression": {"C": ("uniform", 0.01, 10.0)},
     "random_forest": {"numTrees": ("quniform", 5, 20, 5), "maxDepth": ("quniform", 2, 4, 1)},
-    "decision_tree": {"maxDepth": ("quniform", 2, 4, 1)},
-    "gradient_boosting": {"maxIter": ("quniform", 2, 4, 1), "maxDepth": ("quniform", 2, 3, 1)},
-    "gradient_boosting_unweighted": {"maxIter": ("quniform", 2, 4, 1), "maxDepth": ("quniform", 2, 3, 1)},
+    "decision_tree": {"maxDepth": ("quniform", 1, 5, 1)},
+    "gradient_boosting": {
+        "maxIter": ("quniform", 2, 4, 1), "maxDepth": ("quniform", 2, 3, 1), "stepSize": ("uniform", 0.01, 1.0)
+    },
+    "gradient_boosting_unweighted": {
+        "maxIter": ("quniform", 2, 4, 1), "maxDepth": ("quniform", 2, 3, 1), "stepSize": ("uniform", 0.01, 1.0)
+    },
     "stacking": {"C": ("uniform", 0.01, 10.0)},
-}
+}
 
 
 def _train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
