@@ -73,7 +73,7 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, label: str, path: str | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where several branches need the same intermediate table: it is computed
@@ -82,15 +82,16 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     recomputation of what came before.
 
     The table stays until the ``intermediates`` block ends in which it was made; without
-    one it stays for good. A ``path`` from ``new_path`` keeps the owner it was made for.
+    one it stays for good. A ``path`` from ``new_path`` keeps the owner it was made for. A
+    ``compression`` other than the session's takes its place.
     """
     spark = df.sparkSession
     path = path or new_path(spark, label)
     if not _may_be_private(spark, path):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return spark.read.schema(df.schema).parquet(path)
     written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path, compression=compression)
     stored = spark.read.schema(df.schema).parquet(path)
     check_rows(path, written.get["rows"], stored.count())
     return stored
