@@ -43,8 +43,8 @@ HOT_WORDS = 1 << 22
 # About the most neighbours of a word in one list on each side.
 LIST_ENTRIES = 1 << 16
 # Tokens whose pairs are counted together, and pairs that are packed together.
-MERGE_TOKENS = 5 << 19
-PACKED_PAIRS = 1 << 19
+MERGE_TOKENS = 3 << 19
+PACKED_PAIRS = 1 << 18
 ROWS_AT_ONCE = 4096
 # The least share of words that a round may move, as a power of two, and the least growth that counts.
 LEAST_SHARE, LEAST_GROWTH = 3, 1e-5
@@ -187,6 +187,8 @@ def _neighbours(shared: Broadcast, everything: bool):
             words, keys = _pair_keys(tokens, offsets, hot, everything)
             del tokens
             yield from _packed_lists(words, keys, hot, parts)
+            del words, keys
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for payload in batch.column(1).to_pylist():
@@ -485,7 +487,7 @@ class _Exchange:
         kind = "word bigint, own int, part int, split boolean, entries binary"
         lists = blocks.mapInArrow(_neighbours(shared, not self.all_hot), kind)
         lists = lists.groupBy("word", "own", "part", "split").agg(F.collect_list("entries").alias("lists"))
-        self.lists = materialize(lists, "neighbours")
+        self.lists = materialize(lists, "neighbours", compression="zstd")
         if not self.all_hot:
             # Neighbours seen more than once that are not hot; the others that are not hot were seen once.
             found = blocks.mapInArrow(_other_neighbours(shared), "word bigint, near bigint, side int, n bigint")
@@ -662,7 +664,9 @@ def _emissions(model: ClassModel, shared: Broadcast) -> Callable:
     def work(rows: pa.Table, answers: pa.Table | None) -> pa.Table:
         hot, hot_counts, hot_classes = shared.value
         tokens, offsets = _tokens(rows.column("text"))
-        words, own = np.unique(tokens, return_inverse=True)
+        words = np.unique(tokens)
+        own = np.searchsorted(words, tokens).astype(np.int32)
+        del tokens
         place, there = located(words, hot)
         counts, group = np.zeros(len(words), np.int64), np.full(len(words), rare)
         counts[there], group[there] = hot_counts[place[there]], hot_classes[place[there]]
@@ -676,18 +680,20 @@ def _emissions(model: ClassModel, shared: Broadcast) -> Callable:
             counts[told] = answers.column("n").to_numpy()[order][place[told]]
             group[told] = answers.column("class").to_numpy()[order][place[told]]
         share = np.where(counts == 0, unseen, np.where(group == rare, once, counts / held[group]))
-        base = np.concatenate([[0.0], np.cumsum(model.base_log(counts)[own])])
-        emitted = np.concatenate([[0.0], np.cumsum(np.log10(share)[own])])
-        known = np.concatenate([[0], np.cumsum((counts > 0)[own])])
+        a, b = offsets[:-1], offsets[1:]
+
+        def summed(values: np.ndarray) -> np.ndarray:
+            running = np.concatenate([[0], np.cumsum(values[own])])
+            return running[b] - running[a]
+
         sequence = group.astype(np.uint8)[own]
         packed = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(rows), [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(sequence)]
         ).cast(pa.binary())
-        a, b = offsets[:-1], offsets[1:]
         return pa.table(
             {
-                "id": rows.column("id"), "train": rows.column("train"), "n_tokens": b - a, "n_known": known[b] - known[a],
-                "base_score": base[b] - base[a], "emission": emitted[b] - emitted[a], "classes": packed,
+                "id": rows.column("id"), "train": rows.column("train"), "n_tokens": b - a, "n_known": summed(counts > 0),
+                "base_score": summed(model.base_log(counts)), "emission": summed(np.log10(share)), "classes": packed,
             }
         )
 
@@ -701,6 +707,7 @@ def _emitted(work: Callable):
         for batch in batches:
             for payload in batch.column(1).to_pylist():
                 yield from work(rows_of(payload), None).to_batches()
+                pa.default_memory_pool().release_unused()
 
     return run
 
@@ -781,7 +788,7 @@ def score_texts(
         return answered(blocks, asked, lexicon.rest, "word", work, schema)
 
     trained = seen.mapInArrow(_emitted(work), schema) if lexicon.once_only else looked_up(seen)
-    found = materialize(trained.unionByName(looked_up(unseen)), "classes")
+    found = materialize(trained.unionByName(looked_up(unseen)), "classes", compression="zstd")
 
     size = classes + 1
     counts = np.zeros((size + 1) * size)
