@@ -242,8 +242,10 @@ def test_score_users_shape_and_logit(spark, features, encoder, train, tree):
         assert r.churn_probability == pytest.approx(1 / (1 + 2.718281828459045**-logit), abs=1e-6)
     ranked = scoring.ranking(scored).collect()
     assert [r.churn_probability for r in ranked] == sorted((r.churn_probability for r in rows), reverse=True)
-    with pytest.raises(ValueError, match="unknown user"):
-        scoring.score_users(log, encoder, tree)
+    # Trees are explained exactly: no base of an unknown user is asked for.
+    for r in scoring.score_users(log, encoder, tree).collect():
+        assert r.units == "probability"
+        assert r.base_value + sum(r.contributions.values()) == pytest.approx(r.churn_probability, abs=1e-9)
 
 
 def test_importance_and_direction(spark):
