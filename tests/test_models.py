@@ -6,7 +6,9 @@ import itertools
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from churnspark import schema
@@ -272,6 +274,28 @@ def test_search_with_a_single_positive_row(spark):
     assert training.scored_table(model, rows).count() == 30
 
 
+def test_models_are_sent_to_tasks_without_their_summaries(spark):
+    """A session that has counted rows with an ``Observation`` (``materialize`` on a cluster) cannot be sent."""
+    session = spark.newSession()
+    rows = session.createDataFrame(
+        [(str(i), [float(i), float(i % 3)], int(i % 4 == 0), 1.0) for i in range(40)],
+        "userId string, x array<double>, churn int, weight double",
+    ).withColumn(training.VECTOR, array_to_vector("x"))
+    counted = Observation()
+    assert len(rows.observe(counted, F.count(F.lit(1)).alias("rows")).collect()) == counted.get["rows"]
+    bases = {
+        "logistic_regression": training.classifiers()["logistic_regression"].copy({LogisticRegression.maxIter: 5}),
+        "random_forest": training.classifiers()["random_forest"].copy({RandomForestClassifier.numTrees: 2}),
+    }
+    models = [training.train_classifier(rows, estimator) for estimator in bases.values()]
+    models.append(training.train_stacking(rows, bases, training.out_of_fold(rows, bases, folds=2)))
+    models.append(training.train_calibrated(rows, bases["logistic_regression"], folds=2))
+    assert models[0].hasSummary
+    for model in models:
+        assert training.scored_table(model, rows).where("score between 0 and 1").count() == 40
+    assert len(training.fold_scores(rows, bases["logistic_regression"], folds=2)([{"C": 1.0}])) == 1
+
+
 def test_folds_share_out_every_label(spark):
     from churnspark.operators.split import with_folds
 
