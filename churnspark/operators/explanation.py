@@ -52,7 +52,7 @@ def sampled_shapley(
     drawn feature orders the base is replaced by the user's own values, one feature at a time;
     the change of the probability at a step belongs to the feature replaced there. Every user
     takes ``permutations * (features + 1)`` rows of one job: explode, predict, and a sum that is
-    combined before its shuffle. The values of a user add up to f(user) minus ``base_value``.
+    combined before its shuffle. Users are dealt evenly over all cores before that. The values of a user add up to f(user) minus ``base_value``.
     """
     generator = random.Random(seed)
     n = len(names)
@@ -60,32 +60,42 @@ def sampled_shapley(
     for _ in range(permutations):
         position = list(range(n))
         generator.shuffle(position)
-        orders.append(position)
-    # Constants in the plan: (features x permutations) and (features) numbers.
-    order_table = F.from_json(F.lit(json.dumps(orders)), "array<array<int>>")
+        # Where each feature stands in the order, and which feature stands at each place of it.
+        orders.append({"position": position, "feature": sorted(range(n), key=position.__getitem__)})
+    # Constants in the plan: (2 x features x permutations) and (features) numbers.
+    order_table = F.from_json(F.lit(json.dumps(orders)), "array<struct<position: array<int>, feature: array<int>>>")
     unknown = F.from_json(F.lit(json.dumps([float(b) for b in base])), "array<double>")
+    # Dealt out before they multiply: stored users are few bytes, and so come in few partitions.
+    users = rows.select(id_column, vector_to_array(vector).alias("x")).repartition(_tasks(rows.sparkSession))
     steps = (
-        rows.select(id_column, vector_to_array(vector).alias("x"), unknown.alias("base"))
-        .withColumn("position", F.explode(order_table))
+        users.withColumn("base", unknown)
+        .withColumn("order", F.explode(order_table))
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n))))
     )
-    own = F.arrays_zip("position", "x", "base")
-    replaced = F.transform(own, lambda s: F.when(s["position"] < F.col("step"), s["x"]).otherwise(s["base"]))
-    hybrids = steps.select(id_column, "step", "position", array_to_vector(replaced).alias(vector))
+    replaced = F.transform(
+        "order.position", lambda place, i: F.when(place < F.col("step"), F.col("x")[i]).otherwise(F.col("base")[i])
+    )
+    hybrids = steps.select(id_column, "step", "order.feature", array_to_vector(replaced).alias(vector))
     predicted = with_probability(model, hybrids, "probability_of_step")
     # A step's probability counts for the feature just replaced and against the next one.
-    gained = F.struct((F.array_position("position", F.col("step") - 1) - 1).alias("slot"), F.lit(1.0).alias("sign"))
-    next_one = F.struct((F.array_position("position", F.col("step")) - 1).alias("slot"), F.lit(-1.0).alias("sign"))
+    gained = F.struct(F.get("feature", F.col("step") - 1).alias("slot"), F.lit(1.0).alias("sign"))
+    next_one = F.struct(F.get("feature", F.col("step")).alias("slot"), F.lit(-1.0).alias("sign"))
     shares = predicted.select(
         id_column, "probability_of_step", F.explode(F.array(gained, next_one)).alias("share")
-    ).where(F.col("share.slot") >= 0)
-    feature = F.element_at(F.array(*[F.lit(c) for c in names]), (F.col("share.slot") + 1).cast("int"))
-    values = shares.groupBy(id_column, feature.alias("feature")).agg(
+    ).where(F.col("share.slot").isNotNull())
+    summed = shares.groupBy(id_column, "share.slot").agg(
         (F.sum(F.col("share.sign") * F.col("probability_of_step")) / permutations).alias("value")
     )
+    feature = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("slot") + 1)
+    values = summed.select(id_column, feature.alias("feature"), "value")
     return values.withColumn("base_value", F.lit(base_value(rows.sparkSession, model, base, vector)))
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Partitions for rows that multiply in their task: a few per core, no fewer than a shuffle has."""
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def base_value(spark: SparkSession, model: Model | AveragedModel, base: Sequence[float], vector: str = "scaled_features") -> float:
     """The positive probability of an unknown user."""
     one = spark.createDataFrame([(Vectors.dense([float(b) for b in base]),)], [vector])

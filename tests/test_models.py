@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -204,6 +205,18 @@ def test_sampled_shapley_adds_up(tree, train, test):
     }
 
 
+def test_sampled_shapley_deals_out_few_partitions(tree, train, test, capsys):
+    """Users that lie in one partition are spread over the cores before their rows multiply."""
+    names = encoding.vector_names(test)
+    unknown = explanation.background(train, training.VECTOR)
+    together = test.coalesce(1)
+    explanation.sampled_shapley(together, tree, names, unknown, permutations=2, seed=1).explain()
+    plan = capsys.readouterr().out
+    dealt = re.search(r"RoundRobinPartitioning\((\d+)\)", plan)
+    assert dealt and int(dealt[1]) >= 4 * test.sparkSession.sparkContext.defaultParallelism
+    assert plan.rindex("Generate") < dealt.start()
+
+
 def test_sampled_shapley_near_the_exact_values(spark):
     """Three features, one background row: compare with the average over all orders."""
     from pyspark.ml.classification import LogisticRegression
